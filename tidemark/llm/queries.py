@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, language_id
+from tidemark.llm import bitsliced_topk, decontaminate, language_id, pii, source_mix
 from tidemark.llm.common import fold, table
 
 
@@ -44,8 +44,39 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
+def op7_bitsliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitsliced_topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+OP7_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+"""
+
+
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.Mix(table(spark, sf_dir, "documents")).report()
+
+
 QUERIES = {
+    "op2_pii": op2_pii,
+    "op7_bitsliced_topk": op7_bitsliced_topk,
+    "op9_source_mix": op9_source_mix,
     "op4_decontamination": op4_decontamination,
     "op10_language_id": op10_language_id,
 }
-ORACLES = {"op4_decontamination": OP4_SQL}
+ORACLES = {
+    "op4_decontamination": OP4_SQL,
+    "op7_bitsliced_topk": OP7_SQL,
+}
