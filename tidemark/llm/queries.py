@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bitsliced_topk, decontaminate, language_id, pii, source_mix
+from tidemark.llm import bitsliced_topk, decontaminate, jaccard_join, language_id, pii, source_mix
 from tidemark.llm.common import fold, table
 
 
@@ -65,6 +65,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 """
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), length=3, percent=90)
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.Mix(table(spark, sf_dir, "documents")).report()
 
@@ -72,6 +76,7 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_pii": op2_pii,
     "op7_bitsliced_topk": op7_bitsliced_topk,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_source_mix": op9_source_mix,
     "op4_decontamination": op4_decontamination,
     "op10_language_id": op10_language_id,
