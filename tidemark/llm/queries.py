@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bitsliced_topk, decontaminate, jaccard_join, language_id, pii, source_mix
+from tidemark.llm import bitsliced_topk, decontaminate, jaccard_join, language_id, license_scan, pii, source_mix, token_counts, toxicity
 from tidemark.llm.common import fold, table
 
 
@@ -44,6 +44,33 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def _op1_sql() -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    notice = r"(?m)^[^a-z0-9\x{80}-\x{10FFFF}\n(]*(copyright[ \t]+(\(c\)|©|[0-9]{4})|\(c\)[ \t]*[0-9]{4}|©[ \t]*[0-9]{4})[^\n]*$"
+    body = f"list_filter(string_split(regexp_replace(regexp_replace({lower}, '{notice}', '', 'g'), '[^a-z0-9\\x{{80}}-\\x{{10FFFF}}]+', ' ', 'g'), ' '), lambda w: w <> '')"
+    cases = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in license_scan.EQUIVALENT.items())
+    known = ", ".join(f"('{d}', '{name}')" for d, name in license_scan.known_digests().items())
+    return f"""
+WITH digests AS (SELECT doc_id, sha256(array_to_string(list_transform({body}, lambda w: CASE w {cases} ELSE w END), ' ')) AS digest FROM documents)
+SELECT doc_id, digests.digest, license_id FROM digests LEFT JOIN (VALUES {known}) AS known(digest, license_id) ON known.digest = digests.digest
+"""
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id"), 3) != 1)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.limits(token_counts.length_histogram(table(spark, sf_dir, "documents")))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
@@ -74,7 +101,10 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_pii": op2_pii,
+    "op5_toxicity": op5_toxicity,
+    "op6_token_counts": op6_token_counts,
     "op7_bitsliced_topk": op7_bitsliced_topk,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_source_mix": op9_source_mix,
@@ -82,6 +112,7 @@ QUERIES = {
     "op10_language_id": op10_language_id,
 }
 ORACLES = {
+    "op1_license_scan": _op1_sql(),
     "op4_decontamination": OP4_SQL,
     "op7_bitsliced_topk": OP7_SQL,
 }
