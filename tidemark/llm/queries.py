@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bitsliced_topk, decontaminate, jaccard_join, language_id, license_scan, pii, source_mix, token_counts, toxicity
+from tidemark.llm import bitsliced_topk, decontaminate, jaccard_join, language_id, license_scan, lm_score, pii, source_mix, token_counts, toxicity
 from tidemark.llm.common import fold, table
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_score.score(docs.withColumn("held_out", fold(F.col("doc_id"), 7) == 2))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -108,6 +113,7 @@ QUERIES = {
     "op7_bitsliced_topk": op7_bitsliced_topk,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_source_mix": op9_source_mix,
+    "op3_lm_score": op3_lm_score,
     "op4_decontamination": op4_decontamination,
     "op10_language_id": op10_language_id,
 }
