@@ -1,0 +1 @@
+"""Vintage time-series analytics on Spark."""
