@@ -183,8 +183,10 @@ def benchmark_hits(
     item_id: str = "item_id",
     item_text: str = "text",
     shard_words: int = SHARD_WORDS,
+    names: tuple[str, str, str] = ("n_words", "spans", "items"),
 ) -> DataFrame:
-    """``docs`` with n_words, the hit runs of words (``spans``, end exclusive) and the items with a window in the text.
+    """``docs`` with n_words, the hit runs of words (``spans``, end exclusive) and the items with a window in the text; ``names``
+    are the new columns' names, for tables that have such columns already.
 
     No shuffle: documents stream through the automaton where they are read. One automaton holds ``shard_words`` words at
     most, which bounds what a task is sent; a larger benchmark is scanned shard after shard within the same task.
@@ -219,7 +221,7 @@ def benchmark_hits(
     schema = df.schema
     for automaton in automata:
         df = df.mapInArrow(scanner(spark.sparkContext.broadcast(automaton)), schema)
-    return df.withColumnsRenamed({"__n": "n_words", "__spans": "spans", "__items": "items"})
+    return df.withColumnsRenamed(dict(zip(("__n", "__spans", "__items"), names, strict=True)))
 
 
 def decontaminate(
@@ -234,9 +236,9 @@ def decontaminate(
     A run goes with what stands between its words; the parts left are joined by one space. Clean texts stay as they are.
     """
     keep = docs.columns
-    found = benchmark_hits(docs.select(*keep), benchmark, window, text)
-    hit = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"])
-    left = found.where(hit <= F.lit(max_coverage) * F.col("n_words"))
+    found = benchmark_hits(docs, benchmark, window, text, names=("__words", "__runs", "__found"))
+    hit = F.aggregate("__runs", F.lit(0), lambda n, s: n + s["end"] - s["start"])
+    left = found.where(hit <= F.lit(max_coverage) * F.col("__words"))
     at = keep.index(text)
 
     def cut(rows):
@@ -255,7 +257,7 @@ def decontaminate(
             columns = [pa.array(bodies, pa.string()) if i == at else batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays(columns, names=keep)
 
-    return left.select(*keep, "spans").mapInArrow(cut, docs.schema)
+    return left.select(*keep, "__runs").mapInArrow(cut, docs.schema)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -117,7 +117,7 @@ def train(
     lack = math.log10(word_share) - 1
     for r in word_rows:
         table.setdefault(r.word, [lack] * len(langs))[place[r.lang]] = max(math.log10(r.n / word_totals[r.lang,]), lack)
-    model = {"langs": langs, "words": {w: i for i, w in enumerate(table)}, "word_scores": np.array(list(table.values()), np.float64).reshape(-1, len(langs)), "grams": {}}
+    model = {"langs": langs, "words": {w: i for i, w in enumerate(table)}, "word_scores": np.array(list(table.values()), np.float64).reshape(len(table), len(langs)), "grams": {}}
     lack = math.log10(gram_share) - 1
     for n in range(1, max_order + 1):
         rows_n = [r for r in gram_rows if r.ord == n]
@@ -209,10 +209,10 @@ def _predict(model: dict, bodies: list[str]) -> tuple[list[str], list[float]]:
     return labels, scores
 
 
-def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: dict, text: str = "text", added: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """``docs`` with lang_pred and score (the share of the best language among all, from 20 words' worth of evidence)."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    at, names = docs.columns.index(text), [*docs.columns, "lang_pred", "score"]
+    at, names = docs.columns.index(text), [*docs.columns, *added]
 
     def run(rows):
         for batch in batches(rows, 1000):
@@ -220,11 +220,13 @@ def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(labels, pa.string()), pa.array(scores, pa.float64())], names=names)
 
     schema = docs.schema
-    for name, kind in (("lang_pred", "string"), ("score", "double")):
+    for name, kind in zip(added, ("string", "double"), strict=True):
         schema = type(schema)(list(schema.fields)).add(name, kind)
     return docs.mapInArrow(run, schema)
 
 
-def identify(docs: DataFrame, learn: Column | None = None, text: str = "text", lang: str = "lang", **parameters) -> DataFrame:
+def identify(
+    docs: DataFrame, learn: Column | None = None, text: str = "text", lang: str = "lang", added: tuple[str, str] = ("lang_pred", "score"), **parameters
+) -> DataFrame:
     """Learn from the labelled rows of ``docs`` for which ``learn`` holds, then predict all rows."""
-    return predict(docs, train(docs if learn is None else docs.where(learn), text, lang, **parameters), text)
+    return predict(docs, train(docs if learn is None else docs.where(learn), text, lang, **parameters), text, added)

@@ -154,7 +154,7 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, max_train_rows: int = 40_000, max_terms: int = 4_000, folds: int = 4) -> dict:
     """docs: doc_id, text; labels: doc_id, toxic. ``learn`` says by doc_id which labels may be learned from."""
-    marked = labels.where(learn & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    marked = labels.where(learn & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     marked = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train_rows)
     # bounded by max_train_rows
     rows = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(2)))
@@ -211,10 +211,10 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, max_train_rows: int
     return {"lexicon": lexicon, "trees": Trees().fit(x, y), "knots": isotonic(apart, y)}
 
 
-def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: dict, text: str = "text", added: str = "score") -> DataFrame:
     """``docs`` with the calibrated score of each text."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    at, names = docs.columns.index(text), [*docs.columns, "score"]
+    at, names = docs.columns.index(text), [*docs.columns, added]
 
     def run(parts):
         for batch in batches(parts):
@@ -227,4 +227,4 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64())], names=names)
 
     schema = docs.schema
-    return docs.mapInArrow(run, type(schema)(list(schema.fields)).add("score", "double"))
+    return docs.mapInArrow(run, type(schema)(list(schema.fields)).add(added, "double"))
