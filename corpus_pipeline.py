@@ -21,8 +21,8 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a known language; those without a letter (``und``) go."""
-    found = language_id.identify(docs)
-    return found.where(F.col("lang_pred") != "und").select(*docs.columns)
+    found = language_id.identify(docs, added=("__language", "__score"))
+    return found.where(F.col("__language") != "und").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
