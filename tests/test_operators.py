@@ -160,3 +160,12 @@ def test_entry_without_training_data_operators(monkeypatch, spark, small):
     assert found and not any(n.startswith("op") and n[2].isdigit() for n in found)
     assert set(entry.oracle_sql()) <= set(found)
     assert entry.entry(spark).count() > 0
+
+
+def test_queries_are_listed_without_a_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import __spark_entry__ as e; assert e.queries() and set(e.oracle_sql()) <= set(e.queries())"
+    subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parent.parent, check=True, timeout=120)

@@ -14,7 +14,10 @@ class Series:
 
     def __init__(self, keys: Sequence[str], period: str):
         self.keys, self.period = list(keys), period
-        self.run: WindowSpec = Window.partitionBy(*self.keys).orderBy(period)
+
+    @property
+    def run(self) -> WindowSpec:
+        return Window.partitionBy(*self.keys).orderBy(self.period)
 
     def before(self, n: int | None = None) -> WindowSpec:
         return self.run.rowsBetween(Window.unboundedPreceding if n is None else -n, -1)

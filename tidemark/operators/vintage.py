@@ -12,11 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _ordered(order: Sequence[str | Column], descending: bool) -> list[Column]:
-    cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    return [c.desc_nulls_last() if descending else c.asc_nulls_last() for c in cols] if all(isinstance(c, str) for c in order) else cols
-
-
 def latest_vintage(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The newest row of each key. One aggregation that combines before the shuffle, so hot keys cost one row a task."""
     rest = [c for c in df.columns if c not in keys]

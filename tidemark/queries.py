@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
-from tidemark.operators import reshape as R
 from tidemark.operators import vintage as V
 from tidemark.plans.fixtures import (
-    BT_SQL, DS_SQL, MP_SQL, SN_SQL, TIE, UP_SQL, bitemporal, daily_series, monthly_panel, snapshots, table, upsert_pair,
+    BT_SQL, MP_SQL, TIE, UP_SQL, bitemporal, monthly_panel, table, upsert_pair,
 )
 from tidemark.sources import tables as L
 

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import reshape as R
 from tidemark.operators import scoring as C
+from tidemark.operators import vintage as V
 from tidemark.operators import walkforward as M
 from tidemark.operators.features import Series
 from tidemark.plans import jobs
-from tidemark.plans.fixtures import BT_SQL, MP_SQL, TIE, bitemporal, monthly_panel, snapshots, table
-from tidemark.operators import vintage as V
+from tidemark.plans.fixtures import BT_SQL, MP_SQL, TIE, bitemporal, monthly_panel, table
 from tidemark.queries import _origins_sql as origins_sql
 from tidemark.queries import origins_table, query, scratch_path
 from tidemark.streaming import streams

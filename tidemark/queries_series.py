@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import features as P
@@ -251,55 +250,54 @@ def grouped_median(spark, d):
 # --- point-in-time features on the dense grid
 
 _S = P.Series(["series"], "period")
-_V = F.col("value")
 _W = "(PARTITION BY series ORDER BY period"
 
 
 def _feature(name, columns, sql):
-    """A query of feature columns, rounded to 9 places on both sides."""
+    """A query of feature columns, made by a function of the series and its value, rounded to 9 places on both sides."""
     text = ", ".join(f"round({s}, 9) AS {n}" for n, s in sql.items())
 
     @query(name, f"WITH {_GRID} SELECT series, period, {text} FROM dense")
     def run(spark, d):
-        return dense(spark, d).select("series", "period", *[F.round(c, 9).alias(n) for n, c in columns.items()])
+        return dense(spark, d).select("series", "period", *[F.round(c, 9).alias(n) for n, c in columns(_S, F.col("value")).items()])
 
     return run
 
 
-_feature("lag_lead", {"lag1": _S.lag(_V), "lag3": _S.lag(_V, 3), "lead1": _S.lead(_V)}, {"lag1": f"lag(value) OVER {_W})", "lag3": f"lag(value, 3) OVER {_W})", "lead1": f"lead(value) OVER {_W})"})
-_feature("diff_k", {"d1": _S.diff(_V), "d12": _S.diff(_V, 12)}, {"d1": f"value - lag(value) OVER {_W})", "d12": f"value - lag(value, 12) OVER {_W})"})
-_feature("dlog", {"dlog": _S.dlog(_V)}, {"dlog": f"ln(value) - ln(lag(value) OVER {_W}))"})
-_feature("pct_change", {"pct": _S.pct_change(_V)}, {"pct": f"(value / lag(value) OVER {_W}) - 1) * 100"})
-_feature("yoy", {"yoy_log": _S.dlog(_V, 12), "yoy_pct": _S.pct_change(_V, 12)}, {"yoy_log": f"ln(value) - ln(lag(value, 12) OVER {_W}))", "yoy_pct": f"(value / lag(value, 12) OVER {_W}) - 1) * 100"})
+_feature("lag_lead", lambda s, v: {"lag1": s.lag(v), "lag3": s.lag(v, 3), "lead1": s.lead(v)}, {"lag1": f"lag(value) OVER {_W})", "lag3": f"lag(value, 3) OVER {_W})", "lead1": f"lead(value) OVER {_W})"})
+_feature("diff_k", lambda s, v: {"d1": s.diff(v), "d12": s.diff(v, 12)}, {"d1": f"value - lag(value) OVER {_W})", "d12": f"value - lag(value, 12) OVER {_W})"})
+_feature("dlog", lambda s, v: {"dlog": s.dlog(v)}, {"dlog": f"ln(value) - ln(lag(value) OVER {_W}))"})
+_feature("pct_change", lambda s, v: {"pct": s.pct_change(v)}, {"pct": f"(value / lag(value) OVER {_W}) - 1) * 100"})
+_feature("yoy", lambda s, v: {"yoy_log": s.dlog(v, 12), "yoy_pct": s.pct_change(v, 12)}, {"yoy_log": f"ln(value) - ln(lag(value, 12) OVER {_W}))", "yoy_pct": f"(value / lag(value, 12) OVER {_W}) - 1) * 100"})
 _feature(
     "rolling_mean",
-    {"mean12": _S.rolling_mean(_V, 12, 9), "mean6": _S.rolling_mean(_V, 6, 4), "with_current": _S.rolling_mean(_V, 4, 1, current=True)},
+    lambda s, v: {"mean12": s.rolling_mean(v, 12, 9), "mean6": s.rolling_mean(v, 6, 4), "with_current": s.rolling_mean(v, 4, 1, current=True)},
     {
         "mean12": f"CASE WHEN count(value) OVER {_W} ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) >= 9 THEN avg(value) OVER {_W} ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) END",
         "mean6": f"CASE WHEN count(value) OVER {_W} ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) >= 4 THEN avg(value) OVER {_W} ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) END",
         "with_current": f"avg(value) OVER {_W} ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)",
     },
 )
-_feature("expanding_mean", {"mean": _S.expanding_mean(_V)}, {"mean": f"avg(value) OVER {_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"})
+_feature("expanding_mean", lambda s, v: {"mean": s.expanding_mean(v)}, {"mean": f"avg(value) OVER {_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"})
 _SEASON = "avg(value) OVER (PARTITION BY series, month(period) ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-_feature("seasonal_expanding_mean", {"seasonal": _S.seasonal_mean(_V)}, {"seasonal": _SEASON})
-_feature("deviation_from_norm", {"deviation": _S.deviation(_V)}, {"deviation": f"value - {_SEASON}"})
-_feature("ffill_limit", {"filled": _S.ffill(_V, 1)}, {"filled": f"last_value(value IGNORE NULLS) OVER {_W} ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)"})
-_feature("ffill", {"filled": _S.ffill(_V)}, {"filled": f"last_value(value IGNORE NULLS) OVER {_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"})
-_feature("local_drift", {"drift": _S.local_drift(_V)}, {"drift": "coalesce(" + ", ".join(f"(value - lag(value, {k}) OVER {_W})) / {k}" for k in range(14, 4, -1)) + ")"})
-_feature("zscore_population", {"z": _S.zscore(_V)}, {"z": "(value - avg(value) OVER (PARTITION BY series)) / stddev_pop(value) OVER (PARTITION BY series)"})
+_feature("seasonal_expanding_mean", lambda s, v: {"seasonal": s.seasonal_mean(v)}, {"seasonal": _SEASON})
+_feature("deviation_from_norm", lambda s, v: {"deviation": s.deviation(v)}, {"deviation": f"value - {_SEASON}"})
+_feature("ffill_limit", lambda s, v: {"filled": s.ffill(v, 1)}, {"filled": f"last_value(value IGNORE NULLS) OVER {_W} ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)"})
+_feature("ffill", lambda s, v: {"filled": s.ffill(v)}, {"filled": f"last_value(value IGNORE NULLS) OVER {_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"})
+_feature("local_drift", lambda s, v: {"drift": s.local_drift(v)}, {"drift": "coalesce(" + ", ".join(f"(value - lag(value, {k}) OVER {_W})) / {k}" for k in range(14, 4, -1)) + ")"})
+_feature("zscore_population", lambda s, v: {"z": s.zscore(v)}, {"z": "(value - avg(value) OVER (PARTITION BY series)) / stddev_pop(value) OVER (PARTITION BY series)"})
 _BEFORE = f"OVER {_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-_feature("zscore_point_in_time", {"z": _S.zscore(_V, True)}, {"z": f"CASE WHEN stddev_pop(value) {_BEFORE} > 0 THEN (value - avg(value) {_BEFORE}) / stddev_pop(value) {_BEFORE} END"})
+_feature("zscore_point_in_time", lambda s, v: {"z": s.zscore(v, True)}, {"z": f"CASE WHEN stddev_pop(value) {_BEFORE} > 0 THEN (value - avg(value) {_BEFORE}) / stddev_pop(value) {_BEFORE} END"})
 
 
 @query("freshest_lag", f"WITH {_GRID} SELECT series, period, CAST(CASE " + " ".join(f"WHEN lag(value, {k}) OVER {_W}) IS NOT NULL AND lag(value, {k + 1}) OVER {_W}) IS NOT NULL THEN {k}" for k in range(8, 13)) + " END AS INTEGER) AS lag FROM dense")
 def freshest_lag(spark, d):
-    return dense(spark, d).select("series", "period", _S.freshest_lag(_V, range(8, 13)).alias("lag"))
+    return dense(spark, d).select("series", "period", _S.freshest_lag(F.col("value"), range(8, 13)).alias("lag"))
 
 
 @query("direction_label", f"WITH {_GRID} SELECT series, period, CAST(CASE WHEN value IS NOT NULL AND lead(value) OVER {_W}) IS NOT NULL THEN CASE WHEN lead(value) OVER {_W}) > value THEN 1 ELSE 0 END END AS INTEGER) AS label FROM dense")
 def direction_label(spark, d):
-    return dense(spark, d).select("series", "period", _S.direction_label(_V).alias("label"))
+    return dense(spark, d).select("series", "period", _S.direction_label(F.col("value")).alias("label"))
 
 
 @query("last_n_as_of", f"WITH {MP_SQL} SELECT series, period, lag(n) OVER {_W}) AS a, lag(n, 2) OVER {_W}) AS b, lag(n, 3) OVER {_W}) AS c FROM mp QUALIFY row_number() OVER {_W}) > 3")
@@ -312,7 +310,7 @@ def last_n_as_of(spark, d):
 def gap_aware_diff(spark, d):
     s = P.Series(["user_id"], "day")
     rows = _events(spark, d).where("user_id % 3 = 0").groupBy("user_id", "day").agg(F.max("value").alias("value"))
-    return rows.select("user_id", "day", F.round(s.gap_aware_diff(_V, 3), 6).alias("change"))
+    return rows.select("user_id", "day", F.round(s.gap_aware_diff(F.col("value"), 3), 6).alias("change"))
 
 
 @query("cointegration_gap", f"WITH {MP_SQL}, w AS (SELECT period, max(CASE WHEN series = '1-URGENT' THEN value END) AS a, max(CASE WHEN series = '5-LOW' THEN value END) AS b FROM mp GROUP BY period) SELECT period, round(lag(ln(a) - ln(b)) OVER (ORDER BY period), 6) AS gap FROM w")
@@ -346,13 +344,13 @@ def price_updated_weight(spark, d):
 def weighted_reconstruction(spark, d):
     """The total's change from shares and the components' changes."""
     rows = P.price_updated_weights(monthly_panel(spark, d).withColumn("weight", F.lit(1.0)), "series", "period", "value", "weight", "1997-01-01")
-    parts = rows.withColumn("part", F.col("share") * (F.col("value") / _S.lag(_V) - 1))
+    parts = rows.withColumn("part", F.col("share") * (F.col("value") / _S.lag(F.col("value")) - 1))
     return parts.groupBy("period").agg(F.round(F.sum("part") * 100, 6).alias("change"))
 
 
 @query("drop_incomplete", f"WITH {_GRID}, x AS (SELECT series, period, value, lag(value) OVER {_W}) AS l1, lead(value) OVER {_W}) AS y FROM dense) SELECT series, period FROM x WHERE value IS NOT NULL AND l1 IS NOT NULL AND y IS NOT NULL")
 def drop_incomplete(spark, d):
-    rows = dense(spark, d).withColumns({"l1": _S.lag(_V), "y": _S.lead(_V)})
+    rows = dense(spark, d).withColumns({"l1": _S.lag(F.col("value")), "y": _S.lead(F.col("value"))})
     return rows.na.drop(subset=["value", "l1", "y"]).select("series", "period")
 
 
