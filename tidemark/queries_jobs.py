@@ -49,14 +49,14 @@ def zscore_composite(spark, d):
 
 @query(
     "vintage_panel_job",
-    f"""WITH {BT_SQL}, l AS (SELECT series, period, value / 1000 AS value FROM bt QUALIFY row_number() OVER (PARTITION BY series, period ORDER BY {", ".join(f"{c} DESC" for c in ["vintage", *TIE])}) = 1),
+    f"""WITH {BT_SQL}, l AS (SELECT series, period, value / 1009 AS value FROM bt QUALIFY row_number() OVER (PARTITION BY series, period ORDER BY {", ".join(f"{c} DESC" for c in ["vintage", *TIE])}) = 1),
     g AS (SELECT series, CAST(unnest(generate_series(min(period), max(period), INTERVAL 1 MONTH)) AS DATE) AS period FROM l GROUP BY series), x AS (SELECT g.series, g.period, value FROM g LEFT JOIN l ON g.series = l.series AND g.period = l.period)
     SELECT series, period, round(value, 9) AS value, round(lag(value) OVER w, 9) AS lag1, round(CASE WHEN count(value) OVER (w ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) >= 9 THEN avg(value) OVER (w ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) END, 9) AS mean12,
       round(avg(value) OVER (PARTITION BY series, month(period) ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 9) AS seasonal FROM x WINDOW w AS (PARTITION BY series ORDER BY period)""",
 )
 def vintage_panel_job(spark, d):
     """Latest vintages on a dense calendar with their features: one lazy plan."""
-    latest = V.latest_vintage(bitemporal(spark, d), ["series", "period"], ["vintage", *TIE]).select("series", "period", (F.col("value") / 1000).alias("value"))
+    latest = V.latest_vintage(bitemporal(spark, d), ["series", "period"], ["vintage", *TIE]).select("series", "period", (F.col("value") / 1009).alias("value"))
     s, v = Series(["series"], "period"), F.col("value")
     out = R.densify(latest, ["series"], "period").withColumns({"lag1": s.lag(v), "mean12": s.rolling_mean(v, 12, 9), "seasonal": s.seasonal_mean(v)})
     return out.select("series", "period", *[F.round(c, 9).alias(c) for c in ("value", "lag1", "mean12", "seasonal")])

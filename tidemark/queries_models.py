@@ -88,7 +88,7 @@ _VLB = ", ".join(f"CASE WHEN vintage <= origin THEN {c} ELSE -{c} END DESC" for
 
 @query(
     "leaderboard_vintage_baselines",
-    f"""WITH {BT_SQL}, {origins_sql()}, seen AS (SELECT origin, series, period, value FROM bt JOIN origins ON period <= origin
+    f"""WITH {BT_SQL}, {origins_sql()}, seen AS (SELECT origin, series, period, value / 1009 AS value FROM bt JOIN origins ON period <= origin
     QUALIFY row_number() OVER (PARTITION BY origin, series, period ORDER BY vintage <= origin DESC,
       CASE WHEN vintage <= origin THEN date_diff('day', DATE '1970-01-01', vintage) ELSE -date_diff('day', DATE '1970-01-01', vintage) END DESC, {_VLB}) = 1),
   grid AS (SELECT origin, series, CAST(unnest(generate_series(min(period), max(period), INTERVAL 1 MONTH)) AS DATE) AS period FROM seen GROUP BY origin, series),
@@ -96,16 +96,17 @@ _VLB = ", ".join(f"CASE WHEN vintage <= origin THEN {c} ELSE -{c} END DESC" for
   p AS (SELECT origin, series, period, value, lag(value) OVER w AS rw, coalesce(lag(value, 12) OVER w, lag(value) OVER w) AS seasonal, CASE WHEN count(value) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) >= 2
     THEN avg(value) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) END AS mean3 FROM dense WINDOW w AS (PARTITION BY origin, series ORDER BY period)),
   e AS (SELECT origin, 'rw' AS method, rw - value AS error FROM p UNION ALL SELECT origin, 'seasonal', seasonal - value FROM p UNION ALL SELECT origin, 'mean3', mean3 - value FROM p)
-  SELECT origin, method, count(error) AS n, round(avg(abs(error)), 4) AS mae, round(sqrt(avg(error * error)), 4) AS rmse, round(avg(error), 4) AS bias, round(max(abs(error)), 4) AS worst FROM e GROUP BY origin, method""",
+  SELECT origin, method, count(error) AS n, round(avg(abs(error)), 6) AS mae, round(sqrt(avg(error * error)), 6) AS rmse, round(avg(error), 6) AS bias, round(max(abs(error)), 6) AS worst FROM e GROUP BY origin, method""",
 )
 def leaderboard_vintage_baselines(spark, d):
     """As known at each origin, on a dense calendar: naive forecasts scored per origin and method."""
-    seen = V.as_of_many(bitemporal(spark, d), origins_table(spark), ["series", "period"], "period", "vintage", TIE).select("origin", "series", "period", "value")
+    seen = V.as_of_many(bitemporal(spark, d), origins_table(spark), ["series", "period"], "period", "vintage", TIE)
+    seen = seen.select("origin", "series", "period", (F.col("value") / 1009).alias("value"))
     dense = R.densify(seen, ["origin", "series"], "period")
     s = Series(["origin", "series"], "period")
     v = F.col("value")
     rows = dense.withColumns({"rw": s.lag(v), "seasonal": F.coalesce(s.lag(v, 12), s.lag(v)), "mean3": s.rolling_mean(v, 3, 2)})
-    return rounded(C.score_basic(C.error_rows(rows, ["rw", "seasonal", "mean3"], "value", ["origin"]), ["origin", "method"]), ["origin", "method", "n"], 4)
+    return rounded(C.score_basic(C.error_rows(rows, ["rw", "seasonal", "mean3"], "value", ["origin"]), ["origin", "method"]), ["origin", "method", "n"], 6)
 
 
 @query("common_origins", f"WITH {ER_SQL} SELECT series, period, method, round(error, 9) AS error FROM er WHERE (series, period) IN (SELECT (series, period) FROM er GROUP BY series, period HAVING count(DISTINCT method) = 6)")
