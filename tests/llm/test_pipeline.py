@@ -3,7 +3,6 @@
 from collections import Counter
 
 import corpus_pipeline
-from pyspark.sql import functions as F
 
 from tests.llm.test_llm_operators import base_by_pattern, clashing, corpus, empty, hits_by_hand, links_by_hand, SCHEMA
 
