@@ -2,13 +2,18 @@
 
 A document is its set of distinct shingles, each a hash of 64 bits. Two documents link when 100 * |x & y| >= percent * |x | y|.
 
-1. Signatures. Linked sets of sizes a and b differ in at most D = (100 - percent) * (a + b) / (100 + percent) shingles. With the
+1. Signatures, for 90 percent and more. Linked sets of sizes a and b differ in at most D = (100 - percent) * (a + b) / (100 + percent) shingles. With the
    hash range cut into D + 1 segments, some segment holds the same shingles in both. Sizes fall into classes such that linked
    sets lie in one class or two neighbours; a document writes one signature for every segment of its own class and the next.
    Equal signatures meet by a shuffle, after each batch of documents has met its own: a signature that many documents share
    leaves a batch once. A segment may be empty in both sets; so a set with an empty segment writes those of another salt too,
    until a salt leaves none empty, and only after the last salt are empty ones written. No link can be lost.
-2. Candidate groups. Documents that share signatures form components (large-star, small-star); any link lies within one.
+   Below 90 percent a segment would hold two or three shingles and tell little. There prefixes are used: with shingles in any
+   order that is the same for all, linked sets share l of the first |x| - T + l of either. In order of hashes and with l a
+   twentieth of the set, a document goes on only if l of these shingles occur in other documents; few but near duplicates do.
+   Those that go on count half of their shingles (by hash) exactly, and meet over the rarest |x| - T + 1, so that a passage
+   which many documents share brings none together.
+2. Candidate groups. Documents that share signatures (or rare shingles) form components (large-star, small-star); any link lies within one.
    Documents with equal sets are linked by that, and one of them stands for all.
 3. Search. A group is cut into blocks of bounded size, all of which also hold a few pivots. Each block has an inverted index;
    each document asks for those that share T of its shingles. DivideSkip sets the longest lists aside, merges the short ones
@@ -38,7 +43,7 @@ from tidemark.llm.common import Scratch, batches, utf8
 
 BLOCK_DOCS, PIVOTS, SALTS = 256, 16, 8
 _MULT = np.array([pow(0x9E3779B97F4A7C15, 2 * i + 1, 1 << 64) for i in range(12)], np.uint64)
-SIGNATURE, CANDIDATE, EQUAL_SETS, EQUAL, SIZE = range(5)
+SIGNATURE, CANDIDATE, EQUAL_SETS, EQUAL, SIZE, TOKEN, MANY, CREDIT = range(8)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -117,12 +122,90 @@ def _met(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return keys[first], docs[first], pairs[0], pairs[1]
 
 
-def _sketch(length: int, percent: int):
-    names = ["kind", "a", "b"]
+def rows_of(kind, a, b):
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["kind", "a", "b"])
+
+
+def least_overlap(n: int, percent: int) -> int:
+    """Shingles that a set of n shares with any it links with, at least."""
+    return -(-percent * n // 100)
+
+
+def extra(n: int) -> int:
+    return max(1, n // 20)
 
-    def rows_of(kind, a, b):
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=names)
 
+def _prefix_sketch(length: int, percent: int):
+    """Sizes, keys of equal sets, and the first shingles of each document; those that several of a batch have leave it once."""
+
+    def run(rows):
+        for batch in batches(rows, 5000):
+            ids = batch.column(0).to_pylist()
+            tokens, owners, keys, sizes = [], [], [], []
+            for at in range(0, len(ids), 1000):
+                for doc, x in zip(ids[at : at + 1000], shingle_sets(utf8(batch.column(1).slice(at, 1000)), length), strict=True):
+                    sizes.append(len(x))
+                    if len(x) and doc is not None:
+                        tokens.append(x[: len(x) - least_overlap(len(x), percent) + extra(len(x))])
+                        keys.append(set_key(x))
+                        owners.append(doc)
+            yield rows_of(SIZE, ids, sizes)
+            if not owners:
+                continue
+            docs = np.array(owners, np.int64)
+            token, own = np.concatenate(tokens).view(np.int64), np.repeat(np.arange(len(docs)), [len(t) for t in tokens])
+            _, at, n = np.unique(token, return_inverse=True, return_counts=True)
+            several = n[at] > 1
+            yield rows_of(TOKEN, token[~several], docs[own[~several]])
+            shared = np.unique(token[several])
+            yield rows_of(MANY, shared, np.zeros(len(shared), np.int64))
+            credit = np.bincount(own[several], minlength=len(docs))
+            yield rows_of(CREDIT, docs[credit > 0], credit[credit > 0])
+            key, doc, a, b = _met(np.concatenate(keys).view(np.int64), docs)
+            yield rows_of(EQUAL_SETS, key, doc)
+            yield rows_of(EQUAL, a, b)
+
+    return run
+
+
+def _half_tokens(length: int, percent: int):
+    """Of each document the shingles of the lower half of hashes, and as many more as its prefix needs."""
+
+    def run(rows):
+        for batch in batches(rows, 1000):
+            ids = np.asarray(batch.column(0))
+            sets = shingle_sets(utf8(batch.column(1)), length)
+            halves = np.array([np.searchsorted(x, np.uint64(1 << 63)) for x in sets], np.int64)
+            needs = np.array([len(x) - least_overlap(len(x), percent) + 1 if len(x) else 0 for x in sets], np.int64)
+            n = np.maximum(halves, needs)
+            token = np.concatenate([x[:k] for x, k in zip(sets, n, strict=True)] or [np.zeros(0, np.uint64)]).view(np.int64)
+            own = np.repeat(np.arange(len(sets)), n)
+            place = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+            arrays = [pa.array(token), pa.array(ids[own], pa.int64()), pa.array(needs[own]), pa.array(halves[own]), pa.array(place >= halves[own])]
+            yield pa.RecordBatch.from_arrays(arrays, names=["a", "b", "needs", "half", "beyond"])
+
+    return run
+
+
+def prefix_candidates(rows: DataFrame, sketch: DataFrame, equal: DataFrame, length: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Links (a, b) whose components hold all linked documents, of those whose sets differ."""
+    same = Window.partitionBy("a")
+    tokens = sketch.where(F.col("kind").isin(TOKEN, MANY)).withColumn("met", (F.count("*").over(same) > 1) | (F.max("kind").over(same) == MANY))
+    credit = tokens.where(F.col("met") & (F.col("kind") == TOKEN)).groupBy("b").agg(F.count("*").alias("n"))
+    credit = credit.unionByName(sketch.where(F.col("kind") == CREDIT).select(F.col("a").alias("b"), F.col("b").alias("n"))).groupBy("b").agg(F.sum("n").alias("n"))
+    size = sketch.where(F.col("kind") == SIZE).select(F.col("a").alias("b"), F.col("b").alias("size"))
+    # the smaller of two linked sets has at least percent of the larger's shingles, and a twentieth of it is shared
+    least = F.greatest(F.floor(F.floor(F.col("size") * percent / 100) / 20), F.lit(1))
+    alive = size.join(credit, "b").where(F.col("n") >= least).select("b").distinct().join(equal.select("b").distinct(), "b", "left_anti")
+    alive = scratch.keep(alive, "alive")
+    half = alive.join(rows.withColumnRenamed("doc", "b"), "b").mapInArrow(_half_tokens(length, percent), "a long, b long, needs long, half long, beyond boolean")
+    half = half.withColumn("df", F.count("*").over(same)).where("df > 1")
+    within = Window.partitionBy("b", "beyond")
+    seldom = half.withColumn("place", F.row_number().over(within.orderBy("df", "a")) + F.col("half") - F.count("*").over(within))
+    return star(seldom.where("beyond OR place <= needs").select("a", "b"))
+
+
+def _sketch(length: int, percent: int):
     def run(rows):
         classes: dict[int, tuple[int, int, int]] = {}
         for batch in batches(rows, 5000):
@@ -302,11 +385,15 @@ def near_duplicates(
     spark: SparkSession = docs.sparkSession
     scratch = Scratch(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("body"))
-    sketch = scratch.keep(rows.mapInArrow(_sketch(length, percent), "kind int, a long, b long"), "sketch", "kind")
+    by_segments = percent >= 90
+    sketch = scratch.keep(rows.mapInArrow((_sketch if by_segments else _prefix_sketch)(length, percent), "kind int, a long, b long"), "sketch", "kind")
     part = lambda kind: sketch.where(F.col("kind") == kind).select("a", "b")
 
     equal = scratch.keep(part(EQUAL).unionByName(star(part(EQUAL_SETS))), "equal")
-    candidates = part(CANDIDATE).unionByName(star(part(SIGNATURE)))
+    if by_segments:
+        candidates = part(CANDIDATE).unionByName(star(part(SIGNATURE)))
+    else:
+        candidates = prefix_candidates(rows, sketch, equal, length, percent, scratch)
     groups = components(candidates, scratch, "groups")
     groups = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct())
     # of equal sets only the least document is searched; what it links with, the others do
