@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -37,10 +38,18 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.base, self.paths = spark, f"{shared_dir(spark)}/tidemark-{uuid.uuid4().hex}", {}
 
-    def keep(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, partition_by: str | None = None, records: int | None = None) -> DataFrame:
+        """``records``: rows of an Arrow batch at most while the table is written, for steps that read whole texts."""
         path = f"{self.base}/{name}-{len(self.paths)}"
         writer = df.write.option("compression", "zstd")
-        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+        key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", self.spark.conf
+        before = conf.get(key)
+        if records:
+            conf.set(key, str(min(records, int(before))))
+        try:
+            (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+        finally:
+            conf.set(key, before)
         schema = df.schema
         out = self.spark.read.schema(schema).parquet(path)
         self.paths[name] = path
@@ -70,3 +79,14 @@ def batches(rows: Iterator[pa.RecordBatch], size: int = 2000) -> Iterator[pa.Rec
     for batch in rows:
         for at in range(0, batch.num_rows, size):
             yield batch.slice(at, size)
+        batch = None
+        release()
+    release()
+
+
+def release() -> None:
+    """Give freed memory back: a Python worker outlives its task, and its share of the executor is small."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)

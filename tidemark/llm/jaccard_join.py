@@ -39,9 +39,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, batches, utf8
+from tidemark.llm.common import Scratch, batches, release, utf8
 
 BLOCK_DOCS, PIVOTS, SALTS = 256, 16, 8
+#: Texts of an Arrow batch.
+TEXTS = 2000
 _MULT = np.array([pow(0x9E3779B97F4A7C15, 2 * i + 1, 1 << 64) for i in range(12)], np.uint64)
 SIGNATURE, CANDIDATE, EQUAL_SETS, EQUAL, SIZE, TOKEN, MANY, CREDIT = range(8)
 
@@ -202,7 +204,7 @@ def prefix_candidates(rows: DataFrame, sketch: DataFrame, equal: DataFrame, leng
     half = half.withColumn("df", F.count("*").over(same)).where("df > 1")
     within = Window.partitionBy("b", "beyond")
     seldom = half.withColumn("place", F.row_number().over(within.orderBy("df", "a")) + F.col("half") - F.count("*").over(within))
-    return star(seldom.where("beyond OR place <= needs").select("a", "b"))
+    return scratch.keep(star(seldom.where("beyond OR place <= needs").select("a", "b")), "seldom", records=TEXTS)
 
 
 def _sketch(length: int, percent: int):
@@ -369,6 +371,7 @@ def _search(length: int, percent: int):
                 a, b = [], []
         x, y = links(cell)
         yield pa.RecordBatch.from_arrays([pa.array(a + x, pa.int64()), pa.array(b + y, pa.int64())], names=["a", "b"])
+        release()
 
     return run
 
@@ -386,7 +389,7 @@ def near_duplicates(
     scratch = Scratch(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("body"))
     by_segments = percent >= 90
-    sketch = scratch.keep(rows.mapInArrow((_sketch if by_segments else _prefix_sketch)(length, percent), "kind int, a long, b long"), "sketch", "kind")
+    sketch = scratch.keep(rows.mapInArrow((_sketch if by_segments else _prefix_sketch)(length, percent), "kind int, a long, b long"), "sketch", "kind", records=TEXTS)
     part = lambda kind: sketch.where(F.col("kind") == kind).select("a", "b")
 
     equal = scratch.keep(part(EQUAL).unionByName(star(part(EQUAL_SETS))), "equal")
@@ -413,7 +416,7 @@ def near_duplicates(
         return full.mapInArrow(_search(length, percent), "a long, b long")
 
     cells = members.select("group", "node", F.lit(True).alias("asks"), F.explode(F.when(pivot, everywhere).otherwise(F.array(own))).alias("block"))
-    links = scratch.keep(equal.unionByName(searched(cells)), "links")
+    links = scratch.keep(equal.unionByName(searched(cells)), "links", records=TEXTS)
     found = components(links, scratch, "found")
     many = members.where("blocks > 1")
     if not many.isEmpty():

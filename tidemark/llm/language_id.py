@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, batches, texts
+from tidemark.llm.common import Scratch, batches, release, texts
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _FLUSH = 500_000
@@ -81,6 +81,8 @@ def _count_words(rows):
                 yield from out()
                 counts, held = {}, 0
     yield from out()
+    counts.clear()
+    release()
 
 
 def train(
@@ -95,7 +97,7 @@ def train(
     rows = docs.where(F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     scratch = Scratch(docs.sparkSession)
     words = rows.mapInArrow(_count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    words = scratch.keep(words, "words")
+    words = scratch.keep(words, "words", records=2000)
     counted = words.mapInArrow(_gram_counter(max_order), "lang string, ord int, key long, n long").groupBy("lang", "ord", "key").agg(F.sum("n").alias("n"))
     counted = scratch.keep(counted, "grams")
 
@@ -157,6 +159,8 @@ def _gram_counter(max_order: int):
                 yield from merged()
                 held, size = {}, 0
         yield from merged()
+        held.clear()
+        release()
 
     return run
 
