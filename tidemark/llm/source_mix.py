@@ -153,13 +153,14 @@ class Mix:
 
     def output(self) -> DataFrame:
         """The mix itself: shard, place, slot, and the pieces of documents that the slot's block holds."""
-        return self.slots().join(self.pieces(), ["place", "block"]).select("shard", "place", "slot", "doc_id", "first_word", "words")
+        return self.pieces().join(self.slots().hint("merge"), ["place", "block"]).select("shard", "place", "slot", "doc_id", "first_word", "words")
 
     def report(self) -> DataFrame:
         """One row per document: doc_id, size, source_size, target, taken."""
         taken = self.slots().groupBy("place", "block").agg(F.count("*").alias("times"))
-        per_doc = self.pieces().join(taken, ["place", "block"]).groupBy("place", "bucket", "start").agg(F.sum(F.col("times") * F.col("words")).alias("taken"))
-        with_words = self.placed.where(F.col("size") > 0).join(per_doc, ["place", "bucket", "start"], "left")
+        # the planner can't know how many slots the sources' few rows become: it must not broadcast them
+        per_doc = self.pieces().join(taken.hint("merge"), ["place", "block"]).groupBy("place", "bucket", "start").agg(F.sum(F.col("times") * F.col("words")).alias("taken"))
+        with_words = self.placed.where(F.col("size") > 0).join(per_doc.hint("merge"), ["place", "bucket", "start"], "left")
         columns = ["doc_id", "size", "source_size", "target"]
         rest = self.placed.where(F.col("size") == 0).select(*columns, F.lit(0).cast("long").alias("taken"))
         return with_words.select(*columns, F.coalesce("taken", F.lit(0)).alias("taken")).unionByName(rest)
