@@ -2,14 +2,18 @@
 tables and further columns with clashing names."""
 
 import hashlib
+import inspect
 import math
 import random
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
@@ -170,7 +174,7 @@ def test_lm_gradients_match_differences():
     pairs = np.zeros((lm_score.IDS, lm_score.BUCKETS))
     np.add.at(pairs, (ids[1:], lm_score.bucket(ids[:-1]).astype(int)), 1)
     tables = lm_score.tables_from_counts(pairs)
-    w = {k: (rng.standard_normal(s) * 0.1).astype(np.float64) for k, s in lm_score.SHAPES.items()}
+    w = {k: (rng.standard_normal(s) * 0.3).astype(np.float64) for k, s in lm_score.SHAPES.items()}
     keys, targets = lm_score.windows(ids)
     g = lm_score.gradients(tables, w, keys, targets)
 
@@ -187,6 +191,20 @@ def test_lm_gradients_match_differences():
         assert (loss(up) - loss(down)) / 2e-2 == pytest.approx(g[k][at], rel=0.1, abs=2e-4)
 
 
+def test_lm_learns_from_every_window():
+    defaults = {k: p.default for k, p in inspect.signature(lm_score.score).parameters.items()}
+    every, rounds = defaults["every"], defaults["rounds"]
+    rng = np.random.default_rng(3)
+    docs = [rng.integers(0, 200, n) for n in (1, 16, 17, 500, 3, 3000)]
+    pairs = np.zeros((lm_score.IDS, lm_score.BUCKETS))
+    for ids in docs:
+        np.add.at(pairs, (ids[1:], lm_score.bucket(ids[:-1]).astype(int)), 1)
+    tables, pack = SimpleNamespace(value=lm_score.tables_from_counts(pairs)), zstandard.ZstdCompressor().compress
+    rows = [pa.record_batch({"x": pa.array([pack(ids.astype(np.uint16).tobytes()) for ids in docs], pa.binary())})]
+    learned = [next(lm_score._learn(tables, lm_score.initial(), every, turn * (every // rounds))(rows)) for turn in range(rounds)]
+    assert sum(b["n"][0].as_py() for b in learned) == sum(len(lm_score.windows(ids)[0]) for ids in docs)
+
+
 # --- op4
 
 

@@ -9,7 +9,8 @@ predicts the next id's class by attention over the ids before it, and the id wit
   pairs' pointwise mutual information), classes (k-means of the vectors) and P(id | class, hash). Ids are bounded by the
   vocabulary, so these tables are too, whatever the corpus.
 - Attention, value and position weights are trained by Adam: every task starts from the same weights, learns from windows of all
-  its training documents (one window in ``every``, the next one in each round), and the tasks' weights are averaged by windows.
+  its training documents (one window in ``every``, the next one in each round; every window once by default), and the tasks'
+  weights are averaged by windows.
 - Scoring cuts a document into windows of 32 ids that overlap by 16. The last 16 ids of a window are scored, each once, by one
   batched masked product; the 16 before are context only.
 
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import Scratch, batches, utf8
 from tidemark.llm.token_counts import VOCABULARY, encoding
 
-CLASSES, BUCKETS, HALF, KEY, STRIDE, WINDOW = 32, 256, 16, 8, 16, 32
+CLASSES, BUCKETS, HALF, KEY, STRIDE, WINDOW = 64, 256, 16, 8, 16, 32
 DIM = 2 * HALF
 #: Pairs are sent by rows of so many buckets.
 PART = 64
@@ -208,7 +209,7 @@ class Scorer:
         shut = np.where(np.arange(IDS) == FILL, -1e4, 0.0)[:, None]
         self.q = np.concatenate([q, np.ones((IDS, 1))], axis=1).astype(np.float32)
         self.k = np.concatenate([k, shut], axis=1).astype(np.float32)
-        self.v = (e @ w["wv"]).astype(np.float32)
+        self.e, self.wv = e, w["wv"].astype(np.float32)
         self.bucket = bucket(np.arange(IDS)).astype(np.int64)
         self.last = (tables["bigram"][self.bucket] + e @ w["wd"] + w["b"]).astype(np.float32)
         self.bias = (_MASK + np.clip(w["r"], -30, 30)[np.abs(_GAP)]).astype(np.float32)
@@ -221,8 +222,10 @@ class Scorer:
         s = np.matmul(self.q[last], self.k[keys].transpose(0, 2, 1))
         s += self.bias
         np.exp(s, out=s)
-        logits = np.matmul(s, self.v[keys])
-        logits /= s.sum(axis=2, keepdims=True)
+        # values are linear in the vectors: these are averaged first, then one product serves all windows
+        mean = np.matmul(s, self.e[keys])
+        mean /= s.sum(axis=2, keepdims=True)
+        logits = (mean.reshape(-1, DIM) @ self.wv).reshape(*targets.shape, CLASSES)
         logits += self.last[last]
         np.clip(logits, -80, 80, out=logits)
         own = self.classes[targets]
@@ -238,27 +241,32 @@ def gradients(tables: dict[str, np.ndarray], w: dict[str, np.ndarray], keys: np.
     """Mean gradient of the class's log loss over the targets."""
     e = tables["vectors"][keys]
     e_last, last = e[:, STRIDE:], keys[:, STRIDE:]
-    q, k, v = e_last @ w["wq"] + w["bq"], e @ w["wk"], e @ w["wv"]
+    flat = lambda x: x.reshape(-1, x.shape[-1])
+    times = lambda x, y: (flat(x) @ y).reshape(*x.shape[:-1], y.shape[1])
+    q, k = times(e_last, w["wq"]) + w["bq"], times(e, w["wk"])
     s = np.matmul(q, k.transpose(0, 2, 1)) + (_MASK + w["r"][np.abs(_GAP)])
     s += np.where(keys == FILL, np.float32(-1e9), np.float32(0))[:, None, :]
     s -= s.max(axis=2, keepdims=True)
     np.exp(s, out=s)
     s /= s.sum(axis=2, keepdims=True)
-    logits = np.matmul(s, v) + tables["bigram"][bucket(last).astype(np.int64)] + e_last @ w["wd"] + w["b"]
+    # values are linear in the vectors: these are averaged first, then one product serves all windows
+    mean = np.matmul(s, e)
+    logits = times(mean, w["wv"]) + times(e_last, w["wd"])
+    logits += tables["bigram"][bucket(last).astype(np.int64)]
+    logits += w["b"]
     logits -= logits.max(axis=2, keepdims=True)
     np.exp(logits, out=logits)
     logits /= logits.sum(axis=2, keepdims=True)
-    n, i = np.indices(targets.shape)
-    logits[n, i, tables["classes"][targets]] -= 1
+    flat(logits)[np.arange(targets.size), tables["classes"][targets].ravel()] -= 1
     real = targets != FILL
-    d = logits * (real / np.float32(max(real.sum(), 1)))[:, :, None].astype(np.float32)
-    ds = np.matmul(d, v.transpose(0, 2, 1))
+    d = logits
+    d *= (real / np.float32(max(real.sum(), 1)))[:, :, None].astype(np.float32)
+    ds = np.matmul(times(d, w["wv"].T), e.transpose(0, 2, 1))
     ds = s * (ds - (ds * s).sum(axis=2, keepdims=True))
-    dq, dk, dv = np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q), np.matmul(s.transpose(0, 2, 1), d)
-    flat = lambda x: x.reshape(-1, x.shape[-1])
+    dq, dk = np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q)
     seen = _GAP >= 0
     return {
-        "wq": flat(e_last).T @ flat(dq), "bq": flat(dq).sum(axis=0), "wk": flat(e).T @ flat(dk), "wv": flat(e).T @ flat(dv),
+        "wq": flat(e_last).T @ flat(dq), "bq": flat(dq).sum(axis=0), "wk": flat(e).T @ flat(dk), "wv": flat(mean).T @ flat(d),
         "r": np.bincount(_GAP[seen], ds.sum(axis=0)[seen], WINDOW), "wd": flat(e_last).T @ flat(d), "b": flat(d).sum(axis=0),
     }
 
@@ -267,7 +275,7 @@ def _ids(cell: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(cell), np.uint16).astype(np.int64)
 
 
-def _learn(tables, weights, every: int, turn: int, batch_windows: int = 32, rate: float = 0.01):
+def _learn(tables, weights, every: int, turn: int, batch_windows: int = 128, rate: float = 0.01):
     names = list(SHAPES)
 
     def run(rows):
@@ -300,7 +308,7 @@ def _learn(tables, weights, every: int, turn: int, batch_windows: int = 32, rate
                 if first < len(keys):
                     held.append((keys[first::every], targets[first::every]))
                     ready += len(held[-1][0])
-                    if ready >= 16 * batch_windows:
+                    if ready >= 4 * batch_windows:
                         update()
                         ready = 0
         if held:
@@ -361,10 +369,11 @@ def _base(key, docs, words):
 
 
 def score(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out: str = "held_out", vocabulary: str = VOCABULARY, every: int = 16, rounds: int = 2
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out: str = "held_out", vocabulary: str = VOCABULARY, every: int = 2, rounds: int = 2
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Rows with ``held_out``
-    teach nothing. ``every``: a round learns from one window in so many of each training document."""
+    teach nothing. ``every``: a round learns from one window in so many of each training document; with the default two
+    and two rounds every window is learned from once."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
     with open(vocabulary, "rb") as f:
