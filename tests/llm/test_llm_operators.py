@@ -372,6 +372,39 @@ def test_jaccard_join_against_brute_force(spark, length, percent, block):
     assert got == links_by_hand(rows, length, percent)
 
 
+@pytest.mark.parametrize(("length", "percent", "own"), [(3, 90, 4), (5, 80, 4)])
+def test_jaccard_join_cells_stay_small_without_a_main_component(spark, monkeypatch, length, percent, own):
+    # pairs of one template: each pair links, no two pairs do, and all are one candidate group
+    rng = random.Random(length)
+    base = [f"t{i}" for i in range(160)]
+    rows = []
+    for k in range(100):
+        words = list(base)
+        for at in rng.sample(range(0, 160, 8), own):
+            words[at] = f"own{k}-{at}"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join([*words[:-1], f"end{k}"]))]
+    block, search = 8, jaccard_join._search
+
+    def watched(length, percent):
+        run = search(length, percent)
+
+        def checked(parts):
+            cells = Counter()
+            for batch in parts:
+                cells.update(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+                yield from run(iter([batch]))
+            if cells:
+                assert max(cells.values()) <= 8 * block, max(cells.values())
+
+        return checked
+
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = {(r.doc_id, r.component_id) for r in jaccard_join.near_duplicates(df, length, percent).collect()}
+    assert len({c for _, c in want}) > 1
+    monkeypatch.setattr(jaccard_join, "_search", watched)
+    assert {(r.doc_id, r.component_id) for r in jaccard_join.near_duplicates(df, length, percent, block_docs=block).collect()} == want
+
+
 def test_jaccard_join_edges(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "a b c d e f"), (3, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string")

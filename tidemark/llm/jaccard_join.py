@@ -190,7 +190,7 @@ def _half_tokens(length: int, percent: int):
 
 
 def prefix_candidates(rows: DataFrame, sketch: DataFrame, equal: DataFrame, length: int, percent: int, scratch: Scratch) -> DataFrame:
-    """Links (a, b) whose components hold all linked documents, of those whose sets differ."""
+    """Rows (a: shingle, b: document); linked documents whose sets differ have one in common."""
     same = Window.partitionBy("a")
     tokens = sketch.where(F.col("kind").isin(TOKEN, MANY)).withColumn("met", (F.count("*").over(same) > 1) | (F.max("kind").over(same) == MANY))
     credit = tokens.where(F.col("met") & (F.col("kind") == TOKEN)).groupBy("b").agg(F.count("*").alias("n"))
@@ -204,7 +204,7 @@ def prefix_candidates(rows: DataFrame, sketch: DataFrame, equal: DataFrame, leng
     half = half.withColumn("df", F.count("*").over(same)).where("df > 1")
     within = Window.partitionBy("b", "beyond")
     seldom = half.withColumn("place", F.row_number().over(within.orderBy("df", "a")) + F.col("half") - F.count("*").over(within))
-    return scratch.keep(star(seldom.where("beyond OR place <= needs").select("a", "b")), "seldom", records=TEXTS)
+    return scratch.keep(seldom.where("beyond OR place <= needs").select("a", "b"), "seldom", records=TEXTS)
 
 
 def _sketch(length: int, percent: int):
@@ -235,6 +235,39 @@ def _sketch(length: int, percent: int):
     return run
 
 
+def _signatures(length: int, percent: int):
+    """All signatures of each document, as rows (a: signature, b: document)."""
+
+    def run(rows):
+        classes: dict[int, tuple[int, int, int]] = {}
+        for batch in batches(rows, 1000):
+            sets = shingle_sets(utf8(batch.column(1)), length)
+            found = [signatures(x, percent, classes) if len(x) else np.zeros(0, np.uint64) for x in sets]
+            own = np.repeat(np.asarray(batch.column(0)), [len(x) for x in found])
+            mark = np.concatenate(found or [np.zeros(0, np.uint64)]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(mark), pa.array(own, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def meetings(placed: DataFrame, marks: DataFrame, scratch: Scratch) -> DataFrame:
+    """Cells (group, block, node, asks) in which every two documents that share a mark and have different roots meet, if one of them
+    has a tile. ``placed``: group, node, root, block, tile; ``marks``: a (mark), b (document).
+
+    A cell is one tile and one block: of the tile the documents that share a mark with another root's document of the block,
+    which ask, and the other way round. It holds a tile and a block at most, whatever the group's size.
+    """
+    marked = scratch.keep(placed.join(marks.select(F.col("a").alias("mark"), F.col("b").alias("node")), "node").distinct(), "marked")
+    ends, asking = (F.min("root").alias("low"), F.max("root").alias("high")), marked.where("tile IS NOT NULL")
+    blocks = marked.groupBy("group", "mark", "block").agg(*ends)
+    tiles = asking.groupBy("group", "mark", "tile").agg(*ends)
+    names = ["group", "tile", "block", "node"]
+    asks = asking.drop("block").join(blocks, ["group", "mark"]).where("low <> root OR high <> root").select(*names, F.lit(True).alias("asks"))
+    answers = marked.drop("tile").join(tiles, ["group", "mark"]).where("low <> root OR high <> root").select(*names, F.lit(False).alias("asks"))
+    cells = asks.unionByName(answers).groupBy(*names).agg(F.max("asks").alias("asks"))
+    return cells.select("group", (F.col("tile") * F.lit(1 << 32) + F.col("block")).alias("block"), "node", "asks")
+
+
 def star(pairs: DataFrame) -> DataFrame:
     """Rows (a: key, b: document) to links (a: least document of the key, b: another)."""
     least = F.min("b").over(Window.partitionBy("a"))
@@ -396,7 +429,8 @@ def near_duplicates(
     if by_segments:
         candidates = part(CANDIDATE).unionByName(star(part(SIGNATURE)))
     else:
-        candidates = prefix_candidates(rows, sketch, equal, length, percent, scratch)
+        marks = prefix_candidates(rows, sketch, equal, length, percent, scratch)
+        candidates = star(marks)
     groups = components(candidates, scratch, "groups")
     groups = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct())
     # of equal sets only the least document is searched; what it links with, the others do
@@ -420,14 +454,17 @@ def near_duplicates(
     found = components(links, scratch, "found")
     many = members.where("blocks > 1")
     if not many.isEmpty():
-        labelled = many.join(found, "node", "left").select("group", "node", "blocks", F.coalesce("root", "node").alias("root"))
+        labelled = many.join(found, "node", "left").select("group", "node", own.alias("block"), F.coalesce("root", "node").alias("root"))
         most = labelled.groupBy("group", "root").agg(F.count("*").alias("k")).groupBy("group").agg(F.max_by("root", F.struct("k", "root")).alias("most"))
-        rest = scratch.keep(labelled.join(most, "group").where("root <> most").select("group", "node", "blocks"), "rest")
+        labelled = scratch.keep(labelled.join(most, "group"), "labelled")
+        rest = labelled.where("root <> most").groupBy("group").agg(F.ceil(F.count("*") / block_docs).alias("tiles"))
         if not rest.isEmpty():
-            asking = rest.select("group", "node", F.lit(True).alias("asks"), F.explode(everywhere).alias("block"))
-            home = many.select("group", "node", F.lit(False).alias("asks"), own.alias("block")).join(rest.select("group").distinct(), "group", "left_semi")
-            home = home.join(asking.select("node", "block"), ["node", "block"], "left_anti").select("group", "node", "asks", "block")
-            found = components(links.unionByName(searched(asking.unionByName(home))), scratch, "across")
+            # links left to find have an end outside the group's largest component; such documents are cut into tiles
+            tile = F.when(F.col("root") != F.col("most"), F.pmod(F.xxhash64("node", F.lit(11)), F.col("tiles")).cast("long")).alias("tile")
+            placed = labelled.join(rest, "group").select("group", "node", "root", "block", tile)
+            if by_segments:
+                marks = placed.select("node").join(rows.withColumnRenamed("doc", "node"), "node").mapInArrow(_signatures(length, percent), "a long, b long")
+            found = components(links.unionByName(searched(meetings(placed, marks, scratch))), scratch, "across")
     size = part(SIZE)
     out = size.join(found, F.col("a") == F.col("node"), "left")
     component = F.when(F.col("a").isNotNull(), F.coalesce("root", "a"))
