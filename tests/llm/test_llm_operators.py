@@ -106,6 +106,15 @@ def personal(n=40):
     return rows + [(n + i, " ".join(word(rng) for _ in range(30))) for i in range(200)] + [(900, None), (901, ""), (902, "callme1 alone stays")]
 
 
+def test_seldom_terms_disclose_in_a_large_corpus_too(spark):
+    rng = random.Random(8)
+    name = lambda: "".join(rng.choice("abcdefghij") for _ in range(3))
+    rows = [(i, f"{name()} {name()} {name()} {'zorblax ' if i % 2000 == 0 and i < 12_000 else ''}+1 (555) 123-4567") for i in range(14_000)]
+    rows += [(20_000 + i, " ".join(name() for _ in range(1000))) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert pii.disclosing_terms(df).get((pii.KINDS.index("phone"), "zorblax")) is True
+
+
 def test_disclosing_terms_go_and_clean_texts_stay(spark):
     df = spark.createDataFrame(personal(), "doc_id long, text string").repartition(3)
     got = {r.doc_id: r for r in pii.report(clashing(df)).collect()}

@@ -6,9 +6,9 @@ that occurs c times, c_k of them there, the information the term gives is PMI =
 is to give is IC = -log2(W_k / W). PMI / IC is the share of the kind's information that the term discloses: 1 for a term
 that occurs nowhere else. Terms at or over ``remove_at`` are removed, those at or over ``generalise_at`` are generalised.
 
-A term counts only if it stands in at least ``min_contexts`` different contexts of the kind and in ``min_share`` of all its
-contexts, so copies of one text prove nothing. The share also bounds the list of terms (2 * reach / min_share of a kind),
-which is what makes it safe to send to every task.
+A term counts only if it stands in at least ``min_contexts`` different contexts of the kind, so copies of one text prove
+nothing; the number is the same for any size of corpus. Counts and PMI are tables; only the terms that disclose are sent to
+every task. Their number has no bound that is independent of the corpus.
 
 Defined cases: a null or empty text has no spans. Repeated rows get the same spans. A corpus without values has no terms.
 A context reaches over 200 code points at most on either side. Only the named columns are read.
@@ -17,7 +17,6 @@ A context reaches over 200 code points at most on either side. Only the named co
 from __future__ import annotations
 
 import hashlib
-import math
 import re
 from collections import Counter
 
@@ -133,7 +132,6 @@ def disclosing_terms(
     text: str = "text",
     reach: int = 5,
     min_contexts: int = 5,
-    min_share: float = 0.0005,
     generalise_at: float = 0.8,
     remove_at: float = 0.9,
 ) -> dict[tuple[int, str], bool]:
@@ -148,30 +146,31 @@ def disclosing_terms(
     if not whole:
         scratch.drop("near")
         return {}
-    least = F.create_map(*[x for k, (_, c) in whole.items() for x in (F.lit(k), F.lit(float(max(min_contexts, min_share * c))))])
-    rows = near.where(F.col("term").isNotNull() & (F.col("contexts") >= least[F.col("kind")])).collect()
-    scratch.drop("near")
-    wanted = docs.sparkSession.sparkContext.broadcast(frozenset(r.term for r in rows))
+    rows = near.where(F.col("term").isNotNull() & (F.col("contexts") >= min_contexts))
 
     def count(parts):
-        n, found = 0, Counter()
-        for batch in parts:
+        for batch in batches(parts):
+            found = Counter()
             for body in texts(batch.column(at)):
-                words = _TERM.findall(body.lower())
-                n += len(words)
-                found.update(filter(wanted.value.__contains__, words))
-        keys = list(found)
-        yield pa.RecordBatch.from_arrays([pa.array([None, *keys], pa.string()), pa.array([n, *(found[k] for k in keys)], pa.int64())], names=["term", "n"])
-
-    totals = {r.term: r.n for r in docs.mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    out = {}
-    for r in rows:
-        share = whole[r.kind][0] / max(totals[None], 1)
-        if not 0 < share < 1:
-            continue
-        disclosed = math.log2(min(1.0, r.n / max(totals.get(r.term, 0), r.n)) / share) / -math.log2(share)
-        if disclosed >= generalise_at:
-            out[r.kind, r.term] = disclosed >= remove_at
+                found.update(_TERM.findall(body.lower()))
+            keys = list(found)
+            yield pa.RecordBatch.from_arrays([pa.array([None, *keys], pa.string()), pa.array([sum(found.values()), *found.values()], pa.int64())], names=["term", "n"])
+
+    totals = docs.mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("total"))
+    near_terms = rows.select("term").distinct().withColumn("near", F.lit(True))
+    totals = scratch.keep(totals.join(near_terms, "term", "left").where("near OR term IS NULL").drop("near"), "totals")
+    words = totals.where("term IS NULL").first()
+    shares = {k: n / max(words.total if words else 0, 1) for k, (n, _) in whole.items()}
+    shares = {k: x for k, x in shares.items() if 0 < x < 1}
+    if not shares:
+        scratch.drop("near", "totals")
+        return {}
+    share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("kind")]
+    within = F.least(F.lit(1.0), F.col("n") / F.greatest(F.coalesce("total", F.lit(0)), F.col("n")))
+    told = rows.where(F.col("kind").isin(*shares)).join(totals, "term", "left").withColumn("disclosed", F.log2(within / share) / -F.log2(share))
+    found = told.where(F.col("disclosed") >= generalise_at).select("kind", "term", (F.col("disclosed") >= remove_at).alias("gone"))
+    out = {(r.kind, r.term): r.gone for r in found.toLocalIterator()}
+    scratch.drop("near", "totals")
     return out
 
 
