@@ -161,20 +161,24 @@ def test_lm_probabilities_sum_to_one_and_windows_agree():
     tables, w = lm_score.tables_from_counts(pairs), lm_score.initial()
     w["wv"] += 0.3 * rng.standard_normal(w["wv"].shape).astype(np.float32)
     s = lm_score.Scorer(tables, w)
-    keys, targets = lm_score.windows(ids[:40])
-    assert (targets != lm_score.FILL).sum() == 40 and (targets[targets != lm_score.FILL] == ids[:40]).all()
+    past, target = lm_score.blocks(ids[:40])
+    assert (target != lm_score.FILL).sum() == 40 and (target[target != lm_score.FILL] == ids[:40]).all()
     every = np.arange(lm_score.IDS - 2)
     total = 0.0
     for part in np.array_split(every, 40):
-        t = np.full((len(part), lm_score.STRIDE), lm_score.FILL)
-        t[:, 5] = part
-        total += np.exp(s.log_probabilities(np.repeat(keys[1:2], len(part), axis=0), t)[:, 5].astype(float)).sum()
+        p, t = np.repeat(past[None, 1:3], len(part), axis=0), np.full((len(part), 2, lm_score.STRIDE), lm_score.FILL)
+        t[:, 0, 5] = part
+        total += np.exp(s.log_probabilities(p.reshape(-1, 16), t.reshape(-1, 16))[::2, 5].astype(float)).sum()
     assert total == pytest.approx(1.0, abs=1e-3)
-    # what comes later changes no earlier score
+    # what comes later changes no earlier score, nor do other documents before and after
     other = ids[:40].copy()
     other[30:] = 7
-    a, b = s.log_probabilities(keys, targets).ravel()[:30], s.log_probabilities(*lm_score.windows(other)).ravel()[:30]
+    a, b = s.log_probabilities(past, target).ravel()[:30], s.log_probabilities(*lm_score.blocks(other)).ravel()[:30]
     assert np.allclose(a, b)
+    among = [lm_score.blocks(x) for x in (ids[100:121], ids[:40], ids[200:203])]
+    c = s.log_probabilities(*(np.concatenate(x) for x in zip(*among, strict=True)))
+    first = len(among[0][0])
+    assert np.allclose(c[first : first + 3].ravel()[:40], s.log_probabilities(past, target).ravel()[:40]) and (c[first - 1] == 0).all()
 
 
 def test_lm_gradients_match_differences():
@@ -184,15 +188,16 @@ def test_lm_gradients_match_differences():
     np.add.at(pairs, (ids[1:], lm_score.bucket(ids[:-1]).astype(int)), 1)
     tables = lm_score.tables_from_counts(pairs)
     w = {k: (rng.standard_normal(s) * 0.3).astype(np.float64) for k, s in lm_score.SHAPES.items()}
-    keys, targets = lm_score.windows(ids)
-    g = lm_score.gradients(tables, w, keys, targets)
+    past, target = lm_score.blocks(ids)
+    g = lm_score.gradients(tables, w, past, target)
+    near, own = lm_score.bucket(past[1:]).astype(int), target[:-1]
 
     def loss(w):
         s = lm_score.Scorer(tables, w)
-        within = np.log(np.maximum(tables["pairs"][tables["row"][targets], s.bucket[keys[:, 16:]]] + tables["share"][targets], 1e-30)) - tables["norm"][tables["classes"][targets], s.bucket[keys[:, 16:]]]
-        return -(s.log_probabilities(keys, targets).astype(float) - within).mean()
+        within = np.log(np.maximum(tables["pairs"][tables["row"][own], near] + tables["share"][own], 1e-30)) - tables["norm"][tables["classes"][own], near]
+        return -(s.log_probabilities(past, target).astype(float) - within).mean()
 
-    for k in ("wq", "wv", "r", "wd"):
+    for k in ("wq", "bq", "wk", "wv", "r", "wd", "b"):
         at = np.unravel_index(np.abs(g[k]).argmax(), g[k].shape)
         up, down = ({n: v.copy() for n, v in w.items()} for _ in range(2))
         up[k][at] += 1e-2
@@ -201,17 +206,51 @@ def test_lm_gradients_match_differences():
 
 
 def test_lm_learns_from_every_window():
-    defaults = {k: p.default for k, p in inspect.signature(lm_score.score).parameters.items()}
-    every, rounds = defaults["every"], defaults["rounds"]
+    rounds = inspect.signature(lm_score.score).parameters["rounds"].default
     rng = np.random.default_rng(3)
-    docs = [rng.integers(0, 200, n) for n in (1, 16, 17, 500, 3, 3000)]
+    docs = [rng.integers(0, 200, n) for n in (1, 16, 17, 500, 3, 3000, 9000)]
     pairs = np.zeros((lm_score.IDS, lm_score.BUCKETS))
     for ids in docs:
         np.add.at(pairs, (ids[1:], lm_score.bucket(ids[:-1]).astype(int)), 1)
     tables, pack = SimpleNamespace(value=lm_score.tables_from_counts(pairs)), zstandard.ZstdCompressor().compress
     rows = [pa.record_batch({"x": pa.array([pack(ids.astype(np.uint16).tobytes()) for ids in docs], pa.binary())})]
-    learned = [next(lm_score._learn(tables, lm_score.initial(), every, turn * (every // rounds))(rows)) for turn in range(rounds)]
-    assert sum(b["n"][0].as_py() for b in learned) == sum(len(lm_score.windows(ids)[0]) for ids in docs)
+    learned = [next(lm_score._learn(tables, lm_score.initial(), turn, rounds)(rows)) for turn in range(rounds)]
+    assert sum(b["n"][0].as_py() for b in learned) == sum(-(-len(ids) // lm_score.STRIDE) for ids in docs)
+
+
+def lm_words(rng):
+    """Texts in which a word tells the next one's kind, so that what came before helps."""
+    kinds = [[f"{a}{b}" for b in ("river", "stone", "cloud", "grass")] for a in ("red ", "old ", "big ")]
+    return " ".join(rng.choice(kinds[k % 3]) for k in range(rng.randint(5, 80)))
+
+
+def test_lm_beats_a_unigram_model_of_the_same_ids(spark):
+    rng = random.Random(9)
+    rows = [(i, lm_words(rng), i % 5 == 0) for i in range(400)]
+    got = {r.doc_id: r.score for r in lm_score.score(spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")).collect()}
+    with open(lm_score.VOCABULARY, "rb") as f:
+        encoder = token_counts.encoding(f.read())
+    ids = {i: [x for w in t.split() for x in encoder.encode_ordinary(" " + w)] + [lm_score.END] for i, t, _ in rows}
+    counts = Counter(x for i, _, held in rows if not held for x in ids[i])
+    total = sum(counts.values()) + len(counts) + 1
+    held = [i for i, _, h in rows if h]
+    unigram = sum(math.log10((counts[x] + 1) / total) for i in held for x in ids[i])
+    assert sum(got[i] for i in held) > unigram * 0.8
+    # learning from words, not from their pieces: a text encoded whole gives the same ids
+    assert all(ids[i] == encoder.encode_ordinary(" " + t) + [lm_score.END] for i, t, _ in rows[:20])
+
+
+def test_lm_words_are_encoded_as_if_alone():
+    with open(lm_score.VOCABULARY, "rb") as f:
+        encoder = token_counts.encoding(f.read())
+    opens = np.zeros(lm_score.END + 1, bool)
+    opens[[i for i in range(lm_score.END) if encoder.decode_single_token_bytes(i)[:1] == b" "]] = True
+    for words in (["plain", "don't", "a\u00a0b", "\u2003", "12,5", "\u00e9t\u00e9", "<|endoftext|>", "x" * 300], ["plain", "don't", "12,5", "'s", "__"]):
+        ids, n = lm_score.encoded(encoder, opens, words)
+        alone = [encoder.encode_ordinary(" " + w) for w in words]
+        assert n.tolist() == [len(x) for x in alone] and ids.tolist() == [y for x in alone for y in x]
+    counts, words = lm_score.words_of(pa.array(["  A b\tC\u00a0\u00c4 ", None, "", "\x0b\x0cz\n\n", "\x1cq \x1f"]))
+    assert counts.tolist() == [3, 0, 0, 1, 2] and words.to_pylist() == ["a", "b", "c\u00a0\u00c4", "z", "\x1cq", "\x1f"]
 
 
 # --- op4

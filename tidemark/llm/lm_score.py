@@ -6,41 +6,50 @@ predicts the next id's class by attention over the ids before it, and the id wit
   P(id | past) = softmax(bigram[hash(last)] + linear(last) + sum over past of attention * value)[class] * P(id | class, hash(last))
 
 - One pass over all training texts counts pairs (hash of the last id, id). From these come id vectors (leading directions of the
-  pairs' pointwise mutual information), classes (k-means of the vectors) and P(id | class, hash). Ids are bounded by the
-  vocabulary, so these tables are too, whatever the corpus.
+  pairs' pointwise mutual information), classes (k-means of the vectors) and P(id | class, hash). Ids are bounded by the vocabulary, so these tables are too, whatever the corpus.
 - Attention, value and position weights are trained by Adam: every task starts from the same weights, learns from windows of all
-  its training documents (one window in ``every``, the next one in each round; every window once by default), and the tasks'
-  weights are averaged by windows.
-- Scoring cuts a document into windows of 32 ids that overlap by 16. The last 16 ids of a window are scored, each once, by one
-  batched masked product; the 16 before are context only.
+  its training documents, and the tasks' weights are averaged by windows. Over the rounds each window is learned from once.
+- A window is 32 ids and overlaps the next by 16. Its last 16 ids are scored, each once, by one batched masked product; the 16
+  before are context only. Ids lie in blocks of 16, and a window is two neighbouring blocks, so what belongs to a position
+  is looked up once.
 
 The base score needs the training counts of every word of every document. Documents are handled in blocks; a block lists each
-of its words once (64-bit hash), the lists meet by word to be summed, and return to their block. No word list is broadcast.
+of its words once (64-bit hash), the lists meet by ranges of hashes to be summed, and return to their block. No word list is
+broadcast.
 
 Defined cases: null, empty and wordless texts are one end token. Without training rows the model's counts are flat and N = 0.
-Repeated rows are scored each by itself; a null id counts as the empty text for the fold.
+Repeated rows are scored each by itself; a null id counts as the empty text for the fold; a null ``held_out`` is false. A text of any
+length is one document, scored whole. Ids are cast to long.
 """
 
 from __future__ import annotations
 
 import math
 import uuid
-from itertools import chain
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, batches, utf8
-from tidemark.llm.token_counts import VOCABULARY, encoding
+from tidemark.llm.common import Scratch, batches, release
+from tidemark.llm.token_counts import encoding
 
-CLASSES, BUCKETS, HALF, KEY, STRIDE, WINDOW = 64, 256, 16, 8, 16, 32
-DIM = 2 * HALF
+#: The public vocabulary for many languages.
+VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+CLASSES, BUCKETS, DIM, KEY, STRIDE, WINDOW = 64, 256, 16, 8, 16, 32
 #: Pairs are sent by rows of so many buckets.
 PART = 64
+#: Bytes of text whose words are listed together.
+BLOCK_BYTES = 16_000_000
+#: Listed words of one range of keys, about.
+PART_WORDS = 2_000_000
+#: Windows of one training step or one scoring product.
+STEP = 128
 #: Ids of the BPE, then the end, the start and what fills windows.
 END, START, FILL, IDS = 50_256, 50_257, 50_258, 50_259
 SHAPES = {"wq": (DIM, KEY), "bq": (KEY,), "wk": (DIM, KEY), "wv": (DIM, CLASSES), "r": (WINDOW,), "wd": (DIM, CLASSES), "b": (CLASSES,)}
@@ -51,6 +60,63 @@ def bucket(ids: np.ndarray) -> np.ndarray:
     return (ids.astype(np.uint64) * np.uint64(2654435761) >> np.uint64(13)) % np.uint64(BUCKETS)
 
 
+def _by_bytes(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
+    """The rows in runs of ``limit`` bytes of text at most; a longer text is a run of its own."""
+    size = np.asarray(pc.fill_null(pc.binary_length(batch.column(2)), 0)).astype(np.int64)
+    at = 0
+    while at < batch.num_rows:
+        n = max(1, int(np.searchsorted(np.cumsum(size[at:]), limit, "right")))
+        yield batch.slice(at, n)
+        at += n
+
+
+def words_of(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Words of each text, and all words one after another; A-Z in lower case, parted at ASCII white space."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(column, "")))
+    words, n = lists.flatten(), np.asarray(pc.list_value_length(lists)).astype(np.int64)
+    real = np.asarray(pc.binary_length(words)) > 0
+    ends = np.cumsum(n)
+    upto = np.concatenate([[0], np.cumsum(real)])
+    return upto[ends] - upto[ends - n], words if real.all() else words.filter(pa.array(real))
+
+
+def encoded(encoder, opens: np.ndarray, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all words, each with a space before it, and how many each word has. ``opens``: ids whose bytes begin with a space."""
+    if not words:
+        return np.zeros(0, np.uint16), np.zeros(0, np.int32)
+    text = " ".join(["", *words])
+    ids = encoder.encode_to_numpy(text, disallowed_special=())
+    first = np.flatnonzero(opens[ids])
+    if len(first) == len(words) and len(text.split()) == len(words):
+        return ids.astype(np.uint16), np.diff(first, append=len(ids)).astype(np.int32)
+    # a word that holds white space of other scripts may merge with its neighbours: each by itself
+    lists = [encoder.encode_ordinary(" " + w) for w in words]
+    return np.concatenate([np.array(x, np.uint16) for x in lists]), np.array([len(x) for x in lists], np.int32)
+
+
+class _Pairs:
+    """Counts of cells id * BUCKETS + bucket that were seen."""
+
+    def __init__(self):
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, cells: np.ndarray) -> None:
+        cells = np.sort(cells)
+        first = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]])) if len(cells) else np.zeros(0, np.int64)
+        self.held.append((cells[first], np.diff(first, append=len(cells))))
+        if len(self.held) > 8:
+            self.held = [self.total()]
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        if not self.held:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        cells, n = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        order = np.argsort(cells, kind="stable")
+        cells, n = cells[order], n[order]
+        first = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]])) if len(cells) else np.zeros(0, np.int64)
+        return cells[first], np.add.reduceat(n, first) if len(first) else n
+
+
 def _read(vocabulary: bytes):
     """Pass over the texts: ids and word lists of documents, words of blocks, counts of pairs."""
     names = ["kind", "a", "b", "n", "held", "x", "y", "v"]
@@ -62,61 +128,72 @@ def _read(vocabulary: bytes):
         return pa.RecordBatch.from_arrays([a.cast(t) if a.type != t else a for a, t in zip(arrays, kinds, strict=True)], names=names)
 
     def run(rows):
-        encode, pack = encoding(vocabulary.value).encode_ordinary, zstandard.ZstdCompressor(level=1).compress
-        pairs = np.zeros((IDS, BUCKETS), np.int32)
-        for batch in rows:
-            block = uuid.uuid4().int >> 65
-            place: dict[bytes, int] = {}
-            known = size = trained = np.zeros(0, np.int64)  # ids of the block's words one after another, their number, training counts
-            for part in batches(iter([batch]), 1000):
-                docs = [body.lower().split() for body in utf8(part.column(2))]
-                new = set(chain.from_iterable(docs)).difference(place)
-                place.update(zip(new, range(len(place), len(place) + len(new)), strict=True))
-                # a word's ids are the same wherever it stands: each is encoded once a block
-                encoded = [encode(" " + w.decode()) for w in new]
-                size = np.concatenate([size, np.fromiter(map(len, encoded), np.int64, len(encoded))])
-                known = np.concatenate([known, np.fromiter(chain.from_iterable(encoded), np.int64)])
-                bounds = np.cumsum(size) - size
-                trained = np.concatenate([trained, np.zeros(len(new), np.int64)])
-                held, ids_out, words_out, learn, seen = part.column(1).to_pylist(), [], [], [], []
-                for k, words in enumerate(docs):
-                    at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-                    words_out.append(pack(at.astype(np.uint32).tobytes()))
-                    n = size[at]
-                    ids = np.empty(int(n.sum()) + 1, np.int64)
-                    ids[:-1] = known[np.repeat(bounds[at] - (np.cumsum(n) - n), n) + np.arange(len(ids) - 1)]
-                    ids[-1] = END
-                    ids_out.append(pack(ids.astype(np.uint16).tobytes()))
-                    if not held[k]:
-                        seen.append(at)
-                        learn.append(ids)
-                if learn:
-                    trained += np.bincount(np.concatenate(seen), minlength=len(place))
-                    first = np.cumsum([0, *map(len, learn)])[:-1]
-                    ids = np.concatenate(learn)
-                    last = np.concatenate([[START], ids[:-1]])
-                    last[first] = START
-                    used, row = np.unique(ids, return_inverse=True)
-                    found = np.bincount(row * BUCKETS + bucket(last).astype(np.int64), minlength=len(used) * BUCKETS)
-                    pairs[used] += found.reshape(len(used), BUCKETS).astype(np.int32)
-                n = part.num_rows
+        encoder = encoding(vocabulary.value)
+        opens = np.zeros(END + 1, bool)
+        opens[[i for i in range(END) if encoder.decode_single_token_bytes(i)[:1] == b" "]] = True
+        near, pack, pairs = bucket(np.arange(IDS)).astype(np.uint32), zstandard.ZstdCompressor(level=1).compress, _Pairs()
+
+        def block_rows(part):
+            docs, block = part.num_rows, uuid.uuid4().int >> 65
+            counts, words = words_of(part.column(2))
+            listed = words.dictionary_encode()
+            words = listed.dictionary.to_pylist()
+            keys = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+            order = np.argsort(keys, kind="stable")
+            keys, words = keys[order], [words[i] for i in order]
+            place = np.empty(len(order), np.uint32)
+            place[order] = np.arange(len(order), dtype=np.uint32)
+            at = place[np.asarray(listed.indices)]
+            # a word's ids are the same wherever it stands: each is encoded once a block; the last entry is the end
+            known, size = encoded(encoder, opens, words)
+            known, size = np.append(known, np.uint16(END)), np.append(size, np.int32(1))
+            begins = (np.cumsum(size) - size).astype(np.int32)
+            ends = np.cumsum(counts)
+            full = np.insert(at, ends, len(words))
+            n = size[full]
+            upto = np.cumsum(n, dtype=np.int64)
+            take = np.repeat(begins[full] - (upto - n).astype(np.int32), n)
+            take += np.arange(len(take), dtype=np.int32)
+            ids = known[take]
+            last_of = upto[ends + np.arange(docs)]
+            first_of = np.concatenate([[0], last_of[:-1]])
+            learn = ~np.asarray(part.column(1))
+            trained = np.bincount(at[np.repeat(learn, counts)], minlength=len(words))
+            last = np.empty(len(ids), np.uint16)
+            last[1:] = ids[:-1]
+            last[first_of] = START
+            cells = ids.astype(np.uint32) * np.uint32(BUCKETS) + near[last]
+            pairs.add(cells if learn.all() else cells[np.repeat(learn, last_of - first_of)])
+            cut = 1000
+            for k in range(0, docs, cut):
+                some = range(k, min(docs, k + cut))
+                x = [pack(ids[first_of[i] : last_of[i]].tobytes()) for i in some]
+                y = [pack(at[ends[i] - counts[i] : ends[i]].tobytes()) for i in some]
+                yield rows_of(
+                    DOC, len(some), a=part.column(0).slice(k, cut), b=pa.array(np.full(len(some), block, np.int64)), n=pa.array(counts[k : k + cut]),
+                    held=part.column(1).slice(k, cut), x=pa.array(x, pa.binary()), y=pa.array(y, pa.binary()),
+                )
+            if len(words):
+                # a: number of words, x: their keys in ascending order, y: their training counts
                 yield rows_of(
-                    DOC, n, a=part.column(0), b=pa.array(np.full(n, block, np.int64)), n=pa.array(list(map(len, docs)), pa.int64()), held=part.column(1),
-                    x=pa.array(ids_out, pa.binary()), y=pa.array(words_out, pa.binary()),
+                    WORD, 1, a=pa.array([len(words)], pa.int64()), b=pa.array([block], pa.int64()),
+                    x=pa.array([keys.tobytes()], pa.binary()), y=pa.array([trained.astype(np.uint32).tobytes()], pa.binary()),
                 )
-            keys = np.fromiter(map(xxhash.xxh3_64_intdigest, place), np.uint64, len(place)).view(np.int64)
-            for at in range(0, len(keys), 200_000):
-                part = slice(at, at + 200_000)
-                size = len(keys[part])
-                # a: key, b: block, n: training count, v: place of the word in its block
-                v = pa.ListArray.from_arrays(pa.array(np.arange(size + 1, dtype=np.int32)), pa.array(np.arange(at, at + size, dtype=np.int32)))
-                yield rows_of(WORD, size, a=pa.array(keys[part]), b=pa.array(np.full(size, block, np.int64)), n=pa.array(trained[part]), v=v)
-        counts = pairs.reshape(-1, PART)
-        seen = np.flatnonzero(counts.any(axis=1))
-        for at in range(0, len(seen), 10_000):
-            part = seen[at : at + 10_000]
-            v = pa.ListArray.from_arrays(pa.array(np.arange(0, len(part) * PART + 1, PART, dtype=np.int32)), pa.array(counts[part].ravel()))
-            yield rows_of(PAIR, len(part), a=pa.array(part.astype(np.int64)), v=v)
+
+        for batch in rows:
+            for part in _by_bytes(batch, BLOCK_BYTES):
+                yield from block_rows(part)
+            release()
+        cells, n = pairs.total()
+        run_of = cells // np.uint32(PART)
+        first = np.flatnonzero(np.concatenate([[True], run_of[1:] != run_of[:-1]])) if len(cells) else np.zeros(0, np.int64)
+        for at in range(0, len(first), 10_000):
+            some = first[at : at + 10_000]
+            low, high = some[0], first[at + 10_000] if at + 10_000 < len(first) else len(cells)
+            counts = np.zeros((len(some), PART), np.int32)
+            counts[np.repeat(np.arange(len(some)), np.diff(some, append=high)), cells[low:high] % np.uint32(PART)] = n[low:high]
+            v = pa.ListArray.from_arrays(pa.array(np.arange(0, counts.size + 1, PART, dtype=np.int32)), pa.array(counts.ravel()))
+            yield rows_of(PAIR, len(some), a=pa.array(run_of[some].astype(np.int64)), v=v)
 
     return run
 
@@ -134,14 +211,10 @@ def tables_from_counts(pairs: np.ndarray, seed: int = 1) -> dict[str, np.ndarray
         weight = np.sqrt(ids)
         pmi -= np.average(pmi, axis=0, weights=weight)
         _, directions = np.linalg.eigh((pmi * weight[:, None]).T @ pmi)
-        v = pmi @ directions[:, ::-1][:, :HALF]
+        v = pmi @ directions[:, ::-1][:, :DIM]
         v *= np.minimum(1, np.sqrt(ids / 20))[:, None]
         v /= np.sqrt(np.average(v**2, axis=0, weights=weight)) + 1e-9
-        vectors[seen, :HALF] = np.clip(v, -4, 4)
-        # the other half: what follows the ids of the same bucket
-        after = (pmi * weight[:, None]).T @ v / weight.sum()
-        after /= np.sqrt(np.average(after**2, axis=0, weights=column + 1e-9)) + 1e-9
-        vectors[:, HALF:] = np.clip(after, -4, 4)[bucket(np.arange(IDS)).astype(np.int64)]
+        vectors[seen] = np.clip(v, -4, 4)
         vectors[FILL] = 0
         centres = v[rng.choice(len(seen), CLASSES, replace=False, p=weight / weight.sum())]
         for _ in range(20):
@@ -163,9 +236,14 @@ def tables_from_counts(pairs: np.ndarray, seed: int = 1) -> dict[str, np.ndarray
     counts = np.concatenate([np.zeros((1, BUCKETS)), own_pairs]).astype(np.float32)
     prior = per_class.sum(axis=1) + 1
     bigram = np.log((per_class + 20 * (prior / prior.sum())[:, None]) / (column + 20)).T
+    # one more column is 1 for every id, and one is 1 for FILL
+    marks = np.zeros((IDS, 2))
+    marks[:, 0], marks[FILL, 1] = 1, 1
     return {
-        "vectors": vectors.astype(np.float32), "classes": classes, "row": row, "pairs": counts, "share": (strength * share).astype(np.float32),
-        "norm": np.log(per_class + strength).astype(np.float32), "bigram": bigram.astype(np.float32),
+        "vectors": np.concatenate([vectors, marks], axis=1).astype(np.float32), "classes": classes, "row": row, "pairs": counts,
+        "share": (strength * share).astype(np.float32), "norm": np.log(per_class + strength).astype(np.float32),
+        "bigram": np.ascontiguousarray(bigram, np.float32),
+        "bucket": bucket(np.arange(IDS)).astype(np.int64),
     }
 
 
@@ -184,139 +262,159 @@ _GAP = STRIDE + np.arange(STRIDE)[:, None] - np.arange(WINDOW)[None, :]
 _MASK = np.where(_GAP < 0, np.float32(-1e9), np.float32(0))
 
 
-def windows(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (n, 32) and targets (n, 16) of a document; FILL where it has none."""
+def blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Past and targets (n + 1, 16) of a document of n blocks. Window i looks at past i and i + 1 and predicts the targets of
+    row i; the last row of targets is FILL, so documents follow one another without a window of two."""
     n = -(-len(ids) // STRIDE)
-    past = np.full(STRIDE * (n + 1), FILL, np.int64)
+    past, target = np.full((2, STRIDE * (n + 1)), FILL, np.int64)
     past[STRIDE] = START
     past[STRIDE + 1 : STRIDE + len(ids)] = ids[:-1]
-    target = np.full(STRIDE * n, FILL, np.int64)
     target[: len(ids)] = ids
-    return np.lib.stride_tricks.sliding_window_view(past, WINDOW)[::STRIDE], target.reshape(n, STRIDE)
+    return past.reshape(-1, STRIDE), target.reshape(-1, STRIDE)
 
 
-class Scorer:
-    """Tables folded with trained weights, so that a window costs look-ups and two batched products.
+def _two(x: np.ndarray) -> np.ndarray:
+    """Rows (n, 32, d) of two neighbouring blocks each, as a view of (n + 1, 16, d)."""
+    return np.lib.stride_tricks.as_strided(x, (len(x) - 1, WINDOW, x.shape[2]), x.strides)
+
+
+def _key_weights(w: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Products with the vectors give queries, with a last 1, and keys, whose last column shuts FILL out."""
+    q, k = np.zeros((2, DIM + 2, KEY + 1), np.float32)
+    q[:DIM, :KEY], q[DIM, :KEY], q[DIM, KEY] = w["wq"], w["bq"], 1
+    k[:DIM, :KEY], k[DIM + 1, KEY] = w["wk"], -1e4
+    return q, k
+
+
+def _attention(e: np.ndarray, q: np.ndarray, k: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unscaled weights (n, 16, 32) and the vectors they add up to, of which the last but one column is the sum of the weights."""
+    s = np.matmul(q[1:], _two(k).transpose(0, 2, 1))
+    s += bias
+    np.minimum(s, np.float32(60), out=s)
+    np.exp(s, out=s)
+    return s, np.matmul(s, _two(e))
+
+
+_ONES = np.ones(CLASSES, np.float32)
+
+
+def _exp_sum(x: np.ndarray) -> np.ndarray:
+    """exp of the logits in place; returns each row's sum."""
+    np.minimum(x, np.float32(80), out=x)
+    np.exp(x, out=x)
+    return np.maximum(x @ _ONES, np.float32(1e-30))
 
-    Rows of the query and key tables are kept to a norm of 7, so exp needs no largest value taken off first; the last key column
-    shuts out FILL.
-    """
+
+class Scorer:
+    """Tables folded with trained weights, so that a window costs look-ups and two batched products."""
 
     def __init__(self, tables: dict[str, np.ndarray], w: dict[str, np.ndarray]):
         e = tables["vectors"]
-        short = lambda x: x * np.minimum(1, 7 / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-6))
-        q, k = short(e @ w["wq"] + w["bq"]), short(e @ w["wk"])
-        shut = np.where(np.arange(IDS) == FILL, -1e4, 0.0)[:, None]
-        self.q = np.concatenate([q, np.ones((IDS, 1))], axis=1).astype(np.float32)
-        self.k = np.concatenate([k, shut], axis=1).astype(np.float32)
-        self.e, self.wv = e, w["wv"].astype(np.float32)
-        self.bucket = bucket(np.arange(IDS)).astype(np.int64)
-        self.last = (tables["bigram"][self.bucket] + e @ w["wd"] + w["b"]).astype(np.float32)
-        self.bias = (_MASK + np.clip(w["r"], -30, 30)[np.abs(_GAP)]).astype(np.float32)
+        to_q, to_k = _key_weights(w)
+        #: Of each id its vector, query and key side by side.
+        self.rows = np.concatenate([e, e @ to_q, e @ to_k], axis=1)
+        self.wv, self.bucket = w["wv"].astype(np.float32), tables["bucket"]
+        self.last = (tables["bigram"][self.bucket] + e[:, :DIM] @ w["wd"] + w["b"]).astype(np.float32)
+        self.bias = (_MASK + w["r"][np.abs(_GAP)]).astype(np.float32)
         self.classes, self.row, self.pairs = tables["classes"], tables["row"], tables["pairs"]
         self.share, self.norm = tables["share"], tables["norm"]
 
-    def log_probabilities(self, keys: np.ndarray, targets: np.ndarray) -> np.ndarray:
-        """Natural log probability of each target (n, 16); 0 for FILL."""
-        last = keys[:, STRIDE:]
-        s = np.matmul(self.q[last], self.k[keys].transpose(0, 2, 1))
-        s += self.bias
-        np.exp(s, out=s)
-        # values are linear in the vectors: these are averaged first, then one product serves all windows
-        mean = np.matmul(s, self.e[keys])
-        mean /= s.sum(axis=2, keepdims=True)
-        logits = (mean.reshape(-1, DIM) @ self.wv).reshape(*targets.shape, CLASSES)
-        logits += self.last[last]
-        np.clip(logits, -80, 80, out=logits)
-        own = self.classes[targets]
-        picked = logits.reshape(-1, CLASSES)[np.arange(own.size), own.ravel()].reshape(own.shape)
-        np.exp(logits, out=logits)
-        near = self.bucket[last]
-        within = np.log(np.maximum(self.pairs[self.row[targets], near] + self.share[targets], np.float32(1e-30))) - self.norm[own, near]
-        out = picked - np.log(logits.sum(axis=2)) + within
-        return np.where(targets == FILL, np.float32(0), out)
-
-
-def gradients(tables: dict[str, np.ndarray], w: dict[str, np.ndarray], keys: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
-    """Mean gradient of the class's log loss over the targets."""
-    e = tables["vectors"][keys]
-    e_last, last = e[:, STRIDE:], keys[:, STRIDE:]
-    flat = lambda x: x.reshape(-1, x.shape[-1])
-    times = lambda x, y: (flat(x) @ y).reshape(*x.shape[:-1], y.shape[1])
-    q, k = times(e_last, w["wq"]) + w["bq"], times(e, w["wk"])
-    s = np.matmul(q, k.transpose(0, 2, 1)) + (_MASK + w["r"][np.abs(_GAP)])
-    s += np.where(keys == FILL, np.float32(-1e9), np.float32(0))[:, None, :]
-    s -= s.max(axis=2, keepdims=True)
-    np.exp(s, out=s)
-    s /= s.sum(axis=2, keepdims=True)
-    # values are linear in the vectors: these are averaged first, then one product serves all windows
-    mean = np.matmul(s, e)
-    logits = times(mean, w["wv"]) + times(e_last, w["wd"])
-    logits += tables["bigram"][bucket(last).astype(np.int64)]
-    logits += w["b"]
-    logits -= logits.max(axis=2, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(axis=2, keepdims=True)
-    flat(logits)[np.arange(targets.size), tables["classes"][targets].ravel()] -= 1
-    real = targets != FILL
-    d = logits
-    d *= (real / np.float32(max(real.sum(), 1)))[:, :, None].astype(np.float32)
-    ds = np.matmul(times(d, w["wv"].T), e.transpose(0, 2, 1))
-    ds = s * (ds - (ds * s).sum(axis=2, keepdims=True))
-    dq, dk = np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q)
+    def log_probabilities(self, past: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Natural log probability of each target (n, 16) of the n windows of n + 1 blocks; 0 for FILL."""
+        rows = self.rows.take(past, axis=0)
+        e, q, k = rows[..., : DIM + 2], rows[..., DIM + 2 : DIM + KEY + 3], rows[..., DIM + KEY + 3 :]
+        _, mean = _attention(e, q, k, self.bias)
+        mean = mean.reshape(-1, DIM + 2)
+        last, target = past[1:].ravel(), target[:-1].ravel()
+        logits = (mean[:, :DIM] * (1 / np.maximum(mean[:, DIM : DIM + 1], np.float32(1e-30)))) @ self.wv
+        logits += self.last.take(last, axis=0)
+        own, near = self.classes.take(target), self.bucket.take(last)
+        picked = logits[np.arange(len(own)), own]
+        within = np.maximum(self.pairs[self.row.take(target), near] + self.share.take(target), np.float32(1e-30))
+        out = picked + np.log(within / _exp_sum(logits)) - self.norm[own, near]
+        out[target == FILL] = 0
+        return out.reshape(-1, STRIDE)
+
+
+def gradients(tables: dict[str, np.ndarray], w: dict[str, np.ndarray], past: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
+    """Mean gradient of the class's log loss over the targets of the windows."""
+    e = tables["vectors"].take(past, axis=0)
+    to_q, to_k = _key_weights(w)
+    flat = lambda y: y.reshape(-1, y.shape[-1])
+    q, k = ((flat(e) @ x).reshape(*past.shape, -1) for x in (to_q, to_k))
+    s, mean = _attention(e, q, k, (_MASK + w["r"][np.abs(_GAP)]).astype(np.float32))
+    last, target = past[1:].ravel(), target[:-1].ravel()
+    mean = mean.reshape(-1, DIM + 2)
+    inverse = 1 / np.maximum(mean[:, DIM : DIM + 1], np.float32(1e-30))
+    x = np.empty((len(target), 2 * DIM), np.float32)
+    np.multiply(mean[:, :DIM], inverse, out=x[:, :DIM])
+    x[:, DIM:] = e[1:, :, :DIM].reshape(-1, DIM)
+    d = x @ np.concatenate([w["wv"], w["wd"]]).astype(np.float32)
+    d += (tables["bigram"] + w["b"].astype(np.float32)).take(tables["bucket"].take(last), axis=0)
+    d *= (1 / _exp_sum(d))[:, None]
+    d[np.arange(len(target)), tables["classes"].take(target)] -= 1
+    d[target == FILL] = 0
+    du = (d.T @ x).T
+    # of weights p = s / total: ds = p * (dx . e - dx . mean), the second term by the column of ones
+    dm = np.zeros((len(target), DIM + 2), np.float32)
+    np.multiply(d @ w["wv"].T.astype(np.float32), inverse, out=dm[:, :DIM])
+    dm[:, DIM] = -np.einsum("ij,ij->i", dm[:, :DIM], x[:, :DIM])
+    s *= np.matmul(dm.reshape(-1, STRIDE, DIM + 2), _two(e).transpose(0, 2, 1))
+    dq, both = np.matmul(s, _two(k)), np.matmul(s.transpose(0, 2, 1), q[1:])
+    dk = np.zeros_like(k)
+    dk[:-1] += both[:, :STRIDE]
+    dk[1:] += both[:, STRIDE:]
+    dq, dk = flat(e[1:]).T @ flat(dq), flat(e).T @ flat(dk)
     seen = _GAP >= 0
-    return {
-        "wq": flat(e_last).T @ flat(dq), "bq": flat(dq).sum(axis=0), "wk": flat(e).T @ flat(dk), "wv": flat(mean).T @ flat(d),
-        "r": np.bincount(_GAP[seen], ds.sum(axis=0)[seen], WINDOW), "wd": flat(e_last).T @ flat(d), "b": flat(d).sum(axis=0),
+    scale = np.float32(1 / max(int((target != FILL).sum()), 1))
+    g = {
+        "wq": dq[:DIM, :KEY], "bq": dq[DIM, :KEY], "wk": dk[:DIM, :KEY], "wv": du[:DIM], "r": np.bincount(_GAP[seen], s.sum(axis=0)[seen], WINDOW),
+        "wd": du[DIM:], "b": np.ones(len(d), np.float32) @ d,
     }
+    return {name: scale * x for name, x in g.items()}
 
 
 def _ids(cell: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(cell), np.uint16).astype(np.int64)
 
 
-def _learn(tables, weights, every: int, turn: int, batch_windows: int = 128, rate: float = 0.01):
-    names = list(SHAPES)
+def _learn(tables, weights, turn: int, rounds: int, rate: float = 0.01):
+    """Adam over every ``rounds``-th step of STEP windows, the next ones in the next turn."""
 
     def run(rows):
-        w = {k: v.copy() for k, v in weights.items()}
-        m = {k: np.zeros(s) for k, s in SHAPES.items()}
-        v = {k: np.zeros(s) for k, s in SHAPES.items()}
-        step, seen, held = 0, 0, []
-
-        def update():
-            nonlocal step, seen
-            keys, targets = np.concatenate([k for k, _ in held]), np.concatenate([t for _, t in held])
-            held.clear()
-            for at in range(0, len(keys), batch_windows):
-                g = gradients(tables.value, w, keys[at : at + batch_windows], targets[at : at + batch_windows])
-                step += 1
-                seen += len(keys[at : at + batch_windows])
-                for k in names:
-                    m[k] = 0.9 * m[k] + 0.1 * g[k]
-                    v[k] = 0.99 * v[k] + 0.01 * g[k] ** 2
-                    move = rate / math.sqrt(1 + step / 200) * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)
-                    w[k] = (w[k] - move).astype(np.float32)
-
-        size = ready = 0
-        for batch in rows:
-            for cell in batch.column(0).to_pylist():
-                keys, targets = windows(_ids(cell))
-                # every task's windows are numbered on, so the share is the same for short documents and long ones
-                first = (turn - size) % every
-                size += len(keys)
-                if first < len(keys):
-                    held.append((keys[first::every], targets[first::every]))
-                    ready += len(held[-1][0])
-                    if ready >= 4 * batch_windows:
-                        update()
-                        ready = 0
-        if held:
-            update()
+        w = np.concatenate([weights[k].ravel() for k in SHAPES]).astype(np.float32)
+        m, v = np.zeros_like(w), np.zeros_like(w)
+        step = number = seen = 0
+
+        def update(past, target):
+            nonlocal step, number, seen, w, m, v
+            number += 1
+            windows = int((target[:-1, 0] != FILL).sum())
+            if not windows or (number - 1) % rounds != turn:
+                return
+            g = gradients(tables.value, _unflatten(w), past, target)
+            g = np.concatenate([g[k].ravel() for k in SHAPES]).astype(np.float32)
+            step += 1
+            seen += windows
+            m += np.float32(0.1) * (g - m)
+            v += np.float32(0.01) * (g * g - v)
+            scale = rate / math.sqrt(1 + step / 200) / (1 - 0.9**step)
+            w = w - np.float32(scale) * m / (np.sqrt(v / np.float32(1 - 0.99**step)) + np.float32(1e-8))
+
+        past = target = np.zeros((0, STRIDE), np.int64)
+        for batch in batches(rows, 500):
+            found = [blocks(_ids(cell)) for cell in batch.column(0).to_pylist()]
+            past, target = np.concatenate([past, *(p for p, _ in found)]), np.concatenate([target, *(t for _, t in found)])
+            at = 0
+            while len(past) - at > STEP:  # a step's last block begins the next one
+                update(past[at : at + STEP + 1], target[at : at + STEP + 1])
+                at += STEP
+            past, target = past[at:], target[at:]
+        if len(past) > 1:
+            update(past, target)
         if seen:
-            flat = np.concatenate([w[k].ravel() for k in names]).astype(np.float64)
-            n = len(flat)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(n, dtype=np.int32)), pa.array(flat * seen), pa.array(np.full(n, float(seen)))], names=["i", "wv", "n"])
+            n = len(w)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(n, dtype=np.int32)), pa.array(w.astype(np.float64) * seen), pa.array(np.full(n, float(seen)))], names=["i", "wv", "n"])
 
     return run
 
@@ -334,51 +432,69 @@ def _score(scorer):
     def run(rows):
         s = scorer.value
         for batch in batches(rows, 500):
-            cells = [windows(_ids(c)) for c in batch.column(3).to_pylist()]
-            totals = np.zeros(len(cells))
-            at = 0
-            while at < len(cells):  # documents together until there are 128 windows; a longer one by parts
-                upto, size = at, 0
-                while upto < len(cells) and (upto == at or size + len(cells[upto][0]) <= 512):
-                    size += len(cells[upto][0])
-                    upto += 1
-                keys, targets = np.concatenate([c[0] for c in cells[at:upto]]), np.concatenate([c[1] for c in cells[at:upto]])
-                per = np.concatenate([s.log_probabilities(keys[i : i + 128], targets[i : i + 128]).sum(axis=1, dtype=np.float64) for i in range(0, size, 128)])
-                owner = np.repeat(np.arange(at, upto), [len(c[0]) for c in cells[at:upto]])
-                totals += np.bincount(owner, per, len(cells))
-                at = upto
+            found = [blocks(_ids(c)) for c in batch.column(3).to_pylist()]
+            past, target = np.concatenate([p for p, _ in found]), np.concatenate([t for _, t in found])
+            owner = np.repeat(np.arange(len(found)), [len(p) for p, _ in found])
+            per = [s.log_probabilities(past[a : a + STEP + 1], target[a : a + STEP + 1]).sum(axis=1, dtype=np.float64) for a in range(0, len(past) - 1, STEP)]
+            totals = np.bincount(owner[:-1], np.concatenate(per), len(found))
             columns = [batch.column(i) for i in (0, 1, 2, 4, 5)] + [pa.array(totals / math.log(10))]
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "n", "held", "y", "score"])
 
     return run
 
 
+def _split(parts: int):
+    """The word lists cut by ranges of keys: part, block, first place of the words in the block, keys, counts."""
+    bounds = np.arange(1, parts, dtype=np.uint64) * np.uint64(((1 << 64) - 1) // parts)
+
+    def run(rows):
+        for batch in batches(rows, 20):
+            out = [[], [], [], [], []]
+            for block, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                keys, n = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint32)
+                edges = np.concatenate([[0], np.searchsorted(keys, bounds), [len(keys)]])
+                for p in np.flatnonzero(np.diff(edges)).tolist():
+                    a, b = edges[p], edges[p + 1]
+                    for held, value in zip(out, (p, block, a, keys[a:b].tobytes(), n[a:b].tobytes()), strict=True):
+                        held.append(value)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names=["part", "b", "at", "x", "y"])
+
+    return run
+
+
+def _sum_counts(rows: pa.Table) -> pa.Table:
+    """The words of one range of keys: each block's list with the counts of all blocks, and, once, how many words have any."""
+    x = [np.frombuffer(c, np.uint64) for c in rows["x"].to_pylist()]
+    _, which = np.unique(np.concatenate(x), return_inverse=True)
+    total = np.bincount(which, np.concatenate([np.frombuffer(c, np.uint32) for c in rows["y"].to_pylist()])).astype(np.int64)
+    ends = np.cumsum([len(c) for c in x])
+    sums = [total[which[b - len(c) : b]].tobytes() for c, b in zip(x, ends, strict=True)]
+    return pa.table({"b": rows["b"], "at": rows["at"], "totals": pa.array(sums, pa.binary()), "words": pa.array([int((total > 0).sum())] + [0] * (len(x) - 1), pa.int64())})
+
+
 def _base(key, docs, words):
-    """Per document of a block: known words, the sum of log10(count + 1), and once the block's new words."""
-    totals = np.zeros(words.num_rows, np.int64)
-    totals[np.asarray(words["place"].combine_chunks())] = np.asarray(words["total"].combine_chunks())
-    fresh = int(np.asarray(words["fresh"].combine_chunks().cast(pa.int64())).sum()) if words.num_rows else 0
+    """Per document of a block: known words, and the sum of log10(count + 1)."""
+    lists = sorted(zip(words["at"].to_pylist(), words["totals"].to_pylist(), strict=True))
+    totals = np.frombuffer(b"".join(x for _, x in lists), np.int64)
     logs, known = np.log10(totals + 1.0), totals > 0
     sums, n_known = np.zeros(docs.num_rows), np.zeros(docs.num_rows, np.int64)
     for i, cell in enumerate(docs["y"].to_pylist()):
         at = np.frombuffer(zstandard.ZstdDecompressor().decompress(cell), np.uint32)
         sums[i], n_known[i] = logs[at].sum(), known[at].sum()
-    vocabulary = np.zeros(docs.num_rows, np.int64)
-    vocabulary[:1] = fresh
-    return pa.table({"a": docs["a"], "held": docs["held"], "n": docs["n"], "score": docs["score"], "known": n_known, "sums": sums, "fresh": vocabulary})
+    return pa.table({"a": docs["a"], "held": docs["held"], "n": docs["n"], "score": docs["score"], "known": n_known, "sums": sums})
 
 
 def score(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out: str = "held_out", vocabulary: str = VOCABULARY, every: int = 2, rounds: int = 2
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out: str = "held_out", vocabulary: str = VOCABULARY, rounds: int = 2
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Rows with ``held_out``
-    teach nothing. ``every``: a round learns from one window in so many of each training document; with the default two
-    and two rounds every window is learned from once."""
+    teach nothing. The training windows are dealt over the rounds by turns, so each is learned from once."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
     with open(vocabulary, "rb") as f:
         sent = spark.sparkContext.broadcast(f.read())
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(held_out).alias("held"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(held_out), F.lit(False)).alias("held"), F.col(text).cast("string").alias("text"))
     schema = "kind int, a long, b long, n long, held boolean, x binary, y binary, v array<int>"
     staged = scratch.keep(rows.mapInArrow(_read(sent), schema), "read", "kind")
     documents = staged.where(F.col("kind") == DOC)
@@ -389,30 +505,22 @@ def score(
     tables = tables_from_counts(counts.reshape(IDS, BUCKETS))
     shared, weights = spark.sparkContext.broadcast(tables), initial()
     for turn in range(rounds):
-        learned = documents.where(~F.col("held")).select("x").mapInArrow(_learn(shared, weights, every, turn * (every // rounds)), "i int, wv double, n double")
+        learned = documents.where(~F.col("held")).select("x").mapInArrow(_learn(shared, weights, turn, rounds), "i int, wv double, n double")
         found = learned.groupBy("i").agg((F.sum("wv") / F.sum("n")).alias("w")).collect()
         if found:
             weights = _unflatten(np.array([r.w for r in sorted(found, key=lambda r: r.i)]))
 
     scorer = spark.sparkContext.broadcast(Scorer(tables, weights))
     scored = documents.select("a", "b", "n", "x", "held", "y").mapInArrow(_score(scorer), "a long, b long, n long, held boolean, y binary, score double")
-    same = Window.partitionBy("a")
-    words = staged.where(F.col("kind") == WORD).select(
-        "b",
-        F.col("v")[0].alias("place"),
-        F.sum("n").over(same).alias("total"),
-        (F.row_number().over(same.orderBy("b")) == 1).alias("fresh"),
-    )
-    words = words.select("b", "place", "total", (F.col("fresh") & (F.col("total") > 0)).alias("fresh"))
-    based = scored.groupBy("b").cogroup(words.groupBy("b")).applyInArrow(_base, "a long, held boolean, n long, score double, known long, sums double, fresh long")
+    words = staged.where(F.col("kind") == WORD)
+    listed = words.agg(F.coalesce(F.sum("a"), F.lit(0)).alias("n")).first().n
+    split = words.select("b", "x", "y").mapInArrow(_split(-(-listed // PART_WORDS) or 1), "part long, b long, at long, x binary, y binary")
+    words = scratch.keep(split.groupBy("part").applyInArrow(_sum_counts, "b long, at long, totals binary, words long"), "words")
+    based = scored.groupBy("b").cogroup(words.select("b", "at", "totals").groupBy("b")).applyInArrow(_base, "a long, held boolean, n long, score double, known long, sums double")
     based = scratch.keep(based, "based")
-    whole = based.agg(
-        F.coalesce(F.sum(F.when(~F.col("held"), F.col("n") + 1)), F.lit(0)).alias("tokens"),
-        F.coalesce(F.sum("fresh"), F.lit(0)).alias("words"),
-        F.count(F.when(~F.col("held"), 1)).alias("ends"),
-    ).first()
-    distinct = whole.words + (whole.ends > 0)
-    scratch.drop("read")
+    whole = based.agg(F.coalesce(F.sum(F.when(~F.col("held"), F.col("n") + 1)), F.lit(0)).alias("tokens"), F.count(F.when(~F.col("held"), 1)).alias("ends")).first()
+    distinct = words.agg(F.coalesce(F.sum("words"), F.lit(0)).alias("n")).first().n + (whole.ends > 0)
+    scratch.drop("read", "words")
     n_tokens = F.col("n") + 1
     return based.select(
         F.col("a").alias("doc_id"),
