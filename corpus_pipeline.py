@@ -1,8 +1,9 @@
 """A training-data pipeline over ``documents``: each stage works on all that its predecessor kept.
 
-Language ID rejects documents without a letter; of near duplicates (five-word shingles, similarity 0.8 or more) the one of the
-least doc_id stays; runs of benchmark windows are cut out, and documents more than half of which they make up go; personal data
-and the terms that give it away are generalised or removed; at last sources are mixed to their target weights.
+Language ID rejects documents whose predicted language is none or no clearer than a draw; of near duplicates (five-word shingles,
+similarity 0.8 or more) the one of the least doc_id stays; runs of benchmark windows are cut out, and documents more than half of
+which they make up go; personal data and the terms that give it away are generalised or removed; at last sources are mixed to
+their target weights, and the mixed text is written.
 """
 
 from __future__ import annotations
@@ -38,8 +39,8 @@ def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its size, its source's size and target, and how many of its words the mix takes."""
-    return source_mix.Mix(docs).report()
+    """The mix: one row per piece of a document in a slot of a shard, with its words."""
+    return source_mix.Mix(docs, with_text=True).mixed_texts()
 
 
 STAGES = [

@@ -132,6 +132,72 @@ def test_disclosing_terms_go_and_clean_texts_stay(spark):
     assert pii.report(empty(spark)).count() == 0 and pii.sanitise(empty(spark)).count() == 0
 
 
+def test_disclosure_by_hand(spark):
+    """PMI / IC of both scopes recomputed word by word, over copies, secrets and values far from terms."""
+    rng = random.Random(11)
+    names = ["key", "apikey", "alpha", "beta", "gamma", "delta", "eps", "zeta"]
+    rows = []
+    for i in range(300):
+        words = [rng.choice(names[2:]) for _ in range(rng.randint(0, 30))]
+        if i % 6 == 0:
+            words[len(words) // 2 : len(words) // 2] = ["apikey", "=", "".join(rng.choice("0123456789abcdef") for _ in range(32)) + "0a1b2c3d"]
+        if i % 9 == 0:
+            words.insert(0, f"10.0.{i % 256}.7")
+            words.append("farlink")
+        rows.append((i, " ".join(words)))
+    rows += [rows[6], rows[6], rows[9], (500, None), (501, ""), (502, "apikey without a value"), (503, "plain beta " * 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    reach, least, bits = 3, 5, 25.0
+    found, n, total, whole, beside = {}, Counter(), Counter(), Counter(), Counter()
+    for _, text in rows:
+        text = text or ""
+        spans = pii.protected_spans(text)
+        assert [s for s in spans if s[0] < 4] == [(pii.KINDS.index(k), int(a), int(b)) for k, a, b in (x.split(":") for x in base_by_pattern(text))]
+        inside = {j for _, a, b in spans for j in range(a, b)}
+        terms = [(m[0].lower(), m.start(), m.end()) for m in re.finditer(r"[^\W\d_]+", text) if m.start() not in inside]
+        plain = re.findall(r"[^\W\d_]+", text.lower())
+        whole["near"] += len(plain)
+        whole["doc"] += 1
+        for w in plain:
+            total["near", w] += 1
+        for w in set(plain):
+            total["doc", w] += 1
+        for kind, a, b in spans:
+            ctx = [w for w, x, _ in terms if x < a][-reach:] + [w for w, x, _ in terms if x >= b][:reach]
+            beside["near", kind] += len(ctx)
+            for w in ctx:
+                n["near", kind, w] += 1
+                found.setdefault(("near", kind, w), set()).add(" ".join(ctx))
+        for kind in {k for k, *_ in spans}:
+            beside["doc", kind] += 1
+            for w in {w for w, *_ in terms}:
+                n["doc", kind, w] += 1
+                found.setdefault(("doc", kind, w), set()).update(text[a:b] for k, a, b in spans if k == kind)
+    want = {}
+    for (scope, kind, w), marks in found.items():
+        p, q = beside[scope, kind] / whole[scope], n[scope, kind, w] / total[scope, w]
+        kl = q * math.log2(q / p) + ((1 - q) * math.log2((1 - q) / (1 - p)) if q < 1 else 0)
+        if len(marks) >= least and (scope == "near" or (q > p and total[scope, w] * kl >= bits)):
+            want[kind, w] = max(want.get((kind, w), -9), math.log2(q / p) / -math.log2(p))
+    scratch = pii.Scratch(spark)
+    got = {(r.kind, r.term): r.disclosed for r in pii.disclosures(docs, "text", reach, least, bits, scratch).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    assert want[pii.SECRET, "apikey"] > 0.9 and want[pii.KINDS.index("ip"), "farlink"] == pytest.approx(1.0)
+    # a term goes wherever it stands in a document with a value of its kind, and nowhere else; more terms than are sent give the same
+    few, many = ({r.doc_id: r for r in pii.report(docs, reach=reach, max_sent=m).collect()} for m in (pii.MAX_SENT, 0))
+    assert few == many and few[502].n_term == 0 and few[503].spans == ""
+    assert few[9].n_ip == 1 and few[9].n_term >= 1 and few[6].n_secret == 1 and few[6].spans.count("secret:") == 1
+    a, b = (sorted(map(str, pii.sanitise(docs, reach=reach, max_sent=m).collect())) for m in (pii.MAX_SENT, 0))
+    assert a == b and not any("0a1b2c3d" in x for x in a)
+
+
+def test_secrets_are_opaque_runs():
+    spans = lambda t: [t[a:b] for k, a, b in pii.protected_spans(t) if k == pii.SECRET]
+    assert spans('token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" x') == ["04dbebab91ab85687d33eeaaf9ac699e1188f962"]
+    for text in ("a" * 40, "1234567890" * 4, "internationalisation_of_everything", "user12@host1234567890abcdef12345.com", "ab12" * 10, "x" * 200_000 + "1"):
+        assert spans(text) == []
+
+
 # --- op3
 
 
@@ -505,9 +571,49 @@ def test_source_mix(spark, docs):
         assert all(abs(taken[s] - target[s]) <= 64 + 0.02 * target[s] for s in names)
         assert sorted(map(str, source_mix.Mix(docs.repartition(2), **kwargs).report().collect())) == sorted(map(str, got))
         assert mix.output().agg(F.sum("words")).first()[0] == sum(taken.values())
+        # slots are what was drawn: so many of each source in each shard, numbered without gaps
+        drawn = {(r.place, r.shard): (r.n, r.first) for r in mix.shard_counts().collect()}
+        slots = mix.slots().collect()
+        assert Counter((r.place, r.shard) for r in slots) == {k: n for k, (n, _) in drawn.items()}
+        assert all(drawn[r.place, r.shard][1] <= r.slot < sum(drawn[r.place, r.shard]) for r in slots)
+        quota = {r.place: r.slots for r in mix.quota.collect()}
+        assert all(sorted(r.slot for r in slots if r.place == p) == list(range(n)) for p, n in quota.items())
     assert source_mix.Mix(empty(spark)).report().count() == 0
 
 
+def test_source_mix_draws_shards_alike(spark):
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), 200).alias("text"), (F.col("id") % 3).cast("string").alias("source"))
+    mix = source_mix.Mix(df, block_words=8, shard_slots=1000)
+    counts, total = {(r.place, r.shard): r.n for r in mix.shard_counts().collect()}, mix.quota.agg(F.sum("slots")).first()[0]
+    shards = -(-total // 1000)
+    for r in mix.quota.collect():  # a multinomial draw of its slots over the shards: means and spread
+        own = np.array([counts.get((r.place, h), 0) for h in range(shards)])
+        mean, sd = r.slots / shards, math.sqrt(r.slots / shards * (1 - 1 / shards))
+        assert own.sum() == r.slots and np.abs(own - mean).max() < 5 * sd and 0.6 * sd < own.std() < 1.4 * sd
+    # bands of shards number slots as one running sum would
+    before = source_mix.BAND_SHARDS
+    try:
+        source_mix.BAND_SHARDS, mix.drawn = 7, None
+        assert sorted(map(tuple, mix.shard_counts().select("place", "shard", "n", "first").collect())) == sorted((p, h, n, sum(counts.get((p, j), 0) for j in range(h))) for (p, h), n in counts.items())
+    finally:
+        source_mix.BAND_SHARDS = before
+
+
+def test_mixed_texts_are_the_words_taken(spark, docs):
+    mix = source_mix.Mix(docs, block_words=8, with_text=True)
+    pieces = mix.mixed_texts().collect()
+    words = {r[0]: (r[1] or "").split() for r in corpus() if r[0] is not None}
+    assert all(p.text.split() == words[p.doc_id][p.first_word : p.first_word + len(p.text.split())] and p.text for p in pieces if p.doc_id is not None)
+    taken = Counter()
+    for p in pieces:
+        taken[p.doc_id] += len(p.text.split())
+    want = Counter()
+    for r in mix.report().collect():
+        want[r.doc_id] += r.taken
+    assert taken == +want and max(Counter((p.source, p.slot) for p in pieces).values()) <= 8
+    assert source_mix.Mix(empty(spark), with_text=True).mixed_texts().count() == 0
+
+
 def test_permutation_is_a_bijection(spark):
     for n in (1, 2, 7, 1000):
         df = spark.range(n).select(F.col("id").alias("i"), F.lit(n).cast("long").alias("m"), F.lit(3).cast("long").alias("k"))

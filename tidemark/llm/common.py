@@ -37,10 +37,12 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark, self.base, self.paths = spark, f"{shared_dir(spark)}/tidemark-{uuid.uuid4().hex}", {}
+        self.kept = 0
 
     def keep(self, df: DataFrame, name: str, partition_by: str | None = None, records: int | None = None) -> DataFrame:
         """``records``: rows of an Arrow batch at most while the table is written, for steps that read whole texts."""
-        path = f"{self.base}/{name}-{len(self.paths)}"
+        self.kept += 1
+        path = f"{self.base}/{name}-{self.kept}"
         writer = df.write.option("compression", "zstd")
         key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", self.spark.conf
         before = conf.get(key)

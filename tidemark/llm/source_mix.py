@@ -1,17 +1,20 @@
 """Mixing sources to target weights, with DataFrame operations only.
 
-Words are packed into blocks of ``block_words`` along each source. A source's target fixes how many output slots it fills;
-every slot draws its output shard, so the counts of sources in a shard are multinomial draws whose sums meet the targets.
-Slot j of a source maps to block perm(j mod B) of its B blocks, with a fresh pseudorandom permutation on every pass, and the
-blocks are joined by index. A source fills at most ``max_passes`` * B slots, so no block, and so no document, is taken more
-often than that.
+Words are packed into blocks of ``block_words`` along each source. A source's target fixes how many output slots it fills. The
+output is written in shards: for every shard the number of slots of each source is drawn, multinomially given the targets, since
+each of a source's slots draws its shard alike. These counts are what everything after goes by: the slots of a source are
+numbered shard after shard, slot j maps to block perm(j mod B) of the source's B blocks, with a fresh pseudorandom permutation
+on every pass, and the blocks are joined by index. A source fills at most ``max_passes`` * B slots, so no block, and so no
+document, is taken more often than that.
 
-Packing works in buckets of documents, so that running sums never put a whole source into one task; only the bucket totals
-are summed along a source. All draws follow from ids and the seed: a rerun gives the same mix.
+Packing works in buckets of documents, and slots are numbered in bands of shards, so that running sums never put a whole source
+into one task; only the totals of buckets and bands are summed along a source. Rows without an id, and rows that share one, are
+dealt over the buckets by their text. All draws follow from ids, sizes and the seed: a rerun gives the same mix.
 
 Defined cases: a null text has size 0; such documents, and sources without words, take 0. A null source is a source, the
-last one. Rows that share an id are packed side by side, each by itself; rows alike in id, source and size are
-interchangeable. An empty table gives an empty result.
+last one. Rows that share an id are each packed by itself; rows alike in id, source and text are interchangeable. A long text
+spans many blocks and may land in many shards; none of it is cut off. Ids of any type are hashed, not cast. An empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ PRIME = 2_147_483_647
 ROUNDS = 8
 BLOCK_WORDS = 32
 BUCKET_DOCS = 20_000
+#: Shards whose slots are numbered by one running sum.
+BAND_SHARDS = 1_024
 
 
 def word_count(text: Column) -> Column:
@@ -92,16 +97,22 @@ class Mix:
         shard_slots: int = 65_536,
         seed: int = 1,
         bucket_docs: int = BUCKET_DOCS,
+        with_text: bool = False,
     ):
         self.docs, self.seed, self.block_words = docs, seed, block_words
         spark = docs.sparkSession
-        sized = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"))
-        sized = Scratch(spark).keep(sized, "sizes")
+        columns = [F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"), F.xxhash64(F.col(text)).alias("mark")]
+        if with_text:  # rows need a name of their own to meet their text again
+            columns += [F.col(text).cast("string").alias("text"), F.monotonically_increasing_id().alias("row")]
+        sized = docs.select(*columns)
+        self.scratch = Scratch(spark)
+        staged = self.scratch.keep(sized, "sizes")
+        sized, self.texts = (staged.drop("text"), staged.select("row", "text")) if with_text else (staged, None)
         per_source = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), max_passes)
         n = sized.count()
         buckets = max(1, -(-n // bucket_docs))
-        bucket = F.pmod(F.pmod(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), F.lit(PRIME)) * 48_271, F.lit(PRIME)) % buckets
-        along = Window.partitionBy("place", "bucket").orderBy(F.asc_nulls_first("doc_id"), "size").rowsBetween(Window.unboundedPreceding, 0)
+        bucket = F.pmod(F.xxhash64("doc_id", "mark"), F.lit(buckets))
+        along = Window.partitionBy("place", "bucket").orderBy(F.asc_nulls_first("doc_id"), "size", "mark").rowsBetween(Window.unboundedPreceding, 0)
         #: doc_id, size, source_size, target, place, bucket, start: a document is words start .. start + size of its bucket
         self.placed = (
             sized.join(per_source.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source")))
@@ -121,10 +132,21 @@ class Mix:
         )
         #: One row per source: place, blocks, slots
         self.quota = quota.where(F.col("slots") > 0).select("place", "blocks", F.col("slots").cast("long").alias("slots"))
-        self.shard_slots = shard_slots
-
-    def slots(self) -> DataFrame:
-        """One row per output slot: place of the source, slot, pass, block, and the shard it was drawn into."""
+        self.shard_slots, self.drawn = shard_slots, None
+
+    def shard_counts(self) -> DataFrame:
+        """The draw: place, shard, n (slots of the source in the shard), first (its first slot there)."""
+        if self.drawn is None:
+            self.drawn = self.scratch.keep(self._draw().withColumn("band", F.floor(F.col("shard") / BAND_SHARDS)), "drawn")
+        drawn = self.drawn
+        before = lambda *keys, by: Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        running = lambda x, w: F.coalesce(F.sum(x).over(w), F.lit(0))
+        bands = drawn.groupBy("place", "band").agg(F.sum("n").alias("in_band")).withColumn("before", running("in_band", before("place", by="band")))
+        within = drawn.withColumn("within", running("n", before("place", "band", by="shard")))
+        return within.join(bands.drop("in_band"), ["place", "band"]).select("place", "shard", "n", (F.col("before") + F.col("within")).alias("first"))
+
+    def _draw(self) -> DataFrame:
+        """place, shard, n: every slot of a source draws its shard."""
         spark = self.docs.sparkSession
         chunk = 16_384
         starts = self.quota.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / F.lit(chunk)))))
@@ -133,11 +155,22 @@ class Mix:
         starts = starts.repartition(parts, "place", "at")
         first = F.col("at") * chunk
         slots = starts.withColumn("slot", F.explode(F.sequence(first, F.least(first + (chunk - 1), F.col("slots") - 1))))
+        total = self.quota.agg(F.ceil(F.sum("slots") / F.lit(self.shard_slots)).alias("shards"))
+        draw = F.pmod(F.xxhash64("place", "slot", F.lit(self.seed)), F.col("shards"))
+        return slots.join(F.broadcast(total)).groupBy("place", draw.alias("shard")).agg(F.count("*").alias("n"))
+
+    def slots(self) -> DataFrame:
+        """One row per output slot: place of the source, slot, pass, block, and the shard."""
+        spark = self.docs.sparkSession
+        chunk = 16_384
+        counts = self.shard_counts().join(self.quota.drop("slots"), "place")
+        counts = counts.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / F.lit(chunk)))))
+        counts = counts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "place", "shard", "at")
+        begin = F.col("first") + F.col("at") * chunk
+        slots = counts.withColumn("slot", F.explode(F.sequence(begin, F.least(begin + chunk, F.col("first") + F.col("n")) - 1)))
         slots = slots.withColumn("pass", F.floor(F.col("slot") / F.col("blocks"))).withColumn("index", F.col("slot") % F.col("blocks"))
         slots = permuted(slots, "index", "blocks", ["place", "pass"], self.seed, "block")
-        total = self.quota.agg(F.ceil(F.sum("slots") / F.lit(self.shard_slots)).alias("shards"))
-        draw = F.pmod(F.pmod(F.col("slot") * 48_271 + F.col("place") * 16_807 + self.seed, F.lit(PRIME)) * 69_621, F.lit(PRIME))
-        return slots.join(F.broadcast(total)).select("place", "slot", "pass", "block", (draw % F.col("shards")).alias("shard"))
+        return slots.select("place", "slot", "pass", "block", "shard")
 
     def pieces(self) -> DataFrame:
         """One row per document and block: place, block, bucket, start of the document, first word of it and words."""
@@ -153,11 +186,24 @@ class Mix:
 
     def output(self) -> DataFrame:
         """The mix itself: shard, place, slot, and the pieces of documents that the slot's block holds."""
-        return self.pieces().join(self.slots().hint("merge"), ["place", "block"]).select("shard", "place", "slot", "doc_id", "first_word", "words")
+        return self.pieces().join(self.slots().hint("merge"), ["place", "block"]).select("shard", "place", "slot", "bucket", "start", "doc_id", "first_word", "words")
+
+    def mixed_texts(self) -> DataFrame:
+        """The mix as text (needs ``with_text``): shard, source, slot, doc_id, first_word, text. One row per piece of a document in a
+        slot; its words are joined by single spaces."""
+        piece = F.struct("shard", "slot", "first_word", "words")
+        per_doc = self.output().groupBy("place", "bucket", "start").agg(F.collect_list(piece).alias("taken"))
+        named = self.placed.where(F.col("size") > 0).join(per_doc.hint("merge"), ["place", "bucket", "start"]).select("row", "doc_id", "source", "taken")
+        split = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+        rows = named.join(self.texts.hint("merge"), "row").withColumn("word", split)
+        cut = F.transform("taken", lambda p: F.struct(p["shard"], p["slot"], p["first_word"], F.array_join(F.slice(F.col("word"), (p["first_word"] + 1).cast("int"), p["words"].cast("int")), " ").alias("text")))
+        rows = rows.select("doc_id", "source", F.explode(cut).alias("piece"))
+        return rows.select("piece.shard", "source", "piece.slot", "doc_id", "piece.first_word", "piece.text")
 
     def report(self) -> DataFrame:
         """One row per document: doc_id, size, source_size, target, taken."""
-        taken = self.slots().groupBy("place", "block").agg(F.count("*").alias("times"))
+        # every slot of every shard once; a block's shards show how often each takes it
+        taken = self.slots().groupBy("place", "block").agg(F.count("shard").alias("times"))
         # the planner can't know how many slots the sources' few rows become: it must not broadcast them
         per_doc = self.pieces().join(taken.hint("merge"), ["place", "block"]).groupBy("place", "bucket", "start").agg(F.sum(F.col("times") * F.col("words")).alias("taken"))
         with_words = self.placed.where(F.col("size") > 0).join(per_doc.hint("merge"), ["place", "bucket", "start"], "left")
