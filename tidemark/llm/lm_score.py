@@ -47,7 +47,7 @@ PART = 64
 #: Bytes of text whose words are listed together.
 BLOCK_BYTES = 16_000_000
 #: Listed words of one range of keys, about.
-PART_WORDS = 2_000_000
+PART_WORDS = 250_000
 #: Windows of one training step or one scoring product.
 STEP = 128
 #: Ids of the BPE, then the end, the start and what fills windows.
