@@ -151,6 +151,320 @@ def test_specs_refuse_what_is_not_published(spark):
         s.check()
 
 
+def history(spark, n=3000, seed=0):
+    rng = np.random.default_rng(seed)
+    base = D(2020, 1, 1)
+    rows = []
+    for i in range(n):
+        month = int(rng.integers(0, 24))
+        period = D(2020 + month // 12, month % 12 + 1, 1)
+        late = None if rng.random() < 0.01 else period + dt.timedelta(days=int(rng.integers(0, 120)))
+        rows.append(("hot" if rng.random() < 0.5 else f"s{rng.integers(0, 5)}", period, late, float(i), int(rng.integers(0, 3)), i))
+    return frame(spark, rows, "s string, p date, v date, x double, t1 int, t2 int"), rows, base
+
+
+def as_of_by_hand(rows, origins, ahead=0):
+    want = {}
+    for o in origins:
+        last = o.year * 12 + o.month - 1 + ahead
+        for s, p, v, x, a, b in rows:
+            months = p.year * 12 + p.month - 1
+            if v is None or not (months < last or (months == last and (ahead or p <= o) and (p.day <= o.day or not ahead))):
+                continue
+            rank = (1, v.toordinal(), a, b) if v <= o else (0, -v.toordinal(), -a, -b)
+            if (o, s, p) not in want or rank > want[o, s, p][0]:
+                want[o, s, p] = (rank, x)
+    return {k: x for k, (_, x) in want.items()}
+
+
+@pytest.mark.parametrize("max_sent", [10_000, 0])
+@pytest.mark.parametrize("ahead", [0, 3])
+def test_as_of_many_against_brute_force(spark, max_sent, ahead):
+    df, rows, base = history(spark)
+    days = [base + dt.timedelta(days=k) for k in (0, 14, 31, 100, 101, 365, 500, 900, 4000)]
+    origins = frame(spark, [(x,) for x in [*days, days[2], None]], "origin date")
+    out = vintage.as_of_many(df, origins, ["s", "p"], "p", "v", ["t1", "t2"], ahead_months=ahead, max_sent=max_sent).collect()
+    got = {(r.origin, r.s, r.p): r.x for r in out}
+    assert len(out) == len(got) and got == as_of_by_hand(rows, days, ahead)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["as_of_many", "known_ahead", "leaderboard_vintage_baselines"])
+def test_history_is_never_broadcast(spark, small, name):
+    from tidemark.catalog import QUERIES
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = plan_of(QUERIES[name](spark, small)).split("\n")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    depth = lambda x: len(x) - len(x.lstrip(" :+-*()0123456789"))
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            for below in lines[i + 1 :]:
+                if depth(below) <= depth(line):
+                    break
+                assert "lineitem" not in below
+
+
+def test_asof_top_k_reaches_back_over_months(spark):
+    weeks = [D(2020, 1, 4) + dt.timedelta(days=7 * k) for k in range(20) if k not in (9, 10, 11, 12, 13)]
+    rows = [("a", w, float(i)) for i, w in enumerate(weeks)] + [("a", D(2020, 1, 7), None), ("b", D(2020, 5, 2), 1.0)]
+    got = {(r.s, r.period): [r[f"v{i}"] for i in range(6)] for r in reshape.asof_top_k(frame(spark, rows, "s string, w date, x double"), ["s"], "w", "x", 6).collect()}
+    for m in range(1, 6):
+        end = D(2020, m + 1, 1)
+        past = [float(i) for i, w in enumerate(weeks) if w < end][::-1][:6]
+        assert got["a", D(2020, m, 1)] == (past if len(past) == 6 else [None] * 6)
+    assert got["b", D(2020, 5, 1)] == [None] * 6 and len(got) == 6
+
+
+def test_last_values_skip_what_is_unknown(spark):
+    xs = [1.0, None, 2.0, 3.0, None, None, 4.0, 5.0]
+    df = frame(spark, [("a", i, x) for i, x in enumerate(xs)] + [("b", 0, 9.0), ("b", 1, None)], "s string, t int, x double")
+    got = {(r.s, r.t): r["last"] for r in features.Series(["s"], "t").last_values(df, F.col("x"), 3).collect()}
+    for i in range(len(xs)):
+        past = [x for x in xs[:i] if x is not None][::-1]
+        assert got["a", i] == (past[:3] if len(past) >= 3 else None)
+    assert got["b", 0] is None and got["b", 1] is None
+
+
+def test_freshest_lag_can_be_required(spark):
+    df = frame(spark, [("a", i, None if i == 3 else float(i)) for i in range(8)], "s string, t int, x double")
+    s = features.Series(["s"], "t")
+    got = [r.k for r in df.withColumn("k", s.freshest_lag(F.col("x"), [1, 2])).orderBy("t").collect()]
+    assert got == [None, None, 1, 1, 2, None, 1, 1]
+    with pytest.raises(Exception, match="no lag of"):
+        df.withColumn("k", s.freshest_lag(F.col("x"), [1, 2], required=True)).collect()
+
+
+def test_member_offsets_pool_what_is_left(spark):
+    rows = [(m, d, 10.0 * m + d % 3) for m in (1, 2) for d in range(5)]
+    truth = frame(spark, [(d, 10.0) for d in range(5)], "d int, y double")
+    df = frame(spark, rows, "m int, d int, x double")
+    e = {m: [x - 10 for k, _, x in rows if k == m] for m in (1, 2)}
+    left = [x - np.mean(v) for v in e.values() for x in v]
+    got = {r.m: r for r in features.member_offsets(df, truth, "m", "d", "x", "y").collect()}
+    assert all(got[m].offset == pytest.approx(np.mean(e[m])) and got[m].residual_sd == pytest.approx(np.std(left)) for m in e)
+    small = features.member_offsets(df.where("d < 2"), truth, "m", "d", "x", "y").first()
+    assert small.residual_sd == 1.0  # too few to say
+    flat = features.member_offsets(df.withColumn("x", F.lit(11.0)), truth, "m", "d", "x", "y").first()
+    assert flat.residual_sd == 0.3
+
+
+def test_shrunk_ratio_counts_only_covered_months(spark):
+    rows = [("a", i, 10.0 + i, 5.0, 0.5 if i == 3 else 1.0) for i in range(6)] + [("a", 6, None, 5.0, 1.0)]
+    df = frame(spark, rows, "s string, t int, y double, x double, c double")
+    counts = (F.col("t") >= 1) & (F.col("c") >= 0.75)
+    got = {r.t: r for r in walkforward.shrunk_ratio(df, ["s"], "y", "x", 2.0, 4.0, 0.1, 9.0, completeness="c", leave_one_out=True, counts=counts).collect()}
+    for t in range(7):
+        y, x = sum(r[2] for r in rows if r[1] in (1, 2, 4, 5) and r[1] != t), 5.0 * sum(k != t for k in (1, 2, 4, 5))
+        k = 4.0 * (1 - rows[t][4])
+        assert got[t].raw_ratio == pytest.approx(y / x) and got[t].ratio == pytest.approx((y + k * 2.0) / (x + k))
+
+
+def test_platt_scaling_uses_earlier_labels_only(spark):
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(400):
+        p = float(rng.uniform(0.05, 0.95))
+        rows.append((i, D(2024, 1, 1) + dt.timedelta(days=i // 10), p, int(rng.random() < 0.5 * p)))
+    df = frame(spark, rows, "i int, d date, p double, y int")
+    blocks = ["2024-01-03", "2024-01-11", "2024-01-25"]
+    cal = lambda x: {r.i: r.calibrated for r in walkforward.platt_scaling(x, "p", "y", "d", blocks).collect()}
+    got = cal(df)
+    # labels from a day on change nothing before the next block
+    other = cal(df.withColumn("y", F.when(F.col("d") >= "2024-01-20", 1 - F.col("y")).otherwise(F.col("y"))))
+    assert all(got[i] == other[i] for i, d, *_ in rows if d < D(2024, 1, 25)) and got != other
+    # no block, or fewer than 30 rows before it: p itself, clipped
+    assert all(got[i] == pytest.approx(min(max(p, 0.05), 0.95)) for i, d, p, _ in rows if d < D(2024, 1, 11))
+    past = [r for r in rows if r[1] < D(2024, 1, 25)]
+    a = b = 0.0
+    z, y = np.log([r[2] / (1 - r[2]) for r in past]), np.array([r[3] for r in past])
+    for _ in range(60):  # Newton steps of the same likelihood
+        q = 1 / (1 + np.exp(-(a + b * z)))
+        w = q * (1 - q)
+        h = np.array([[w.sum(), (w * z).sum()], [(w * z).sum(), (w * z * z).sum()]])
+        a, b = np.array([a, b]) + np.linalg.solve(h, [(y - q).sum(), ((y - q) * z).sum()])
+    for i, d, p, _ in rows:
+        if d >= D(2024, 1, 25):
+            assert got[i] == pytest.approx(min(max(1 / (1 + math.exp(-(a + b * math.log(p / (1 - p))))), 0.05), 0.95), abs=2e-3)
+
+
+def test_fit_next_solves_the_last_row_only(spark):
+    df, rows = panel(spark)
+    more = df.unionByName(df.withColumn("s", F.lit("b")).where("t < 50"))
+    whole = {(r.s, r.t): r.prediction for r in walkforward.wf_ols(more, ["s"], "t", "y", ["x1", "x2"], 24).collect()}
+    last = walkforward.fit_next(more, ["s"], "t", "y", ["x1", "x2"], 24)
+    assert {(r.s, r.t): r.prediction for r in last.collect()} == {("a", 59): whole["a", 59], ("b", 49): whole["b", 49]}
+    plan = plan_of(last).split("== Initial Plan ==")[-1]
+    # the solve stands above the filter, and the panel (two frames here) is read once
+    assert plan.index("ArrowEvalPython") < plan.index("isnull(__next") and plan.count("Scan") == 2
+
+
+def test_guards_fail(spark):
+    df = frame(spark, [("a", D(2024, 1, 5)), ("b", D(2024, 1, 7))], "g string, d date")
+    assert scoring.freshness_guard(df, F.col("d"), "2024-01-10", 3, "g", 2).count() == 2
+    with pytest.raises(ValueError, match="newest input"):
+        scoring.freshness_guard(df, F.col("d"), "2024-01-11", 3)
+    with pytest.raises(ValueError, match="different values"):
+        scoring.freshness_guard(df, F.col("d"), "2024-01-10", 3, "g", 3)
+    with pytest.raises(ValueError, match="newest input"):
+        scoring.freshness_guard(df.where("false"), F.col("d"), "2024-01-10", 3)
+    with pytest.raises(ValueError, match="over 1"):
+        reshape.collect_snapshot(df.unionByName(df), "d", ["g"], most=1)
+    with pytest.raises(ValueError, match="origins"):
+        walkforward.stated(spark.range(walkforward.MAX_STATED + 1).select(F.col("id").alias("origin")))
+
+
+def test_duplicate_staged_and_patch_keys(spark):
+    target = frame(spark, [(1, "a", 1.0), (2, "b", 2.0), (None, "n", 3.0)], "k int, g string, v double")
+    staged = frame(spark, [(1, "x", 5.0), (1, "y", 4.0), (None, "m", 7.0), (None, "l", 8.0)], "k int, g string, v double")
+    assert sorted(map(tuple, tables.upsert(target, staged, ["k"]).collect()), key=str) == sorted([(1, "y", 4.0), (2, "b", 2.0), (None, "m", 7.0)], key=str)
+    assert sorted(map(tuple, tables.upsert(target, staged, ["k"], ["v"]).collect()), key=str) == sorted([(1, "x", 5.0), (2, "b", 2.0), (None, "l", 8.0)], key=str)
+    patched = tables.update_columns(target, staged, ["k"], ["v"], ["v"])
+    assert sorted(map(tuple, patched.collect()), key=str) == sorted([(1, "a", 5.0), (2, "b", 2.0), (None, "n", 8.0)], key=str)
+
+
+def test_nested_points(spark):
+    doc = '{"series": [{"id": "u", "points": [{"period": "2024-01-01", "value": 1.5}, {"period": null, "value": 2}, {"period": "2024-02-01", "value": null}]}, {"id": "w", "points": []}, {"id": "z", "points": [{"period": "2024-03-01", "value": 3}]}]}'
+    df = frame(spark, [(1, doc), (2, None), (3, "no json"), (4, '{"series": []}')], "k int, body string")
+    meta = frame(spark, [("u", "units")], "series_id string, title string")
+    want = {(1, "u", D(2024, 1, 1), 1.5, "units"), (1, "u", D(2024, 2, 1), None, "units"), (1, "z", D(2024, 3, 1), 3.0, None)}
+    for most in (10, 0):
+        got = tables.nested_points(df, ["k"], "body", meta, most).select("k", "series_id", "period", "value", "title").collect()
+        assert {tuple(r) for r in got} == want and len(got) == 3
+
+
+def job_inputs(names, n=170, seed=3):
+    rng = np.random.default_rng(seed)
+    months = [D(2000 + k // 12, k % 12 + 1, 1) for k in range(n)]
+    return months, {x: np.exp(np.cumsum(rng.normal(size=n) * 0.03)) * 60 + 3 * np.sin(np.arange(n) * 0.52) for x in names}
+
+
+def season(v):
+    out = np.full(len(v), np.nan)
+    for i in range(len(v)):
+        past = v[i % 12 : i : 12]
+        past = past[np.isfinite(past)]
+        out[i] = past.mean() if len(past) else np.nan
+    return out
+
+
+def shift(v, k=1):
+    out = np.full(len(v), np.nan)
+    out[k:] = v[: len(v) - k]
+    return out
+
+
+def dlog(v):
+    return np.log(v) - np.log(shift(v))
+
+
+#: Each job's target and regressors written out.
+BY_HAND = {
+    "eggs_job": lambda x: (dlog(x["ap"]), [shift(dlog(x["ap"])), *[shift(dlog(x["ppi"]), k) for k in (1, 2, 3)], season(dlog(x["ap"]))]),
+    "gasoline_job": lambda x: (dlog(x["cpi"]), [dlog(x["eia"]), season(dlog(x["cpi"]) - dlog(x["eia"]))]),
+    "electricity_job": lambda x: (dlog(x["ap"]), [shift(dlog(x["ap"])), shift(dlog(x["ap"]), 12), season(dlog(x["ap"]))]),
+    "airfares_job": lambda x: (dlog(x["ap"]), [shift(dlog(x["ap"])), shift(dlog(x["ap"]), 2), dlog(x["wti"]), shift(dlog(x["wti"])), shift(dlog(x["wti"]), 2)]),
+    "ppi_job": lambda x: (dlog(x["nsa"]), [dlog(x["gas_mid"]), dlog(x["diesel_mid"]), (x["ism"] - 50) / 100, season(dlog(x["nsa"])), shift(dlog(x["sa"]))]),
+    "pce_job": lambda x: (dlog(x["pce"]), [dlog(x["ccpi"]), dlog(x["air"])]),
+    "retail_job": lambda x: (dlog(x["rs"]), [dlog(x["gas"]), shift(dlog(x["rs"])), shift(dlog(x["rs"]), 2)]),
+    "ism_job": lambda x: (x["pmi"] - shift(x["pmi"]), [x["flash"] - shift(x["pmi"]), np.mean([x[k] for k in ("empire", "philly", "richmond", "dallas")], axis=0) - shift(x["pmi"]), shift(x["pmi"] - shift(x["pmi"]))]),
+    "construction_job": lambda x: (dlog(x["starts"]), [shift(np.log(x["permits"] / x["starts"])), shift(dlog(x["starts"])), x["hmi"] - shift(x["hmi"]), x["tavg"] - season(x["tavg"]), shift(x["tavg"] - season(x["tavg"]))]),
+    "permits_job": lambda x: (dlog(x["permits"]), [shift(dlog(x["single"])), shift(dlog(x["multi"]))]),
+    "home_sales_job": lambda x: (dlog(x["sales"]), [dlog(x["permits"]), np.log(x["permits"]) - shift(np.log(x["sales"])), shift(dlog(x["sales"]))]),
+    "sentiment_job": lambda x: (x["prelim"] - shift(x["final"]), [(x["gas_sw"] / shift(x["gas_sw"]) - 1) * 100, (x["sp_sw"] / shift(x["sp_sw"]) - 1) * 100]),
+    "sentiment_final_job": lambda x: (x["final"] - x["prelim"], [(x["gas_late"] / x["gas_sw"] - 1) * 100, (x["sp_late"] / x["sp_sw"] - 1) * 100]),
+}
+
+
+def level_by_hand(name, x, i, p):
+    spec = jobs.SPECS[name]
+    t = x[spec.target]
+    if spec.target_transform == "dlog":
+        return t[i - 1] * math.exp(p)
+    return {"ism_job": lambda: t[i - 1] + p, "sentiment_job": lambda: x["final"][i - 1] + p, "sentiment_final_job": lambda: x["prelim"][i] + p}[name]()
+
+
+@pytest.mark.parametrize("name", sorted(jobs.SPECS))
+def test_job_matches_numpy_at_its_own_least_training_rows(spark, name):
+    spec = jobs.SPECS[name]
+    assert set(BY_HAND) == set(jobs.SPECS)
+    months, x = job_inputs(spec.inputs())
+    rows = [(s, m, *[float(x[k][i]) for k in x]) for s in ("a", "b") for i, m in enumerate(months)]
+    df = frame(spark, rows, "s string, t date, " + ", ".join(f"{k} double" for k in x))
+    got = {(r.s, r.t): r for r in jobs.run_job(df, spec, ["s"], "t").collect()}
+    y, xs = BY_HAND[name](x)
+    design = np.column_stack([np.ones(len(y)), *xs])
+    usable = np.isfinite(design).all(axis=1) & np.isfinite(y)
+    first = next(i for i in range(len(y)) if usable[:i].sum() >= spec.min_train and np.isfinite(design[i]).all())
+    for i in (first - 1, first, first + 7, len(y) - 1):
+        r = got["b", months[i]]
+        assert r.n_train == usable[:i].sum()
+        if i < first:
+            assert r.prediction is None
+            continue
+        beta = np.linalg.lstsq(design[:i][usable[:i]], y[:i][usable[:i]], rcond=None)[0]
+        assert r.prediction == pytest.approx(float(design[i] @ beta), rel=1e-5, abs=1e-8)
+        assert r.level == pytest.approx(level_by_hand(name, x, i, r.prediction), rel=1e-9)
+
+
+def test_ridge_ensemble_by_available_members(spark):
+    spec = jobs.ENSEMBLES["challenger_job"]
+    months, x = job_inputs(spec.inputs(), 90)
+    gaps = {"cb": range(80, 85), "ism_emp": range(83, 87)}
+    x = {k: np.where([i in gaps.get(k, ()) for i in range(90)], np.nan, v) for k, v in x.items()}
+    rows = [("a", m, *[None if np.isnan(x[k][i]) else float(x[k][i]) for k in x]) for i, m in enumerate(months)]
+    got = [r for r in jobs.run_ensemble(frame(spark, rows, "s string, t date, " + ", ".join(f"{k} double" for k in x)), spec, ["s"], "t").orderBy("t").collect()]
+    y = np.log(x["cuts"])
+    base = [shift(y), *[np.array([float(m.month == k) for m in months]) for k in range(2, 13)]]
+    ism = [*base, 50 - x["ism_emp"]]
+    yoy = np.log(x["claims"]) - np.log(shift(x["claims"], 12))
+    designs = {"ism": (np.column_stack(ism), 5.0), "allind": (np.column_stack([*ism, yoy, x["cb"], x["mich"]]), 15.0), "base": (np.column_stack(base), 1e-6)}
+
+    def ridge(name, i):
+        d, penalty = designs[name]
+        ok = np.isfinite(d[:i]).all(axis=1) & np.isfinite(y[:i])
+        if not np.isfinite(d[i]).all() or ok.sum() < spec.min_train:
+            return None
+        z, t = d[:i][ok], y[:i][ok]
+        sd = np.where(z.std(0) == 0, 1, z.std(0))
+        c = (z - z.mean(0)) / sd
+        return float(t.mean() + ((d[i] - z.mean(0)) / sd) @ np.linalg.solve(c.T @ c + penalty * np.eye(c.shape[1]), c.T @ (t - t.mean()))), int(ok.sum())
+
+    seen = set()
+    for i in range(90):
+        found = {k: ridge(k, i) for k in ("ism", "allind")}
+        there = [k for k in found if found[k]]
+        method = "ensemble" if len(there) == 2 else f"{there[0]}_only" if there else "fallback" if ridge("base", i) else None
+        used = [found[k] for k in there] or ([ridge("base", i)] if method else [])
+        assert got[i].method == method
+        seen.add(method)
+        if used:
+            assert got[i].prediction == pytest.approx(np.mean([p for p, _ in used]), rel=1e-6) and got[i].n_train == min(n for _, n in used)
+            assert got[i].level == pytest.approx(math.exp(got[i].prediction))
+    assert seen == {None, "ensemble", "ism_only", "fallback"}
+
+
+def test_daily_windows(spark):
+    days = [D(2024, 1, 1) + dt.timedelta(days=k) for k in range(120) if not 38 <= k <= 46]
+    rows = [("a", d, float(i)) for i, d in enumerate(days)]
+    got = {r.period: r for r in jobs.daily_windows(frame(spark, rows, "s string, d date, x double"), ["s"], "d", "x", "g").collect()}
+    value = dict((d, x) for _, d, x in rows)
+    for m, at in ((1, D(2024, 1, 9)), (2, D(2024, 2, 13)), (3, D(2024, 3, 12)), (4, D(2024, 4, 9))):
+        near = [d for d in days if at - dt.timedelta(days=6) <= d <= at]
+        assert got[D(2024, m, 1)].g_mid == (value[near[-1]] if near else None)
+        before = D(2024, m, 1) - dt.timedelta(days=1)
+        own = [x for d, x in value.items() if (d.year, d.month) == (2024, m) and d.day <= 7 or (d.year, d.month) == (before.year, before.month) and d.day >= 25]
+        late = [x for d, x in value.items() if (d.year, d.month) == (2024, m) and 8 <= d.day <= 21]
+        assert got[D(2024, m, 1)].g_sw == pytest.approx(np.mean(own)) and got[D(2024, m, 1)].g_late == pytest.approx(np.mean(late))
+
+
 def test_entry_without_training_data_operators(monkeypatch, spark, small):
     import __spark_entry__ as entry
 

@@ -76,19 +76,29 @@ class Series:
         after = self.lead(x)
         return F.when(after.isNotNull() & x.isNotNull(), (after > x).cast("int"))
 
-    def last_values(self, x: Column, n: int) -> Column:
-        """The last n values strictly before, newest first; null when there are fewer."""
-        kept = F.collect_list(x).over(self.before())
-        return F.when(F.size(kept) >= n, F.slice(F.reverse(kept), 1, n))
+    def last_values(self, df: DataFrame, x: Column, n: int, out: str = "last") -> DataFrame:
+        """``df`` with the last n known values strictly before each row, newest first; null when there are fewer. A row hands on its
+        value and those it was handed, so n values are carried, not the whole past."""
+        names, before = [f"__v{i}" for i in range(n)], self.before()
+        df = df.withColumn("__x", x)
+        for i, name in enumerate(names):
+            handed = F.col("__x") if i == 0 else F.when(F.col("__x").isNotNull(), F.col(names[i - 1]))
+            # a known value without predecessors hands on nothing, not what an earlier row was handed
+            marked = F.when(F.col("__x").isNotNull(), F.struct(handed.alias("v")))
+            df = df.withColumn(name, F.last(marked, ignorenulls=True).over(before)["v"])
+        full = F.when(F.col(names[-1]).isNotNull(), F.array(*names))
+        return df.withColumn(out, full).drop("__x", *names)
 
     def local_drift(self, x: Column, nearest: int = 5, furthest: int = 14) -> Column:
         """Slope a row to the furthest known value 14 to 5 rows back."""
         options = [F.when(self.lag(x, k).isNotNull(), (x - self.lag(x, k)) / k) for k in range(furthest, nearest - 1, -1)]
         return F.coalesce(*options)
 
-    def freshest_lag(self, x: Column, lags: Sequence[int]) -> Column:
-        """The least lag at which the value and the one before it are known."""
-        return F.coalesce(*[F.when(self.lag(x, k).isNotNull() & self.lag(x, k + 1).isNotNull(), F.lit(k)) for k in lags])
+    def freshest_lag(self, x: Column, lags: Sequence[int], required: bool = False) -> Column:
+        """The least lag at which the value and the one before it are known; null, or an error if it is required, where there is none."""
+        options = [F.when(self.lag(x, k).isNotNull() & self.lag(x, k + 1).isNotNull(), F.lit(k)) for k in lags]
+        none = F.concat(F.lit(f"no lag of {list(lags)} is known at "), F.col(self.period).cast("string"))
+        return F.coalesce(*options, F.raise_error(none).cast("int")) if required else F.coalesce(*options)
 
 
 def price_updated_weights(df: DataFrame, group: str, period: str, index: str, weight: str, base: str) -> DataFrame:
@@ -120,10 +130,14 @@ def weekday_factor(df: DataFrame, when: str, smoothing: float = 1.0, cap: float
     return rows.join(F.broadcast(total)).select("weekday", "n", F.least(share * 7, F.lit(cap)).alias("factor"))
 
 
-def member_offsets(df: DataFrame, truth: DataFrame, member: str, day: str, value: str, true_value: str) -> DataFrame:
-    """Mean of value - truth per member, and the population deviation of what is left."""
-    rows = df.join(truth, day).withColumn("__e", F.col(value) - F.col(true_value))
-    return rows.groupBy(member).agg(F.avg("__e").alias("offset"), F.stddev_pop("__e").alias("residual_sd"), F.count("*").alias("n"))
+def member_offsets(df: DataFrame, truth: DataFrame, member: str, day: str, value: str, true_value: str, floor: float = 0.3, least: int = 5, fallback: float = 1.0) -> DataFrame:
+    """Mean of value - truth per member, its number of rows, and one residual deviation for all: the population deviation of what is left
+    once each member's mean is taken off, ``floor`` at least, and ``fallback`` with ``least`` residuals or fewer."""
+    rows = df.join(truth, day).select(member, (F.col(value) - F.col(true_value)).alias("__e")).where("__e IS NOT NULL")
+    per = rows.groupBy(member).agg(F.avg("__e").alias("offset"), F.count("*").alias("n"), F.sum(F.col("__e") * F.col("__e")).alias("__ee"))
+    pooled = per.agg(F.sum("n").alias("__n"), F.sum(F.col("__ee") - F.col("n") * F.col("offset") * F.col("offset")).alias("__left"))
+    sd = F.when(F.col("__n") > least, F.greatest(F.sqrt(F.greatest(F.col("__left"), F.lit(0.0)) / F.col("__n")), F.lit(floor))).otherwise(F.lit(fallback))
+    return per.join(F.broadcast(pooled)).select(member, "offset", sd.alias("residual_sd"), "n")
 
 
 def active_members(df: DataFrame, member: str, when: str, today: str, factor: float = 3.0, most: float = 50.0) -> DataFrame:

@@ -50,11 +50,51 @@ def join_asof_last(left: DataFrame, right: DataFrame, keys: Sequence[str], at: s
 
 
 def asof_top_k(df: DataFrame, keys: Sequence[str], when: str, value: str, k: int) -> DataFrame:
-    """Per key and month the k most recent values up to the month's end that fall within it, newest first; null when fewer."""
-    month = F.trunc(when, "MM").alias("period")
-    newest = F.slice(F.reverse(F.array_sort(F.collect_list(F.struct(F.col(when).alias("t"), F.col(value).alias("v"))))), 1, k)
-    out = df.where(F.col(value).isNotNull()).groupBy(*keys, month).agg(newest.alias("__top"))
-    return out.select(*keys, "period", *[F.when(F.size("__top") == k, F.col("__top")[i]["v"]).alias(f"v{i}") for i in range(k)])
+    """Per key and month (from the first with a value to the last) the k most recent values up to the month's end, newest first, however
+    far back they lie; null when there are fewer so far.
+
+    Each value carries the k - 1 before it; the last of a month, or of the months before, is what the month sees.
+    """
+    run = Window.partitionBy(*keys).orderBy(when)
+    known = df.where(F.col(value).isNotNull())
+    top = F.array(*[F.lag(value, i).over(run) if i else F.col(value) for i in range(k)])
+    rows = known.select(*keys, F.col(when).alias("__t"), F.trunc(when, "MM").alias("period"), top.alias("__top"), F.row_number().over(run).alias("__n"))
+    last = rows.groupBy(*keys, "period").agg(F.max_by(F.when(F.col("__n") >= k, F.col("__top")), "__t").alias("__top"))
+    months = Window.partitionBy(*keys).orderBy("period").rowsBetween(Window.unboundedPreceding, 0)
+    out = densify(last, keys, "period").withColumn("__top", F.last("__top", ignorenulls=True).over(months))
+    return out.select(*keys, "period", *[F.col("__top")[i].alias(f"v{i}") for i in range(k)])
+
+
+def weeks_in_month(df: DataFrame, keys: Sequence[str], when: str, fallback: int = 4) -> DataFrame:
+    """Per key and month (from the first to the last) how many different weeks end in it (on Saturday) of which something was observed;
+    ``fallback`` for a month without any."""
+    weeks = df.select(*keys, F.next_day(F.date_sub(when, 1), "SAT").alias("__w"))
+    counts = weeks.groupBy(*keys, F.trunc("__w", "MM").alias("period")).agg(F.count_distinct("__w").alias("weeks"))
+    return densify(counts, keys, "period").withColumn("weeks", F.coalesce("weeks", F.lit(fallback)))
+
+
+def completeness(df: DataFrame, keys: Sequence[str], when: str, expected: Column) -> DataFrame:
+    """Share of the expected days of a month that were observed, 1 at most."""
+    seen = df.groupBy(*keys, F.trunc(when, "MM").alias("period")).agg(F.count_distinct(when).alias("__n"))
+    return seen.select(*keys, "period", F.least(F.col("__n") / expected, F.lit(1.0)).alias("completeness"))
+
+
+def published_or_mean(df: DataFrame, keys: Sequence[str], published: Column, value: Column, digits: int = 1) -> DataFrame:
+    """The published row's value where there is one, else the rounded mean of the others. ``value`` is a whole number of hundredths, so
+    sums don't depend on order."""
+    own = F.max(F.when(published, value)) / 100.0
+    rest = F.when(~published, value)
+    return df.groupBy(*keys).agg(F.coalesce(own, F.bround(F.sum(rest).cast("double") / F.count(rest) / 100, digits)).alias("average"))
+
+
+def ordered_first(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str], out: str = "first") -> DataFrame:
+    """The value of the last row in the order: an ordered array's first element, without the array."""
+    return df.groupBy(*keys).agg(F.max_by(value, F.struct(*order)).alias(out))
+
+
+def conditional_max(df: DataFrame, keys: Sequence[str], cases: Mapping[str, Column], value: Column) -> DataFrame:
+    """One column per case: the largest value of the rows that it holds for."""
+    return df.groupBy(*keys).agg(*[F.max(F.when(case, value)).alias(name) for name, case in cases.items()])
 
 
 def pivot_wide(df: DataFrame, keys: Sequence[str], name: str, value: str, columns: Mapping[str, str]) -> DataFrame:
@@ -104,9 +144,21 @@ def component_sum(df: DataFrame, keys: Sequence[str], name: str, value: str, par
     return wide.select(*keys, total.alias(out))
 
 
-def collect_snapshot(df: DataFrame, day: str, columns: Sequence[str], least: int = 3) -> DataFrame:
-    """Per day the ordered list of members' rows, days with fewer than ``least`` left out. A day's list is small by nature."""
-    return df.groupBy(day).agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("members")).where(F.size("members") >= least)
+def snapshot_sizes(df: DataFrame, day: str, value: Column, least: int = 3) -> DataFrame:
+    """Per day its number of members' rows and their sum, days with fewer than ``least`` left out; combined before the shuffle, so a day
+    of any size will do."""
+    return df.groupBy(day).agg(F.count("*").alias("n"), F.sum(value).alias("total")).where(F.col("n") >= least)
+
+
+def collect_snapshot(df: DataFrame, day: str, columns: Sequence[str], least: int = 3, most: int = 10_000) -> DataFrame:
+    """Per day the ordered list of members' rows, days with fewer than ``least`` left out. A list of more than ``most`` rows is refused with
+    an error before any is made: ``snapshot_sizes`` and plain aggregates serve such days."""
+    sizes = df.groupBy(day).agg(F.count("*").alias("__n"))
+    largest = sizes.agg(F.max("__n")).first()[0] or 0
+    if largest > most:
+        raise ValueError(f"a day has {largest} rows, over {most}")
+    kept = df.join(sizes.where(F.col("__n") >= least), day, "left_semi")
+    return kept.groupBy(day).agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("members"))
 
 
 def first_seen(df: DataFrame, keys: Sequence[str], observed: str, released: Column) -> DataFrame:

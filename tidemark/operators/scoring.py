@@ -151,3 +151,31 @@ def band_distribution(df: DataFrame, point: str, sigma: str, width: float, bands
     low = F.col(point) + (F.col("band") - 0.5) * width
     cdf = lambda edge: student_t4_cdf((edge - F.col(point)) / scale)
     return rows.withColumn("band_low", low).withColumn("p_band", cdf(low + width) - cdf(low))
+
+
+def live_errors(forecasts: DataFrame, actuals: DataFrame, keys: Sequence[str], made: Column, cutoff: str, forecast: str, order: str, actual: str) -> DataFrame:
+    """keys, error: of each key the last forecast made up to the cutoff, less the actual."""
+    latest = forecasts.where(made <= F.lit(cutoff)).groupBy(*keys).agg(F.max_by(forecast, order).alias("__f"))
+    return latest.join(actuals.select(*keys, F.col(actual).alias("__a")), list(keys)).select(*keys, (F.col("__f") - F.col("__a")).alias("error"))
+
+
+def freshness(df: DataFrame, day: Column, today: str, max_days: int, group: str | None = None, expected: int | None = None) -> DataFrame:
+    """One row: the newest day, whether it is at most ``max_days`` before today, and whether there are as many groups as expected."""
+    newest = F.max(day)
+    complete = F.count_distinct(group) == expected if group else F.lit(True)
+    return df.agg(newest.alias("newest"), F.coalesce(F.datediff(F.lit(today).cast("date"), newest) <= max_days, F.lit(False)).alias("fresh"), complete.alias("complete"))
+
+
+def freshness_guard(df: DataFrame, day: Column, today: str, max_days: int, group: str | None = None, expected: int | None = None) -> DataFrame:
+    """``df``, once it has been found fresh and complete; ValueError if it is not."""
+    state = freshness(df, day, today, max_days, group, expected).first()
+    if not state.fresh:
+        raise ValueError(f"newest input is of {state.newest}, more than {max_days} days before {today}")
+    if not state.complete:
+        raise ValueError(f"{group} has not {expected} different values")
+    return df
+
+
+def before_release(df: DataFrame, day: Column, release: Column) -> DataFrame:
+    """Rows of days before their month's release."""
+    return df.where(day < release)

@@ -30,22 +30,65 @@ def first_print(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__row")).select(*keys, "__row.*")
 
 
+#: Origins that are sent to every task at most; more of them meet the history by month.
+MAX_SENT_ORIGINS = 10_000
+
+
+def validity(df: DataFrame, keys: Sequence[str], vintage: str, tie: Sequence[str] = ()) -> DataFrame:
+    """Each row that some origin reads, with the days ``__from`` (null: always) and ``__until`` (exclusive; null: for good) of the origins
+    that do: from its vintage to the next one; and the earliest row of a key also before that.
+
+    Vintages of a key are reduced to one row each where they lie, so the window sees no more rows of a hot key than it has vintages.
+    """
+    rest = [c for c in df.columns if c not in (*keys, vintage)]
+    order = F.struct(*tie) if tie else F.struct(*rest)
+    row = F.struct(*rest)
+    per = df.where(F.col(vintage).isNotNull()).groupBy(*keys, vintage).agg(F.max_by(row, order).alias("__row"), F.min_by(row, order).alias("__first"))
+    run = Window.partitionBy(*keys).orderBy(vintage)
+    spans = per.withColumns({"__until": F.lead(vintage).over(run), "__n": F.row_number().over(run)})
+    known = F.struct(F.col(vintage).alias("__from"), F.col("__until"), F.col("__row"))
+    # the earliest vintage stands in for origins before it
+    before = F.struct(F.lit(None).cast(df.schema[vintage].dataType).alias("__from"), F.col(vintage).alias("__until"), F.col("__first").alias("__row"))
+    pieces = F.when(F.col("__n") == 1, F.array(before, known)).otherwise(F.array(known))
+    return spans.select(*keys, vintage, F.explode(pieces).alias("__p")).select(*keys, vintage, "__p.__from", "__p.__until", "__p.__row.*")
+
+
 def as_of_many(
-    df: DataFrame, origins: DataFrame, keys: Sequence[str], period: str, vintage: str, tie: Sequence[str] = (), use_vintages: bool = True, ahead_months: int = 0
+    df: DataFrame,
+    origins: DataFrame,
+    keys: Sequence[str],
+    period: str,
+    vintage: str,
+    tie: Sequence[str] = (),
+    use_vintages: bool = True,
+    ahead_months: int = 0,
+    max_sent: int = MAX_SENT_ORIGINS,
 ) -> DataFrame:
-    """For every origin (column ``origin``) and key with period up to it: the latest vintage known then, else the earliest ever.
+    """For every origin (column ``origin``) and key with period up to it: the latest vintage known then, else the earliest ever. Rows
+    without a vintage are never read.
 
-    ``origins`` is a stated list, small by contract; it is joined to the history by a range condition. The pick is one aggregation
-    with a partial step, so an origin's rows of a hot key never meet in one task before they are reduced.
+    A row becomes the span of days on which it is the one to read, so an origin meets one row of each key, and the join makes no
+    row that is not in the result. Up to ``max_sent`` origins are sent to the history; more meet it by equal months.
     """
+    origins = origins.select(F.col("origin").cast("date")).where("origin IS NOT NULL").distinct()
+    if use_vintages:
+        rows = validity(df, keys, vintage, tie)
+    else:
+        null = F.lit(None).cast("date")
+        rows = latest_vintage(df, keys, [vintage, *tie]).withColumns({"__from": null, "__until": null})
     limit = F.add_months("origin", ahead_months) if ahead_months else F.col("origin")
-    rows = df.join(origins.select("origin").distinct(), F.col(period) <= limit)
-    known = (F.col(vintage) <= F.col("origin")) if use_vintages else F.lit(True)
-    day = F.datediff(F.col(vintage), F.lit("1970-01-01").cast("date"))
-    # known vintages first, the latest of them on top; otherwise the earliest
-    rank = F.struct(known.alias("known"), F.when(known, day).otherwise(-day).alias("day"), *[F.when(known, F.col(c)).otherwise(-F.col(c)).alias(f"t{i}") for i, c in enumerate(tie)])
-    rest = [c for c in df.columns if c not in keys]
-    return rows.groupBy("origin", *keys).agg(F.max_by(F.struct(*rest), rank).alias("__row")).select("origin", *keys, "__row.*")
+    reads = (F.col(period) <= limit) & (F.col("__from").isNull() | (F.col("origin") >= F.col("__from"))) & (F.col("__until").isNull() | (F.col("origin") < F.col("__until")))
+    if origins.limit(max_sent + 1).count() <= max_sent:
+        found = rows.join(F.broadcast(origins), reads)
+    else:
+        months = origins.withColumn("__m", F.trunc("origin", "MM"))
+        ends = months.agg(F.min("__m").alias("__lo"), F.max("__m").alias("__hi"))
+        low = F.greatest(F.trunc(F.add_months(F.col(period), -ahead_months - 1), "MM"), F.trunc(F.coalesce("__from", "__lo"), "MM"), F.col("__lo"))
+        high = F.least(F.trunc(F.coalesce("__until", "__hi"), "MM"), F.col("__hi"))
+        spread = rows.join(F.broadcast(ends)).withColumns({"__a": low, "__b": high}).where("__a <= __b")
+        spread = spread.withColumn("__m", F.explode(F.sequence("__a", "__b", F.expr("interval 1 month")))).drop("__a", "__b", "__lo", "__hi")
+        found = spread.join(months, "__m").where(reads).drop("__m")
+    return found.select("origin", *df.columns)
 
 
 def as_of(df: DataFrame, origin: str, keys: Sequence[str], period: str, vintage: str, tie: Sequence[str] = (), **how) -> DataFrame:
@@ -53,6 +96,16 @@ def as_of(df: DataFrame, origin: str, keys: Sequence[str], period: str, vintage:
     return as_of_many(df, origins, keys, period, vintage, tie, **how).drop("origin")
 
 
+def revision_trajectory(seen: DataFrame, keys: Sequence[str], period: str, value: str, target: str) -> DataFrame:
+    """From as-of reads (column ``origin``), per key and origin what was known of the target period (``signal``) and the latest value of
+    the periods before it (``prior``): the inputs of a blend as it would have been on each day."""
+    own = F.col(period) == F.lit(target).cast("date")
+    earlier = F.col(period) < F.lit(target).cast("date")
+    return seen.groupBy("origin", *keys).agg(
+        F.max(F.when(own, F.col(value))).alias("signal"), F.max_by(F.when(earlier, F.col(value)), F.when(earlier, F.col(period))).alias("prior")
+    )
+
+
 def as_of_released(df: DataFrame, origin: str, keys: Sequence[str], order: Sequence[str], vintage: str, released: Column) -> DataFrame:
     """Latest vintage up to the origin, of periods whose computed release date is no later than it."""
     day = F.lit(origin).cast("date")

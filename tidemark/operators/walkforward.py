@@ -6,7 +6,7 @@ before it, kept by Catalyst in one window pass; only the small solves go through
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -29,10 +29,12 @@ def _sums(df: DataFrame, keys: Sequence[str], period: str, y: str, xs: Sequence[
     before = Window.partitionBy(*keys).orderBy(period).rowsBetween(Window.unboundedPreceding, -1)
     total = lambda c: F.coalesce(F.sum(F.when(usable, c)).over(before), F.lit(0.0))
     p, x, target = len(xs), F.col("__x"), F.col(y).cast("double")
-    return (
-        df.withColumn("__n", F.count(F.when(usable, 1)).over(before))
-        .withColumn("__xx", F.array(*[total(x[i] * x[j]) for i in range(p) for j in range(i, p)]))
-        .withColumn("__xy", F.array(*[total(x[i] * target) for i in range(p)]))
+    return df.withColumns(
+        {
+            "__n": F.count(F.when(usable, 1)).over(before),
+            "__xx": F.array(*[total(x[i] * x[j]) for i in range(p) for j in range(i, p)]),
+            "__xy": F.array(*[total(x[i] * target) for i in range(p)]),
+        }
     )
 
 
@@ -76,10 +78,24 @@ def solver(p: int, ridge: float | None = None):
     return solve
 
 
-def wf_ols(df: DataFrame, keys: Sequence[str], period: str, y: str, xs: Sequence[str], min_train: int, intercept: bool = True, ridge: float | None = None, out: str = "prediction") -> DataFrame:
-    """``df`` with n_train and the prediction of each row; null with fewer than ``min_train`` usable rows or incomplete regressors."""
+def wf_ols(
+    df: DataFrame,
+    keys: Sequence[str],
+    period: str,
+    y: str,
+    xs: Sequence[str],
+    min_train: int,
+    intercept: bool = True,
+    ridge: float | None = None,
+    out: str = "prediction",
+    only_last: bool = False,
+) -> DataFrame:
+    """``df`` with n_train and the prediction of each row; null with fewer than ``min_train`` usable rows or incomplete regressors.
+    ``only_last``: each key's last period alone is kept, before anything is solved."""
     columns = ([F.lit(1.0)] if intercept else []) + [F.col(x).cast("double") for x in xs]
     rows = _sums(df, keys, period, y, columns)
+    if only_last:
+        rows = rows.withColumn("__next", F.lead(period).over(Window.partitionBy(*keys).orderBy(period))).where("__next IS NULL").drop("__next")
     ready = (F.col("__n") >= min_train) & F.col("__x").isNotNull()
     found = solver(len(columns), ridge)("__xx", "__xy", "__x", "__n")
     return rows.withColumn(out, F.when(ready, F.nanvl(found, F.lit(None).cast("double")))).withColumnRenamed("__n", "n_train").drop("__x", "__xx", "__xy")
@@ -95,10 +111,20 @@ def wf_ols_simple(df: DataFrame, keys: Sequence[str], period: str, y: str, x: st
 
 
 def fit_next(df: DataFrame, keys: Sequence[str], period: str, y: str, xs: Sequence[str], min_train: int, **how) -> DataFrame:
-    """Only each key's last period: the live forecast."""
-    out = wf_ols(df, keys, period, y, xs, min_train, **how)
-    last = out.groupBy(*keys).agg(F.max(period).alias("__last"))
-    return out.join(last, list(keys)).where(F.col(period) == F.col("__last")).drop("__last")
+    """Only each key's last period: the live forecast. One solve a key."""
+    return wf_ols(df, keys, period, y, xs, min_train, only_last=True, **how)
+
+
+#: Origins and blocks are lists that somebody states; this many are sent to the tasks at most.
+MAX_STATED = 10_000
+
+
+def stated(origins: DataFrame) -> DataFrame:
+    """A stated list of origins, marked to be sent to every task, once its length has been checked."""
+    origins = origins.select("origin").distinct()
+    if origins.limit(MAX_STATED + 1).count() > MAX_STATED:
+        raise ValueError(f"more than {MAX_STATED} origins")
+    return F.broadcast(origins)
 
 
 def wf_ridge_cv(df: DataFrame, keys: Sequence[str], period: str, y: str, xs: Sequence[str], min_train: int, alphas: Sequence[float], origins: DataFrame) -> DataFrame:
@@ -108,7 +134,7 @@ def wf_ridge_cv(df: DataFrame, keys: Sequence[str], period: str, y: str, xs: Seq
     """
     cols = [F.col(x).cast("double") for x in xs]
     rows = df.select(*keys, F.col(period).alias("__p"), F.col(y).cast("double").alias("__y"), F.array(*cols).alias("__v"))
-    fanned = rows.join(F.broadcast(origins.select("origin")), F.col("__p") <= F.col("origin"))
+    fanned = rows.join(stated(origins), F.col("__p") <= F.col("origin"))
     grid = np.asarray(alphas, float)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -190,24 +216,39 @@ def baselines(df: DataFrame, keys: Sequence[str], period: str, y: str, masked: C
 
 def multi_horizon_naive(df: DataFrame, origins: DataFrame, keys: Sequence[str], period: str, y: str, horizons: int) -> DataFrame:
     """Grid of origins and horizons: the random walk from the origin, and the value a year before the target."""
-    grid = df.select(*keys).distinct().join(F.broadcast(origins.select("origin"))).withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(horizons))))
+    grid = df.select(*keys).distinct().join(stated(origins)).withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(horizons))))
     grid = grid.withColumn("target", F.add_months("origin", F.col("horizon")))
     at_origin = df.select(*keys, F.col(period).alias("origin"), F.col(y).alias("rw"))
     year_before = df.select(*keys, F.add_months(period, 12).alias("target"), F.col(y).alias("seasonal"))
     return grid.join(at_origin, [*keys, "origin"], "left").join(year_before, [*keys, "target"], "left")
 
 
-def shrunk_ratio(df: DataFrame, keys: Sequence[str], y: str, x: str, prior: float, strength: float, low: float, high: float, completeness: str | None = None, leave_one_out: bool = False) -> DataFrame:
-    """Sum of y over sum of x, shrunk to a prior by a pseudo-count (less of it the more complete the row), clipped.
+def shrunk_ratio(
+    df: DataFrame,
+    keys: Sequence[str],
+    y: str,
+    x: str,
+    prior: float,
+    strength: float,
+    low: float,
+    high: float,
+    completeness: str | None = None,
+    leave_one_out: bool = False,
+    counts: Column | None = None,
+) -> DataFrame:
+    """``raw_ratio``: sum of y over sum of x, over a key's rows for which ``counts`` holds (say, from a floor month on and with enough of
+    the month seen); ``ratio``: the same shrunk to a prior by a pseudo-count (less of it the more complete the row) and clipped.
 
     Left out: the ratio of a row is that of all rows of its key but itself.
     """
     whole = Window.partitionBy(*keys)
-    own_y, own_x = (F.col(y), F.col(x)) if leave_one_out else (F.lit(0), F.lit(0))
-    sy, sx = F.sum(y).over(whole) - own_y, F.sum(x).over(whole) - own_x
+    real = F.col(y).isNotNull() & F.col(x).isNotNull()
+    taken = F.coalesce(real if counts is None else real & counts, F.lit(False))
+    own = lambda c: F.when(taken, F.col(c)).otherwise(F.lit(0)) if leave_one_out else F.lit(0)
+    total = lambda c: F.coalesce(F.sum(F.when(taken, F.col(c))).over(whole), F.lit(0)) - own(c)
     k = F.lit(strength) * (1 - F.col(completeness)) if completeness else F.lit(strength)
-    ratio = F.try_divide(sy + k * prior, sx + k)
-    return df.withColumn("ratio", F.greatest(F.least(ratio, F.lit(high)), F.lit(low)))
+    ratio = F.try_divide(total(y) + k * prior, total(x) + k)
+    return df.withColumns({"raw_ratio": F.try_divide(total(y), total(x)), "ratio": F.greatest(F.least(ratio, F.lit(high)), F.lit(low))})
 
 
 def maturity_blend(df: DataFrame, signal: str, prior: str, completeness: str, gamma: float) -> DataFrame:
@@ -225,22 +266,49 @@ def ensemble_mean(df: DataFrame, members: Sequence[str], log_space: bool = False
     return df.withColumn("ensemble", F.when(F.size(kept) > 0, F.exp(mean) if log_space else mean)).withColumn("method", names)
 
 
-def platt_scaling(df: DataFrame, p: str, label: str, least: int = 30, low: float = 0.05, high: float = 0.95) -> DataFrame:
-    """Logistic regression of the label on logit(p) over the labelled rows; p clipped where they are few or of one class."""
+def bottom_up(df: DataFrame, keys: Sequence[str], period: str, name: str, value: str, predicted: Mapping[str, str]) -> DataFrame:
+    """Total's log change when named parts are forecast apart and the rest is carried: keys, period, total_dlog.
+
+    ``df`` is long (keys, period, name, value) with a prediction column; ``predicted`` maps the parts' names to that column's output
+    names. The rest is the total of the period before less the parts' values then.
+    """
+    total = df.groupBy(*keys, period).agg(F.sum(value).alias("__total"))
+    parts = df.groupBy(*keys, period).pivot(name, list(predicted)).agg(F.first("prediction").alias("p"), F.first(value).alias("v"))
+    run = Window.partitionBy(*keys).orderBy(period)
+    rows = total.join(parts, [*keys, period])
+    last = F.lag("__total").over(run)
+    new = last
+    for part in predicted:
+        new = new + F.col(f"`{part}_p`") - F.lag(F.col(f"`{part}_v`")).over(run)
+    rows = rows.withColumns({"__new": new, "__last": last})
+    return rows.select(*keys, period, F.when((F.col("__new") > 0) & (F.col("__last") > 0), F.ln("__new") - F.ln("__last")).alias("total_dlog"))
+
+
+def platt_scaling(
+    df: DataFrame, p: str, label: str, period: str, blocks: Sequence[str], least: int = 30, low: float = 0.05, high: float = 0.95
+) -> DataFrame:
+    """``df`` with ``calibrated``: at the start of each block (a stated list of dates) a logistic regression of the label on logit(p) over
+    the labelled rows of all periods before it, applied to the block's rows. p clipped before the first block and where those rows are
+    few or of one class."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import array_to_vector
 
     bounded = F.greatest(F.least(F.col(p), F.lit(1 - 1e-6)), F.lit(1e-6))
     rows = df.withColumn("__z", F.ln(bounded / (1 - bounded)))
     known = rows.where(F.col(label).isNotNull() & F.col("__z").isNotNull())
-    n, classes = known.agg(F.count("*"), F.count_distinct(label)).first()
     clipped = lambda c: F.greatest(F.least(c, F.lit(high)), F.lit(low))
-    if n < least or classes < 2:
-        return rows.withColumn("calibrated", clipped(F.col(p))).drop("__z")
-    data = known.select(array_to_vector(F.array("__z")).alias("features"), F.col(label).cast("double").alias("label"))
-    m = LogisticRegression(regParam=1e-6).fit(data)
-    z = F.lit(float(m.intercept)) + F.lit(float(m.coefficients[0])) * F.col("__z")
-    return rows.withColumn("calibrated", clipped(1 / (1 + F.exp(-z)))).drop("__z")
+    calibrated = clipped(F.col(p))
+    for start in sorted(blocks):
+        day = F.lit(start).cast("date")
+        before = known.where(F.col(period) < day)
+        n, classes = before.agg(F.count("*"), F.count_distinct(label)).first()
+        z = F.col(p)
+        if n >= least and classes == 2:
+            data = before.select(array_to_vector(F.array("__z")).alias("features"), F.col(label).cast("double").alias("label"))
+            m = LogisticRegression(regParam=1e-6).fit(data)
+            z = 1 / (1 + F.exp(-(F.lit(float(m.intercept)) + F.lit(float(m.coefficients[0])) * F.col("__z"))))
+        calibrated = F.when(F.col(period) >= day, clipped(z)).otherwise(calibrated)
+    return rows.withColumn("calibrated", calibrated).drop("__z")
 
 
 def wf_gbt(df: DataFrame, period: str, y: str, xs: Sequence[str], blocks: Sequence[str], classify: bool = False, trees: int = 10, depth: int = 3) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators import reshape as R
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -96,3 +98,27 @@ def upsert_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
         F.col("o_totalprice").alias("price"),
     )
     return rows.where("orderkey % 3 = 0"), rows.where("orderkey % 2 = 0").withColumn("price", F.col("price") + 1)
+
+
+PRIORITIES = {"1-URGENT": "a", "2-HIGH": "b", "3-MEDIUM": "c", "4-NOT SPECIFIED": "e", "5-LOW": "f"}
+SG_SQL = f"""od AS (
+  SELECT c_mktsegment AS series, o_orderpriority AS kind, CAST(o_orderdate AS DATE) AS day,
+    CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
+sm AS (SELECT series, CAST(date_trunc('month', day) AS DATE) AS period, {", ".join(f"CAST(sum(CASE WHEN kind = '{k}' THEN cents END) AS BIGINT) / 100000007.0 AS {c}" for k, c in PRIORITIES.items())} FROM od GROUP BY ALL),
+sg AS (SELECT g.series, g.period, {", ".join(PRIORITIES.values())} FROM (
+  SELECT series, CAST(unnest(generate_series(min(period), max(period), INTERVAL 1 MONTH)) AS DATE) AS period FROM sm GROUP BY series) g
+  LEFT JOIN sm ON sm.series = g.series AND sm.period = g.period)"""
+
+
+def segment_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by market segment (series), priority (kind) and day: cents."""
+    orders = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    days = orders.groupBy(F.col("c_mktsegment").alias("series"), F.col("o_orderpriority").alias("kind"), F.to_date("o_orderdate").alias("day"))
+    return days.agg(F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"))
+
+
+def segment_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per market segment and month, without gaps; a column for each priority."""
+    days = segment_days(spark, sf_dir).withColumn("period", F.trunc("day", "MM"))
+    months = days.groupBy("series", "period", "kind").agg((F.sum("cents") / F.lit(100000007.0)).alias("value"))
+    return R.densify(R.pivot_wide(months, ["series", "period"], "kind", "value", PRIORITIES), ["series"], "period")

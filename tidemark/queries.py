@@ -230,11 +230,18 @@ def normalize_wide_to_long(spark, d):
     return L.wide_to_long(wide, ["p_partkey"], ["size", "price"])
 
 
-@query("normalize_nested", "SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE json_extract(props, '$.k') IS NOT NULL")
+@query("normalize_nested", """WITH m AS (SELECT event_type AS series_id, count(*) AS series_rows FROM events WHERE event_type <> 'error' GROUP BY 1)
+  SELECT event_id, event_type AS series_id, CAST(ts AS DATE) + k AS period, CASE WHEN k = 0 THEN round(value, 2) ELSE CAST(json_extract(props, '$.k') AS DOUBLE) END AS value, series_rows
+  FROM events CROSS JOIN (SELECT CAST(range AS INTEGER) AS k FROM range(2)) LEFT JOIN m ON m.series_id = event_type""")
 def normalize_nested(spark, d):
-    """Points within JSON to rows: parse, wrap and explode as an array of series would come."""
-    rows = table(spark, d, "events").select("event_id", "event_type", F.from_json("props", "k long").alias("p"))
-    return rows.select("event_id", "event_type", F.explode(F.array("p.k")).alias("k")).where("k is not null")
+    """A feed's payload of series and their points to rows, with what the metadata knows of each series."""
+    events = table(spark, d, "events")
+    day = F.to_date("ts")
+    k = F.from_json("props", "k double")["k"]
+    points = F.array(F.struct(day.alias("period"), F.round("value", 2).alias("value")), F.struct(F.date_add(day, 1).alias("period"), k.alias("value")))
+    payload = F.to_json(F.struct(F.array(F.struct(F.col("event_type").alias("id"), points.alias("points"))).alias("series")))
+    metadata = events.where("event_type <> 'error'").groupBy(F.col("event_type").alias("series_id")).agg(F.count("*").alias("series_rows"))
+    return L.nested_points(events.select("event_id", payload.alias("payload")), ["event_id"], "payload", metadata).select("event_id", "series_id", "period", "value", "series_rows")
 
 
 @query("release_gate", f"WITH {MP_SQL} SELECT series, period, value FROM mp WHERE period <= (SELECT max(period) - INTERVAL 1 MONTH FROM mp)")

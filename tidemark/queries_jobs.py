@@ -11,7 +11,9 @@ from tidemark.operators import scoring as C
 from tidemark.operators import vintage as V
 from tidemark.operators import walkforward as M
 from tidemark.operators.features import Series
-from tidemark.plans.fixtures import BT_SQL, MP_SQL, TIE, bitemporal, daily_series, monthly_panel, snapshots, table
+from tidemark.plans.fixtures import (
+    BT_SQL, MP_SQL, SG_SQL, SN_SQL, TIE, bitemporal, daily_series, monthly_panel, segment_days, segment_panel, snapshots, table,
+)
 from tidemark.queries import query
 
 _KNOWN = ", ".join(f"CASE WHEN vintage <= DATE '1998-01-15' THEN {c} ELSE -{c} END DESC" for c in TIE)
@@ -34,17 +36,10 @@ def as_of_sql_function(spark, d):
     return spark.sql("SELECT * FROM as_of_read(CAST(:origin AS DATE), CAST(:last AS DATE), true)", args={"origin": "1998-01-15", "last": "1998-03-01"})
 
 
-_WIDE = MP_SQL + ", w AS (SELECT period, max(CASE WHEN series = '1-URGENT' THEN value END) AS a, max(CASE WHEN series = '2-HIGH' THEN value END) AS b, max(CASE WHEN series = '5-LOW' THEN value END) AS c FROM mp GROUP BY period)"
-
-
-def wide(spark, d):
-    return R.pivot_wide(monthly_panel(spark, d), ["period"], "series", "value", {"1-URGENT": "a", "2-HIGH": "b", "5-LOW": "c"}).withColumn("group", F.lit("all"))
-
-
-@query("zscore_composite", f"WITH {_WIDE} SELECT period, round(list_avg([(a - avg(a) OVER ()) / stddev_pop(a) OVER (), (b - avg(b) OVER ()) / stddev_pop(b) OVER (), (c - avg(c) OVER ()) / stddev_pop(c) OVER ()]), 6) AS composite FROM w")
+@query("zscore_composite", f"WITH {SG_SQL} SELECT series, period, round(list_avg([(a - avg(a) OVER w) / stddev_pop(a) OVER w, (b - avg(b) OVER w) / stddev_pop(b) OVER w, (f - avg(f) OVER w) / stddev_pop(f) OVER w]), 6) AS composite FROM sg WINDOW w AS (PARTITION BY series)")
 def zscore_composite(spark, d):
-    s = Series(["group"], "period")
-    return wide(spark, d).select("period", F.round(row_mean([s.zscore(F.col(c)) for c in "abc"]), 6).alias("composite"))
+    s = Series(["series"], "period")
+    return segment_panel(spark, d).select("series", "period", F.round(row_mean([s.zscore(F.col(c)) for c in "abf"]), 6).alias("composite"))
 
 
 @query(
@@ -78,27 +73,54 @@ def cpi_bottom_up_job(spark, d):
     return rows.groupBy("period").agg(F.round(F.sum(F.col("share") * F.col("nowcast")) * 100, 6).alias("predicted"), F.round(F.sum(F.col("share") * F.col("g")) * 100, 6).alias("actual"))
 
 
+def employment_panel(spark, d):
+    """Per market segment: monthly change, its momentum, the mean of weekly counts and a composite of surveys; masked months teach nothing."""
+    s = Series(["series"], "period")
+    weeks = segment_days(spark, d).groupBy("series", F.date_add(F.trunc("day", "WEEK"), 5).alias("week")).agg(F.count("*").alias("claims"))
+    claims = weeks.groupBy("series", F.trunc("week", "MM").alias("period")).agg(F.avg("claims").alias("claims"))
+    panel = segment_panel(spark, d).join(claims, ["series", "period"], "left").withColumn("y", s.diff(F.col("a")))
+    panel = panel.withColumns({"mom1": s.lag(F.col("y")), "mom3": s.rolling_mean(F.col("y"), 3, 3), "claims1": s.lag(F.col("claims")), "survey": row_mean([s.zscore(F.col(c), True) for c in "bf"])})
+    masked = F.col("period").between(F.lit("1997-03-01").cast("date"), F.lit("1997-06-01").cast("date"))
+    return panel.withColumn("y", F.when(~masked, F.col("y")))
+
+
+_PRIOR = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+
+
+@query("employment_panel", f"""WITH {SG_SQL}, wk AS (SELECT series, CAST(date_trunc('week', day) AS DATE) + 5 AS week, count(*) AS n FROM od GROUP BY ALL), cl AS (SELECT series, CAST(date_trunc('month', week) AS DATE) AS period, avg(n) AS claims FROM wk GROUP BY ALL),
+  p AS (SELECT sg.*, claims, a - lag(a) OVER (PARTITION BY sg.series ORDER BY sg.period) AS y FROM sg LEFT JOIN cl ON cl.series = sg.series AND cl.period = sg.period)
+  SELECT series, period, round(CASE WHEN period NOT BETWEEN DATE '1997-03-01' AND DATE '1997-06-01' THEN y END, 6) AS y, round(lag(y) OVER w, 6) AS mom1,
+    round(CASE WHEN count(y) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) >= 3 THEN avg(y) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) END, 6) AS mom3, round(lag(claims) OVER w, 6) AS claims1,
+    round(list_avg([CASE WHEN stddev_pop(b) OVER (w {_PRIOR}) > 0 THEN (b - avg(b) OVER (w {_PRIOR})) / stddev_pop(b) OVER (w {_PRIOR}) END, CASE WHEN stddev_pop(f) OVER (w {_PRIOR}) > 0 THEN (f - avg(f) OVER (w {_PRIOR})) / stddev_pop(f) OVER (w {_PRIOR}) END]), 6) AS survey
+  FROM p WINDOW w AS (PARTITION BY series ORDER BY period)""")
+def employment_panel_query(spark, d):
+    return employment_panel(spark, d).select("series", "period", *[F.round(c, 6).alias(c) for c in ("y", "mom1", "mom3", "claims1", "survey")])
+
+
 @query("employment_panel_job")
 def employment_panel_job(spark, d):
-    """Monthly change on its momentum, the mean of weekly counts and a composite of surveys, ridge at every origin."""
-    weeks = table(spark, d, "orders").groupBy(F.date_add(F.trunc("o_orderdate", "WEEK"), 5).alias("week")).agg(F.count("*").alias("claims"))
-    claims = weeks.groupBy(F.trunc("week", "MM").alias("period")).agg(F.avg("claims").alias("claims"), F.count("*").alias("weeks"))
-    s = Series(["group"], "period")
-    panel = wide(spark, d).join(claims, "period", "left").withColumn("y", s.diff(F.col("a")))
-    panel = panel.withColumns({"mom1": s.lag(F.col("y")), "mom3": s.rolling_mean(F.col("y"), 3, 3), "claims1": s.lag(F.col("claims")), "survey": row_mean([s.zscore(F.col(c), True) for c in "bc"])})
-    masked = F.col("period").between(F.lit("1997-03-01").cast("date"), F.lit("1997-06-01").cast("date"))
-    panel = panel.withColumn("y", F.when(~masked, F.col("y")))
-    return M.wf_ols(panel, ["group"], "period", "y", ["mom1", "mom3", "claims1", "survey"], 24, ridge=5.0).select("period", "y", "n_train", "prediction")
+    """Ridge at every origin of every market segment."""
+    return M.wf_ols(employment_panel(spark, d), ["series"], "period", "y", ["mom1", "mom3", "claims1", "survey"], 24, ridge=5.0).select("series", "period", "y", "n_train", "prediction")
+
+
+def rate_panel(spark, d):
+    s = Series(["series"], "period")
+    panel = segment_panel(spark, d).withColumn("rate", F.col("a") / (F.col("a") + F.col("b")) * 100)
+    return panel.withColumn("y", s.diff(F.col("rate"))).withColumns({"y1": s.lag(F.col("y")), "y2": s.lag(F.col("y"), 2), "ratio": s.lag(F.ln(F.col("f")) - F.ln(F.col("b")))})
+
+
+@query("rate_panel", f"""WITH {SG_SQL}, p AS (SELECT *, a / (a + b) * 100 AS rate FROM sg), q AS (SELECT *, rate - lag(rate) OVER w AS y FROM p WINDOW w AS (PARTITION BY series ORDER BY period))
+  SELECT series, period, round(rate, 6) AS rate, round(y, 6) AS y, round(lag(y) OVER w, 6) AS y1, round(lag(y, 2) OVER w, 6) AS y2, round(lag(ln(f) - ln(b)) OVER w, 6) AS ratio FROM q WINDOW w AS (PARTITION BY series ORDER BY period)""")
+def rate_panel_query(spark, d):
+    return rate_panel(spark, d).select("series", "period", *[F.round(c, 6).alias(c) for c in ("rate", "y", "y1", "y2", "ratio")])
 
 
 @query("rate_panel_job")
 def rate_panel_job(spark, d):
-    """Change of a rate on its own lags and a claims ratio; the level is rounded half to even."""
-    s = Series(["group"], "period")
-    panel = wide(spark, d).withColumn("rate", F.col("a") / (F.col("a") + F.col("b")) * 100)
-    panel = panel.withColumn("y", s.diff(F.col("rate"))).withColumns({"y1": s.lag(F.col("y")), "y2": s.lag(F.col("y"), 2), "ratio": s.lag(F.ln(F.col("c")) - F.ln(F.col("b")))})
-    out = M.wf_ols(panel, ["group"], "period", "y", ["y1", "y2", "ratio"], 24, ridge=1.0)
-    return out.select("period", "n_train", "prediction", F.bround(s.lag(F.col("rate")) + F.col("prediction"), 1).alias("rounded_rate"))
+    """Change of a rate on its own lags and a claims ratio, in every market segment; the level is rounded half to even."""
+    s = Series(["series"], "period")
+    out = M.wf_ols(rate_panel(spark, d), ["series"], "period", "y", ["y1", "y2", "ratio"], 24, ridge=1.0)
+    return out.select("series", "period", "n_train", "prediction", F.bround(s.lag(F.col("rate")) + F.col("prediction"), 1).alias("rounded_rate"))
 
 
 @query("pump_price_job")
@@ -111,29 +133,42 @@ def pump_price_job(spark, d):
     point = F.coalesce(0.75 * (F.col("last") + F.col("prediction")) + 0.25 * F.col("last"), F.col("last"))
     fit = fit.withColumn("point", point).withColumn("error", F.col("point") - v)
     sigma = C.rmse_sigma(fit, ["series"], "error", 20, F.stddev_samp("error") / F.sqrt(F.lit(5.0))).select("series", "sigma")
-    live = fit.join(F.broadcast(sigma), "series").where("point is not null and sigma > 0")
+    live = fit.join(sigma, "series").where("point is not null and sigma > 0")
     return C.band_distribution(live, "point", "sigma", 0.5, 12).select("series", "day", "point", "sigma", "band", "band_low", "p_band")
 
 
-@query("pulse_bridge_job")
+@query("pulse_bridge_job", f"""WITH {MP_SQL}, w AS (SELECT o_orderpriority AS series, CAST(date_trunc('week', o_orderdate) AS DATE) + 5 AS week, count(*) AS n FROM orders GROUP BY ALL),
+  q AS (SELECT series, CAST(date_trunc('month', week) AS DATE) AS period, CAST(sum(n) AS BIGINT) AS pulse, count(*) AS weeks FROM w WHERE day(week) <= 20 GROUP BY ALL),
+  r AS (SELECT mp.series, mp.period, mp.n, pulse, least(weeks / 4.0::DOUBLE, 1.0) AS c, mp.period >= DATE '1996-01-01' AND weeks / 4.0::DOUBLE >= 0.5 AS t FROM mp JOIN q ON q.series = mp.series AND q.period = mp.period),
+  x AS (SELECT *, sum(CASE WHEN t THEN n ELSE 0 END) OVER w - CASE WHEN t THEN n ELSE 0 END AS sy, sum(CASE WHEN t THEN pulse ELSE 0 END) OVER w - CASE WHEN t THEN pulse ELSE 0 END AS sx, 50.0::DOUBLE * (1 - c) AS k,
+    lag(n) OVER (PARTITION BY series ORDER BY period) AS prior FROM r WINDOW w AS (PARTITION BY series)),
+  y AS (SELECT *, greatest(least((sy + k * 1.5::DOUBLE) / (sx + k), 3.0::DOUBLE), 0.5::DOUBLE) AS ratio FROM x)
+  SELECT series, period, n, round(ratio, 6) AS ratio, round(CASE WHEN c > 0 THEN pow(c, 0.5::DOUBLE) * (ratio * pulse) + (1 - pow(c, 0.5::DOUBLE)) * prior ELSE prior END, 6) AS blend FROM y""")
 def pulse_bridge_job(spark, d):
-    """A month's total from the weeks seen so far: completeness, a shrunk ratio and a blend with last month."""
+    """A month's total from the weeks seen so far: completeness, a ratio of the months from a floor on with half of their weeks seen,
+    shrunk, and a blend with last month."""
     weeks = table(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("series"), F.date_add(F.trunc("o_orderdate", "WEEK"), 5).alias("week")).agg(F.count("*").alias("n"))
     seen = weeks.where(F.dayofmonth("week") <= 20).groupBy("series", F.trunc("week", "MM").alias("period")).agg(F.sum("n").alias("pulse"), F.count("*").alias("weeks"))
     rows = monthly_panel(spark, d).join(seen, ["series", "period"]).withColumn("c", F.least(F.col("weeks") / 4.0, F.lit(1.0)))
-    rows = M.shrunk_ratio(rows, ["series"], "n", "pulse", 1.5, 50.0, 0.5, 3.0, completeness="c", leave_one_out=True)
+    counts = (F.col("period") >= F.lit("1996-01-01").cast("date")) & (F.col("weeks") / 4.0 >= 0.5)
+    rows = M.shrunk_ratio(rows, ["series"], "n", "pulse", 1.5, 50.0, 0.5, 3.0, completeness="c", leave_one_out=True, counts=counts)
     s = Series(["series"], "period")
     rows = rows.withColumn("signal", F.col("ratio") * F.col("pulse")).withColumn("prior", s.lag(F.col("n")).cast("double"))
-    return M.maturity_blend(rows, "signal", "prior", "c", 0.5).select("series", "period", "n", "ratio", "blend")
+    return M.maturity_blend(rows, "signal", "prior", "c", 0.5).select("series", "period", "n", F.round("ratio", 6).alias("ratio"), F.round("blend", 6).alias("blend"))
+
+
+_DRIFT = ", ".join(f"CASE WHEN lag(average, {k}) OVER w IS NOT NULL THEN (average - lag(average, {k}) OVER w) / {k} END" for k in range(14, 4, -1))
 
 
-@query("poll_average_job")
+@query("poll_average_job", f"""WITH {SN_SQL}, a AS (SELECT kind, day, coalesce(max(CASE WHEN member = 7 THEN cents END) / 100.0, round_even(CAST(sum(CASE WHEN member <> 7 THEN cents END) AS DOUBLE) / count(CASE WHEN member <> 7 THEN 1 END) / 100, 1)) AS average FROM sn GROUP BY kind, day),
+  g AS (SELECT kind, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM a GROUP BY kind), x AS (SELECT g.kind, g.day, average FROM g LEFT JOIN a ON a.kind = g.kind AND a.day = g.day),
+  f AS (SELECT *, coalesce({_DRIFT}, 0.0) AS drift FROM x WINDOW w AS (PARTITION BY kind ORDER BY day))
+  SELECT kind, day, CAST(h AS INTEGER) AS h, day + CAST(h AS INTEGER) AS target, round(average + drift * h * (7 - h) / 6.0::DOUBLE, 6) AS forecast FROM f, (SELECT range AS h FROM range(1, 7))""")
 def poll_average_job(spark, d):
-    """Published average or the members' mean per day, carried on with its local drift, h = 1..6."""
-    own = F.max(F.when(F.col("member") == 7, F.col("cents"))) / 100.0
-    rest = F.when(F.col("member") != 7, F.col("cents"))
-    days = snapshots(spark, d).groupBy("day").agg(F.coalesce(own, F.bround(F.sum(rest).cast("double") / F.count(rest) / 100, 1)).alias("average")).withColumn("group", F.lit("all"))
-    s = Series(["group"], "day")
-    dense = R.densify(days, ["group"], "day", "1 day").withColumn("drift", s.local_drift(F.col("average")))
+    """Published average or the members' mean per kind of poll and day, carried on with its local drift, h = 1..6."""
+    days = R.published_or_mean(snapshots(spark, d), ["kind", "day"], F.col("member") == 7, F.col("cents"))
+    s = Series(["kind"], "day")
+    dense = R.densify(days, ["kind"], "day", "1 day").withColumn("drift", s.local_drift(F.col("average")))
     ahead = dense.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(6))))
-    return ahead.select("day", "h", F.date_add("day", F.col("h")).alias("target"), (F.col("average") + F.coalesce("drift", F.lit(0.0)) * F.col("h") * (7 - F.col("h")) / 6).alias("forecast"))
+    forecast = F.col("average") + F.coalesce("drift", F.lit(0.0)) * F.col("h") * (7 - F.col("h")) / 6
+    return ahead.select("kind", "day", "h", F.date_add("day", F.col("h")).alias("target"), F.round(forecast, 6).alias("forecast"))

@@ -10,7 +10,7 @@ from tidemark.operators import vintage as V
 from tidemark.operators import walkforward as M
 from tidemark.operators.features import Series
 from tidemark.plans import jobs
-from tidemark.plans.fixtures import BT_SQL, MP_SQL, TIE, bitemporal, monthly_panel, table
+from tidemark.plans.fixtures import BT_SQL, MP_SQL, SG_SQL, TIE, bitemporal, monthly_panel, segment_days, segment_panel, table
 from tidemark.queries import _origins_sql as origins_sql
 from tidemark.queries import origins_table, query, scratch_path
 from tidemark.streaming import streams
@@ -159,7 +159,7 @@ BR_SQL = "br AS (SELECT user_id % 5 AS series, least(greatest(value / 60, 0.01),
 
 def outcomes(spark, d):
     p = F.least(F.greatest(F.col("value") / 60, F.lit(0.01)), F.lit(0.99))
-    return table(spark, d, "events").select((F.col("user_id") % 5).alias("series"), p.alias("p"), F.when(F.col("event_id") % 3 == 0, 1).otherwise(0).alias("y"))
+    return table(spark, d, "events").select((F.col("user_id") % 5).alias("series"), p.alias("p"), F.when(F.col("event_id") % 3 == 0, 1).otherwise(0).alias("y"), F.to_date("ts").alias("day"))
 
 
 @query("brier", f"WITH {BR_SQL} SELECT series, round(avg(y), 6) AS rate, round(avg(pow(p - y, 2)), 6) AS brier, count(*) AS n, round(1 - avg(pow(p - y, 2)) / (avg(y) * (1 - avg(y))), 6) AS skill FROM br GROUP BY series")
@@ -175,9 +175,9 @@ def reliability(spark, d):
 @query("live_errors", """WITH f AS (SELECT o_orderpriority AS target, CAST(o_orderdate AS DATE) AS day, arg_max(o_totalprice, o_orderkey) AS forecast FROM orders WHERE o_orderdate <= TIMESTAMP '1999-01-01' GROUP BY ALL),
   a AS (SELECT o_orderpriority AS target, CAST(o_orderdate AS DATE) AS day, max(o_totalprice) AS actual FROM orders GROUP BY ALL) SELECT f.target, f.day, forecast - actual AS error FROM f JOIN a ON f.target = a.target AND f.day = a.day""")
 def live_errors(spark, d):
-    o = table(spark, d, "orders").withColumn("target", F.col("o_orderpriority")).withColumn("day", F.to_date("o_orderdate"))
-    f = o.where(F.col("o_orderdate") <= F.lit("1999-01-01").cast("timestamp_ntz")).groupBy("target", "day").agg(F.max_by("o_totalprice", "o_orderkey").alias("forecast"))
-    return f.join(o.groupBy("target", "day").agg(F.max("o_totalprice").alias("actual")), ["target", "day"]).select("target", "day", (F.col("forecast") - F.col("actual")).alias("error"))
+    o = table(spark, d, "orders").select(F.col("o_orderpriority").alias("target"), F.to_date("o_orderdate").alias("day"), "o_orderdate", "o_orderkey", "o_totalprice")
+    actuals = o.groupBy("target", "day").agg(F.max("o_totalprice").alias("actual"))
+    return C.live_errors(o, actuals, ["target", "day"], F.col("o_orderdate"), "1999-01-01 00:00:00", "o_totalprice", "o_orderkey", "actual")
 
 
 @query("rmse_sigma", f"WITH {ER_SQL} SELECT method, series, count(error) AS n, round(CASE WHEN count(error) >= 70 THEN sqrt(avg(error * error)) ELSE stddev_samp(error) / sqrt(5) END, 6) AS sigma FROM er GROUP BY ALL")
@@ -217,9 +217,11 @@ def band_distribution(spark, d):
 
 @query("freshness_guard", "SELECT max(CAST(o_orderdate AS DATE)) AS newest, date_diff('day', max(CAST(o_orderdate AS DATE)), DATE '2001-12-31') <= 400 AS fresh, count(DISTINCT o_orderpriority) = 5 AS complete FROM orders")
 def freshness_guard(spark, d):
-    newest = F.max(F.to_date("o_orderdate"))
-    fresh = F.datediff(F.lit("2001-12-31").cast("date"), newest) <= 400
-    return table(spark, d, "orders").agg(newest.alias("newest"), fresh.alias("fresh"), (F.count_distinct("o_orderpriority") == 5).alias("complete"))
+    """What the guard looks at; the guard itself raises."""
+    rows = table(spark, d, "orders")
+    day = F.to_date("o_orderdate")
+    C.freshness_guard(rows, day, "2001-12-31", 400, "o_orderpriority", 5)
+    return C.freshness(rows, day, "2001-12-31", 400, "o_orderpriority", 5)
 
 
 @query("window_gate", "SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE CAST(o_orderdate AS DATE) < CAST(date_trunc('month', o_orderdate) AS DATE) + CAST((12 - dayofweek(date_trunc('month', o_orderdate))) % 7 AS INTEGER)")
@@ -228,7 +230,7 @@ def window_gate(spark, d):
     from tidemark.functions.scalars import nth_weekday
 
     days = table(spark, d, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
-    return days.where(F.col("day") < nth_weekday(F.col("day"), "FRI"))
+    return C.before_release(days, F.col("day"), nth_weekday(F.col("day"), "FRI"))
 
 
 @query("missing_features_report", f"WITH {BL_SQL} SELECT series, period, concat_ws(',', CASE WHEN rw IS NULL THEN 'rw' END, CASE WHEN mean3 IS NULL THEN 'mean3' END, CASE WHEN drift IS NULL THEN 'drift' END) AS missing FROM bl")
@@ -280,32 +282,41 @@ def wf_ridge_cv(spark, d):
     return M.wf_ridge_cv(regressors(spark, d), ["series"], "period", "value", ["x1", "x2", "x3"], 24, [0.1, 1.0, 10.0, 100.0], origins)
 
 
-def pair(spark, d):
-    wide = R.pivot_wide(monthly_panel(spark, d), ["period"], "series", "value", {"1-URGENT": "a", "2-HIGH": "b", "3-MEDIUM": "c", "4-NOT SPECIFIED": "e", "5-LOW": "f"})
-    return wide.withColumn("series", F.lit("all"))
+# error correction by running sums in SQL: the gap is taken with the coefficients of each origin
+_ECM_SQL = f"""WITH {SG_SQL}, x AS (SELECT *, lag(a) OVER w AS a1, lag(b) OVER w AS b1, a - lag(a) OVER w AS dy FROM sg WINDOW w AS (PARTITION BY series ORDER BY period)),
+  c AS (SELECT series, period, a1, b1, dy, regr_intercept(a, b) OVER w AS alpha, regr_slope(a, b) OVER w AS beta FROM x WINDOW w AS (PARTITION BY series ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+  f AS (SELECT o.series, o.period, o.a1 - o.alpha - o.beta * o.b1 AS gap, count(h.dy) AS n, regr_slope(h.dy, h.a1 - o.alpha - o.beta * h.b1) AS gamma, regr_intercept(h.dy, h.a1 - o.alpha - o.beta * h.b1) AS const
+    FROM c o LEFT JOIN c h ON h.series = o.series AND h.period < o.period AND h.dy IS NOT NULL AND h.b1 IS NOT NULL GROUP BY ALL)"""
 
 
-@query("wf_ecm")
+@query("wf_ecm", _ECM_SQL + " SELECT series, period, n AS n_train, CASE WHEN n >= 24 THEN round(gamma, 5) END AS gamma, CASE WHEN n >= 24 THEN round(gap, 6) END AS gap, CASE WHEN n >= 24 THEN round(const + gamma * gap, 5) END AS prediction FROM f")
 def wf_ecm(spark, d):
-    return M.wf_ecm(pair(spark, d), ["series"], "period", "a", "b", 24).select("series", "period", "n_train", "gamma", "gap", "prediction")
+    rows = M.wf_ecm(segment_panel(spark, d), ["series"], "period", "a", "b", 24)
+    enough = F.col("n_train") >= 24
+    return rows.select("series", "period", "n_train", *[F.when(enough, F.round(c, n)).alias(c) for c, n in (("gamma", 5), ("gap", 6), ("prediction", 5))])
 
 
-@query("ecm_next_step")
+@query("ecm_next_step", _ECM_SQL + " SELECT series, period, CASE WHEN n >= 24 THEN round(gamma * gap / 30, 6) END AS daily_step FROM f")
 def ecm_next_step(spark, d):
-    return M.ecm_next_step(M.wf_ecm(pair(spark, d), ["series"], "period", "a", "b", 24), "gamma", "gap", 30).select("series", "period", "daily_step")
+    rows = M.ecm_next_step(M.wf_ecm(segment_panel(spark, d), ["series"], "period", "a", "b", 24), "gamma", "gap", 30)
+    return rows.select("series", "period", F.when(F.col("n_train") >= 24, F.round("daily_step", 6)).alias("daily_step"))
 
 
-@query("bottom_up")
+_LONG_SQL = f"""WITH {SG_SQL}, l AS (SELECT series, period, 'a' AS part, coalesce(a, 0.0) AS v FROM sg UNION ALL SELECT series, period, 'b', coalesce(b, 0.0) FROM sg UNION ALL SELECT series, period, 'c', coalesce(c, 0.0) FROM sg),
+  x AS (SELECT *, lag(v) OVER w AS x1 FROM l WINDOW w AS (PARTITION BY series, part ORDER BY period)),
+  f AS (SELECT series, period, part, v, x1, CASE WHEN count(x1) OVER w >= 24 THEN regr_intercept(v, x1) OVER w + regr_slope(v, x1) OVER w * x1 END AS p FROM x WINDOW w AS (PARTITION BY series, part ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+  t AS (SELECT series, period, sum(v) AS total, max(CASE WHEN part = 'a' THEN p END) + max(CASE WHEN part = 'b' THEN p END) AS p, max(CASE WHEN part = 'a' THEN x1 END) + max(CASE WHEN part = 'b' THEN x1 END) AS x1 FROM f GROUP BY ALL),
+  y AS (SELECT series, period, p - x1 + lag(total) OVER w AS new, lag(total) OVER w AS old FROM t WINDOW w AS (PARTITION BY series ORDER BY period))"""
+
+
+@query("bottom_up", _LONG_SQL + " SELECT series, period, round(CASE WHEN new > 0 AND old > 0 THEN ln(new) - ln(old) END, 6) AS total_dlog FROM y")
 def bottom_up(spark, d):
-    """Two parts forecast apart, the residual carried, and the total's log change from their sum."""
-    rows = M.wf_ols(regressors(spark, d), ["series"], "period", "value", ["x1", "x2"], 24)
-    parts = rows.groupBy("period").pivot("series", ["1-URGENT", "2-HIGH"]).agg(F.first("prediction").alias("p"), F.first("x1").alias("x1"))
-    total = monthly_panel(spark, d).groupBy("period").agg(F.sum("value").alias("total")).withColumn("all", F.lit("all"))
-    s = Series(["all"], "period")
-    last = s.lag(F.col("total"))
-    joined = parts.join(total, "period").withColumn("last", last)
-    new = F.col("1-URGENT_p") + F.col("2-HIGH_p") + F.col("last") - F.col("1-URGENT_x1") - F.col("2-HIGH_x1")
-    return joined.select("period", F.when(new > 0, F.ln(new) - F.ln("last")).alias("total_dlog"))
+    """Two parts of each segment forecast apart, the rest carried, and the total's log change from their sum."""
+    long = segment_panel(spark, d).select("series", "period", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in "abc"]).unpivot(["series", "period"], ["a", "b", "c"], "part", "v")
+    rows = long.withColumn("x1", Series(["series", "part"], "period").lag(F.col("v")))
+    fits = M.wf_ols_simple(rows, ["series", "part"], "period", "v", "x1", 24)
+    out = M.bottom_up(fits, ["series"], "period", "part", "v", {"a": "a", "b": "b"})
+    return out.select("series", "period", F.round("total_dlog", 6).alias("total_dlog"))
 
 
 @query("ensemble_mean", f"WITH {BL_SQL} SELECT series, period, round(list_avg([rw, seasonal, mean3]), 9) AS ensemble, concat_ws('+', CASE WHEN rw IS NOT NULL THEN 'rw' END, CASE WHEN seasonal IS NOT NULL THEN 'seasonal' END, CASE WHEN mean3 IS NOT NULL THEN 'mean3' END) AS method FROM bl")
@@ -334,20 +345,27 @@ def maturity_blend(spark, d):
     return M.maturity_blend(rows, "mean3", "rw", "c", 0.5).select("series", "period", F.round("blend", 9).alias("blend"))
 
 
-@query("revision_trajectory")
+_TUESDAYS = [f"1998-{m:02d}-{day:02d}" for m, day in ((3, 3), (3, 10), (3, 17), (3, 24), (3, 31), (4, 7), (4, 14), (4, 21), (4, 28))]
+_KNOWN_DESC = ", ".join(f"{c} DESC" for c in ["vintage", *TIE])
+
+
+@query("revision_trajectory", f"""WITH {BT_SQL}, {origins_sql(_TUESDAYS)}, r AS (SELECT origin, series, period, value FROM bt JOIN origins ON period <= origin AND vintage <= origin
+    QUALIFY row_number() OVER (PARTITION BY origin, series, period ORDER BY {_KNOWN_DESC}) = 1),
+  g AS (SELECT origin, series, max(CASE WHEN period = DATE '1998-03-01' THEN value END) AS signal, arg_max(value, period) FILTER (WHERE period < DATE '1998-03-01') AS prior,
+    greatest(least(date_diff('day', DATE '1998-03-01', origin) / 60.0::DOUBLE, 1.0), 0.0) AS c FROM r GROUP BY origin, series)
+  SELECT origin, series, round(CASE WHEN c > 0 AND signal IS NOT NULL THEN pow(c, 0.5::DOUBLE) * signal + (1 - pow(c, 0.5::DOUBLE)) * prior ELSE prior END, 6) AS blend FROM g""")
 def revision_trajectory(spark, d):
     """The blend as it would have been on each Tuesday before the release."""
-    days = spark.sql("SELECT explode(sequence(date'1998-03-03', date'1998-04-28', interval 7 days)) AS origin")
-    seen = V.as_of_many(bitemporal(spark, d), days, ["series", "period"], "period", "vintage", TIE).where("vintage <= origin")
-    march = F.col("period") == F.lit("1998-03-01").cast("date")
-    rows = seen.groupBy("origin", "series").agg(F.max(F.when(march, F.col("value"))).alias("signal"), F.max_by(F.when(~march, F.col("value")), F.when(~march, F.col("period"))).alias("prior"))
+    seen = V.as_of_many(bitemporal(spark, d), origins_table(spark, _TUESDAYS), ["series", "period"], "period", "vintage", TIE).where("vintage <= origin")
+    rows = V.revision_trajectory(seen, ["series"], "period", "value", "1998-03-01")
     rows = rows.withColumn("c", F.greatest(F.least(F.datediff("origin", F.lit("1998-03-01").cast("date")) / 60, F.lit(1.0)), F.lit(0.0)))
-    return M.maturity_blend(rows, "signal", "prior", "c", 0.5).select("origin", "series", "blend")
+    return M.maturity_blend(rows, "signal", "prior", "c", 0.5).select("origin", "series", F.round("blend", 6).alias("blend"))
 
 
 @query("platt_scaling")
 def platt_scaling(spark, d):
-    return M.platt_scaling(outcomes(spark, d), "p", "y").select("series", "p", "y", "calibrated")
+    """Calibrated day by day's block on the days before it."""
+    return M.platt_scaling(outcomes(spark, d), "p", "y", "day", ["2024-01-08", "2024-01-15", "2024-01-22"]).select("series", "day", "p", "y", "calibrated")
 
 
 @query("wf_gbt")
@@ -361,24 +379,105 @@ def wf_gbt_direction(spark, d):
     return M.wf_gbt(rows, "period", "up", ["x1", "x2", "x3"], ["1999-01-01"], classify=True, trees=5).select("series", "period", "prediction")
 
 
-_INPUTS = ["a", "b", "c", "e", "f"]
+_WINDOWS = {"gas": "1-URGENT", "diesel": "2-HIGH", "sp": "2-HIGH"}
+
+
+def _columns(spec) -> dict[str, str]:
+    """The panel column of each input: a window of daily data by its own name, the others by priorities in order of first mention."""
+    plain = [x for x in spec.inputs() if x.split("_")[-1] not in ("mid", "sw", "late")]
+    return {x: x for x in spec.inputs() if x not in plain} | {x: "abcef"[i % 5] for i, x in enumerate(plain)}
+
+
+def job_panel(spark, d, spec):
+    """The spec's inputs for every market segment."""
+    panel, found = segment_panel(spark, d), _columns(spec)
+    for name in dict.fromkeys(x.split("_")[0] for x in found if found[x] == x):
+        days = segment_days(spark, d).where(F.col("kind") == _WINDOWS[name]).select("series", "day", (F.col("cents") / F.lit(100000007.0)).alias("value"))
+        panel = panel.join(jobs.daily_windows(days, ["series"], "day", "value", name), ["series", "period"], "left")
+    return panel.select("series", "period", *[F.col(c).alias(x) for x, c in found.items()])
+
+
+def _windows_sql(name: str) -> str:
+    kind = _WINDOWS[name]
+    return f"""{name}_d AS (SELECT series, day, cents / 100000007.0 AS v, CAST(date_trunc('month', day) AS DATE) AS m FROM od WHERE kind = '{kind}'),
+  {name}_t AS (SELECT DISTINCT series, m AS period, m + 14 - CAST(dayofweek(m + 12) AS INTEGER) AS at FROM {name}_d),
+  {name}_w AS (SELECT t.series, t.period, (SELECT arg_max(v, day) FROM {name}_d x WHERE x.series = t.series AND x.day BETWEEN t.at - 6 AND t.at) AS {name}_mid,
+    (SELECT avg(v) FROM {name}_d x WHERE x.series = t.series AND x.day BETWEEN CAST(t.period - INTERVAL 1 MONTH AS DATE) + 24 AND t.period + 6) AS {name}_sw,
+    (SELECT avg(v) FROM {name}_d x WHERE x.series = t.series AND x.day BETWEEN t.period + 7 AND t.period + 20) AS {name}_late FROM {name}_t t)"""
+
+
+def features_sql(spec: jobs.JobSpec) -> str:
+    """The spec's features in SQL, written from its transforms."""
+    found = _columns(spec)
+    windows = list(dict.fromkeys(x.split("_")[0] for x in found if found[x] == x))
+    joins = "".join(f" LEFT JOIN {n}_w ON {n}_w.series = sg.series AND {n}_w.period = sg.period" for n in windows)
+    lag = lambda x, k=1: f"lag({x}, {k}) OVER w"
+
+    def expression(kind, x, o):
+        return {
+            "level": x, "log": f"ln({x})", "diff": f"{x} - {lag(x)}", "dlog": f"ln({x}) - ln({lag(x)})", "pct": f"({x} / {lag(x)} - 1) * 100",
+            "yoy_log": f"ln({x}) - ln({lag(x, 12)})", "centred": f"({x} - 50) / 100", "shortfall": f"50 - {x}", "deviation": f"{x} - avg({x}) OVER s",
+            "gap": f"{x} - {o}", "log_gap": f"ln({x}) - ln({o})", "pct_of": f"({x} / {o} - 1) * 100", "gap_to_prior": f"{x} - {lag(o)}",
+            "log_gap_to_prior": f"ln({x}) - ln({lag(o)})",
+        }[kind]
+
+    column = lambda n: f"list_avg([{', '.join(found[x] for x in n.split('+'))}])" if "+" in n else found.get(n)
+    y = expression(spec.target_transform, found[spec.target], found.get(spec.target_other))
+    first, second = [f"{y} AS y"], ["y"]
+    for t in spec.terms:
+        if t.transform == "month_dummies":
+            second += [f"CASE WHEN month(period) = {i} THEN 1.0 ELSE 0.0 END::DOUBLE AS m_{i}" for i in range(2, 13)]
+        elif t.transform == "seasonal":
+            second.append(f"avg(y) OVER s AS {t.name}")
+        elif t.transform == "seasonal_gap":
+            first.append(f"({y}) - ({expression('dlog', column(t.input), None)}) AS t_{t.name}")
+            second.append(f"avg(t_{t.name}) OVER s AS {t.name}")
+        else:
+            first.append(f"{expression(t.transform, column(t.input), found.get(t.other))} AS t_{t.name}")
+            second.append((f"{lag('t_' + t.name, t.lag)}" if t.lag else f"t_{t.name}") + f" AS {t.name}")
+    over = "WINDOW w AS (PARTITION BY series ORDER BY period), s AS (PARTITION BY series, month(period) ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    names = ["y", *jobs.feature_names(spec.terms)]
+    return f"""WITH {SG_SQL}{"".join(", " + _windows_sql(n) for n in windows)}, p AS (SELECT sg.*{"".join(f", {n}_mid, {n}_sw, {n}_late" for n in windows)} FROM sg{joins}),
+  one AS (SELECT series, period, {", ".join(first)} FROM p {over}), two AS (SELECT series, period, {", ".join(second)} FROM one {over})
+  SELECT series, period, {", ".join(f"round({n}, 6) AS {n}" for n in names)} FROM two"""
+
+
+def _features(spark, d, spec):
+    rows = jobs.build_features(job_panel(spark, d, spec), spec, ["series"], "period")
+    return rows.select("series", "period", *[F.round(n, 6).alias(n) for n in ("y", *jobs.feature_names(spec.terms))])
 
 
 def _job(name: str):
     spec = jobs.SPECS[name]
 
+    @query(f"{name}_features", features_sql(spec))
+    def features(spark, d):
+        """The job's target and regressors for every market segment, whose priorities' monthly values stand for its inputs."""
+        return _features(spark, d, spec)
+
     @query(name)
     def run(spark, d):
-        """The spec over the order panel: its inputs stand for the priorities' monthly values, in order of first mention."""
-        names = list(dict.fromkeys([spec.target, *[x for t in spec.terms for x in (t.input, t.other) if x]]))
-        panel = pair(spark, d)
-        panel = panel.select("series", "period", *[F.col(_INPUTS[i % len(_INPUTS)]).alias(n) for i, n in enumerate(names)])
-        return jobs.run_job(panel, spec, ["series"], "period", min_train=24)
+        """The job at every month of every market segment; the tables hold 80 months, so 24 rows are enough to train on here."""
+        return jobs.run_job(job_panel(spark, d, spec), spec, ["series"], "period", min_train=24)
 
 
 for _name in jobs.SPECS:
     _job(_name)
 
+_CHALLENGER = jobs.ENSEMBLES["challenger_job"]
+_CHALLENGER_TERMS = jobs.JobSpec("challenger_job", "cuts", "log", tuple({t.name: t for m in _CHALLENGER.members for t in m.terms}.values()), 48)
+
+
+@query("challenger_job_features", features_sql(_CHALLENGER_TERMS))
+def challenger_job_features(spark, d):
+    return _features(spark, d, _CHALLENGER_TERMS)
+
+
+@query("challenger_job")
+def challenger_job(spark, d):
+    """The ridge ensemble over every market segment."""
+    return jobs.run_ensemble(job_panel(spark, d, _CHALLENGER), _CHALLENGER, ["series"], "period", min_train=36)
+
 
 @query("shelter_job", f"WITH {MP_SQL} SELECT series, period, round(CASE WHEN count(g) OVER (w ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) >= 4 THEN avg(g) OVER (w ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) END, 6) AS prediction FROM (SELECT series, period, (value / lag(value) OVER {_W}) - 1) * 100 AS g FROM mp) WINDOW w AS (PARTITION BY series ORDER BY period)")
 def shelter_job(spark, d):

@@ -49,20 +49,23 @@ def join_offset(spark, d):
 
 
 @query("join_asof_last", f"""WITH {MP_SQL}, l AS (SELECT DISTINCT series, CAST(last_day(period) AS DATE) AS at FROM mp),
-  o AS (SELECT o_orderpriority AS series, CAST(o_orderdate AS DATE) AS day, max(o_totalprice) AS price FROM orders WHERE o_orderkey % 3 = 0 GROUP BY ALL)
+  o AS (SELECT o_orderpriority AS series, CAST(o_orderdate AS DATE) AS day, max(o_totalprice) AS price FROM orders GROUP BY ALL)
   SELECT l.series, l.at, CASE WHEN date_diff('day', o.day, l.at) <= 2 THEN o.day END AS asof_when, CASE WHEN date_diff('day', o.day, l.at) <= 2 THEN o.price END AS asof_value
   FROM l ASOF LEFT JOIN o ON l.series = o.series AND l.at >= o.day""")
 def join_asof_last(spark, d):
     left = monthly_panel(spark, d).select("series", F.last_day("period").alias("at")).distinct()
-    right = table(spark, d, "orders").where("o_orderkey % 3 = 0").groupBy(F.col("o_orderpriority").alias("series"), F.to_date("o_orderdate").alias("day")).agg(F.max("o_totalprice").alias("price"))
+    right = table(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("series"), F.to_date("o_orderdate").alias("day")).agg(F.max("o_totalprice").alias("price"))
     return R.join_asof_last(left, right, ["series"], "at", "day", "price", 2)
 
 
-@query("asof_top_k", f"""WITH {DS_SQL}, x AS (SELECT series, CAST(date_trunc('month', day) AS DATE) AS period, value, row_number() OVER (PARTITION BY series, date_trunc('month', day) ORDER BY day DESC) AS k FROM ds)
-  SELECT series, period, CASE WHEN max(k) >= 4 THEN max(CASE WHEN k = 1 THEN value END) END AS v0, CASE WHEN max(k) >= 4 THEN max(CASE WHEN k = 2 THEN value END) END AS v1,
-    CASE WHEN max(k) >= 4 THEN max(CASE WHEN k = 3 THEN value END) END AS v2, CASE WHEN max(k) >= 4 THEN max(CASE WHEN k = 4 THEN value END) END AS v3 FROM x GROUP BY series, period""")
+@query("asof_top_k", """WITH w AS (SELECT o_orderpriority AS series, CAST(date_trunc('week', o_orderdate) AS DATE) + 5 AS week, count(*)::DOUBLE AS n FROM orders GROUP BY ALL),
+  g AS (SELECT series, CAST(unnest(generate_series(CAST(date_trunc('month', min(week)) AS DATE), CAST(date_trunc('month', max(week)) AS DATE), INTERVAL 1 MONTH)) AS DATE) AS period FROM w GROUP BY series),
+  x AS (SELECT g.series, period, n, row_number() OVER (PARTITION BY g.series, period ORDER BY week DESC) AS k FROM g JOIN w ON w.series = g.series AND week <= last_day(period))
+  SELECT series, period, """ + ", ".join(f"CASE WHEN max(k) >= 6 THEN max(CASE WHEN k = {i + 1} THEN n END) END AS v{i}" for i in range(6)) + " FROM x GROUP BY series, period")
 def asof_top_k(spark, d):
-    return R.asof_top_k(daily_series(spark, d), ["series"], "day", "value", 4)
+    """Six weeks up to the month's end: always more than the month holds."""
+    weeks = table(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("series"), F.date_add(F.trunc("o_orderdate", "WEEK"), 5).alias("week")).agg(F.count("*").cast("double").alias("n"))
+    return R.asof_top_k(weeks, ["series"], "week", "n", 6)
 
 
 _PRIORITIES = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium", "4-NOT SPECIFIED": "unspecified", "5-LOW": "low"}
@@ -184,20 +187,20 @@ def month_sum(spark, d):
     return table(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("series"), F.trunc("o_orderdate", "MM").alias("period")).agg((F.sum(F.round(F.col("o_totalprice") * 100).cast("long")) / 100.0).alias("total"))
 
 
-@query("count_weeks_in_month", f"""WITH {MP_SQL}, w AS (SELECT o_orderpriority AS series, CAST(date_trunc('month', d) AS DATE) AS period, count(DISTINCT d) AS k
-    FROM (SELECT o_orderpriority, CAST(date_trunc('week', o_orderdate) AS DATE) + 5 AS d FROM orders WHERE o_orderkey % 50 = 0) GROUP BY ALL)
-  SELECT mp.series, mp.period, coalesce(k, 4) AS weeks FROM mp LEFT JOIN w ON mp.series = w.series AND mp.period = w.period""")
+@query("count_weeks_in_month", """WITH w AS (SELECT o_orderpriority AS series, CAST(o_orderdate AS DATE) + CAST((13 - dayofweek(o_orderdate)) % 7 AS INTEGER) AS d FROM orders),
+  c AS (SELECT series, CAST(date_trunc('month', d) AS DATE) AS period, count(DISTINCT d) AS k FROM w GROUP BY ALL),
+  g AS (SELECT series, CAST(unnest(generate_series(min(period), max(period), INTERVAL 1 MONTH)) AS DATE) AS period FROM c GROUP BY series)
+  SELECT g.series, g.period, coalesce(k, 4) AS weeks FROM g LEFT JOIN c ON g.series = c.series AND g.period = c.period""")
 def count_weeks_in_month(spark, d):
-    """Observed Saturdays; a month without any counts 4."""
-    weeks = table(spark, d, "orders").where("o_orderkey % 50 = 0").select(F.col("o_orderpriority").alias("series"), F.date_add(F.trunc("o_orderdate", "WEEK"), 5).alias("d"))
-    k = weeks.groupBy("series", F.trunc("d", "MM").alias("period")).agg(F.count_distinct("d").alias("k"))
-    return monthly_panel(spark, d).join(k, ["series", "period"], "left").select("series", "period", F.coalesce("k", F.lit(4)).alias("weeks"))
+    """Observed weeks by the Saturday they end on; a month without any counts 4."""
+    days = table(spark, d, "orders").select(F.col("o_orderpriority").alias("series"), F.to_date("o_orderdate").alias("day"))
+    return R.weeks_in_month(days, ["series"], "day").select("series", "period", "weeks")
 
 
 @query("completeness", "SELECT o_custkey % 40 AS series, CAST(date_trunc('month', o_orderdate) AS DATE) AS period, least(count(DISTINCT CAST(o_orderdate AS DATE)) / 20.0, 1.0)::DOUBLE AS completeness FROM orders GROUP BY ALL")
 def completeness(spark, d):
-    rows = table(spark, d, "orders").groupBy((F.col("o_custkey") % 40).alias("series"), F.trunc("o_orderdate", "MM").alias("period"))
-    return rows.agg(F.least(F.count_distinct(F.to_date("o_orderdate")) / 20.0, F.lit(1.0)).alias("completeness"))
+    rows = table(spark, d, "orders").select((F.col("o_custkey") % 40).alias("series"), F.to_date("o_orderdate").alias("day"))
+    return R.completeness(rows, ["series"], "day", F.lit(20.0))
 
 
 @query("component_sum", f"WITH {MP_SQL}, w AS (SELECT period, max(CASE WHEN series = '1-URGENT' THEN n END) AS a, max(CASE WHEN series = '2-HIGH' THEN n END) AS b, max(CASE WHEN series = '5-LOW' AND month(period) <> 2 THEN n END) AS c FROM mp GROUP BY period) SELECT period, a + b + c AS total FROM w")
@@ -206,30 +209,39 @@ def component_sum(spark, d):
     return R.component_sum(rows, ["period"], "series", "n", ["1-URGENT", "2-HIGH", "5-LOW"])
 
 
-@query("conditional_agg", "SELECT o_custkey, max(CASE WHEN o_orderstatus = 'O' THEN o_totalprice END) AS open_max, count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS partial FROM orders GROUP BY o_custkey")
+@query("conditional_agg", "SELECT o_custkey, max(CASE WHEN o_orderstatus = 'O' THEN o_totalprice END) AS open_max, max(CASE WHEN o_orderstatus = 'P' THEN o_totalprice END) AS partial_max FROM orders GROUP BY o_custkey")
 def conditional_agg(spark, d):
     s = F.col("o_orderstatus")
-    return table(spark, d, "orders").groupBy("o_custkey").agg(F.max(F.when(s == "O", F.col("o_totalprice"))).alias("open_max"), F.count(F.when(s == "P", 1)).alias("partial"))
+    return R.conditional_max(table(spark, d, "orders"), ["o_custkey"], {"open_max": s == "O", "partial_max": s == "P"}, F.col("o_totalprice"))
 
 
 @query("ordered_array_first", "SELECT user_id, arg_max(value, row(ts, event_id)) AS last_value FROM events GROUP BY user_id")
 def ordered_array_first(spark, d):
-    return table(spark, d, "events").groupBy("user_id").agg(F.max_by("value", F.struct("ts", "event_id")).alias("last_value"))
+    return R.ordered_first(table(spark, d, "events"), ["user_id"], "value", ["ts", "event_id"], "last_value")
 
 
-@query("collect_snapshot", f"WITH {SN_SQL} SELECT day, count(*) AS members, CAST(sum(cents) AS BIGINT) AS cents FROM (SELECT DISTINCT day, member, survey_end, cents FROM sn WHERE kind = 'error') GROUP BY day HAVING count(*) >= 3")
+_SNAPSHOT_SQL = f"WITH {SN_SQL} SELECT day, count(*) AS members, CAST(sum(cents) AS BIGINT) AS cents FROM (SELECT DISTINCT day, member, survey_end, cents FROM sn) GROUP BY day HAVING count(*) >= 3"
+
+
+@query("collect_snapshot", _SNAPSHOT_SQL)
 def collect_snapshot(spark, d):
-    rows = snapshots(spark, d).where("kind = 'error'").select("day", "member", "survey_end", "cents").distinct()
-    lists = R.collect_snapshot(rows, "day", ["member", "survey_end", "cents"])
+    """A day's members as a list, as long as their number allows one, and what is read from it."""
+    rows = snapshots(spark, d).select("day", "member", "survey_end", "cents").distinct()
+    lists = R.collect_snapshot(rows, "day", ["member", "survey_end", "cents"], most=1_000_000)
     return lists.select("day", F.size("members").cast("long").alias("members"), F.aggregate("members", F.lit(0).cast("long"), lambda a, m: a + m["cents"]).alias("cents"))
 
 
+@query("snapshot_sizes", _SNAPSHOT_SQL)
+def snapshot_sizes(spark, d):
+    """The same without lists, for days of any size."""
+    rows = snapshots(spark, d).select("day", "member", "survey_end", "cents").distinct()
+    return R.snapshot_sizes(rows, "day", F.col("cents")).select("day", F.col("n").alias("members"), F.col("total").alias("cents"))
+
+
 @query("published_or_mean", f"WITH {SN_SQL} SELECT day, coalesce(max(CASE WHEN member = 7 THEN cents END) / 100.0, round_even(CAST(sum(CASE WHEN member <> 7 THEN cents END) AS DOUBLE) / count(CASE WHEN member <> 7 THEN 1 END) / 100, 1)) AS average FROM sn GROUP BY day")
 def published_or_mean(spark, d):
     """Member 7 stands for the published average; without it, the rounded mean of the members."""
-    own = F.max(F.when(F.col("member") == 7, F.col("cents"))) / 100.0
-    rest = F.when(F.col("member") != 7, F.col("cents"))
-    return snapshots(spark, d).groupBy("day").agg(F.coalesce(own, F.bround(F.sum(rest).cast("double") / F.count(rest) / 100, 1)).alias("average"))
+    return R.published_or_mean(snapshots(spark, d), ["day"], F.col("member") == 7, F.col("cents"))
 
 
 @query("first_seen", f"""WITH {SN_SQL} SELECT member, survey_end, min(day) AS first_seen, arg_min(CASE WHEN event_id % 2 = 0 THEN day END, row(CASE WHEN event_id % 2 = 0 THEN 0 ELSE 1 END, day)) AS released FROM sn GROUP BY member, survey_end""")
@@ -302,14 +314,14 @@ def direction_label(spark, d):
 
 @query("last_n_as_of", f"WITH {MP_SQL} SELECT series, period, lag(n) OVER {_W}) AS a, lag(n, 2) OVER {_W}) AS b, lag(n, 3) OVER {_W}) AS c FROM mp QUALIFY row_number() OVER {_W}) > 3")
 def last_n_as_of(spark, d):
-    rows = monthly_panel(spark, d).withColumn("last", _S.last_values(F.col("n"), 3)).where("last is not null")
+    rows = _S.last_values(monthly_panel(spark, d), F.col("n"), 3).where("last is not null")
     return rows.select("series", "period", *[F.col("last")[i].alias(n) for i, n in enumerate("abc")])
 
 
-@query("gap_aware_diff", "WITH x AS (SELECT user_id, CAST(ts AS DATE) AS day, max(value) AS value FROM events WHERE user_id % 3 = 0 GROUP BY ALL) SELECT user_id, day, round(CASE WHEN date_diff('day', lag(day) OVER w, day) <= 3 THEN (value - lag(value) OVER w) / date_diff('day', lag(day) OVER w, day) END, 6) AS change FROM x WINDOW w AS (PARTITION BY user_id ORDER BY day)")
+@query("gap_aware_diff", "WITH x AS (SELECT user_id, CAST(ts AS DATE) AS day, max(value) AS value FROM events GROUP BY ALL) SELECT user_id, day, round(CASE WHEN date_diff('day', lag(day) OVER w, day) <= 3 THEN (value - lag(value) OVER w) / date_diff('day', lag(day) OVER w, day) END, 6) AS change FROM x WINDOW w AS (PARTITION BY user_id ORDER BY day)")
 def gap_aware_diff(spark, d):
     s = P.Series(["user_id"], "day")
-    rows = _events(spark, d).where("user_id % 3 = 0").groupBy("user_id", "day").agg(F.max("value").alias("value"))
+    rows = _events(spark, d).groupBy("user_id", "day").agg(F.max("value").alias("value"))
     return rows.select("user_id", "day", F.round(s.gap_aware_diff(F.col("value"), 3), 6).alias("change"))
 
 
@@ -373,7 +385,10 @@ def weekday_factor(spark, d):
     return P.weekday_factor(_days(spark, d), "day")
 
 
-@query("house_offset", f"WITH {SN_SQL}, truth AS (SELECT day, CAST(sum(cents) AS BIGINT) / 100.0 / count(*) AS truth FROM sn GROUP BY day) SELECT member, round(avg(value - truth), 6) AS \"offset\", round(stddev_pop(value - truth), 6) AS residual_sd, count(*) AS n FROM sn JOIN truth ON sn.day = truth.day GROUP BY member")
+@query("house_offset", f"""WITH {SN_SQL}, truth AS (SELECT day, CAST(sum(cents) AS BIGINT) / 100.0 / count(*) AS truth FROM sn GROUP BY day),
+  e AS (SELECT member, value - truth AS e FROM sn JOIN truth ON sn.day = truth.day), m AS (SELECT member, avg(e) AS o, count(*) AS n FROM e GROUP BY member),
+  r AS (SELECT CASE WHEN count(*) > 5 THEN greatest(stddev_pop(e.e - m.o), 0.3) ELSE 1.0 END AS sd FROM e JOIN m ON e.member = m.member)
+  SELECT member, round(o, 6) AS "offset", round(sd, 6)::DOUBLE AS residual_sd, n FROM m, r""")
 def house_offset(spark, d):
     rows = snapshots(spark, d)
     truth = rows.groupBy("day").agg((F.sum("cents") / 100.0 / F.count("*")).alias("truth"))

@@ -88,7 +88,7 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
 
 def anti_self(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the target that the staged rows leave alone."""
-    return target.alias("t").join(staged.select(*keys).distinct().alias("s"), _null_safe(keys), "left_anti")
+    return target.alias("t").join(staged.select(*keys).alias("s"), _null_safe(keys), "left_anti")
 
 
 def _null_safe(keys: Sequence[str]) -> Column:
@@ -98,9 +98,16 @@ def _null_safe(keys: Sequence[str]) -> Column:
     return out
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None) -> DataFrame:
+    """The last row of each key in the order; without one, in the order of all other columns, so that the pick is the same every time."""
+    rest = [c for c in df.columns if c not in keys]
+    return dedupe_last(df, keys, order or rest) if rest else df.select(*keys).distinct()
+
+
 def upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
-    """Staged rows replace those of equal keys (null equals null) and add the others; the rest of the target stays."""
-    staged = dedupe_last(staged, keys, order) if order else staged
+    """Staged rows replace those of equal keys (null equals null) and add the others; the rest of the target stays. Of staged rows with
+    equal keys the last in ``order`` counts (see ``one_per_key``)."""
+    staged = one_per_key(staged, keys, order)
     return anti_self(target, staged, keys).unionByName(staged.select(*target.columns))
 
 
@@ -109,8 +116,10 @@ def replace_slice(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> Da
     return anti_self(target, rows, keys).unionByName(rows.select(*target.columns))
 
 
-def update_columns(target: DataFrame, patch: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Set columns of the rows that a patch row matches; null patches leave what is there."""
+def update_columns(target: DataFrame, patch: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+    """Set columns of the rows that a patch row matches; null patches leave what is there. Of patch rows with equal keys the last in
+    ``order`` counts, so no target row is doubled."""
+    patch = one_per_key(patch.select(*dict.fromkeys([*keys, *columns, *(order or ())])), keys, order)
     joined = target.alias("t").join(patch.alias("s"), _null_safe(keys), "left")
     return joined.select(*[F.coalesce(f"s.{c}", f"t.{c}").alias(c) if c in columns else F.col(f"t.{c}") for c in target.columns])
 
@@ -124,8 +133,24 @@ def wide_to_long(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name
 
 
 def release_gate(df: DataFrame, period: str, cutoff: DataFrame) -> DataFrame:
-    """Rows up to the one-row table ``cutoff`` (column ``cutoff``)."""
-    return df.join(F.broadcast(cutoff), F.col(period) <= F.col("cutoff")).drop("cutoff")
+    """Rows up to the cutoff (column ``cutoff`` of its table; the latest, should there be several)."""
+    one = cutoff.agg(F.max("cutoff").alias("__cutoff"))
+    return df.join(F.broadcast(one), F.col(period) <= F.col("__cutoff")).drop("__cutoff")
+
+
+def nested_points(df: DataFrame, ids: Sequence[str], payload: str, metadata: DataFrame, most: int = 100_000) -> DataFrame:
+    """A JSON payload of series, each with points, to rows: ids, series_id, the metadata's columns, period, value.
+
+    The payload is {"series": [{"id": ..., "points": [{"period": ..., "value": ...}]}]}; null values stay, points without a period go.
+    ``metadata`` has one row per series_id; it is sent to every task when it has ``most`` rows or fewer, else joined by a shuffle.
+    """
+    schema = "series array<struct<id:string,points:array<struct<period:date,value:double>>>>"
+    parsed = df.select(*ids, F.from_json(payload, schema, {"mode": "PERMISSIVE"}).alias("__p"))
+    series = parsed.select(*ids, F.explode("__p.series").alias("__s"))
+    points = series.select(*ids, F.col("__s.id").alias("series_id"), F.explode("__s.points").alias("__v"))
+    rows = points.select(*ids, "series_id", "__v.period", "__v.value").where("period IS NOT NULL")
+    small = metadata.limit(most + 1).count() <= most
+    return rows.join(F.broadcast(metadata) if small else metadata, "series_id", "left")
 
 
 def backfill(df: DataFrame, column: str, value) -> DataFrame:
