@@ -68,14 +68,38 @@ def test_oracles(name, spark, small, duck):
 
 
 def test_license_scan(spark):
-    mit = license_scan.LICENCES["MIT"]
+    mit = (license_scan.TEXTS / "MIT.txt").read_text().removeprefix("MIT License\n")
     rows = [(1, "Copyright (c) 2020 Someone\n\n" + mit.upper()), (2, mit.replace(",", " ;") + "\n"), (3, "This software has no licence"), (4, None), (5, ""), (2, mit), (6, mit + " x")]
     got = [(r.doc_id, r.license_id) for r in license_scan.scan(clashing(spark.createDataFrame(rows, "doc_id long, text string"))).collect()]
     assert sorted(got, key=str) == sorted([(1, "MIT"), (2, "MIT"), (3, None), (4, None), (5, None), (2, "MIT"), (6, None)], key=str)
     assert license_scan.canonical(b"The licence, organisation") == b"the license organization"
+    assert license_scan.canonical(b"wilful willful") == b"willful willful"
     assert license_scan.scan(empty(spark)).count() == 0
 
 
+def test_every_known_licence_is_found(spark):
+    texts = {p.stem: p.read_text(encoding="utf-8") for p in license_scan.TEXTS.glob("*.txt")}
+    assert len(texts) >= 20
+    rows, want = [], {}
+    for name, text in texts.items():
+        shapes = [text, text.upper(), "\n".join("  * " + x for x in text.split("\n")), "Copyright 2019 A. Person\n" + text, re.sub(r"\blicense\b", "licence", text)]
+        # on one line a copyright line can't be told from the text
+        shapes += [] if license_scan._NOTICE.search(text.lower().encode()) else [" ".join(text.split())]
+        title = license_scan.TITLES.get(name, ("",))
+        shapes += [f"{t}\n\nCopyright (c) 2001-2020 Some Firm\nAll rights reserved.\n\n" + text.removeprefix(title[0]) for t in title]
+        shapes += ["\n".join("Copyright 2020 Me" if "Copyright [yyyy]" in x else x for x in text.split("\n"))] if name == "Apache-2.0" else []
+        for shape in shapes:
+            rows.append((len(rows), shape))
+            want[len(rows) - 1] = name
+        rows.append((len(rows), text + "\nOne more condition."))
+        want[len(rows) - 1] = None
+    got = {r.doc_id: r.license_id for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+    # forms of different licences never collide
+    seen = Counter(d for name, text in texts.items() for d in {license_scan.digest(f.encode()) for f in license_scan.forms(name, text)})
+    assert max(seen.values()) == 1
+
+
 # --- op2
 
 _BASE = {
@@ -355,6 +379,18 @@ def test_decontamination_against_brute_force(spark):
     assert decontaminate.report(df.where("false"), bench).count() == 0
 
 
+def test_decontamination_takes_any_ids_and_long_texts(spark):
+    rng = random.Random(4)
+    items = [("b", "one two three four five six seven eight nine ten eleven"), ("a", "three words only"), (None, "no id here")]
+    long = " ".join(word(rng) for _ in range(50_000))
+    rows = [("x1", long + " " + items[0][1]), ("x2", "well Three WORDS only, no id here"), (None, "three words only"), ("x2", "clean")]
+    df, bench = spark.createDataFrame(rows, "doc_id string, text string"), spark.createDataFrame(items, "item_id string, text string")
+    for shard in (decontaminate.SHARD_WORDS, 4):
+        found = decontaminate.benchmark_hits(df, bench, shard_words=shard).collect()
+        got = sorted((str(r.doc_id), r.n_words, sum(x.end - x.start for x in r.spans), tuple(map(str, r["items"]))) for r in found)
+        assert got == sorted([("x1", 50_011, 11, ("b",)), ("x2", 7, 6, ("a", "None")), ("None", 3, 3, ("a",)), ("x2", 1, 0, ())])
+
+
 def test_decontaminate_cuts_runs(spark):
     passage = " ".join(f"w{i}" for i in range(12))
     rows = [(1, f"Keep this part, {passage}; and that part too with a good many words more than the passage itself has got, see."), (2, passage), (3, None), (4, "Clean,  text.")]
@@ -407,6 +443,7 @@ def test_token_counts(spark, docs):
     encode = token_counts.encoding(open(token_counts.VOCABULARY, "rb").read()).encode_ordinary
     lengths = [len(encode(t or "")) for _, t, *_ in corpus()]
     table = token_counts.limits(token_counts.length_histogram(clashing(docs)))
+    assert {r.context_limit for r in table.collect()} == set(lengths) | set(token_counts.LIMITS)
     for r in table.collect():
         n = r.context_limit
         assert (r.docs, r.docs_at_least, r.tokens_at_least) == (lengths.count(n), sum(x >= n for x in lengths), sum(x for x in lengths if x >= n))
@@ -519,6 +556,38 @@ def test_jaccard_join_cells_stay_small_without_a_main_component(spark, monkeypat
     assert {(r.doc_id, r.component_id) for r in jaccard_join.near_duplicates(df, length, percent, block_docs=block).collect()} == want
 
 
+@pytest.mark.parametrize(("length", "percent"), [(3, 90), (5, 80)])
+def test_jaccard_join_sends_hot_keys_to_their_rows(spark, monkeypatch, length, percent):
+    monkeypatch.setattr(jaccard_join, "HOT_ROWS", 2)
+    monkeypatch.setattr(jaccard_join, "HOT_KEYS", 5)
+    rows = families(41)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(df, length, percent, block_docs=16).collect()}
+    assert got == links_by_hand(rows, length, percent)
+
+
+def test_jaccard_join_reads_long_texts_whole(spark):
+    rng = random.Random(6)
+    base = [word(rng) + str(rng.randrange(1000)) for _ in range(60_000)]
+    near, far = list(base), list(base)
+    for at in rng.sample(range(60_000), 500):
+        near[at] = "other"
+    for at in rng.sample(range(60_000), 5000):
+        far[at] = "other"
+    rows = [(5, " ".join(base)), (2, " ".join(near)), (1, " ".join(far)), (9, " ".join(base[:30_000]))]
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()}
+    assert got == {i: c for i, (_, c) in links_by_hand(rows, 3, 90).items()} == {5: 2, 2: 2, 1: 1, 9: 9}
+
+
+def test_deduplicated_keeps_one_row_of_an_id(spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(3, "zz " + text, "a"), (3, text, "b"), (3, None, "c"), (4, text, "d"), (None, text, "e"), (None, text, "f"), (7, "alone here", "g"), (8, None, "h"), (8, None, "i")]
+    df = clashing(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    got = [sorted(map(tuple, jaccard_join.deduplicated(df.repartition(n)).select("doc_id", "text", "lang").collect()), key=str) for n in (1, 4)]
+    assert got[0] == got[1] and len(got[0]) == 5
+    assert {r for r in got[0] if r[0] != 8} == {(3, text, "b"), (None, text, "e"), (None, text, "f"), (7, "alone here", "g")}
+
+
 def test_jaccard_join_edges(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "a b c d e f"), (3, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string")

@@ -4,6 +4,8 @@ from collections import Counter
 
 import corpus_pipeline
 
+from tidemark.llm import language_id
+
 from tests.llm.test_llm_operators import base_by_pattern, clashing, corpus, empty, hits_by_hand, links_by_hand, SCHEMA
 
 
@@ -19,7 +21,9 @@ def test_stages_of_the_small_corpus(spark, small):
         if name != "source_mix":
             assert kept.columns == columns
     first = {r.doc_id: r for r in docs.collect()}
-    assert set(results["language_id"]) == {i for i, r in first.items() if any(c.isalpha() for c in r.text or "")}
+    predicted = {r.doc_id: r for r in language_id.identify(docs, added=("p", "s")).collect()}
+    assert set(results["language_id"]) == {i for i, r in first.items() if any(c.isalpha() for c in r.text or "") and predicted[i].s > 0.5}
+    assert all(r.lang == (first[i].lang or predicted[i].p) for i, r in results["language_id"].items())
     groups = links_by_hand([(i, r.text) for i, r in results["language_id"].items()], 5, 80)
     assert set(results["jaccard_join"]) == {c for _, c in groups.values()}
     clean = results["decontamination"]

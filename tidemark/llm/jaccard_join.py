@@ -23,8 +23,11 @@ A document is its set of distinct shingles, each a hash of 64 bits. Two document
 
 Pairs are never listed, a group never meets in one task, and no cap drops a link.
 
+Keys that very many rows share (a passage's shingle, the least document of a large group) are sent to where those rows lie.
+
 Defined cases: null, empty and wordless texts have no shingles and link with nothing. Fewer words than the shingle's length
-make one shingle of all. Rows that share a doc_id are one node. A null doc_id is its own row, without component.
+make one shingle of all. Texts of any length are read whole. Rows that share a doc_id are one node. A null doc_id is its own row,
+without component. Ids are cast to long: those that are no numbers are an error. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -42,6 +45,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import Scratch, batches, release, utf8
 
 BLOCK_DOCS, PIVOTS, SALTS = 256, 16, 8
+#: Keys that are sent to all tasks at most, and the rows from which a key is one of them.
+HOT_KEYS, HOT_ROWS = 2000, 1000
 #: Texts of an Arrow batch.
 TEXTS = 2000
 _MULT = np.array([pow(0x9E3779B97F4A7C15, 2 * i + 1, 1 << 64) for i in range(12)], np.uint64)
@@ -191,9 +196,9 @@ def _half_tokens(length: int, percent: int):
 
 def prefix_candidates(rows: DataFrame, sketch: DataFrame, equal: DataFrame, length: int, percent: int, scratch: Scratch) -> DataFrame:
     """Rows (a: shingle, b: document); linked documents whose sets differ have one in common."""
-    same = Window.partitionBy("a")
-    tokens = sketch.where(F.col("kind").isin(TOKEN, MANY)).withColumn("met", (F.count("*").over(same) > 1) | (F.max("kind").over(same) == MANY))
-    credit = tokens.where(F.col("met") & (F.col("kind") == TOKEN)).groupBy("b").agg(F.count("*").alias("n"))
+    tokens = sketch.where(F.col("kind").isin(TOKEN, MANY)).select("kind", "a", "b")
+    met = tokens.groupBy("a").agg(F.count("*").alias("n"), F.max("kind").alias("most")).where((F.col("n") > 1) | (F.col("most") == MANY)).drop("most")
+    credit = looked_up(tokens.where(F.col("kind") == TOKEN).select("a", "b"), met, "a").groupBy("b").agg(F.count("*").alias("n"))
     credit = credit.unionByName(sketch.where(F.col("kind") == CREDIT).select(F.col("a").alias("b"), F.col("b").alias("n"))).groupBy("b").agg(F.sum("n").alias("n"))
     size = sketch.where(F.col("kind") == SIZE).select(F.col("a").alias("b"), F.col("b").alias("size"))
     # the smaller of two linked sets has at least percent of the larger's shingles, and a twentieth of it is shared
@@ -201,10 +206,14 @@ def prefix_candidates(rows: DataFrame, sketch: DataFrame, equal: DataFrame, leng
     alive = size.join(credit, "b").where(F.col("n") >= least).select("b").distinct().join(equal.select("b").distinct(), "b", "left_anti")
     alive = scratch.keep(alive, "alive")
     half = alive.join(rows.withColumnRenamed("doc", "b"), "b").mapInArrow(_half_tokens(length, percent), "a long, b long, needs long, half long, beyond boolean")
-    half = half.withColumn("df", F.count("*").over(same)).where("df > 1")
+    half = scratch.keep(half, "half", records=TEXTS)
+    shared = half.groupBy("a").agg(F.count("*").alias("n")).where("n > 1")
+    half = looked_up(half, shared, "a").withColumnRenamed("n", "df")
     within = Window.partitionBy("b", "beyond")
     seldom = half.withColumn("place", F.row_number().over(within.orderBy("df", "a")) + F.col("half") - F.count("*").over(within))
-    return scratch.keep(seldom.where("beyond OR place <= needs").select("a", "b"), "seldom", records=TEXTS)
+    seldom = scratch.keep(seldom.where("beyond OR place <= needs").select("a", "b"), "seldom")
+    scratch.drop("half")
+    return seldom
 
 
 def _sketch(length: int, percent: int):
@@ -268,10 +277,22 @@ def meetings(placed: DataFrame, marks: DataFrame, scratch: Scratch) -> DataFrame
     return cells.select("group", (F.col("tile") * F.lit(1 << 32) + F.col("block")).alias("block"), "node", "asks")
 
 
+def looked_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined to ``table``, which has one row a key and, in ``n``, how many rows look for it.
+
+    The HOT_KEYS most sought keys of over HOT_ROWS rows are sent to the rows where they lie, so a key that a third of all rows
+    have is in no task's way; the others meet by a shuffle.
+    """
+    sought = table.where(F.col("n") > HOT_ROWS).orderBy(F.desc("n"), key).limit(HOT_KEYS).withColumn("__hot", F.lit(True))
+    hot = F.broadcast(sought)
+    beside = rows.join(F.broadcast(sought.select(key)), key, "left_anti").join(table, key)
+    return rows.join(hot, key).drop("__hot").unionByName(beside)
+
+
 def star(pairs: DataFrame) -> DataFrame:
     """Rows (a: key, b: document) to links (a: least document of the key, b: another)."""
-    least = F.min("b").over(Window.partitionBy("a"))
-    return pairs.select(least.alias("least"), "b").where("least < b").select(F.col("least").alias("a"), "b").distinct()
+    least = pairs.groupBy("a").agg(F.min("b").alias("least"), F.count("*").alias("n")).where("n > 1")
+    return looked_up(pairs, least, "a").where("least < b").select(F.col("least").alias("a"), "b").distinct()
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -283,8 +304,8 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     before, i = None, 0
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = looked_up(both.where("v > u"), low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         i += 1
@@ -472,8 +493,15 @@ def near_duplicates(
 
 
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **parameters) -> DataFrame:
-    """``docs`` with one document of each component, that of the least doc_id; rows without a doc_id stay."""
+    """``docs`` with one document of each component, that of the least doc_id; rows without a doc_id stay. Of rows that share an id
+    the one of the least text stays (a null text last), and of equal texts the one of the least hash of the other columns."""
     found = near_duplicates(docs, doc_id=doc_id, text=text, **parameters)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(gone, F.col(doc_id) == F.col("__gone"), "left_anti")
-    return kept.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]).unionByName(kept.where(F.col(doc_id).isNull()))
+    # most ids have nothing to say: one row, and it stays
+    said = found.groupBy(F.col("doc_id").alias("__id")).agg(F.max(F.col("doc_id") != F.col("component_id")).alias("__gone"), F.count("*").alias("__n"))
+    said = said.where("__id IS NOT NULL AND (__gone OR __n > 1)")
+    kept = docs.join(said, F.col(doc_id) == F.col("__id"), "left").where("__gone IS NULL OR NOT __gone")
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (doc_id, text)]
+    first = Window.partitionBy("__id").orderBy(F.asc_nulls_last(text), F.xxhash64(*others) if others else F.lit(0))
+    again = kept.where("__n IS NOT NULL").withColumn("__at", F.row_number().over(first)).where("__at = 1")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return kept.where("__n IS NULL").select(*columns).unionByName(again.select(*columns))
