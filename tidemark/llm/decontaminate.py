@@ -3,28 +3,32 @@
 The automaton holds every run of words of every item. Each document streams through it word by word; the state tells the
 longest run that ends here and occurs in some item. Where that length reaches the window, the words of the run are hit.
 
+A large benchmark is dealt over several automata of bounded size. They are built, sent and dropped one after another, each in a
+pass over the documents that keeps hits only; at the end a document's hits of all passes are put together.
+
 Defined cases: a null or empty text, and an item without words, have no words and match nothing. Repeated documents are
-scored each by itself; repeated items count by distinct item_id. An empty benchmark leaves every document clean. Only the
-named columns are read, so further columns of any name do no harm.
+scored each by itself; repeated items count by distinct item_id, of any type, as text. Texts of any length are streamed whole. An empty
+benchmark leaves every document clean. Only the named columns are read, so further columns of any name do no harm.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import batches, utf8
+from tidemark.llm.common import Scratch, batches, utf8
 
 #: Bytes of words stay (A-Z in lower case), all others part them. Bytes over 0x7F belong to code points over 0x7F.
 _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
-#: Words of items in one automaton; a larger benchmark goes through several automata, one after another.
+#: Words of items in one automaton, about; a larger benchmark goes through several automata, one after another.
 SHARD_WORDS = 1_000_000
 
 
@@ -39,8 +43,8 @@ class SuffixAutomaton:
         self.window = window
         self.next: list[dict[bytes, int]] = [{}]
         self.link, self.length = [-1], [0]
-        self.items: list[list[int]] = [[]]
-        self.short: list[list[tuple[int, int]]] = [[]]
+        self.items: list[list[str]] = [[]]
+        self.short: list[list[tuple[int, str]]] = [[]]
         self.above: list[int] = []
 
     def _state(self, length: int, edges: dict[bytes, int], link: int) -> int:
@@ -72,7 +76,7 @@ class SuffixAutomaton:
             self.link[state] = q if self.length[q] == self.length[p] + 1 else self._split(p, w, q)
         return state
 
-    def fill(self, sequences: list[tuple[int, list[bytes]]]) -> SuffixAutomaton:
+    def fill(self, sequences: list[tuple[str, list[bytes]]]) -> SuffixAutomaton:
         for _, seq in sequences:
             last = 0
             for w in seq:
@@ -96,12 +100,12 @@ class SuffixAutomaton:
             self.above[s] = s if self.short[s] else self.above[self.link[s]]
         return self
 
-    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
+    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Disjoint ascending (start, end) runs of hit words, and the items with a window here."""
         nxt, link, length, above, window = self.next, self.link, self.length, self.above, self.window
         root, state, run = nxt[0], 0, 0
         spans: list[list[int]] = []
-        found: set[int] = set()
+        found: set[str] = set()
         for i, w in enumerate(words):
             if not state:
                 state = root.get(w, 0)
@@ -145,34 +149,41 @@ class SuffixAutomaton:
         return [(a, b) for a, b in spans], found
 
 
-def _shards(benchmark: DataFrame, item_id: str, item_text: str, limit: int) -> Iterator[list[tuple[int, list[bytes]]]]:
-    shard: list[tuple[int, list[bytes]]] = []
-    size = 0
-    for item, text in benchmark.select(F.col(item_id).cast("long"), F.col(item_text).cast("string")).toLocalIterator():
-        seq = words_of((text or "").encode())
-        if not seq:
-            continue
-        if shard and size + len(seq) > limit:
-            yield shard
-            shard, size = [], 0
-        shard.append((item, seq))
-        size += len(seq)
-    if shard:
-        yield shard
+def _dealt(benchmark: DataFrame, item_id: str, item_text: str, shard_words: int) -> tuple[DataFrame, int]:
+    """Items (item, text, shard) and how many shards they are dealt over by hash, for ``shard_words`` words in each, about."""
+    items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.coalesce(F.col(item_text).cast("string"), F.lit("")).alias("text"))
+    words = items.agg(F.sum(F.regexp_count("text", F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]+")))).first()[0] or 0
+    n = max(1, -(-words // shard_words))
+    return items.withColumn("shard", F.pmod(F.xxhash64("item", "text"), F.lit(n))), n
+
+
+def _automaton(items: DataFrame, shard: int, window: int) -> SuffixAutomaton | None:
+    """One shard's automaton, built by the driver: its size is bounded by the shard's words."""
+    rows = items.where(F.col("shard") == shard).select("item", "text").collect()
+    sequences = [(r.item, seq) for r in rows if (seq := words_of(r.text.encode()))]
+    return SuffixAutomaton(window).fill(sequences) if sequences else None
 
 
-_HITS = "n_words long, spans array<struct<start:int,end:int>>, items array<long>"
-_ARROW_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+_SPANS, _ITEMS = "array<struct<start:int,end:int>>", "array<string>"
+_ARROW_SPANS, _ARROW_ITEMS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.list_(pa.string())
 
 
-def _merged(a: list[dict], b: list[tuple[int, int]]) -> list[dict]:
-    out: list[dict] = []
-    for start, end in sorted([(x["start"], x["end"]) for x in a] + b):
-        if out and start <= out[-1]["end"]:
-            out[-1]["end"] = max(end, out[-1]["end"])
+def _merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[list[int]] = []
+    for start, end in sorted(runs):
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(end, out[-1][1])
         else:
-            out.append({"start": start, "end": end})
-    return out
+            out.append([start, end])
+    return [(a, b) for a, b in out]
+
+
+def _as_spans(runs: list[list[tuple[int, int]]]) -> pa.Array:
+    return pa.array([[{"start": a, "end": b} for a, b in r] for r in runs], _ARROW_SPANS)
+
+
+def _sorted_items(found) -> list[str | None]:
+    return sorted(found, key=lambda x: (x is None, x))
 
 
 def benchmark_hits(
@@ -185,43 +196,67 @@ def benchmark_hits(
     shard_words: int = SHARD_WORDS,
     names: tuple[str, str, str] = ("n_words", "spans", "items"),
 ) -> DataFrame:
-    """``docs`` with n_words, the hit runs of words (``spans``, end exclusive) and the items with a window in the text; ``names``
-    are the new columns' names, for tables that have such columns already.
+    """``docs`` with n_words, the hit runs of words (``spans``, end exclusive) and the items (as text) with a window in the text;
+    ``names`` are the new columns' names, for tables that have such columns already.
 
-    No shuffle: documents stream through the automaton where they are read. One automaton holds ``shard_words`` words at
-    most, which bounds what a task is sent; a larger benchmark is scanned shard after shard within the same task.
+    One automaton: no shuffle, documents stream through it where they are read. Several: see above; the documents are joined
+    with their hits, which are few.
     """
     spark, keep = docs.sparkSession, docs.columns
-    df = docs.select(
-        *keep,
-        F.lit(0).cast("long").alias("__n"),
-        F.array().cast("array<struct<start:int,end:int>>").alias("__spans"),
-        F.array().cast("array<bigint>").alias("__items"),
-    )
-    at = keep.index(text)
+    items, shards = _dealt(benchmark, item_id, item_text, shard_words)
+    if shards == 1:
+        sent, at = spark.sparkContext.broadcast(_automaton(items, 0, window)), keep.index(text)
 
-    def scanner(sent):
         def scan(rows):
-            automaton = sent.value
             for batch in batches(rows):
-                n, spans, items = [], [], []
-                before = batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
-                for k, body in enumerate(utf8(batch.column(at))):
+                n, spans, found = [], [], []
+                for body in utf8(batch.column(at)):
                     words = words_of(body)
-                    hit, found = automaton.scan(words) if words and automaton else ([], set())
+                    hit, own = sent.value.scan(words) if words and sent.value else ([], ())
                     n.append(len(words))
-                    spans.append(_merged(before[0][k], hit) if hit else before[0][k])
-                    items.append(sorted(found | set(before[1][k]), key=lambda x: (x is None, x)) if found else before[1][k])
-                arrays = [*batch.columns[:-3], pa.array(n, pa.int64()), pa.array(spans, _ARROW_SPANS), pa.array(items, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
-
-        return scan
+                    spans.append(hit)
+                    found.append(_sorted_items(own))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64()), _as_spans(spans), pa.array(found, _ARROW_ITEMS)], names=[*keep, *names])
+
+        schema = docs.schema
+        for name, kind in zip(names, ("bigint", _SPANS, _ITEMS), strict=True):
+            schema = T.StructType([*schema.fields, T.StructField(name, T.DataType.fromDDL(kind))])
+        return docs.mapInArrow(scan, schema)
+
+    scratch = Scratch(spark)
+    staged = scratch.keep(docs.withColumn("__row", F.monotonically_increasing_id()), "docs")
+    items, hits = scratch.keep(items, "items"), []
+    for shard in range(shards):
+        sent = spark.sparkContext.broadcast(_automaton(items, shard, window))
+
+        def scan_one(rows, sent=sent):
+            for batch in batches(rows):
+                own, spans, found = [], [], []
+                for row, body in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
+                    hit, names_of = sent.value.scan(words_of(body)) if sent.value else ([], ())
+                    if hit:
+                        own.append(row)
+                        spans.append(hit)
+                        found.append(_sorted_items(names_of))
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), _as_spans(spans), pa.array(found, _ARROW_ITEMS)], names=["__row", "s", "i"])
+
+        hits.append(scratch.keep(staged.select("__row", F.col(text).cast("string")).mapInArrow(scan_one, f"__row long, s {_SPANS}, i {_ITEMS}"), f"hits-{shard}"))
+        sent.unpersist()
+    every = reduce(DataFrame.unionByName, hits).groupBy("__row").agg(F.flatten(F.collect_list("s")).alias("s"), F.array_distinct(F.flatten(F.collect_list("i"))).alias("i"))
+
+    def put_together(rows):
+        for batch in batches(rows):
+            columns = dict(zip(batch.schema.names, batch.columns, strict=True))
+            spans = [_merged([(x["start"], x["end"]) for x in row or ()]) for row in columns["s"].to_pylist()]
+            found = [_sorted_items(row or ()) for row in columns["i"].to_pylist()]
+            n = [len(words_of(body)) for body in utf8(columns[text])]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(n, pa.int64()), _as_spans(spans), pa.array(found, _ARROW_ITEMS)], names=[*keep, *names])
 
-    automata = [SuffixAutomaton(window).fill(s) for s in _shards(benchmark, item_id, item_text, shard_words)] or [None]
-    schema = df.schema
-    for automaton in automata:
-        df = df.mapInArrow(scanner(spark.sparkContext.broadcast(automaton)), schema)
-    return df.withColumnsRenamed(dict(zip(("__n", "__spans", "__items"), names, strict=True)))
+    schema = docs.schema
+    for name, kind in zip(names, ("bigint", _SPANS, _ITEMS), strict=True):
+        schema = T.StructType([*schema.fields, T.StructField(name, T.DataType.fromDDL(kind))])
+    joined = staged.join(every, "__row", "left").select(*[F.col(f"`{c}`") for c in keep], "s", "i")
+    return joined.mapInArrow(put_together, schema)
 
 
 def decontaminate(
@@ -263,7 +298,7 @@ def decontaminate(
 def report(docs: DataFrame, benchmark: DataFrame, window: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     found = benchmark_hits(docs.select(doc_id, text), benchmark, window, text)
-    names = F.array_sort(F.transform("items", lambda x: x.cast("string")))
+    names = F.array_sort("items")
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return found.select(
         F.col(doc_id).alias("doc_id"),
