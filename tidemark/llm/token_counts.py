@@ -6,25 +6,32 @@ of all lengths above a limit, the total after truncation to the limit is a sum a
 
 Running sums go by bands of lengths: within a band, and over the totals of the bands, so no task sees the whole histogram.
 
-Defined cases: null and empty texts have 0 tokens. Repeated rows count each. An empty table gives an empty result.
+The histogram is written once and read by both passes over it. Limits that are asked for but are no document's length join it as
+lengths of no documents.
+
+Defined cases: null and empty texts have 0 tokens. Repeated rows count each, and documents of equal length share a row. Texts of
+any length are encoded whole. Only the text column is read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import base64
 from collections import Counter
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import texts
+from tidemark.llm.common import Scratch, texts
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the published pattern that parts texts before byte pairs are merged.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-BAND = 1024
+BAND = 64
+#: Context limits that the table always has.
+LIMITS = tuple(2**k for k in range(7, 18))
 
 
 def encoding(vocabulary: bytes):
@@ -49,9 +56,16 @@ def length_histogram(docs: DataFrame, text: str = "text", vocabulary: str = VOCA
     return docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "n_tokens long, docs long").groupBy("n_tokens").agg(F.sum("docs").alias("docs"))
 
 
-def limits(histogram: DataFrame) -> DataFrame:
-    """For each length that occurs, taken as a context limit: docs of it, docs and tokens at or over it, all docs and tokens,
-    the share of documents that fit (its quantile), and the tokens left when every document is truncated to it."""
+def limits(histogram: DataFrame, asked: Sequence[int] = LIMITS) -> DataFrame:
+    """For each length that occurs and each limit asked for, taken as a context limit: docs of it, docs and tokens at or over it,
+    all docs and tokens, the share of documents that fit (its quantile), and the tokens left when every document is truncated
+    to it."""
+    spark = histogram.sparkSession
+    histogram = Scratch(spark).keep(histogram, "histogram")
+    if histogram.isEmpty():
+        asked = ()
+    extra = spark.createDataFrame([(int(x), 0) for x in asked], "n_tokens long, docs long")
+    histogram = histogram.unionByName(extra).groupBy("n_tokens").agg(F.sum("docs").alias("docs"))
     banded = histogram.withColumn("band", F.floor(F.col("n_tokens") / BAND)).withColumn("tokens", F.col("n_tokens") * F.col("docs"))
     bands = banded.groupBy("band").agg(F.sum("docs").alias("d"), F.sum("tokens").alias("t"))
     over = Window.orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)
