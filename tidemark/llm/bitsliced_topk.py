@@ -5,7 +5,9 @@ Each component becomes the integer floor(scale * x). A block of rows keeps, for
 full adders on whole bitmaps; the result is the slices of every row's score. The best k rows are then picked from the most
 significant slice downward, and the rows that tie at the boundary are settled by the smaller id.
 
-Blocks of rows and groups of queries form a grid; each cell is a task of bounded size and returns k rows a query.
+Blocks of rows and groups of queries form a grid; each cell is a task of bounded size and returns k rows a query. A block's index
+goes to each group of queries once, so groups are as large as memory allows and as many as there are tasks to fill: the rows
+sent grow with the blocks, not with the square of the table, until queries fill more than a group a task.
 
 Defined cases: null vectors, vectors with a null or non-finite component, empty vectors and rows without an id take no part.
 Vectors of different length have no product and never meet. Rows that share the query's id count as its own. Equal query
@@ -19,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a block, and queries of a group: they bound the memory of a task.
-BLOCK_ROWS, QUERY_GROUP = 65_536, 128
+#: Rows of a block, and queries of a group at most and at least: they bound the memory of a task.
+BLOCK_ROWS, QUERY_GROUP, LEAST_GROUP = 65_536, 8_192, 128
 
 
 def quantised(embedding: Column, scale: int) -> Column:
@@ -173,7 +175,13 @@ def exact_top_k(
     rows = rows.withColumn("dims", F.size("v"))
     sizes = rows.groupBy("dims").agg(F.count("*").alias("n"), F.sum(F.col("q").cast("int")).alias("nq")).collect()
     n_blocks = F.create_map(*[F.lit(x) for r in sizes for x in (r.dims, -(-r.n // block_rows))]) if sizes else F.create_map(F.lit(0), F.lit(1))
-    n_groups = F.create_map(*[F.lit(x) for r in sizes for x in (r.dims, max(1, -(-(r.nq or 0) // query_group)))]) if sizes else F.create_map(F.lit(0), F.lit(1))
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def groups_for(n: int, queries: int) -> int:
+        fill = min(-(-queries // min(LEAST_GROUP, query_group)), -(-tasks * block_rows // max(n, 1)))
+        return max(1, -(-queries // query_group), fill)
+
+    n_groups = F.create_map(*[F.lit(x) for r in sizes for x in (r.dims, groups_for(r.n, r.nq or 0))]) if sizes else F.create_map(F.lit(0), F.lit(1))
     blocks, groups = n_blocks[F.col("dims")], n_groups[F.col("dims")]
 
     index = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks).cast("long")).groupBy("dims", "block").applyInArrow(
@@ -182,30 +190,30 @@ def exact_top_k(
     index = index.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), groups.cast("long") - 1)))
     queries = (
         rows.where("q")
-        .select("vec_id", "v", "dims")
+        .select("vec_id", "v", "dims", F.xxhash64("v").alias("own"))
         .distinct()
         .withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(1)), groups).cast("long"))
         .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)))
     )
 
     def cell(key, left, right):
-        out_q, out_v, out_n, out_s = [], [], [], []
+        out_q, out_o, out_n, out_s = [], [], [], []
         if left.num_rows and right.num_rows:
             dims, digits = left["dims"][0].as_py(), left["digits"][0].as_py()
             ids = np.frombuffer(left["ids"][0].as_py(), np.int64)
             block = Block(
                 ids, np.frombuffer(left["low"][0].as_py(), np.int64), np.frombuffer(left["slices"][0].as_py(), np.uint64).reshape(dims, digits, -1)
             )
-            for q, v in zip(right["vec_id"].to_pylist(), _matrix(right["v"], dims).tolist(), strict=True):
+            for q, own, v in zip(right["vec_id"].to_pylist(), right["own"].to_pylist(), _matrix(right["v"], dims).tolist(), strict=True):
                 found, scores = block.top(q, v, k)
                 out_q.append(np.full(len(found), q, np.int64))
-                out_v += [v] * len(found)
+                out_o.append(np.full(len(found), own, np.int64))
                 out_n.append(found)
                 out_s.append(scores)
         flat = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        return pa.table({"query_id": flat(out_q), "qv": pa.array(out_v, pa.list_(pa.int64())), "vec_id": flat(out_n), "score": flat(out_s)})
+        return pa.table({"query_id": flat(out_q), "own": flat(out_o), "vec_id": flat(out_n), "score": flat(out_s)})
 
     keys = ["dims", "block", "part"]
-    found = index.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(cell, "query_id long, qv array<long>, vec_id long, score long")
-    best = Window.partitionBy("query_id", F.xxhash64("qv")).orderBy(F.desc("score"), "vec_id")
+    found = index.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(cell, "query_id long, own long, vec_id long, score long")
+    best = Window.partitionBy("query_id", "own").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
