@@ -3,13 +3,18 @@
 Canonical form: A-Z in lower case; copyright lines gone; everything but letters, digits and signs over ASCII parts words;
 words that licences spell in two ways take one spelling. Whole texts match or don't; nothing is searched for within a text.
 
-Defined cases: a null or empty text has the digest of the empty form and matches no licence. Repeated rows match each.
+The known licences are the texts in TEXTS, in the forms they are commonly found in; another table of digests can be given instead.
+
+Defined cases: a null or empty text has the digest of the empty form and matches no licence. Repeated rows match each. Texts of any
+length are read whole. Only the named columns are read.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from functools import lru_cache
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,39 +29,21 @@ EQUIVALENT = {
     "favour": "favor", "favourite": "favorite", "fulfil": "fulfill", "initialise": "initialize", "judgment": "judgement", "labelling": "labeling",
     "labour": "labor", "licence": "license", "maximise": "maximize", "modelled": "modeled", "optimise": "optimize", "organisation": "organization",
     "organise": "organize", "practise": "practice", "programme": "program", "realise": "realize", "recognise": "recognize", "signalling": "signaling",
-    "utilisation": "utilization", "whilst": "while", "wilful": "wilfull",
-}
-_WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
-WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT
-HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
-OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
-_ISC_WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL
-IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR
-CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
-NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
-#: Texts of well-known short licences, without title and copyright lines.
-LICENCES = {
-    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
-files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify,
-merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished
-to do so, subject to the following conditions:
-The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
-""" + _WARRANTY,
-    "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
-provided that the above copyright notice and this permission notice appear in all copies.
-""" + _ISC_WARRANTY,
-    "0BSD": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
-""" + _ISC_WARRANTY,
-    "Apache-2.0-notice": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
-with the License. You may obtain a copy of the License at
-http://www.apache.org/licenses/LICENSE-2.0
-Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS"
-BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing
-permissions and limitations under the License.""",
-    "WTFPL": """DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE
-TERMS AND CONDITIONS FOR COPYING, DISTRIBUTION AND MODIFICATION
-0. You just DO WHAT THE FUCK YOU WANT TO.""",
+    "utilisation": "utilization", "whilst": "while", "wilful": "willful",
 }
+#: Folder of whole licence texts, each under its public identifier.
+TEXTS = Path(__file__).parent / "licenses"
+#: Titles that stand above these texts, or don't; the first is the one in the file.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "MIT-0": ("MIT No Attribution", "MIT No Attribution License"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "0BSD": ("Zero-Clause BSD", "BSD Zero Clause License", "Zero-Clause BSD License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License", "Simplified BSD License", "The BSD 2-Clause License", "BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License", "New BSD License", "The BSD 3-Clause License", "BSD License"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng license"),
+    "BSL-1.0": ("Boost Software License - Version 1.0 - August 17th, 2003",),
+}
 _NOTICE = re.compile(rb"(?m)^[^a-z0-9\x80-\xff\n(]*(?:copyright[ \t]+(?:\(c\)|\xc2\xa9|[0-9]{4})|\(c\)[ \t]*[0-9]{4}|\xc2\xa9[ \t]*[0-9]{4})[^\n]*$")
 _WORD_BYTES = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _EQUIVALENT = {k.encode(): v.encode() for k, v in EQUIVALENT.items()}
@@ -76,12 +63,24 @@ def digest(text: bytes) -> str:
     return hashlib.sha256(canonical(text)).hexdigest()
 
 
+_PLACEHOLDER = re.compile(r"(?mi)^[^\n]*copyright[^\n]*[\[<{][^\n]*$")
+_TERMS_END = re.compile(r"(?is)^.*?END OF TERMS AND CONDITIONS")
+
+
+def forms(name: str, text: str) -> set[str]:
+    """Ways in which a licence's text stands by itself: with one of its titles or none, with the line on all rights, with its
+    placeholder for the copyright line filled in, and with or without what follows its terms."""
+    titles = TITLES.get(name, ())
+    body = text.removeprefix(titles[0]) if titles else text
+    bodies = {body, _PLACEHOLDER.sub("", body)}
+    bodies |= {m[0] for b in bodies if (m := _TERMS_END.match(b))}
+    return {f"{title}\n{rights}\n{b}" for title in ("", *titles) for rights in ("", "All rights reserved.") for b in bodies}
+
+
+@lru_cache
 def known_digests() -> dict[str, str]:
-    """Digest to licence of the built-in texts; MIT also with its title."""
-    found = {digest(body.encode()): name for name, body in LICENCES.items()}
-    found[digest(b"MIT License\n" + LICENCES["MIT"].encode())] = "MIT"
-    found[digest(b"ISC License\n" + LICENCES["ISC"].encode())] = "ISC"
-    return found
+    """Digest to licence of all forms of the texts in TEXTS."""
+    return {digest(form.encode()): path.stem for path in sorted(TEXTS.glob("*.txt")) for form in forms(path.stem, path.read_text(encoding="utf-8"))}
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
