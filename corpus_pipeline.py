@@ -20,10 +20,11 @@ def _measured(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast("long"))
 
 
-def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a known language; those without a letter (``und``) go."""
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str, min_score: float = 0.5) -> DataFrame:
+    """Documents of a predicted language that is likelier than all others together; a null ``lang`` becomes the predicted one."""
     found = language_id.identify(docs, added=("__language", "__score"))
-    return found.where(F.col("__language") != "und").select(*docs.columns)
+    found = found.where((F.col("__language") != "und") & (F.col("__score") > min_score))
+    return found.withColumn("lang", F.coalesce("lang", "__language")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from tidemark.llm.common import Scratch
 PRIME = 2_147_483_647
 ROUNDS = 8
 BLOCK_WORDS = 32
-BUCKET_DOCS = 20_000
+BUCKET_DOCS = 2_000
 #: Shards whose slots are numbered by one running sum.
 BAND_SHARDS = 1_024
 
