@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, jaccard_join, language_id, pii, source_mix
-from tidemark.llm.common import Scratch, table
+from tidemark.llm.common import Scratch, table, temporary_tables
 
 
 def _measured(docs: DataFrame) -> DataFrame:
@@ -55,9 +55,14 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    scratch = Scratch(spark)
+    scratch, last = Scratch(spark), None
     for name, stage in STAGES:
-        docs = scratch.keep(stage(spark, docs, sf_dir), name)
+        # a stage's own tables go once its documents are written, and so do the documents before
+        with temporary_tables(spark, scratch):
+            kept = scratch.keep(stage(spark, docs, sf_dir), name)
+        if last:
+            scratch.drop(last)
+        docs, last = kept, name
     return docs
 
 

@@ -429,6 +429,83 @@ def test_toxicity_separates_and_ignores_held_out_labels(spark):
     assert toxicity.score(df.where("false"), toxicity.train(df, marks, learn)).count() == 0
 
 
+def features_by_hand(text, whole, begin):
+    words = re.findall(r"[^\W\d_]+", text.lower())
+    n = max(len(words), 1)
+    hits, stems = [whole[w] for w in words if w in whole], [begin[w[:5]] for w in words if w[:5] in begin]
+    places = [i for i, w in enumerate(words) if w in whole or w[:5] in begin]
+    you = [i for i, w in enumerate(words) if w in toxicity.SECOND_PERSON]
+    gaps = [min(abs(i - j) for j in you) for i in places] if you else []
+    odd = re.findall(r"[^\W\d_]+[0-9@$!*+]+[^\W_][\w@$!*+]*", text)
+    plain = [w.lower().translate(toxicity.LEET) for w in odd]
+    size = len(text)
+    ascii_marks = [c for c in text if c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"]
+    return [
+        len(hits) / n, math.log1p(len(hits)), sum(hits) / n, max(hits, default=0), len(stems) / n, math.log1p(len(stems)), sum(stems) / n, max(stems, default=0),
+        sum(g <= 5 for g in gaps) / n, 1 / (1 + min(gaps)) if gaps else 0, len(you) / n, sum("A" <= c <= "Z" for c in text) / size,
+        len(re.findall(r"\b[A-Z]{3,}\b", text)) / n, text.count("!") / size, text.count("?") / size, len(ascii_marks) / size, sum("0" <= c <= "9" for c in text) / size,
+        len(odd) / n, math.log1p(sum(w in whole or w[:5] in begin for w in plain)), math.log1p(len(words)), sum(map(len, words)) / n,
+    ]
+
+
+def test_toxicity_features_by_hand():
+    rng = random.Random(12)
+    whole, begin = {"grolk": 2.5, "bad": 1.7}, {"snarf": 3.0, "grolk": 2.0}
+    pieces = ["you", "GROLK", "gr0lk", "b@d!", "snarfing", "snarf", "Du", "été", "12", "?!", "STOP", "ok", "a_b", "grolkish", "...", "ÉTÉ", "x1y"]
+    for _ in range(400):
+        text = " ".join(rng.choice(pieces) for _ in range(rng.randint(1, 25)))
+        assert toxicity.features(text, (whole, begin)) == pytest.approx(features_by_hand(text, whole, begin), abs=1e-9), text
+    long = " ".join(rng.choice(pieces) for _ in range(50_000))
+    assert toxicity.features(long, (whole, begin))[:8] == pytest.approx(features_by_hand(long, whole, begin)[:8])
+    assert toxicity.features("", (whole, begin)) == [0.0] * len(toxicity.FEATURES)
+
+
+def test_toxicity_lexicon_and_odd_tables(spark):
+    rng = random.Random(13)
+    rows = [(i, " ".join(rng.choice(["grolken", "zap"] if i % 3 == 0 and rng.random() < 0.3 else ["plain", "words", "only", word(rng)]) for _ in range(20))) for i in range(300)]
+    labels = [(i, int(i % 3 == 0)) for i in range(300)]
+    docs = spark.createDataFrame([*rows, (4, "a lesser text"), (5, None)], "doc_id long, text string").withColumn("score", F.lit(5)).withColumn("toxic", F.lit("x"))
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
+    half = {r.doc_id: r.h for r in docs.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(2)).alias("h")).distinct().collect()}
+    texts = dict(rows) | {4: min(rows[4][1], "a lesser text"), 5: ""}
+    counts, n = Counter(), Counter()
+    for i, toxic in labels:
+        if half[i] == 0:
+            n[toxic] += 1
+            for term in toxicity.lexicon_terms(texts[i]):
+                counts[toxic, *term] += 1
+    want = ({}, {})
+    for (toxic, begin, term), k in counts.items():
+        if toxic and k >= max(4, 0.004 * n[1]):
+            weight = math.log((k + 0.5) / (n[1] + 1)) - math.log((counts[0, begin, term] + 0.5) / (n[0] + 1))
+            if weight > 1.5:
+                want[begin][term] = pytest.approx(weight)
+    assert model["lexicon"] == want and want[0] and want[1]
+    out = toxicity.score(docs, model)
+    assert out.columns == ["doc_id", "text", "toxic", "score"] and out.count() == 302 and all(0 <= r.score <= 1 for r in out.collect())
+
+
+def test_a_tree_takes_the_best_split():
+    rng = np.random.default_rng(5)
+    x, y = np.round(rng.normal(size=(200, 3)), 1), (rng.random(200) < 0.4).astype(float)
+    y[x[:, 1] > 0.4] = 1
+    t = toxicity.Trees(trees=1, depth=1).fit(x, y)
+    p = y.mean()
+    best = (0, None, None)
+    for f in range(3):
+        for edge in np.unique(np.quantile(x[:, f], np.linspace(0, 1, 65)[1:-1])):
+            left = x[:, f] <= edge
+            parts = [(s, (p - y[s]).sum(), p * (1 - p) * s.sum()) for s in (left, ~left)]
+            if min(h for _, _, h in parts) >= 1:
+                gain = sum(g * g / (h + 1) for _, g, h in parts)
+                if gain > best[0] + 1e-12:
+                    best = (gain, f, edge)
+    assert (t.found[0][0][0], t.found[0][1][0]) == best[1:]
+    left = x[:, best[1]] <= best[2]
+    want = np.where(left, *[math.log(p / (1 - p)) - 0.15 * (p - y[s]).sum() / (p * (1 - p) * s.sum() + 1) for s in (left, ~left)])
+    assert np.allclose(t.margin(x), want)
+
+
 def test_isotonic_is_monotone_and_pools():
     x, y = np.array([0.0, 1, 2, 3, 3, 4]), np.array([0.0, 1, 0, 1, 0, 1])
     knots, values = toxicity.isotonic(x, y)
@@ -731,3 +808,16 @@ def test_language_id_on_held_out_documents(spark, small):
     got = Q.op10_language_id(spark, small).join(spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out")
     right, n = got.agg(F.sum((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
     assert right / n > 0.97
+
+
+def test_language_id_ties_and_repeated_rows(spark):
+    rows = [(1, "aa bb", "z", "s", 1), (2, "aa cc", "b", "s", 1), (2, "aa cc", "b", "s", 1), (3, "aa", None, "s", 1), (4, "aa " * 30_000 + "cc", None, "s", 1), (5, "cc", None, "s", 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    model = language_id.train(df)
+    by_hand = {"b": {"aa": 2 / 4, "cc": 2 / 4}, "z": {"aa": 1 / 2, "bb": 1 / 2}}  # a repeated row counts each time
+    got = dict(zip(["aa", "cc"], language_id.word_vectors(model, ["aa", "cc"])))
+    assert got["aa"] == pytest.approx([math.log10(by_hand[x]["aa"]) for x in "bz"])
+    out = {(r.doc_id, r.lang_pred, round(r.score, 9)) for r in language_id.predict(df, model).collect()}
+    assert (3, "b", 0.5) in out  # equal scores: the language that sorts first
+    assert len([1 for r in language_id.predict(df, model).collect() if r.doc_id == 2]) == 2
+    assert {x[1] for x in out if x[0] in (4, 5)} == {"b"}

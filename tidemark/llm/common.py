@@ -6,6 +6,8 @@ import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from typing import ClassVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,19 +24,42 @@ def fold(doc_id: Column, modulus: int) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a new temporary one only where that is unset, as in tests."""
+    """The folder in spark.checkpoint.dir; a new temporary one only where that is unset and all runs on one machine, as in tests."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         path = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession, lasting: Scratch) -> Iterator[None]:
+    """Intermediate tables that operators write within the block are deleted at its end, but for those of ``lasting``."""
+    before = set(Scratch.written)
+    try:
+        yield
+    finally:
+        for base in [x for x in Scratch.written if x not in before and x != lasting.base]:
+            _delete(spark, base)
+            Scratch.written.remove(base)
+
+
 class Scratch:
     """Intermediate tables, written once to the shared folder and read again: a lost executor costs no recomputation."""
 
+    #: Folders of all tables that this process has written.
+    written: ClassVar[list[str]] = []
+
     def __init__(self, spark: SparkSession):
         self.spark, self.base, self.paths = spark, f"{shared_dir(spark)}/tidemark-{uuid.uuid4().hex}", {}
         self.kept = 0
@@ -42,6 +67,8 @@ class Scratch:
     def keep(self, df: DataFrame, name: str, partition_by: str | None = None, records: int | None = None) -> DataFrame:
         """``records``: rows of an Arrow batch at most while the table is written, for steps that read whole texts."""
         self.kept += 1
+        if self.kept == 1:
+            Scratch.written.append(self.base)
         path = f"{self.base}/{name}-{self.kept}"
         writer = df.write.option("compression", "zstd")
         key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", self.spark.conf
@@ -59,10 +86,8 @@ class Scratch:
 
     def drop(self, *names: str) -> None:
         """Delete tables that no later step reads."""
-        jvm = self.spark.sparkContext._jvm
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(self.spark, self.paths.pop(name))
 
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes]:

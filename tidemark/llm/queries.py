@@ -101,6 +101,22 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), length=3, percent=90)
 
 
+OP8_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, shingle FROM (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS shingle FROM d)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n i ON i.doc_id = x JOIN n j ON j.doc_id = y WHERE 100 * c >= 90 * (i.n + j.n - c)),
+links AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT a, y FROM reach JOIN links ON b = x)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = d.doc_id
+"""
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.Mix(table(spark, sf_dir, "documents")).report()
 
@@ -121,4 +137,5 @@ ORACLES = {
     "op1_license_scan": _op1_sql(),
     "op4_decontamination": OP4_SQL,
     "op7_bitsliced_topk": OP7_SQL,
+    "op8_jaccard_join": OP8_SQL,
 }

@@ -2,14 +2,17 @@
 
 Features of a text: densities of a lexicon of words and of word beginnings, how near hits stand to second-person words,
 capitals, punctuation, and obfuscation (signs and digits inside words, undone before a second look-up). The lexicon is learned
-from one half of the labelled training rows, trees and calibration from the other, so no row judges words it taught.
+from one half of the labelled training rows, trees and calibration from the other, so no row judges words it taught. A term
+is in it when enough of that half's toxic rows have it, which bounds the lexicon by the rows' length; none is cut off.
 
 The trees are fitted on ``max_train_rows`` labelled rows at most, those of the least hash of the id: a documented bound, which
 holds what reaches the driver (a matrix of rows by features). Scoring covers every whole text where it is read.
 
 Defined cases: null and empty texts have all features 0 and get a score like any other. Labels that are null are left out;
 a document with several labels counts as toxic if one says so. Without rows of both classes every score is the share of toxic
-rows, 0 if there are none. Repeated rows are scored each by itself.
+rows, 0 if there are none. Repeated rows are scored each by itself; of rows that share an id the least text is learned from. Texts of
+any length are read whole. Splits of equal gain go to the first feature and the least bound; equal margins are pooled before
+they are calibrated. Only the named columns are read; a column that has the score's name is replaced.
 """
 
 from __future__ import annotations
@@ -152,12 +155,13 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array([v for p in pools for v in p[2:4]]), np.array([p[0] for p in pools for _ in range(2)])
 
 
-def train(docs: DataFrame, labels: DataFrame, learn: Column, max_train_rows: int = 40_000, max_terms: int = 4_000, folds: int = 4) -> dict:
+def train(docs: DataFrame, labels: DataFrame, learn: Column, max_train_rows: int = 40_000, folds: int = 4) -> dict:
     """docs: doc_id, text; labels: doc_id, toxic. ``learn`` says by doc_id which labels may be learned from."""
     marked = labels.where(learn & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     marked = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train_rows)
-    # bounded by max_train_rows
-    rows = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(2)))
+    # bounded by max_train_rows: one text an id
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(marked), "doc_id")
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(2)))
 
     def count(parts):
         counts: Counter = Counter()
@@ -186,7 +190,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, max_train_rows: int
     weight = F.log((F.col("toxic") + 0.5) / F.lit(toxic + 1.0)) - F.log((F.col("clean") + 0.5) / F.lit(clean + 1.0))
     known = counted.where(F.col("begin").isNotNull() & (F.col("toxic") >= max(4, 0.004 * toxic))).withColumn("weight", weight).where("weight > 1.5")
     lexicon: tuple[dict, dict] = ({}, {})
-    for r in known.orderBy(F.desc(F.col("weight") * F.col("toxic")), "begin", "term").limit(max_terms).collect():
+    for r in known.select("begin", "term", "weight").collect():
         lexicon[r.begin][r.term] = r.weight
     scratch.drop("terms")
     sent = docs.sparkSession.sparkContext.broadcast(lexicon)
@@ -211,6 +215,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, max_train_rows: int
 
 def score(docs: DataFrame, model: dict, text: str = "text", added: str = "score") -> DataFrame:
     """``docs`` with the calibrated score of each text."""
+    docs = docs.drop(added)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at, names = docs.columns.index(text), [*docs.columns, added]
 
