@@ -465,6 +465,25 @@ def test_daily_windows(spark):
         assert got[D(2024, m, 1)].g_sw == pytest.approx(np.mean(own)) and got[D(2024, m, 1)].g_late == pytest.approx(np.mean(late))
 
 
+def test_stream_upsert_rewrites_touched_parts_only(spark, tmp_path):
+    from tidemark.streaming import streams
+
+    schema = "k int, g string, t int, v double"
+    source, base, checkpoint = (f"file://{tmp_path}/{n}" for n in ("in", "out", "checkpoint"))
+    want, written = {}, []
+    for number, rows in enumerate(([(i, "x", 0, float(i)) for i in range(40)] + [(None, "n", 0, 1.0)], [(3, "x", 1, -3.0), (3, "x", 2, -4.0)], [(3, "x", 3, 9.0), (None, "n", 1, 2.0)], [])):
+        frame(spark, rows, schema).coalesce(1).write.mode("append").parquet(source)
+        streams.stream_upsert(spark.readStream.schema(schema).parquet(source), base, checkpoint, ["k", "g"], ["t"], parts=8).awaitTermination()
+        for k, g, t, v in sorted(rows, key=lambda r: r[2]):
+            want[k, g] = (t, v)
+        got = streams.current_snapshot(spark, base).collect()
+        assert {(r.k, r.g): (r.t, r.v) for r in got} == want and len(got) == len(want)
+        written.append(streams._versions(spark, base))
+    assert sum(len(v) for v in written[0].values()) == len(written[0]) == 8
+    assert max(len(v) for v in written[2].values()) == 2  # of the part written three times two versions are left
+    assert sum(v[0] > 0 for v in written[2].values()) <= 2 and written[2] == written[3]
+
+
 def test_entry_without_training_data_operators(monkeypatch, spark, small):
     import __spark_entry__ as entry
 

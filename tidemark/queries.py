@@ -287,12 +287,16 @@ def raw_archive(spark, d):
 
 
 def scratch_path(spark, name: str) -> str:
-    """A new path in the shared folder of spark.checkpoint.dir; a temporary folder only where that is unset."""
+    """A new path in the shared folder of spark.checkpoint.dir; a temporary folder only where that is unset and all runs on one machine."""
     import tempfile
     import uuid
 
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return f"{base or 'file://' + tempfile.mkdtemp(prefix='spark-', dir='/tmp')}/{name}-{uuid.uuid4().hex}"
+    if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        base = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 @query("read_csv", "SELECT c_custkey, c_name, c_acctbal FROM customer")

@@ -508,7 +508,7 @@ def stream_upsert(spark, d):
     path = scratch_path(spark, "stream")
     q = streams.stream_upsert(_stream(spark, d).select("user_id", "ts", "event_id", "value"), f"{path}/out", f"{path}/checkpoint", ["user_id"], ["ts", "event_id"])
     q.awaitTermination()
-    return streams.current_snapshot(spark, f"{path}/out", q.lastProgress["batchId"]).select("user_id", "event_id", "value")
+    return streams.current_snapshot(spark, f"{path}/out").select("user_id", "event_id", "value")
 
 
 @query("stream_latest", "SELECT event_type, arg_max(value, row(ts, event_id)) AS value FROM events GROUP BY event_type")

@@ -16,21 +16,46 @@ def stream_append(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
     return stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
 
 
-def stream_upsert(stream: DataFrame, base: str, checkpoint: str, keys: Sequence[str], order: Sequence[str]) -> StreamingQuery:
-    """Each batch makes a new snapshot of the table under ``base``; the newest is current. No path that is read is overwritten."""
+def _versions(spark: SparkSession, base: str) -> dict[int, list[int]]:
+    """The batches that wrote each part of the table, newest first."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    pattern = hadoop.Path(f"{base}/batch=*/part=*")
+    found: dict[int, list[int]] = {}
+    for status in pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern) or []:
+        path = status.getPath()
+        found.setdefault(int(path.getName().split("=")[1]), []).append(int(path.getParent().getName().split("=")[1]))
+    return {part: sorted(batches, reverse=True) for part, batches in found.items()}
+
+
+def stream_upsert(stream: DataFrame, base: str, checkpoint: str, keys: Sequence[str], order: Sequence[str], parts: int = 32, kept: int = 2) -> StreamingQuery:
+    """Upsert into the table under ``base``, which lies in ``parts`` by hash of the keys. A batch rewrites the parts that it touches, as
+    ``batch=<number>/part=<part>``; the newest version of a part is current. No path that is read is overwritten; of each part
+    ``kept`` versions stay, so a reader has until the part's next change, and a batch that is run again finds what it read."""
+    part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         staged = dedupe_last(batch, keys, order)
-        if number:
-            staged = upsert(spark.read.parquet(f"{base}/v={number - 1}"), staged, keys)
-        staged.write.mode("overwrite").parquet(f"{base}/v={number}")
+        touched = [r.part for r in staged.select(part.alias("part")).distinct().collect()]  # ``parts`` numbers at most
+        if not touched:
+            return
+        before = {p: [v for v in versions if v < number] for p, versions in _versions(spark, base).items() if p in touched}
+        current = [f"{base}/batch={v[0]}/part={p}" for p, v in before.items() if v]
+        if current:
+            staged = upsert(spark.read.schema(staged.schema).parquet(*current), staged, keys)
+        staged.withColumn("part", part).write.mode("overwrite").partitionBy("part").parquet(f"{base}/batch={number}")
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for p, versions in before.items():
+            for v in versions[kept - 1 :]:
+                path = hadoop.Path(f"{base}/batch={v}/part={p}")
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
     return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(merge).start()
 
 
-def current_snapshot(spark: SparkSession, base: str, last_batch: int) -> DataFrame:
-    return spark.read.parquet(f"{base}/v={last_batch}")
+def current_snapshot(spark: SparkSession, base: str) -> DataFrame:
+    """The newest version of every part."""
+    return spark.read.parquet(*[f"{base}/batch={v[0]}/part={p}" for p, v in sorted(_versions(spark, base).items())])
 
 
 def first_arrivals(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
