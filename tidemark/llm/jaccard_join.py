@@ -23,7 +23,7 @@ A document is its set of distinct shingles, each a hash of 64 bits. Two document
 
 Pairs are never listed, a group never meets in one task, and no cap drops a link.
 
-Keys that very many rows share (a passage's shingle, the least document of a large group) are sent to where those rows lie.
+Keys that very many rows share (a passage's shingle or signature) are sent to where those rows lie.
 
 Defined cases: null, empty and wordless texts have no shingles and link with nothing. Fewer words than the shingle's length
 make one shingle of all. Texts of any length are read whole. Rows that share a doc_id are one node. A null doc_id is its own row,
@@ -39,7 +39,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Scratch, batches, release, utf8
@@ -295,24 +295,50 @@ def star(pairs: DataFrame) -> DataFrame:
     return looked_up(pairs, least, "a").where("least < b").select(F.col("least").alias("a"), "b").distinct()
 
 
+def _contract(rows):
+    """Per task: links to the least node of what the task's own links connect, so that fewer and shorter chains are left."""
+    parent: dict[int, int] = {}
+
+    def find(i: int) -> int:
+        while (up := parent.setdefault(i, i)) != i:
+            parent[i] = i = parent[up]
+        return i
+
+    for batch in rows:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            u, v = find(u), find(v)
+            parent[max(u, v)] = min(u, v)
+            if len(parent) > 1_000_000:  # what is held is sent on, and the next links start afresh
+                found = [(i, r) for i in parent if (r := find(i)) != i]
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], names=["u", "v"])
+                parent.clear()
+    found = [(i, r) for i in parent if (r := find(i)) != i]
+    yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], names=["u", "v"])
+
+
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(node, root) of all nodes that the edges (a, b) touch but the roots; a root is its component's least node.
 
-    Large-star and small-star steps by turns, each of them one aggregation and one join, until nothing changes.
+    Links are contracted within each task; then large-star and small-star steps by turns, each of them one aggregation and one
+    join, until nothing changes. The least node of a large component is a key of many rows: the aggregations combine them before
+    the shuffle, and the joins are plain ones, which adaptive execution splits when a key is skewed.
     """
-    edges = scratch.keep(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{name}-0")
+    said = F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("hash"), F.count(F.lit(1)).alias("n")
+    links = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    edges = scratch.keep(links.mapInArrow(_contract, "u long, v long").distinct(), f"{name}-0")
     before, i = None, 0
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
-        large = looked_up(both.where("v > u"), low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         i += 1
-        after_edges = scratch.keep(small.where("u <> v").distinct(), f"{name}-{i}")
+        seen = Observation()
+        after_edges = scratch.keep(small.where("u <> v").distinct().observe(seen, *said), f"{name}-{i}")
         scratch.drop(f"{name}-{i - 1}")
         edges = after_edges
-        after = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+        after = (seen.get["n"], seen.get["hash"])
         if after == before or not after[0]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = after
