@@ -12,11 +12,17 @@ from pyspark.sql import functions as F
 
 
 def densify(df: DataFrame, keys: Sequence[str], period: str, step: str = "1 month", extra: int = 0) -> DataFrame:
-    """Every period of a key between its first and last, ``extra`` ones more; values of absent periods are null."""
-    span = df.groupBy(*keys).agg(F.min(period).alias("__lo"), F.max(period).alias("__hi"))
-    last = F.col("__hi") if not extra else F.expr(f"__hi + {extra} * interval {step}").cast("date")
-    grid = span.select(*keys, F.explode(F.sequence("__lo", last, F.expr(f"interval {step}"))).alias(period))
-    return grid.join(df, [*keys, period], "left")
+    """Every period of a key between its first and last, ``extra`` ones more; values of absent periods are null.
+
+    Each row adds the periods up to the next row of its key: one shuffle by key, which windows after it share, and no join.
+    """
+    run = Window.partitionBy(*keys).orderBy(period)
+    upto = F.coalesce(F.expr(f"__next - interval {step}"), F.expr(f"`{period}` + {extra} * interval {step}")).cast("date")
+    rows = df.where(F.col(period).isNotNull()).withColumn("__next", F.lead(period).over(run))
+    rows = rows.withColumn("__p", F.explode(F.sequence(F.col(period), F.greatest(upto, F.col(period)), F.expr(f"interval {step}"))))
+    own = F.col("__p") == F.col(period)
+    values = [F.when(own, F.col(f"`{c}`")).alias(c) for c in df.columns if c not in (*keys, period)]
+    return rows.select(*keys, F.col("__p").alias(period), *values)
 
 
 def last_valid_period(df: DataFrame, keys: Sequence[str], period: str, value: str) -> DataFrame:
