@@ -41,15 +41,16 @@ from tidemark.llm.token_counts import encoding
 
 #: The public vocabulary for many languages.
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
-CLASSES, BUCKETS, DIM, KEY, STRIDE, WINDOW = 64, 256, 16, 8, 16, 32
+CLASSES, BUCKETS, HALF, KEY, STRIDE, WINDOW = 64, 256, 16, 8, 16, 32
+DIM = 2 * HALF
 #: Pairs are sent by rows of so many buckets.
 PART = 64
 #: Bytes of text whose words are listed together.
 BLOCK_BYTES = 16_000_000
 #: Listed words of one range of keys, about.
 PART_WORDS = 250_000
-#: Windows of one training step or one scoring product.
-STEP = 128
+#: Windows of one training step or one scoring product, and of one run of neighbours within a training step.
+STEP, RUN = 128, 16
 #: Ids of the BPE, then the end, the start and what fills windows.
 END, START, FILL, IDS = 50_256, 50_257, 50_258, 50_259
 SHAPES = {"wq": (DIM, KEY), "bq": (KEY,), "wk": (DIM, KEY), "wv": (DIM, CLASSES), "r": (WINDOW,), "wd": (DIM, CLASSES), "b": (CLASSES,)}
@@ -211,10 +212,14 @@ def tables_from_counts(pairs: np.ndarray, seed: int = 1) -> dict[str, np.ndarray
         weight = np.sqrt(ids)
         pmi -= np.average(pmi, axis=0, weights=weight)
         _, directions = np.linalg.eigh((pmi * weight[:, None]).T @ pmi)
-        v = pmi @ directions[:, ::-1][:, :DIM]
+        v = pmi @ directions[:, ::-1][:, :HALF]
         v *= np.minimum(1, np.sqrt(ids / 20))[:, None]
         v /= np.sqrt(np.average(v**2, axis=0, weights=weight)) + 1e-9
-        vectors[seen] = np.clip(v, -4, 4)
+        vectors[seen, :HALF] = np.clip(v, -4, 4)
+        # the other half: what follows the ids of the same bucket
+        after = (pmi * weight[:, None]).T @ v / weight.sum()
+        after /= np.sqrt(np.average(after**2, axis=0, weights=column + 1e-9)) + 1e-9
+        vectors[:, HALF:] = np.clip(after, -4, 4)[bucket(np.arange(IDS)).astype(np.int64)]
         vectors[FILL] = 0
         centres = v[rng.choice(len(seen), CLASSES, replace=False, p=weight / weight.sum())]
         for _ in range(20):
@@ -378,40 +383,43 @@ def _ids(cell: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(cell), np.uint16).astype(np.int64)
 
 
+def _mixed_steps(past: np.ndarray, target: np.ndarray, rng: np.random.Generator, turn: int, rounds: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Steps of STEP windows made of runs of RUN windows from all over the documents, in random order; each window is in one step of one
+    of the turns."""
+    starts = rng.permutation(np.arange(0, len(past) - 1, RUN))
+    for some in np.array_split(starts, max(rounds, round(len(starts) * RUN / STEP)))[turn::rounds]:
+        at = some[:, None] + np.arange(RUN + 1)
+        beyond = at >= len(past)
+        at[beyond] = len(past) - 1
+        run, end = past[at], target[at]
+        run[beyond] = end[beyond] = FILL
+        end[:, -1] = FILL  # the last block of a run is the first of another
+        yield run.reshape(-1, STRIDE), end.reshape(-1, STRIDE)
+
+
 def _learn(tables, weights, turn: int, rounds: int, rate: float = 0.01):
-    """Adam over every ``rounds``-th step of STEP windows, the next ones in the next turn."""
+    """Adam over this turn's steps of each batch of documents."""
 
     def run(rows):
         w = np.concatenate([weights[k].ravel() for k in SHAPES]).astype(np.float32)
         m, v = np.zeros_like(w), np.zeros_like(w)
-        step = number = seen = 0
-
-        def update(past, target):
-            nonlocal step, number, seen, w, m, v
-            number += 1
-            windows = int((target[:-1, 0] != FILL).sum())
-            if not windows or (number - 1) % rounds != turn:
-                return
-            g = gradients(tables.value, _unflatten(w), past, target)
-            g = np.concatenate([g[k].ravel() for k in SHAPES]).astype(np.float32)
-            step += 1
-            seen += windows
-            m += np.float32(0.1) * (g - m)
-            v += np.float32(0.01) * (g * g - v)
-            scale = rate / math.sqrt(1 + step / 200) / (1 - 0.9**step)
-            w = w - np.float32(scale) * m / (np.sqrt(v / np.float32(1 - 0.99**step)) + np.float32(1e-8))
-
-        past = target = np.zeros((0, STRIDE), np.int64)
+        step = seen = 0
+        rng = np.random.default_rng(1)  # the same order in every turn
         for batch in batches(rows, 500):
             found = [blocks(_ids(cell)) for cell in batch.column(0).to_pylist()]
-            past, target = np.concatenate([past, *(p for p, _ in found)]), np.concatenate([target, *(t for _, t in found)])
-            at = 0
-            while len(past) - at > STEP:  # a step's last block begins the next one
-                update(past[at : at + STEP + 1], target[at : at + STEP + 1])
-                at += STEP
-            past, target = past[at:], target[at:]
-        if len(past) > 1:
-            update(past, target)
+            past, target = (np.concatenate(x) for x in zip(*found, strict=True))
+            for some_past, some_target in _mixed_steps(past, target, rng, turn, rounds):
+                windows = int((some_target[:, 0] != FILL).sum())
+                if not windows:
+                    continue
+                g = gradients(tables.value, _unflatten(w), some_past, some_target)
+                g = np.concatenate([g[k].ravel() for k in SHAPES]).astype(np.float32)
+                step += 1
+                seen += windows
+                m += np.float32(0.1) * (g - m)
+                v += np.float32(0.01) * (g * g - v)
+                scale = rate / math.sqrt(1 + step / 200) / (1 - 0.9**step)
+                w = w - np.float32(scale) * m / (np.sqrt(v / np.float32(1 - 0.99**step)) + np.float32(1e-8))
         if seen:
             n = len(w)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(n, dtype=np.int32)), pa.array(w.astype(np.float64) * seen), pa.array(np.full(n, float(seen)))], names=["i", "wv", "n"])
