@@ -23,7 +23,7 @@ A document is its set of distinct shingles, each a hash of 64 bits. Two document
 
 Pairs are never listed, a group never meets in one task, and no cap drops a link.
 
-Keys that very many rows share (a passage's shingle or signature) are sent to where those rows lie.
+Shingles that very many rows share (a passage's) are sent to where those rows lie.
 
 Defined cases: null, empty and wordless texts have no shingles and link with nothing. Fewer words than the shingle's length
 make one shingle of all. Texts of any length are read whole. Rows that share a doc_id are one node. A null doc_id is its own row,
@@ -290,9 +290,10 @@ def looked_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
 
 
 def star(pairs: DataFrame) -> DataFrame:
-    """Rows (a: key, b: document) to links (a: least document of the key, b: another)."""
-    least = pairs.groupBy("a").agg(F.min("b").alias("least"), F.count("*").alias("n")).where("n > 1")
-    return looked_up(pairs, least, "a").where("least < b").select(F.col("least").alias("a"), "b").distinct()
+    """Rows (a: key, b: document) to links (a: least document of the key, b: another). A batch of documents has met before and sends a
+    key once, so the rows of a very common one are as many as batches; one shuffle serves all keys."""
+    least = F.min("b").over(Window.partitionBy("a"))
+    return pairs.select(least.alias("least"), "b").where("least < b").select(F.col("least").alias("a"), "b").distinct()
 
 
 def _contract(rows):
