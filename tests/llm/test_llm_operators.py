@@ -633,16 +633,6 @@ def test_jaccard_join_cells_stay_small_without_a_main_component(spark, monkeypat
     assert {(r.doc_id, r.component_id) for r in jaccard_join.near_duplicates(df, length, percent, block_docs=block).collect()} == want
 
 
-@pytest.mark.parametrize(("length", "percent"), [(3, 90), (5, 80)])
-def test_jaccard_join_sends_hot_keys_to_their_rows(spark, monkeypatch, length, percent):
-    monkeypatch.setattr(jaccard_join, "HOT_ROWS", 2)
-    monkeypatch.setattr(jaccard_join, "HOT_KEYS", 5)
-    rows = families(41)
-    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(df, length, percent, block_docs=16).collect()}
-    assert got == links_by_hand(rows, length, percent)
-
-
 def test_jaccard_join_reads_long_texts_whole(spark):
     rng = random.Random(6)
     base = [word(rng) + str(rng.randrange(1000)) for _ in range(60_000)]

@@ -23,7 +23,7 @@ A document is its set of distinct shingles, each a hash of 64 bits. Two document
 
 Pairs are never listed, a group never meets in one task, and no cap drops a link.
 
-Shingles that very many rows share (a passage's) are sent to where those rows lie.
+A shingle or signature that very many documents share has as many rows as there are batches of documents, since a batch sends it once.
 
 Defined cases: null, empty and wordless texts have no shingles and link with nothing. Fewer words than the shingle's length
 make one shingle of all. Texts of any length are read whole. Rows that share a doc_id are one node. A null doc_id is its own row,
@@ -45,8 +45,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import Scratch, batches, release, utf8
 
 BLOCK_DOCS, PIVOTS, SALTS = 256, 16, 8
-#: Keys that are sent to all tasks at most, and the rows from which a key is one of them.
-HOT_KEYS, HOT_ROWS = 2000, 1000
 #: Texts of an Arrow batch.
 TEXTS = 2000
 _MULT = np.array([pow(0x9E3779B97F4A7C15, 2 * i + 1, 1 << 64) for i in range(12)], np.uint64)
@@ -196,9 +194,10 @@ def _half_tokens(length: int, percent: int):
 
 def prefix_candidates(rows: DataFrame, sketch: DataFrame, equal: DataFrame, length: int, percent: int, scratch: Scratch) -> DataFrame:
     """Rows (a: shingle, b: document); linked documents whose sets differ have one in common."""
-    tokens = sketch.where(F.col("kind").isin(TOKEN, MANY)).select("kind", "a", "b")
-    met = tokens.groupBy("a").agg(F.count("*").alias("n"), F.max("kind").alias("most")).where((F.col("n") > 1) | (F.col("most") == MANY)).drop("most")
-    credit = looked_up(tokens.where(F.col("kind") == TOKEN).select("a", "b"), met, "a").groupBy("b").agg(F.count("*").alias("n"))
+    # one shuffle serves all shingles: a batch of documents has met before and sends one that several have once
+    same = Window.partitionBy("a")
+    tokens = sketch.where(F.col("kind").isin(TOKEN, MANY)).withColumn("met", (F.count("*").over(same) > 1) | (F.max("kind").over(same) == MANY))
+    credit = tokens.where(F.col("met") & (F.col("kind") == TOKEN)).groupBy("b").agg(F.count("*").alias("n"))
     credit = credit.unionByName(sketch.where(F.col("kind") == CREDIT).select(F.col("a").alias("b"), F.col("b").alias("n"))).groupBy("b").agg(F.sum("n").alias("n"))
     size = sketch.where(F.col("kind") == SIZE).select(F.col("a").alias("b"), F.col("b").alias("size"))
     # the smaller of two linked sets has at least percent of the larger's shingles, and a twentieth of it is shared
@@ -206,14 +205,10 @@ def prefix_candidates(rows: DataFrame, sketch: DataFrame, equal: DataFrame, leng
     alive = size.join(credit, "b").where(F.col("n") >= least).select("b").distinct().join(equal.select("b").distinct(), "b", "left_anti")
     alive = scratch.keep(alive, "alive")
     half = alive.join(rows.withColumnRenamed("doc", "b"), "b").mapInArrow(_half_tokens(length, percent), "a long, b long, needs long, half long, beyond boolean")
-    half = scratch.keep(half, "half", records=TEXTS)
-    shared = half.groupBy("a").agg(F.count("*").alias("n")).where("n > 1")
-    half = looked_up(half, shared, "a").withColumnRenamed("n", "df")
+    half = half.withColumn("df", F.count("*").over(same)).where("df > 1")
     within = Window.partitionBy("b", "beyond")
     seldom = half.withColumn("place", F.row_number().over(within.orderBy("df", "a")) + F.col("half") - F.count("*").over(within))
-    seldom = scratch.keep(seldom.where("beyond OR place <= needs").select("a", "b"), "seldom")
-    scratch.drop("half")
-    return seldom
+    return scratch.keep(seldom.where("beyond OR place <= needs").select("a", "b"), "seldom", records=TEXTS)
 
 
 def _sketch(length: int, percent: int):
@@ -277,18 +272,6 @@ def meetings(placed: DataFrame, marks: DataFrame, scratch: Scratch) -> DataFrame
     return cells.select("group", (F.col("tile") * F.lit(1 << 32) + F.col("block")).alias("block"), "node", "asks")
 
 
-def looked_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """``rows`` joined to ``table``, which has one row a key and, in ``n``, how many rows look for it.
-
-    The HOT_KEYS most sought keys of over HOT_ROWS rows are sent to the rows where they lie, so a key that a third of all rows
-    have is in no task's way; the others meet by a shuffle.
-    """
-    sought = table.where(F.col("n") > HOT_ROWS).orderBy(F.desc("n"), key).limit(HOT_KEYS).withColumn("__hot", F.lit(True))
-    hot = F.broadcast(sought)
-    beside = rows.join(F.broadcast(sought.select(key)), key, "left_anti").join(table, key)
-    return rows.join(hot, key).drop("__hot").unionByName(beside)
-
-
 def star(pairs: DataFrame) -> DataFrame:
     """Rows (a: key, b: document) to links (a: least document of the key, b: another). A batch of documents has met before and sends a
     key once, so the rows of a very common one are as many as batches; one shuffle serves all keys."""
