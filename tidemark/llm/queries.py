@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bitsliced_topk, decontaminate, jaccard_join, language_id, license_scan, lm_score, pii, source_mix, token_counts, toxicity
+from tidemark.llm import (
+    bitsliced_topk,
+    byte_bpe,
+    decontaminate,
+    jaccard_join,
+    language_id,
+    license_scan,
+    lm_score,
+    periodic_runs,
+    pii,
+    source_mix,
+    token_counts,
+    toxicity,
+    vector_codes,
+)
 from tidemark.llm.common import fold, table
 
 
@@ -121,6 +135,64 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.Mix(table(spark, sf_dir, "documents")).report()
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.Codebooks(table(spark, sf_dir, "embeddings")).report()
+
+
+def _op11_sql(rounds: int = 4) -> str:
+    """Every round assigns by a join of distinct parts with their codebook; the nearest of (distance, entry) is a least pair."""
+    distance = "list_sum(list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT p.part, p.r, min(struct_pack(d := CAST({distance} AS BIGINT), e := b.entry)) AS best
+  FROM parts p JOIN b{r} b ON p.part = b.part GROUP BY p.part, p.r)""")
+        if r < rounds:
+            steps.append(f"""b{r + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.x, b.x) AS x FROM b{r} b LEFT JOIN (
+    SELECT part, entry, list(CAST(floor_mean AS BIGINT) ORDER BY i) AS x FROM (
+      SELECT p.part, a.best.e AS entry, i, (sum(p.x[i]) - ((sum(p.x[i]) % count(*)) + count(*)) % count(*)) // count(*) AS floor_mean
+      FROM parts p JOIN a{r} a ON a.part = p.part AND a.r = p.r, unnest(range(1, len(p.x) + 1)) AS t(i) GROUP BY p.part, a.best.e, i)
+    GROUP BY part, entry) m ON m.part = b.part AND m.entry = b.entry)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, v) AS r, vec_id, label, v FROM (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0)),
+parts AS MATERIALIZED (
+  SELECT r, part, v[part * len(v) // 4 + 1:(part + 1) * len(v) // 4] AS x FROM kept, unnest(range(4)) AS t(part)),
+b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, x FROM parts WHERE r <= 256),
+{", ".join(steps)},
+sha AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds}),
+coded AS (
+  SELECT k.vec_id, k.label, c.code, c.error FROM kept k JOIN (
+    SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a{rounds} GROUP BY r) c ON c.r = k.r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded, sha
+"""
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text; where crc32 of the id is divisible by 10, the text's words from a on repeat the p words at a."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    g, n = F.floor(h / 10).cast("long"), F.size("words")
+    marked = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("words"), g.alias("g"))
+    marked = marked.withColumn("a", F.when(n > 0, F.col("g") % n).cast("int"))
+    marked = marked.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    times = F.ceil((n - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times)), F.lit(1), n - F.col("a"))
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return marked.select("doc_id", F.when(F.col("a").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.report(planted_periods(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_pii": op2_pii,
@@ -132,10 +204,14 @@ QUERIES = {
     "op3_lm_score": op3_lm_score,
     "op4_decontamination": op4_decontamination,
     "op10_language_id": op10_language_id,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 ORACLES = {
     "op1_license_scan": _op1_sql(),
     "op4_decontamination": OP4_SQL,
     "op7_bitsliced_topk": OP7_SQL,
     "op8_jaccard_join": OP8_SQL,
+    "op11_vector_codes": _op11_sql(),
 }
