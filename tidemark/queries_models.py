@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import ecm as E
 from tidemark.operators import reshape as R
 from tidemark.operators import scoring as C
 from tidemark.operators import vintage as V
@@ -302,6 +303,54 @@ def ecm_next_step(spark, d):
     return rows.select("series", "period", F.when(F.col("n_train") >= 24, F.round("daily_step", 6)).alias("daily_step"))
 
 
+def _ecm_full_sql(by_month: bool) -> str:
+    """Every origin meets all rows before it: the gap split by sign, or centred on its month; no lags, so that two regressors are the most."""
+    gap = "r - alpha - beta * x"
+    centred = f"""k AS (SELECT o.series, o.s AS p, month(h.period) AS m, avg(h.r - o.alpha - o.beta * h.x) AS mu FROM c o JOIN c h ON h.series = o.series AND h.s <= o.s
+    WHERE h.r IS NOT NULL AND h.x IS NOT NULL GROUP BY ALL HAVING count(*) >= 3),
+  e AS (SELECT c.*, {gap} - mu AS now FROM c JOIN k ON k.series = c.series AND k.p = c.s AND k.m = month(c.period)),
+  q AS (SELECT o.series, o.s, h.y, h.r - o.alpha - o.beta * h.x - k.mu AS e FROM e o JOIN c h ON h.series = o.series AND h.s BETWEEN 2 AND o.s - 1
+    JOIN k ON k.series = o.series AND k.p = o.s AND k.m = month(h.period) WHERE h.y IS NOT NULL),
+  f AS (SELECT series, s, count(e) AS n, regr_intercept(y, e) AS const, regr_slope(y, e) AS b1, 0.0::DOUBLE AS b2 FROM q WHERE e IS NOT NULL GROUP BY ALL)"""
+    split = f"""e AS (SELECT c.*, {gap} AS now FROM c),
+  q AS (SELECT o.series, o.s, h.y, greatest(h.r - o.alpha - o.beta * h.x, 0) AS u, least(h.r - o.alpha - o.beta * h.x, 0) AS d FROM e o
+    JOIN c h ON h.series = o.series AND h.s BETWEEN 2 AND o.s - 1 WHERE h.y IS NOT NULL AND h.r IS NOT NULL AND h.x IS NOT NULL),
+  g AS (SELECT series, s, count(*) AS n, avg(u) AS mu, avg(d) AS md, avg(y) AS my, var_pop(u) AS uu, var_pop(d) AS dd, covar_pop(u, d) AS ud, covar_pop(u, y) AS uy, covar_pop(d, y) AS dy FROM q GROUP BY ALL),
+  b AS (SELECT *, (uy * dd - dy * ud) / (uu * dd - ud * ud) AS b1, (dy * uu - uy * ud) / (uu * dd - ud * ud) AS b2 FROM g WHERE n >= 24),
+  f AS (SELECT series, s, n, b1, b2, my - b1 * mu - b2 * md AS const FROM b)"""
+    least = 24
+    return f"""WITH {SG_SQL}, c AS (SELECT series, period, a AS r, b AS x, lead(a) OVER w - a AS y, lead(period) OVER w AS target, lead(a) OVER w AS actual, row_number() OVER w - 1 AS s,
+    regr_intercept(a, b) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS alpha, regr_slope(a, b) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS beta
+    FROM sg WINDOW w AS (PARTITION BY series ORDER BY period)),
+  {centred if by_month else split}
+  SELECT e.series, e.period AS origin, e.target, n AS n_train, round(e.now, 6) AS gap, round(e.r + const + b1 * {"e.now" if by_month else "greatest(e.now, 0)"} + b2 * least(e.now, 0), 5) AS prediction, round(e.actual, 6) AS actual
+  FROM e JOIN f ON f.series = e.series AND f.s = e.s WHERE e.now IS NOT NULL AND n >= {least}"""
+
+
+def _full_ecm(spark, d, spec, spare):
+    out = E.walk_forward_ecm(segment_panel(spark, d), ["series"], "period", "a", "b", spec, burn_in=0, spare=spare)
+    return out.select("series", "origin", "target", "n_train", *[F.round(c, k).alias(c) for c, k in (("gap", 6), ("prediction", 5), ("actual", 6))])
+
+
+@query("wf_ecm_split", _ecm_full_sql(False))
+def wf_ecm_split(spark, d):
+    """Gaps above and below the long run close at speeds of their own."""
+    return _full_ecm(spark, d, E.EcmSpec(x_lags=(), y_lags=(), gap="split"), 21)
+
+
+@query("wf_ecm_by_month", _ecm_full_sql(True))
+def wf_ecm_by_month(spark, d):
+    """Gaps centred on the mean gap of their calendar month so far."""
+    return _full_ecm(spark, d, E.EcmSpec(x_lags=(), y_lags=(), by_month=True), 22)
+
+
+@query("wf_ecm_full")
+def wf_ecm_full(spark, d):
+    """All at once: lags of three series, the split of gaps and of the current change, and centring."""
+    spec = E.EcmSpec(other_lags=(("c", (0, 1)),), gap="split", split_x=True, by_month=True)
+    return E.walk_forward_ecm(segment_panel(spark, d), ["series"], "period", "a", "b", spec)
+
+
 _LONG_SQL = f"""WITH {SG_SQL}, l AS (SELECT series, period, 'a' AS part, coalesce(a, 0.0) AS v FROM sg UNION ALL SELECT series, period, 'b', coalesce(b, 0.0) FROM sg UNION ALL SELECT series, period, 'c', coalesce(c, 0.0) FROM sg),
   x AS (SELECT *, lag(v) OVER w AS x1 FROM l WINDOW w AS (PARTITION BY series, part ORDER BY period)),
   f AS (SELECT series, period, part, v, x1, CASE WHEN count(x1) OVER w >= 24 THEN regr_intercept(v, x1) OVER w + regr_slope(v, x1) OVER w * x1 END AS p FROM x WINDOW w AS (PARTITION BY series, part ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
