@@ -105,7 +105,8 @@ def test_walk_forward_ecm_over_many_series(spark):
     for k, e in expected.items():
         assert got[k][0] == e[0] and got[k][5] == e[5]
         assert np.allclose(got[k][1:5], e[1:5], rtol=1e-6)
-    plan = out._jdf.queryExecution().executedPlan().toString()
+    again = E.walk_forward_ecm(spark.createDataFrame(rows, df.schema), ["series"], "day", "y", "x", SPECS["all"])
+    plan = again._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.count("Exchange") == 1
 
 
