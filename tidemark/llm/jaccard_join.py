@@ -159,13 +159,7 @@ def _prefix_sketch(length: int, percent: int):
                 continue
             docs = np.array(owners, np.int64)
             token, own = np.concatenate(tokens).view(np.int64), np.repeat(np.arange(len(docs)), [len(t) for t in tokens])
-            _, at, n = np.unique(token, return_inverse=True, return_counts=True)
-            several = n[at] > 1
-            yield rows_of(TOKEN, token[~several], docs[own[~several]])
-            shared = np.unique(token[several])
-            yield rows_of(MANY, shared, np.zeros(len(shared), np.int64))
-            credit = np.bincount(own[several], minlength=len(docs))
-            yield rows_of(CREDIT, docs[credit > 0], credit[credit > 0])
+            yield from _in_batch(token, own, docs)
             key, doc, a, b = _met(np.concatenate(keys).view(np.int64), docs)
             yield rows_of(EQUAL_SETS, key, doc)
             yield rows_of(EQUAL, a, b)
@@ -174,7 +168,9 @@ def _prefix_sketch(length: int, percent: int):
 
 
 def _half_tokens(length: int, percent: int):
-    """Of each document the shingles of the lower half of hashes, and as many more as its prefix needs."""
+    """Of each document the shingles of the lower half of hashes, and as many more as its prefix needs; a batch sends a shingle once,
+    with all its documents: rows (a: shingle, docs: document, prefix and half in shingles)."""
+    item = pa.struct([("b", pa.int64()), ("needs", pa.int32()), ("half", pa.int32())])
 
     def run(rows):
         for batch in batches(rows, 1000):
@@ -185,32 +181,95 @@ def _half_tokens(length: int, percent: int):
             n = np.maximum(halves, needs)
             token = np.concatenate([x[:k] for x, k in zip(sets, n, strict=True)] or [np.zeros(0, np.uint64)]).view(np.int64)
             own = np.repeat(np.arange(len(sets)), n)
-            place = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
-            arrays = [pa.array(token), pa.array(ids[own], pa.int64()), pa.array(needs[own]), pa.array(halves[own]), pa.array(place >= halves[own])]
-            yield pa.RecordBatch.from_arrays(arrays, names=["a", "b", "needs", "half", "beyond"])
+            order = np.argsort(token, kind="stable")
+            token, own = token[order], own[order]
+            first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, np.int64)
+            docs = pa.StructArray.from_arrays([pa.array(ids[own], pa.int64()), pa.array(needs[own], pa.int32()), pa.array(halves[own], pa.int32())], fields=list(item))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(token)), pa.int32()), docs)
+            yield pa.RecordBatch.from_arrays([pa.array(token[first]), lists], names=["a", "docs"])
 
     return run
 
 
+def _meet(rows):
+    """Rows (a: key, b: document): a batch sends each key once, with its least document, and links the others to that one."""
+    for batch in rows:
+        key, doc, a, b = _met(np.asarray(batch.column(0)), np.asarray(batch.column(1)))
+        yield rows_of(SIGNATURE, key, doc)
+        yield rows_of(CANDIDATE, a, b)
+
+
 def prefix_candidates(rows: DataFrame, sketch: DataFrame, equal: DataFrame, length: int, percent: int, scratch: Scratch) -> DataFrame:
     """Rows (a: shingle, b: document); linked documents whose sets differ have one in common."""
     # one shuffle serves all shingles: a batch of documents has met before and sends one that several have once
-    same = Window.partitionBy("a")
-    tokens = sketch.where(F.col("kind").isin(TOKEN, MANY)).withColumn("met", (F.count("*").over(same) > 1) | (F.max("kind").over(same) == MANY))
-    credit = tokens.where(F.col("met") & (F.col("kind") == TOKEN)).groupBy("b").agg(F.count("*").alias("n"))
-    credit = credit.unionByName(sketch.where(F.col("kind") == CREDIT).select(F.col("a").alias("b"), F.col("b").alias("n"))).groupBy("b").agg(F.sum("n").alias("n"))
+    credit = met_credit(sketch, scratch, "credit")
     size = sketch.where(F.col("kind") == SIZE).select(F.col("a").alias("b"), F.col("b").alias("size"))
     # the smaller of two linked sets has at least percent of the larger's shingles, and a twentieth of it is shared
     least = F.greatest(F.floor(F.floor(F.col("size") * percent / 100) / 20), F.lit(1))
     alive = size.join(credit, "b").where(F.col("n") >= least).select("b").distinct().join(equal.select("b").distinct(), "b", "left_anti")
     alive = scratch.keep(alive, "alive")
-    half = alive.join(rows.withColumnRenamed("doc", "b"), "b").mapInArrow(_half_tokens(length, percent), "a long, b long, needs long, half long, beyond boolean")
-    half = half.withColumn("df", F.count("*").over(same)).where("df > 1")
+    half = alive.join(rows.withColumnRenamed("doc", "b"), "b").mapInArrow(_half_tokens(length, percent), "a long, docs array<struct<b:long,needs:int,half:int>>")
+    half = half.withColumn("df", F.sum(F.size("docs")).over(Window.partitionBy("a"))).where("df > 1")
+    # hashes of the upper half are negative as signed numbers
+    half = half.select("a", "df", (F.col("a") < 0).alias("beyond"), F.explode("docs").alias("d")).select("a", "df", "beyond", "d.*")
     within = Window.partitionBy("b", "beyond")
     seldom = half.withColumn("place", F.row_number().over(within.orderBy("df", "a")) + F.col("half") - F.count("*").over(within))
     return scratch.keep(seldom.where("beyond OR place <= needs").select("a", "b"), "seldom", records=TEXTS)
 
 
+def met_credit(sketch: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """(b: document, n: how many of the shingles it sent several documents have), of the rows of kinds TOKEN, MANY and CREDIT. A shingle has
+    one row a batch at most."""
+    same = Window.partitionBy("a")
+    tokens = sketch.where(F.col("kind").isin(TOKEN, MANY)).withColumn("met", (F.count("*").over(same) > 1) | (F.max("kind").over(same) == MANY))
+    credit = tokens.where(F.col("met") & (F.col("kind") == TOKEN)).groupBy("b").agg(F.count("*").alias("n"))
+    return credit.unionByName(sketch.where(F.col("kind") == CREDIT).select(F.col("a").alias("b"), F.col("b").alias("n"))).groupBy("b").agg(F.sum("n").alias("n"))
+
+
+def _in_batch(token: np.ndarray, own: np.ndarray, docs: np.ndarray):
+    """Of a batch's (shingle, place of its document): those of one document, those of several once, and how many of the latter each has."""
+    _, at, n = np.unique(token, return_inverse=True, return_counts=True)
+    several = n[at] > 1
+    yield rows_of(TOKEN, token[~several], docs[own[~several]])
+    shared = np.unique(token[several])
+    yield rows_of(MANY, shared, np.zeros(len(shared), np.int64))
+    credit = np.bincount(own[several], minlength=len(docs))
+    yield rows_of(CREDIT, docs[credit > 0], credit[credit > 0])
+
+
+def _group_shingles(length: int):
+    """All shingles of documents, told apart by their group: rows of ``_in_batch``, from columns group, node, body."""
+
+    def run(rows):
+        for batch in batches(rows, 1000):
+            sets = shingle_sets(utf8(batch.column(2)), length)
+            group = _mix(np.asarray(batch.column(0)).astype(np.int64).view(np.uint64) + _MULT[7])
+            token = np.concatenate([_mix(x ^ g) for x, g in zip(sets, group, strict=True)] or [np.zeros(0, np.uint64)]).view(np.int64)
+            yield from _in_batch(token, np.repeat(np.arange(len(sets)), [len(x) for x in sets]), np.asarray(batch.column(1)).astype(np.int64))
+
+    return run
+
+
+def hopeful(texts: DataFrame, sizes: DataFrame, length: int, percent: int, scratch: Scratch) -> DataFrame:
+    """(group, node) of the documents that may link with another of their group; ``texts``: group, node, body; ``sizes``: node, size.
+
+    Of s shingles that others of the group have too, at most s are shared with one of them, so a partner has at most
+    s * (100 + percent) / percent - size shingles, and each must suit the other. Partners are looked for by bins of 5 percent of size, each of which
+    keeps the largest partner that one of its documents can have. A family that shares a passage but is not alike goes here.
+    """
+    rows = scratch.keep(texts.select("group", "node", "body").mapInArrow(_group_shingles(length), "kind int, a long, b long"), "shared", "kind", records=TEXTS)
+    credit = met_credit(rows, scratch, "shared").withColumnRenamed("b", "node")
+    bounds = texts.select("group", "node").distinct().join(credit, "node").join(sizes, "node")
+    largest = F.least(F.floor((F.col("n") * (100 + percent) - F.col("size") * percent) / percent), F.floor(F.col("size") * 100 / percent))
+    bounds = bounds.withColumns({"most": largest, "least": F.ceil(F.col("size") * percent / 100)}).where("most >= least")
+    of = lambda c: F.floor(F.log(F.col(c).cast("double")) / float(np.log(1.05)))
+    bounds = scratch.keep(bounds.select("group", "node", "size", "most", of("size").alias("bin"), of("least").alias("from"), of("most").alias("to")), "bounds")
+    bins = bounds.groupBy("group", "bin").agg(F.max("most").alias("top"), F.count("*").alias("k"))
+    asked = bounds.select("group", "node", "size", F.col("bin").alias("own"), F.explode(F.sequence("from", "to")).alias("bin"))
+    found = asked.join(bins, ["group", "bin"]).where("top >= size AND (bin <> own OR k > 1)")
+    return found.select("group", "node").distinct()
+
+
 def _sketch(length: int, percent: int):
     def run(rows):
         classes: dict[int, tuple[int, int, int]] = {}
@@ -461,22 +520,31 @@ def near_duplicates(
         candidates = part(CANDIDATE).unionByName(star(part(SIGNATURE)))
     else:
         marks = prefix_candidates(rows, sketch, equal, length, percent, scratch)
-        candidates = star(marks)
+        met = scratch.keep(marks.mapInArrow(_meet, "kind int, a long, b long"), "met", "kind")
+        candidates = met.where(F.col("kind") == CANDIDATE).select("a", "b").unionByName(star(met.where(F.col("kind") == SIGNATURE).select("a", "b")))
     groups = components(candidates, scratch, "groups")
     groups = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct())
     # of equal sets only the least document is searched; what it links with, the others do
     stand_ins = groups.join(equal.select(F.col("b").alias("node")).distinct(), "node", "left_anti")
-    sizes = stand_ins.groupBy("root").agg(F.count("*").alias("n")).where("n > 1")
-    members = scratch.keep(
-        stand_ins.join(sizes, "root").select("node", F.col("root").alias("group"), "n", F.ceil(F.col("n") / block_docs).alias("blocks")), "members"
-    )
+    counts = stand_ins.groupBy("root").agg(F.count("*").alias("n")).where("n > 1")
+    grouped = scratch.keep(stand_ins.join(counts, "root").select("node", F.col("root").alias("group"), "n"), "grouped")
+    texts = scratch.keep(grouped.join(rows.withColumnRenamed("doc", "node"), "node"), "texts", records=TEXTS)
+    members = grouped.select("node", "group", "n", F.lit(1).cast("long").alias("blocks"))
+    large = texts.where(F.col("n") > block_docs)
+    if not large.isEmpty():
+        size_of = part(SIZE).select(F.col("a").alias("node"), F.col("b").alias("size"))
+        left = scratch.keep(hopeful(large, size_of, length, percent, scratch), "hopeful")
+        counts = left.groupBy("group").agg(F.count("*").alias("n")).where("n > 1")
+        left = left.join(counts, "group").select("node", "group", "n", F.ceil(F.col("n") / block_docs).alias("blocks"))
+        members = members.where(F.col("n") <= block_docs).unionByName(left)
+    members = scratch.keep(members, "members")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("long")
     pivot = (F.col("blocks") > 1) & (F.pmod(F.xxhash64("node", F.lit(7)), F.lit(1 << 30)) * F.col("n") < F.lit(PIVOTS * (1 << 30)))
     everywhere = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def searched(cells: DataFrame) -> DataFrame:
-        full = cells.join(rows.withColumnRenamed("doc", "node"), "node").select("group", "block", "node", "asks", "body")
+        full = cells.join(texts.select("node", "body"), "node").select("group", "block", "node", "asks", "body")
         full = full.repartition(parts, "group", "block").sortWithinPartitions("group", "block", "node")
         return full.mapInArrow(_search(length, percent), "a long, b long")
 
@@ -494,7 +562,7 @@ def near_duplicates(
             tile = F.when(F.col("root") != F.col("most"), F.pmod(F.xxhash64("node", F.lit(11)), F.col("tiles")).cast("long")).alias("tile")
             placed = labelled.join(rest, "group").select("group", "node", "root", "block", tile)
             if by_segments:
-                marks = placed.select("node").join(rows.withColumnRenamed("doc", "node"), "node").mapInArrow(_signatures(length, percent), "a long, b long")
+                marks = placed.select("node").join(texts.select("node", "body"), "node").mapInArrow(_signatures(length, percent), "a long, b long")
             found = components(links.unionByName(searched(meetings(placed, marks, scratch))), scratch, "across")
     size = part(SIZE)
     out = size.join(found, F.col("a") == F.col("node"), "left")
