@@ -9,8 +9,8 @@ Whether two tokens may stand side by side is found by undoing their merges along
 merge across the seam may come before the one undone. Answers are kept per pair.
 
 Texts are parted by the published pattern first and each part is encoded for itself, so an append or edit begins at the first part
-whose match could see the change, and ends where the new parts fall on old boundaries again. Parts seen before in a task are looked
-up; that memo is emptied when it is full, so memory is bounded whatever the texts.
+whose match could see the change, and ends where the new parts fall on old boundaries again. Parts seen before are looked
+up; that memo is bounded, and so is memory, whatever the texts.
 
 The vocabulary file is read once by the driver and sent to the tasks: its size doesn't depend on the data. Nothing is shuffled.
 
@@ -24,8 +24,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from bisect import bisect_left, bisect_right
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +38,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import batches, texts
 from tidemark.llm.token_counts import PATTERN, VOCABULARY
 
-#: Parts and pairs of tokens that a task remembers; parts of more bytes are not remembered.
-MEMO_PARTS, MEMO_PAIRS, MEMO_BYTES = 200_000, 500_000, 64
+#: Parts and pairs of tokens that a Python worker remembers; longer parts are not remembered.
+MEMO_PARTS, MEMO_PAIRS, MEMO_CHARS = 200_000, 500_000, 64
 #: A match sees one character beyond its end and, for the forms after an apostrophe, three from its beginning.
 SEES_BEYOND, SEES_FROM_START = 1, 3
 
@@ -49,8 +51,16 @@ def read_ranks(vocabulary: bytes) -> dict[bytes, int]:
 
 class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
+        import ahocorasick
+
         self.ranks, self.longest = ranks, max(map(len, ranks))
         self.token = {i: t for t, i in ranks.items()}
+        self.size = {i: len(t) for t, i in ranks.items()}
+        #: Finds all tokens that end at each byte; bytes are the first 256 characters.
+        self.finder = ahocorasick.Automaton()
+        for t, i in ranks.items():
+            self.finder.add_word(t.decode("latin-1"), i)
+        self.finder.make_automaton()
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
 
@@ -115,31 +125,38 @@ class Prefixes:
         out.body, out.last = self.body, list(self.last)
         return out
 
-    def _token_at(self, end: int, last: list[int]) -> int:
-        v, body = self.vocabulary, self.body
-        for start in range(max(0, end - v.longest), end):
-            token = v.ranks.get(body[start:end])
-            if token is not None and v.made_by_merging(token) and (not start or v.side_by_side(last[start - 1], token)):
-                return token
-        raise ValueError("the vocabulary lacks a byte")
+    def _walk(self, begin: int, last: list[int]) -> Iterator[int]:
+        """Store the tokens of the prefixes of more than ``begin`` bytes in ``last``, one after the other; their ends."""
+        v, end = self.vocabulary, begin
+        size, fits, merges = v.size, v.side_by_side, v.made_by_merging
+        shift = max(0, begin - v.longest) + 1
+        for at, token in v.finder.iter(self.body[shift - 1 :].decode("latin-1")):
+            at += shift
+            if at <= end:
+                continue
+            start = at - size[token]
+            if fits(last[start - 1], token) and merges(token) if start else merges(token):
+                if at > end + 1:
+                    break
+                last.append(token)
+                end = at
+                yield end
+        if end < len(self.body):
+            raise ValueError("the vocabulary lacks a byte")
 
     def append(self, more: bytes) -> None:
         begin = len(self.body)
         self.body += more
-        for end in range(begin + 1, len(self.body) + 1):
-            self.last.append(self._token_at(end, self.last))
-        self.worked = len(more)
+        self.worked = sum(1 for _ in self._walk(begin, self.last))
 
     def replace(self, start: int, stop: int, new: bytes) -> None:
         """Put ``new`` for the bytes from ``start`` to ``stop``; later prefixes are worked out until they agree with the old ones."""
         old, shift = self.last, len(new) - (stop - start)
         self.body = self.body[:start] + new + self.body[stop:]
         last, agree = old[:start], 0
-        for end in range(start + 1, len(self.body) + 1):
-            token = self._token_at(end, last)
-            last.append(token)
+        for end in self._walk(start, last):
             before = end - 1 - shift
-            agree = agree + 1 if before >= stop and old[before] == token else 0
+            agree = agree + 1 if before >= stop and old[before] == last[-1] else 0
             if agree >= self.vocabulary.longest:
                 break
         self.worked = len(last) - start
@@ -158,7 +175,8 @@ class Prefixes:
 
 
 class Encoder:
-    """Encodes texts part by part; of one task."""
+    """Encodes texts part by part. Parts that are tokens are looked up; others are remembered in two halves, of which the older is
+    dropped when the newer is full."""
 
     def __init__(self, vocabulary: bytes, pattern: str = PATTERN):
         import regex
@@ -166,21 +184,32 @@ class Encoder:
         self.vocabulary = Vocabulary(read_ranks(vocabulary))
         self.parts = regex.compile(pattern).findall
         self.matches = regex.compile(pattern).finditer
-        self.memo: dict[str, bytes] = {}
+        self.whole = {}
+        for t, i in self.vocabulary.ranks.items():
+            try:
+                self.whole[t.decode()] = i.to_bytes(4, "little")
+            except UnicodeDecodeError:
+                pass
+        self.newer: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def part(self, part: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        body = part.encode()
-        ids = np.array(Prefixes(self.vocabulary, body).ids(), "<u4").tobytes()
-        if len(body) <= MEMO_BYTES:
-            if len(self.memo) >= MEMO_PARTS:
-                self.memo.clear()
-            self.memo[part] = ids
+        """Ids as little-endian unsigned 32-bit integers, of a part that is no token."""
+        ids = self.newer.get(part)
+        if ids is not None:
+            return ids
+        ids = self.older.get(part)
+        if ids is None:
+            ids = array("I", Prefixes(self.vocabulary, part.encode()).ids()).tobytes()
+        if len(part) <= MEMO_CHARS:
+            if len(self.newer) >= MEMO_PARTS // 2:
+                self.older, self.newer = self.newer, {}
+            self.newer[part] = ids
         return ids
 
     def packed(self, text: str) -> bytes:
-        memo, part = self.memo.get, self.part
-        return b"".join([memo(p) or part(p) for p in self.parts(text)])
+        whole, part = self.whole.get, self.part
+        return b"".join([whole(p) or part(p) for p in self.parts(text)])
 
     def ids(self, text: str) -> list[int]:
         return np.frombuffer(self.packed(text), "<u4").tolist()
@@ -239,7 +268,7 @@ class Edited:
         """A long part goes on from the prefixes of the one that stood at its place."""
         old = self.parts[k] if k < len(self.parts) else None
         body = part.encode()
-        if isinstance(old, Prefixes) and len(body) > MEMO_BYTES:
+        if isinstance(old, Prefixes) and len(body) > MEMO_CHARS:
             head = 0
             limit = min(len(body), len(old.body))
             while head < limit and body[head : head + 64] == old.body[head : head + 64]:
@@ -254,12 +283,18 @@ class Edited:
             self.worked += fresh.worked
             return fresh
         self.worked += len(body)
-        return Prefixes(self.encoder.vocabulary, body) if len(body) > MEMO_BYTES else np.frombuffer(self.encoder.packed(part), "<u4").tolist()
+        return Prefixes(self.encoder.vocabulary, body) if len(body) > MEMO_CHARS else np.frombuffer(self.encoder.packed(part), "<u4").tolist()
 
     def ids(self) -> list[int]:
         return [i for p in self.parts for i in (p.ids() if isinstance(p, Prefixes) else p)]
 
 
+@lru_cache(maxsize=1)
+def encoder(vocabulary: bytes) -> Encoder:
+    """A Python worker keeps its encoder from task to task."""
+    return Encoder(vocabulary)
+
+
 def _sent(docs: DataFrame, vocabulary: str) -> Broadcast:
     with open(vocabulary, "rb") as f:
         return docs.sparkSession.sparkContext.broadcast(f.read())
@@ -289,8 +324,8 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", vocabulary: st
     sent = _sent(docs, vocabulary)
 
     def make():
-        encoder = Encoder(sent.value)
-        return lambda body: encoder.ids(body or "")
+        encode = encoder(sent.value).ids
+        return lambda body: encode(body or "")
 
     return _with_column(docs, [F.col(f"`{text}`").cast("string")], ids, "array<int>", make)
 
@@ -312,10 +347,10 @@ def edit(encoded: DataFrame, start: str, stop: str, new: str, text: str = "text"
     sent = _sent(encoded, vocabulary)
 
     def make():
-        encoder = Encoder(sent.value)
+        own = encoder(sent.value)
 
         def value(body, had, a, b, fresh):
-            edited = Edited.restored(encoder, body or "", had or [])
+            edited = Edited.restored(own, body or "", had or [])
             n = len(edited.text)
             a = n if a is None else min(max(a, 0), n)
             b = n if b is None else min(max(b, a), n)
@@ -346,14 +381,14 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabula
     sent = _sent(docs, vocabulary)
 
     def run(parts):
-        encoder = Encoder(sent.value)
+        own = encoder(sent.value)
         for batch in batches(parts, 500):
             n, of_ids, of_bytes = [], [], []
             for body in texts(batch.column(1)):
-                packed = encoder.packed(body)
+                packed = own.packed(body)
                 n.append(len(packed) // 4)
                 of_ids.append(hashlib.sha256(packed).hexdigest())
-                of_bytes.append(hashlib.sha256(encoder.decode(np.frombuffer(packed, "<u4").tolist())).hexdigest())
+                of_bytes.append(hashlib.sha256(own.decode(np.frombuffer(packed, "<u4").tolist())).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
