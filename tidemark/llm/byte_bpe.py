@@ -39,7 +39,7 @@ from tidemark.llm.common import batches, texts
 from tidemark.llm.token_counts import PATTERN, VOCABULARY
 
 #: Parts and pairs of tokens that a Python worker remembers; longer parts are not remembered.
-MEMO_PARTS, MEMO_PAIRS, MEMO_CHARS = 200_000, 500_000, 64
+MEMO_PARTS, MEMO_PAIRS, MEMO_CHARS = 600_000, 500_000, 64
 #: A match sees one character beyond its end and, for the forms after an apostrophe, three from its beginning.
 SEES_BEYOND, SEES_FROM_START = 1, 3
 
@@ -62,7 +62,7 @@ class Vocabulary:
             self.finder.add_word(t.decode("latin-1"), i)
         self.finder.make_automaton()
         self.halves: dict[int, tuple[int, int] | None] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # by left * 2 ** 32 + right
 
     def merged(self, body: bytes, below: int) -> list[int]:
         """Byte-pair merging with the ranks under ``below`` only; for single tokens, so short."""
@@ -85,15 +85,40 @@ class Vocabulary:
     def made_by_merging(self, token: int) -> bool:
         return len(self.token[token]) == 1 or self.split(token) is not None
 
-    def side_by_side(self, left: int, right: int) -> bool:
-        """Whether merging the bytes of both gives just these two tokens."""
-        known = self.pairs.get((left, right))
+    def follows(self, left: int, right: int) -> bool:
+        """Whether merging the bytes of both gives just these two tokens; ``left`` is a prefix's last token, or -1 where there is none."""
+        key = (left << 32) + right
+        known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= MEMO_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self._seam_holds(left, right)
+            known = self.pairs[key] = self.made_by_merging(right) and (left < 0 or self._seam_holds(left, right))
         return known
 
+    def last_tokens(self, body: str) -> list[int]:
+        """The last token of each prefix of a part, given with its bytes as characters."""
+        size, known, follows, last, n = self.size, self.pairs.get, self.follows, [-1], 0
+        for at, token in self.finder.iter(body):
+            if at == n:
+                left = last[at + 1 - size[token]]
+                fits = known((left << 32) + token)
+                if fits or (fits is None and follows(left, token)):
+                    last.append(token)
+                    n += 1
+        if n < len(body):
+            raise ValueError("the vocabulary lacks a byte")
+        return last[1:]
+
+    def walk_back(self, last: list[int]) -> list[int]:
+        """The encoding that the last tokens stand for."""
+        out, at, size = [], len(last), self.size
+        while at:
+            token = last[at - 1]
+            out.append(token)
+            at -= size[token]
+        out.reverse()
+        return out
+
     def _seam_holds(self, left: int, right: int) -> bool:
         # the merge across the seam loses ties against one on its left, which merging does first, and wins them against one on its right
         undone, wins_ties = None, False
@@ -128,19 +153,14 @@ class Prefixes:
     def _walk(self, begin: int, last: list[int]) -> Iterator[int]:
         """Store the tokens of the prefixes of more than ``begin`` bytes in ``last``, one after the other; their ends."""
         v, end = self.vocabulary, begin
-        size, fits, merges = v.size, v.side_by_side, v.made_by_merging
-        shift = max(0, begin - v.longest) + 1
-        for at, token in v.finder.iter(self.body[shift - 1 :].decode("latin-1")):
-            at += shift
-            if at <= end:
-                continue
-            start = at - size[token]
-            if fits(last[start - 1], token) and merges(token) if start else merges(token):
-                if at > end + 1:
-                    break
-                last.append(token)
-                end = at
-                yield end
+        shift = max(0, begin - v.longest)
+        for at, token in v.finder.iter(self.body[shift:].decode("latin-1")):
+            if at + shift == end:
+                start = end + 1 - v.size[token]
+                if v.follows(last[start - 1] if start else -1, token):
+                    last.append(token)
+                    end += 1
+                    yield end
         if end < len(self.body):
             raise ValueError("the vocabulary lacks a byte")
 
@@ -165,13 +185,7 @@ class Prefixes:
     def ids(self) -> list[int]:
         """The encoding: stored tokens from the end to the beginning. A part that is a token as a whole is that token."""
         whole = self.vocabulary.ranks.get(self.body)
-        if whole is not None:
-            return [whole]
-        out, at = [], len(self.body)
-        while at:
-            out.append(self.last[at - 1])
-            at -= len(self.vocabulary.token[out[-1]])
-        return out[::-1]
+        return [whole] if whole is not None else self.vocabulary.walk_back(self.last)
 
 
 class Encoder:
@@ -195,12 +209,11 @@ class Encoder:
 
     def part(self, part: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers, of a part that is no token."""
-        ids = self.newer.get(part)
-        if ids is not None:
-            return ids
-        ids = self.older.get(part)
+        ids = self.newer.get(part) or self.older.get(part)
         if ids is None:
-            ids = array("I", Prefixes(self.vocabulary, part.encode()).ids()).tobytes()
+            v = self.vocabulary
+            body = part if part.isascii() else part.encode().decode("latin-1")
+            ids = array("I", v.walk_back(v.last_tokens(body))).tobytes()
         if len(part) <= MEMO_CHARS:
             if len(self.newer) >= MEMO_PARTS // 2:
                 self.older, self.newer = self.newer, {}
@@ -208,8 +221,8 @@ class Encoder:
         return ids
 
     def packed(self, text: str) -> bytes:
-        whole, part = self.whole.get, self.part
-        return b"".join([whole(p) or part(p) for p in self.parts(text)])
+        whole, seen, part = self.whole.get, self.newer.get, self.part
+        return b"".join([whole(p) or seen(p) or part(p) for p in self.parts(text)])
 
     def ids(self, text: str) -> list[int]:
         return np.frombuffer(self.packed(text), "<u4").tolist()
