@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
-from tidemark.operators import features, reshape, scoring, vintage, walkforward
+from tidemark.operators import features, intervals, reshape, scoring, vintage, walkforward
 from tidemark.plans import jobs
 from tidemark.sources import tables
 
@@ -212,6 +212,34 @@ def test_history_is_never_broadcast(spark, small, name):
                 assert "lineitem" not in below
 
 
+@pytest.mark.parametrize("name", ["as_of_many", "known_ahead", "leaderboard_vintage_baselines"])
+def test_as_of_reads_need_no_nested_loop(spark, small, name):
+    from tidemark.catalog import QUERIES
+
+    plan = plan_of(QUERIES[name](spark, small))
+    lines = [x for x in plan.split("\n") if "NestedLoop" in x or "Cartesian" in x]
+    assert not lines if name != "leaderboard_vintage_baselines" else all("Cross" in x or "Inner" in x for x in lines)
+
+
+def test_as_of_many_for_every_day(spark):
+    df, rows, base = history(spark)
+    days = [base + dt.timedelta(days=k) for k in range(-40, 700)]
+    origins = frame(spark, [(x,) for x in days], "origin date")
+    out = vintage.as_of_many(df, origins, ["s", "p"], "p", "v", ["t1", "t2"], ahead_months=1).collect()
+    got = {(r.origin, r.s, r.p): r.x for r in out}
+    assert len(out) == len(got) and got == as_of_by_hand(rows, days, 1)
+
+
+def test_blocks_of_spans_meet_each_day_once(spark):
+    n = 23
+    depth = intervals.levels(n)
+    spans = spark.range(n * n).select((F.col("id") % n).alias("a"), F.floor(F.col("id") / n).alias("b")).where("a <= b")
+    blocks = spans.select("a", "b", F.explode(intervals.blocks_of_span(F.col("a"), F.col("b"), depth)).alias("k"))
+    assert blocks.groupBy("a", "b").count().agg(F.max("count")).first()[0] <= 2 * depth - 2
+    met = blocks.join(spark.range(n).select(F.col("id").alias("day"), F.explode(intervals.blocks_of_day(F.col("id"), depth)).alias("k")), "k")
+    assert sorted((r.a, r.b, r.day) for r in met.collect()) == [(a, b, d) for a in range(n) for b in range(a, n) for d in range(a, b + 1)]
+
+
 def test_asof_top_k_reaches_back_over_months(spark):
     weeks = [D(2020, 1, 4) + dt.timedelta(days=7 * k) for k in range(20) if k not in (9, 10, 11, 12, 13)]
     rows = [("a", w, float(i)) for i, w in enumerate(weeks)] + [("a", D(2020, 1, 7), None), ("b", D(2020, 5, 2), 1.0)]

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators import intervals
+
 
 def latest_vintage(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The newest row of each key. One aggregation that combines before the shuffle, so hot keys cost one row a task."""
@@ -30,27 +32,35 @@ def first_print(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__row")).select(*keys, "__row.*")
 
 
-#: Origins that are sent to every task at most; more of them meet the history by month.
-MAX_SENT_ORIGINS = 10_000
+#: Origins, and days of a calendar, that are sent to every task at most; more of them meet the rows by a shuffle.
+MAX_SENT = 40_000
 
 
-def validity(df: DataFrame, keys: Sequence[str], vintage: str, tie: Sequence[str] = ()) -> DataFrame:
+def validity(df: DataFrame, keys: Sequence[str], vintage: str, tie: Sequence[str] = (), stamp: str | None = None) -> DataFrame:
     """Each row that some origin reads, with the days ``__from`` (null: always) and ``__until`` (exclusive; null: for good) of the origins
     that do: from its vintage to the next one; and the earliest row of a key also before that.
 
     Vintages of a key are reduced to one row each where they lie, so the window sees no more rows of a hot key than it has vintages.
+    ``stamp``: a column of days that rises with the vintage and stands for it in spans; rows of one stamp become one. A null stamp is
+    that of rows which are only read as the earliest.
     """
-    rest = [c for c in df.columns if c not in (*keys, vintage)]
-    order = F.struct(*tie) if tie else F.struct(*rest)
-    row = F.struct(*rest)
-    per = df.where(F.col(vintage).isNotNull()).groupBy(*keys, vintage).agg(F.max_by(row, order).alias("__row"), F.min_by(row, order).alias("__first"))
-    run = Window.partitionBy(*keys).orderBy(vintage)
-    spans = per.withColumns({"__until": F.lead(vintage).over(run), "__n": F.row_number().over(run)})
-    known = F.struct(F.col(vintage).alias("__from"), F.col("__until"), F.col("__row"))
+    by = stamp or vintage
+    rest = [c for c in df.columns if c not in (*keys, vintage, by)]
+    order, row = F.struct(vintage, *(tie or rest)), F.struct(*[c for c in (vintage, *rest)])
+    per = df.where(F.col(vintage).isNotNull()).groupBy(*keys, F.col(by).alias("__by")).agg(F.max_by(row, order).alias("__row"), F.min_by(row, order).alias("__first"))
+    run = Window.partitionBy(*keys).orderBy(F.asc_nulls_last("__by"))
+    spans = per.withColumns({"__until": F.lead("__by").over(run), "__n": F.row_number().over(run)})
+    known = F.struct(F.col("__by").alias("__from"), F.col("__until"), F.col("__row"))
     # the earliest vintage stands in for origins before it
-    before = F.struct(F.lit(None).cast(df.schema[vintage].dataType).alias("__from"), F.col(vintage).alias("__until"), F.col("__first").alias("__row"))
-    pieces = F.when(F.col("__n") == 1, F.array(before, known)).otherwise(F.array(known))
-    return spans.select(*keys, vintage, F.explode(pieces).alias("__p")).select(*keys, vintage, "__p.__from", "__p.__until", "__p.__row.*")
+    before = F.struct(F.lit(None).cast(df.schema[by].dataType).alias("__from"), F.col("__by").alias("__until"), F.col("__first").alias("__row"))
+    pieces = F.filter(F.array(F.when(F.col("__n") == 1, before), F.when(F.col("__by").isNotNull(), known)), lambda p: p.isNotNull())
+    return spans.select(*keys, F.explode(pieces).alias("__p")).select(*keys, "__p.__from", "__p.__until", "__p.__row.*")
+
+
+def _day_on(c: Column) -> Column:
+    """The first day that is no earlier."""
+    day = c.cast("date")
+    return F.when(day < c, F.date_add(day, 1)).otherwise(day)
 
 
 def as_of_many(
@@ -62,33 +72,45 @@ def as_of_many(
     tie: Sequence[str] = (),
     use_vintages: bool = True,
     ahead_months: int = 0,
-    max_sent: int = MAX_SENT_ORIGINS,
+    max_sent: int = MAX_SENT,
 ) -> DataFrame:
     """For every origin (column ``origin``) and key with period up to it: the latest vintage known then, else the earliest ever. Rows
     without a vintage are never read.
 
-    A row becomes the span of days on which it is the one to read, so an origin meets one row of each key, and the join makes no
-    row that is not in the result. Up to ``max_sent`` origins are sent to the history; more meet it by equal months.
+    A row becomes the span of days on which it is the one to read. Spans and origins meet over equal blocks of days (see
+    ``intervals``), a few for each span whatever the number of origins, and the join makes no row that is not in the result. Vintages between
+    two origins are one to all origins, so they are reduced to one row before the shuffle: a day's next origin is looked
+    up in a calendar. Up to ``max_sent`` origins and days of the calendar are sent to the tasks; more are joined by a shuffle.
     """
     origins = origins.select(F.col("origin").cast("date")).where("origin IS NOT NULL").distinct()
+    low, high, n = origins.agg(F.min("origin"), F.max("origin"), F.count("*")).first()
+    if not n:
+        return df.select(F.lit(None).cast("date").alias("origin"), *df.columns).limit(0)
+    sent = lambda rows, size: F.broadcast(rows) if size <= max_sent else rows
+    first, days = F.lit(low), (high - low).days + 1
     if use_vintages:
-        rows = validity(df, keys, vintage, tie)
+        # the first origin from each day on
+        calendar = df.sparkSession.range(1).select(F.explode(F.sequence(first, F.lit(high))).alias("__day")).join(origins, F.col("__day") == F.col("origin"), "left")
+        ahead = Window.orderBy("__day").rowsBetween(0, Window.unboundedFollowing)
+        calendar = calendar.select("__day", F.min("origin").over(ahead).alias("__stamp"))
+        day = F.greatest(_day_on(F.col(vintage)), first)
+        rows = df.withColumn("__day", day).join(sent(calendar, days), "__day", "left").drop("__day")
+        rows = validity(rows, keys, vintage, tie, "__stamp")
     else:
         null = F.lit(None).cast("date")
         rows = latest_vintage(df, keys, [vintage, *tie]).withColumns({"__from": null, "__until": null})
-    limit = F.add_months("origin", ahead_months) if ahead_months else F.col("origin")
-    reads = (F.col(period) <= limit) & (F.col("__from").isNull() | (F.col("origin") >= F.col("__from"))) & (F.col("__until").isNull() | (F.col("origin") < F.col("__until")))
-    if origins.limit(max_sent + 1).count() <= max_sent:
-        found = rows.join(F.broadcast(origins), reads)
-    else:
-        months = origins.withColumn("__m", F.trunc("origin", "MM"))
-        ends = months.agg(F.min("__m").alias("__lo"), F.max("__m").alias("__hi"))
-        low = F.greatest(F.trunc(F.add_months(F.col(period), -ahead_months - 1), "MM"), F.trunc(F.coalesce("__from", "__lo"), "MM"), F.col("__lo"))
-        high = F.least(F.trunc(F.coalesce("__until", "__hi"), "MM"), F.col("__hi"))
-        spread = rows.join(F.broadcast(ends)).withColumns({"__a": low, "__b": high}).where("__a <= __b")
-        spread = spread.withColumn("__m", F.explode(F.sequence("__a", "__b", F.expr("interval 1 month")))).drop("__a", "__b", "__lo", "__hi")
-        found = spread.join(months, "__m").where(reads).drop("__m")
-    return found.select("origin", *df.columns)
+    reached = _day_on(F.col(period))
+    if ahead_months:
+        reached = F.add_months(reached, -ahead_months)
+        reached = F.when(F.add_months(reached, ahead_months) >= F.col(period), reached).otherwise(F.date_add(reached, 1))
+    # days are numbered from the first origin
+    begin = F.greatest(F.datediff(F.greatest(F.coalesce("__from", first), reached), first), F.lit(0))
+    end = F.least(F.datediff(F.coalesce("__until", F.date_add(F.lit(high), 1)), first) - 1, F.lit(days - 1))
+    rows = rows.where(F.col(period).isNotNull()).withColumns({"__a": begin, "__b": end}).where("__a <= __b")
+    depth = intervals.levels(days)
+    rows = rows.withColumn("__block", F.explode(intervals.blocks_of_span(F.col("__a"), F.col("__b"), depth)))
+    asked = origins.select("origin", F.explode(intervals.blocks_of_day(F.datediff("origin", first), depth)).alias("__block"))
+    return rows.join(sent(asked, n), "__block").select("origin", *df.columns)
 
 
 def as_of(df: DataFrame, origin: str, keys: Sequence[str], period: str, vintage: str, tie: Sequence[str] = (), **how) -> DataFrame:

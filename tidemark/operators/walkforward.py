@@ -121,46 +121,89 @@ MAX_STATED = 10_000
 
 def stated(origins: DataFrame) -> DataFrame:
     """A stated list of origins, marked to be sent to every task, once its length has been checked."""
-    origins = origins.select("origin").distinct()
+    origins = origins.select(F.col("origin").cast("date")).distinct()
     if origins.limit(MAX_STATED + 1).count() > MAX_STATED:
         raise ValueError(f"more than {MAX_STATED} origins")
     return F.broadcast(origins)
 
 
-def wf_ridge_cv(df: DataFrame, keys: Sequence[str], period: str, y: str, xs: Sequence[str], min_train: int, alphas: Sequence[float], origins: DataFrame) -> DataFrame:
-    """Standardised ridge with the penalty of least leave-one-out error, at each of a stated list of origins.
+class RidgeSweep:
+    """Standardised ridge over a growing set of rows: means and centred products are moved by one row at a time, and leave-one-out
+    errors of all penalties follow from one factorisation of the products.
 
-    Rows before an origin are fanned out to it, and a group is one series and origin: as long as the series, no more.
+    With the standardised products' eigenvectors V and values d, a row's leverage under penalty a is the sum of (zV)^2 / (d + a) and its fit
+    the sum of (zV) w / (d + a), so an origin costs one product of the rows with V and no solve per penalty or per row left out.
+    """
+
+    def __init__(self, width: int, alphas: np.ndarray, capacity: int):
+        self.alphas, self.n = alphas, 0
+        self.mean, self.products = np.zeros(width), np.zeros((width, width))
+        self.mean_y, self.cross = 0.0, np.zeros(width)
+        self.x, self.y = np.empty((capacity, width)), np.empty(capacity)
+
+    def add(self, x: np.ndarray, y: float) -> None:
+        self.x[self.n], self.y[self.n] = x, y
+        self.n += 1
+        step, step_y = x - self.mean, y - self.mean_y
+        self.mean, self.mean_y = self.mean + step / self.n, self.mean_y + step_y / self.n
+        self.products += np.outer(step, x - self.mean)
+        self.cross += step * (y - self.mean_y)
+
+    def predict(self, now: np.ndarray) -> tuple[float, float]:
+        """(prediction, penalty of the least mean squared leave-one-out error; of equals the first)."""
+        sd = np.sqrt(np.maximum(np.diag(self.products) / self.n, 0))
+        sd[sd == 0] = 1.0
+        d, v = np.linalg.eigh(self.products / np.outer(sd, sd))
+        d = np.maximum(d, 0)
+        turned = ((self.x[: self.n] - self.mean) / sd) @ v
+        w = v.T @ (self.cross / sd)
+        shrink = 1.0 / (d[:, None] + self.alphas[None, :])
+        fits, leverage = turned @ (w[:, None] * shrink), (turned**2) @ shrink
+        rest = (self.y[: self.n] - self.mean_y)[:, None] - fits
+        error = rest / (1 - leverage - 1 / self.n)
+        best = int(np.argmin((error**2).mean(axis=0)))
+        return self.mean_y + float(((now - self.mean) / sd) @ v @ (w * shrink[:, best])), float(self.alphas[best])
+
+
+def wf_ridge_cv(
+    df: DataFrame, keys: Sequence[str], period: str, y: str, xs: Sequence[str], min_train: int, alphas: Sequence[float], origins: DataFrame | None = None
+) -> DataFrame:
+    """Standardised ridge with the penalty of least leave-one-out error, at each of a stated list of origins, or at every row.
+
+    A group is one series, swept once: rows are shuffled once, by series, whatever the number of origins. Stated origins get a row for every series that has
+    begun by then; a series without a row at an origin, with fewer than ``min_train`` complete rows before it, or with incomplete regressors at
+    it, has no prediction there.
     """
     cols = [F.col(x).cast("double") for x in xs]
-    rows = df.select(*keys, F.col(period).alias("__p"), F.col(y).cast("double").alias("__y"), F.array(*cols).alias("__v"))
-    fanned = rows.join(stated(origins), F.col("__p") <= F.col("origin"))
+    rows = df.select(*keys, F.col(period).cast("date").alias("__p"), F.col(y).cast("double").alias("__y"), F.array(*cols).alias("__v"))
+    listed = None if origins is None else sorted(r.origin for r in stated(origins).collect() if r.origin is not None)
     grid = np.asarray(alphas, float)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, yy, now = np.stack(pdf["__v"].map(lambda v: np.array([np.nan if e is None else e for e in v], float))), pdf["__y"].to_numpy(float), (pdf["__p"] == pdf["origin"]).to_numpy()
+        pdf = pdf[pdf["__p"].notna()].sort_values("__p", kind="stable")
+        x = np.array([[np.nan if e is None else e for e in v] for v in pdf["__v"]], float).reshape(len(pdf), len(xs))
+        yy, days = pdf["__y"].to_numpy(float), pdf["__p"].tolist()
         good = np.isfinite(x).all(axis=1)
-        train = good & np.isfinite(yy) & ~now
-        pick = np.flatnonzero(now & good)
-        pred = alpha = np.nan
-        if train.sum() >= min_train and len(pick):
-            mean, sd = x[train].mean(axis=0), x[train].std(axis=0)
-            sd[sd == 0] = 1
-            z, t = (x[train] - mean) / sd, yy[train]
-            u, s, vt = np.linalg.svd(z, full_matrices=False)
-            best = np.inf
-            for a in grid:
-                h = u * (s**2 / (s**2 + a))
-                error = (t - t.mean() - h @ (u.T @ (t - t.mean()))) / (1 - (h * u).sum(axis=1) - 1 / len(t))
-                if (loss := float((error**2).mean())) < best:
-                    best, alpha, beta = loss, a, vt.T @ (s / (s**2 + a) * (u.T @ (t - t.mean())))
-            pred = t.mean() + ((x[pick[0]] - mean) / sd) @ beta
-        first = pdf.iloc[:1][[*keys, "origin"]].copy()
-        first["alpha"], first["prediction"], first["n_train"] = alpha, pred, int(train.sum())
-        return first
+        sweep, at, out = RidgeSweep(len(xs), grid, len(pdf)), 0, []
+        for origin in days if listed is None else listed:
+            if not days or days[0] > origin:
+                continue
+            while at < len(days) and days[at] < origin:
+                if good[at] and np.isfinite(yy[at]):
+                    sweep.add(x[at], yy[at])
+                at += 1
+            prediction = alpha = None
+            if sweep.n >= max(min_train, 1) and at < len(days) and days[at] == origin and good[at]:
+                prediction, alpha = sweep.predict(x[at])
+            out.append((origin, alpha, prediction, sweep.n))
+        found = pd.DataFrame({k: pdf[k].iloc[:1].repeat(len(out)).to_numpy() for k in keys})
+        for i, name in enumerate(("origin", "alpha", "prediction", "n_train")):
+            found[name] = pd.Series([o[i] for o in out], dtype=object if i == 0 else "float64" if i < 3 else "int64")
+        return found
 
     schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("origin", T.DateType()), T.StructField("alpha", T.DoubleType()), T.StructField("prediction", T.DoubleType()), T.StructField("n_train", T.LongType())])
-    return fanned.groupBy(*keys, "origin").applyInPandas(fit, schema)
+    out = rows.groupBy(*keys).applyInPandas(fit, schema)
+    return out.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in ("alpha", "prediction")})
 
 
 def wf_ecm(df: DataFrame, keys: Sequence[str], period: str, a: str, b: str, min_train: int) -> DataFrame:
@@ -309,27 +352,3 @@ def platt_scaling(
             z = 1 / (1 + F.exp(-(F.lit(float(m.intercept)) + F.lit(float(m.coefficients[0])) * F.col("__z"))))
         calibrated = F.when(F.col(period) >= day, clipped(z)).otherwise(calibrated)
     return rows.withColumn("calibrated", calibrated).drop("__z")
-
-
-def wf_gbt(df: DataFrame, period: str, y: str, xs: Sequence[str], blocks: Sequence[str], classify: bool = False, trees: int = 10, depth: int = 3) -> DataFrame:
-    """Boosted trees refitted at the start of each block (a stated list of dates) on all rows before it."""
-    from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-    from pyspark.ml.regression import GBTRegressor
-
-    rows = VectorAssembler(inputCols=list(xs), outputCol="__f", handleInvalid="skip").transform(df.withColumn("__y", F.col(y).cast("double")))
-    out = None
-    for i, start in enumerate(blocks):
-        train = rows.where((F.col(period) < F.lit(start).cast("date")) & F.col("__y").isNotNull())
-        own = rows.where(F.col(period) >= F.lit(start).cast("date"))
-        if i + 1 < len(blocks):
-            own = own.where(F.col(period) < F.lit(blocks[i + 1]).cast("date"))
-        if train.select("__y").distinct().limit(2).count() < 2:
-            continue
-        kind = GBTClassifier if classify else GBTRegressor
-        model = kind(featuresCol="__f", labelCol="__y", predictionCol="__p", maxIter=trees, maxDepth=depth, seed=1).fit(train)
-        found = model.transform(own).withColumn("prediction", vector_to_array("probability")[1] if classify else F.col("__p"))
-        found = found.select(*df.columns, "prediction")
-        out = found if out is None else out.unionByName(found)
-    return out if out is not None else df.withColumn("prediction", F.lit(None).cast("double")).limit(0)

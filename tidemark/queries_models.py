@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import ecm as E
 from tidemark.operators import reshape as R
 from tidemark.operators import scoring as C
+from tidemark.operators import trees
 from tidemark.operators import vintage as V
 from tidemark.operators import walkforward as M
 from tidemark.operators.features import Series
@@ -419,13 +420,15 @@ def platt_scaling(spark, d):
 
 @query("wf_gbt")
 def wf_gbt(spark, d):
-    return M.wf_gbt(regressors(spark, d), "period", "value", ["x1", "x2", "x3"], ["1999-01-01", "2000-01-01"], trees=5).select("series", "period", "prediction")
+    """Every origin of every series from 24 rows on, fitted anew every 12 rows."""
+    return trees.wf_trees(regressors(spark, d), ["series"], "period", "value", ["x1", "x2", "x3"], trees.TreeSpec(trees=30), min_train=24)
 
 
 @query("wf_gbt_direction")
 def wf_gbt_direction(spark, d):
+    """The probability of a rise, from 50 labelled rows on, fitted at every row."""
     rows = regressors(spark, d).withColumn("up", F.when(F.col("x1").isNotNull(), (F.col("value") > F.col("x1")).cast("int")))
-    return M.wf_gbt(rows, "period", "up", ["x1", "x2", "x3"], ["1999-01-01"], classify=True, trees=5).select("series", "period", "prediction")
+    return trees.wf_trees(rows, ["series"], "period", "up", ["x1", "x2", "x3"], trees.TreeSpec(trees=20, classify=True), refit_every=1)
 
 
 _WINDOWS = {"gas": "1-URGENT", "diesel": "2-HIGH", "sp": "2-HIGH"}
