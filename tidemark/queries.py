@@ -13,6 +13,7 @@ from tidemark.plans.fixtures import (
     BT_SQL, MP_SQL, TIE, UP_SQL, bitemporal, monthly_panel, table, upsert_pair,
 )
 from tidemark.sources import tables as L
+from tidemark.sources.versioned import VersionedTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -180,6 +181,24 @@ def upsert(spark, d):
     return L.upsert(*upsert_pair(spark, d), ["custkey", "orderkey"])
 
 
+def _versioned(spark, rows, by, name):
+    """The rows as a table that changes in place, loaded twice by one run."""
+    held = VersionedTable.create(spark, scratch_path(spark, name), rows.schema, by, 16)
+    for _ in range(2):
+        held.replace_slice(rows, by, run="load")
+    return held
+
+
+@query("versioned_upsert", ORACLES["upsert"])
+def versioned_upsert(spark, d):
+    """The same written in place: parts that the staged rows touch, one rename, and a retry that changes nothing."""
+    target, staged = upsert_pair(spark, d)
+    held = _versioned(spark, target, ["orderkey"], "upsert")
+    for _ in range(2):
+        held.upsert(staged, ["custkey", "orderkey"], run="merge")
+    return held.read()
+
+
 @query("anti_self", f"WITH {UP_SQL} SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM staged s WHERE s.custkey IS NOT DISTINCT FROM t.custkey AND s.orderkey IS NOT DISTINCT FROM t.orderkey)")
 def anti_self(spark, d):
     target, staged = upsert_pair(spark, d)
@@ -204,6 +223,17 @@ def replace_slice(spark, d):
     return L.replace_slice(target, rows, ["o_orderstatus"])
 
 
+@query("versioned_replace_slice", ORACLES["replace_slice"])
+def versioned_replace_slice(spark, d):
+    """A retry without a run's id: the slice is dropped and added again."""
+    target = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    held = _versioned(spark, target, ["o_orderstatus"], "slice")
+    rows = target.where("o_orderstatus = 'P' AND o_orderkey % 2 = 0").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    for _ in range(2):
+        held.replace_slice(rows, ["o_orderstatus"])
+    return held.read()
+
+
 @query("update_columns", """SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders""")
 def update_columns(spark, d):
     target = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
@@ -211,6 +241,14 @@ def update_columns(spark, d):
     return L.update_columns(target, patch, ["o_orderkey"], ["o_orderstatus"])
 
 
+@query("versioned_update_columns", ORACLES["update_columns"])
+def versioned_update_columns(spark, d):
+    target = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    held = _versioned(spark, target, ["o_orderkey"], "update")
+    held.update_columns(target.where("o_orderkey % 5 = 0").select("o_orderkey", F.lit("X").alias("o_orderstatus")), ["o_orderkey"], ["o_orderstatus"], run="patch")
+    return held.read()
+
+
 @query("backfill_stamp", "SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 2 = 0 THEN 'v2' END, 'v1') AS model_version FROM orders")
 def backfill_stamp(spark, d):
     rows = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, "v2").alias("model_version"))
