@@ -364,7 +364,8 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
     Links are contracted within each task; then large-star and small-star steps by turns, each of them one aggregation and one
     join, until nothing changes. The least node of a large component is a key of many rows: the aggregations combine them before
-    the shuffle, and the joins are plain ones, which adaptive execution splits when a key is skewed.
+    the shuffle, and the joins are plain ones, which adaptive execution splits when a key is skewed. Links that several tasks
+    have found are as many rows until the end; a step makes no row more than it reads.
     """
     said = F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("hash"), F.count(F.lit(1)).alias("n")
     links = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -378,12 +379,12 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         i += 1
         seen = Observation()
-        after_edges = scratch.keep(small.where("u <> v").distinct().observe(seen, *said), f"{name}-{i}")
+        after_edges = scratch.keep(small.where("u <> v").observe(seen, *said), f"{name}-{i}")
         scratch.drop(f"{name}-{i - 1}")
         edges = after_edges
         after = (seen.get["n"], seen.get["hash"])
         if after == before or not after[0]:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).distinct()
         before = after
 
 
@@ -563,7 +564,10 @@ def near_duplicates(
             placed = labelled.join(rest, "group").select("group", "node", "root", "block", tile)
             if by_segments:
                 marks = placed.select("node").join(texts.select("node", "body"), "node").mapInArrow(_signatures(length, percent), "a long, b long")
-            found = components(links.unionByName(searched(meetings(placed, marks, scratch))), scratch, "across")
+            more = scratch.keep(searched(meetings(placed, marks, scratch)), "more", records=TEXTS)
+            if not more.isEmpty():
+                stars = found.select(F.col("root").alias("a"), F.col("node").alias("b"))
+                found = components(stars.unionByName(more), scratch, "across")
     size = part(SIZE)
     out = size.join(found, F.col("a") == F.col("node"), "left")
     component = F.when(F.col("a").isNotNull(), F.coalesce("root", "a"))
