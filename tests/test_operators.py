@@ -126,7 +126,7 @@ def test_ecm_matches_two_step(spark):
 
 
 def test_distributions(spark):
-    row = spark.range(1).select(S.student_t4_cdf(F.lit(2.1318467863)).alias("t"), scoring.normal_cdf(F.lit(1.959963984540054)).alias("z"), scoring.student_p_value(F.lit(2.228), F.lit(10.0)).alias("p")).first()
+    row = spark.range(1).select(S.student_t4_cdf(F.lit(2.1318467863)).alias("t"), S.normal_cdf(F.lit(1.959963984540054)).alias("z"), scoring.student_p_value(F.lit(2.228), F.lit(10.0)).alias("p")).first()
     assert row.t == pytest.approx(0.95, abs=1e-8) and row.z == pytest.approx(0.975, abs=1e-9) and row.p == pytest.approx(0.05, abs=1e-4)
 
 
@@ -188,6 +188,33 @@ def test_as_of_many_against_brute_force(spark, max_sent, ahead):
     assert len(out) == len(got) and got == as_of_by_hand(rows, days, ahead)
 
 
+def test_normal_distribution_in_built_in_expressions(spark):
+    zs = [x / 64 for x in range(-640, 641)] + [-37.0, -26.0, 26.0, 38.5, 0.0, -0.0, 1e-9, 0.66291, 5.65685424949238, -5.656854249492381, float("inf"), float("-inf")]
+    df = frame(spark, [(z,) for z in zs] + [(None,), (float("nan"),)], "z double").select("z", S.normal_cdf(F.col("z")).alias("p"))
+    assert "Python" not in plan_of(df)
+    for z, p in df.collect():
+        if z is None or math.isnan(z):
+            assert p is None if z is None else math.isnan(p)
+            continue
+        want = 0.5 * math.erfc(-z / math.sqrt(2))
+        assert p == pytest.approx(want, rel=1e-13, abs=1e-300), z
+
+
+@pytest.mark.parametrize("heavy", [False, True])
+def test_bands_lie_on_a_grid_and_cover_the_distribution(spark, heavy):
+    df = frame(spark, [("a", 3.4071, 0.02), ("b", -1.0, 0.013), ("c", 1.0, 0.0), ("d", None, 1.0), ("e", 1.0, None)], "k string, pt double, sd double")
+    out = scoring.band_distribution(df, "pt", "sd", 0.005, heavy=heavy).collect()
+    assert {r.k for r in out} == {"a", "b"}
+    for k in "ab":
+        rows = sorted((r for r in out if r.k == k), key=lambda r: r.band_low)
+        assert all(r.band_high == pytest.approx(s.band_low, abs=1e-9) for r, s in zip(rows, rows[1:]))
+        assert all(abs(r.band_low / 0.005 - round(r.band_low / 0.005)) < 1e-6 for r in rows)
+        assert rows[0].band_low <= rows[0].pt - 4 * rows[0].sd + 1e-9 and rows[-1].band_high >= rows[0].pt + 4 * rows[0].sd - 1e-9
+        assert sum(r.p_band for r in rows) == pytest.approx(1, abs=0.006 if heavy else 1e-4)
+        mean = sum((r.band_low + 0.0025) * r.p_band for r in rows) / sum(r.p_band for r in rows)
+        assert mean == pytest.approx(rows[0].pt, abs=0.002)
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

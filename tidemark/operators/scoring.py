@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.scalars import student_t4_cdf
+from tidemark.functions.scalars import normal_cdf, student_t4_cdf
 
 
 def error_rows(df: DataFrame, methods: Sequence[str], actual: str, keep: Sequence[str]) -> DataFrame:
@@ -98,13 +98,6 @@ def student_p_value(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd
         yield pd.Series(out, dtype="float64")
 
 
-@F.pandas_udf(T.DoubleType())
-def normal_cdf(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    erf = np.vectorize(math.erf, otypes=[float])
-    for z in parts:
-        yield pd.Series(0.5 * (1 + erf(z.to_numpy(float) / math.sqrt(2))) if len(z) else np.zeros(0))
-
-
 def brier(df: DataFrame, by: Sequence[str], p: str, outcome: str) -> DataFrame:
     base = df.groupBy(*by).agg(F.avg(F.col(outcome).cast("double")).alias("rate"), F.avg(F.pow(F.col(p) - F.col(outcome), 2)).alias("brier"), F.count("*").alias("n"))
     return base.withColumn("skill", 1 - F.try_divide(F.col("brier"), F.col("rate") * (1 - F.col("rate"))))
@@ -135,7 +128,7 @@ def strike_ladder(df: DataFrame, point: str, width: int, n: int) -> DataFrame:
 def p_at_least(df: DataFrame, point: str, strike: str, unit: float) -> DataFrame:
     """P(rounded outcome >= strike) under a two-piece normal with sigma_lo and sigma_hi."""
     z = (F.col(strike) - unit / 2 - F.col(point)) / F.when(F.col(strike) - unit / 2 < F.col(point), F.col("sigma_lo")).otherwise(F.col("sigma_hi"))
-    return df.withColumn("p_at_least", 1 - normal_cdf(z))
+    return df.withColumn("p_at_least", normal_cdf(-z))
 
 
 def p_bucket(df: DataFrame, keys: Sequence[str], strike: str) -> DataFrame:
@@ -144,13 +137,20 @@ def p_bucket(df: DataFrame, keys: Sequence[str], strike: str) -> DataFrame:
     return df.withColumn("p_bucket", F.col("p_at_least") - F.coalesce(F.lead("p_at_least").over(run), F.lit(0.0)))
 
 
-def band_distribution(df: DataFrame, point: str, sigma: str, width: float, bands: int) -> DataFrame:
-    """Bands around a point under Student's t with 4 degrees of freedom, scaled to the given deviation."""
-    scale = F.col(sigma) / math.sqrt(2.0)
-    rows = df.withColumn("band", F.explode(F.sequence(F.lit(-bands), F.lit(bands))))
-    low = F.col(point) + (F.col("band") - 0.5) * width
-    cdf = lambda edge: student_t4_cdf((edge - F.col(point)) / scale)
-    return rows.withColumn("band_low", low).withColumn("p_band", cdf(low + width) - cdf(low))
+def band_distribution(df: DataFrame, point: str, sigma: str, width: float, span: float = 4.0, heavy: bool = False) -> DataFrame:
+    """A row per band: ``band_low``, ``band_high`` and its probability under a normal distribution around the point, or with ``heavy`` under Student's t with 4
+    degrees of freedom scaled to the same deviation.
+
+    Bands lie on multiples of the width and reach ``span`` deviations to either side at least. Rows without a positive
+    deviation have none.
+    """
+    low, high = (f((F.col(point) + sign * span * F.col(sigma)) / width).cast("long") for f, sign in ((F.floor, -1), (F.ceil, 1)))
+    rows = df.where((F.col(sigma) > 0) & F.col(point).isNotNull()).withColumn("__k", F.explode(F.sequence(low, high - 1)))
+    edge = lambda k: F.round(k * width, 6)
+    scale = F.col(sigma) / math.sqrt(2.0) if heavy else F.col(sigma)
+    cdf = lambda x: (student_t4_cdf if heavy else normal_cdf)((x - F.col(point)) / scale)
+    rows = rows.withColumns({"band_low": edge(F.col("__k")), "band_high": edge(F.col("__k") + 1)})
+    return rows.withColumn("p_band", cdf(F.col("band_high")) - cdf(F.col("band_low"))).drop("__k")
 
 
 def live_errors(forecasts: DataFrame, actuals: DataFrame, keys: Sequence[str], made: Column, cutoff: str, forecast: str, order: str, actual: str) -> DataFrame:

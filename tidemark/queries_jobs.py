@@ -134,7 +134,7 @@ def pump_price_job(spark, d):
     fit = fit.withColumn("point", point).withColumn("error", F.col("point") - v)
     sigma = C.rmse_sigma(fit, ["series"], "error", 20, F.stddev_samp("error") / F.sqrt(F.lit(5.0))).select("series", "sigma")
     live = fit.join(sigma, "series").where("point is not null and sigma > 0")
-    return C.band_distribution(live, "point", "sigma", 0.5, 12).select("series", "day", "point", "sigma", "band", "band_low", "p_band")
+    return C.band_distribution(live, "point", "sigma", 0.5, heavy=True).select("series", "day", "point", "sigma", "band_low", "band_high", "p_band")
 
 
 @query("pulse_bridge_job", f"""WITH {MP_SQL}, w AS (SELECT o_orderpriority AS series, CAST(date_trunc('week', o_orderdate) AS DATE) + 5 AS week, count(*) AS n FROM orders GROUP BY ALL),

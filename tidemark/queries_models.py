@@ -202,19 +202,50 @@ def strike_ladder(spark, d):
     return C.strike_ladder(intervals(spark, d), "point", 500, 3).select("c_custkey", "strike")
 
 
-@query("p_at_least_bucket")
+def _normal_sql(z: str) -> str:
+    """The distribution function by its series z + z^3 / 3 + z^5 / (3 * 5) + ...: another formula than the library's."""
+    x = f"greatest(least(abs({z}), 9.0::DOUBLE), 1e-300::DOUBLE)"
+    terms = f"list_sum(list_transform(range(0, 200), lambda k: exp((2 * k + 1) * ln({x}) - (k + 1) * ln(2::DOUBLE) - lgamma(k + 1.5::DOUBLE) + 0.5 * ln(pi()) - {x} * {x} / 2)))"
+    return f"(0.5 + CASE WHEN {z} < 0 THEN -1 ELSE 1 END * {terms} / sqrt(2 * pi()))"
+
+
+_LADDER_SQL = f"""WITH iv AS (SELECT c_custkey, c_acctbal + 10000 AS point, c_custkey % 7 * 100.0::DOUBLE AS w FROM customer WHERE c_custkey % 7 > 0),
+  l AS (SELECT c_custkey, point, CAST(floor(point / 500) AS BIGINT) * 500 + k * 500 AS strike, w / 1.25 AS lo, 2 * w / 1.25 AS hi FROM iv, (SELECT range AS k FROM range(-3, 4))),
+  z AS (SELECT c_custkey, strike, (strike - 0.5 - point) / CASE WHEN strike - 0.5 < point THEN lo ELSE hi END AS z FROM l),
+  p AS (SELECT c_custkey, strike, 1 - {_normal_sql("z")} AS p FROM z)
+  SELECT c_custkey, strike, round(p, 9) + 0.0 AS p_at_least, round(p - coalesce(lead(p) OVER (PARTITION BY c_custkey ORDER BY strike), 0), 9) + 0.0 AS p_bucket FROM p"""
+
+
+@query("p_at_least_bucket", _LADDER_SQL)
 def p_at_least_bucket(spark, d):
     rows = C.strike_ladder(intervals(spark, d).where("valid"), "point", 500, 3)
-    return C.p_bucket(C.p_at_least(rows, "point", "strike", 1.0), ["c_custkey"], "strike").select("c_custkey", "strike", "p_at_least", "p_bucket")
+    out = C.p_bucket(C.p_at_least(rows, "point", "strike", 1.0), ["c_custkey"], "strike")
+    return out.select("c_custkey", "strike", (F.round("p_at_least", 9) + 0.0).alias("p_at_least"), (F.round("p_bucket", 9) + 0.0).alias("p_bucket"))
 
 
 _T4 = "0.5 + 0.375 * ({t} / sqrt(1 + {t} * {t} / 4)) * (1 - {t} * {t} / (12 * (1 + {t} * {t} / 4)))"
 
 
-@query("band_distribution", f"WITH x AS (SELECT c_custkey, k AS band, (c_acctbal + (k - 0.5::DOUBLE) * 50 - c_acctbal) / (80 / sqrt(2::DOUBLE)) AS lo, (c_acctbal + (k - 0.5::DOUBLE) * 50 + 50 - c_acctbal) / (80 / sqrt(2::DOUBLE)) AS hi FROM customer, (SELECT CAST(range AS INTEGER) AS k FROM range(-4, 5))) SELECT c_custkey, band, round(({_T4.format(t='hi')}) - ({_T4.format(t='lo')}), 6) AS p_band FROM x")
-def band_distribution(spark, d):
+def _bands_sql(cdf: str, scale: str) -> str:
+    edges = "floor((c_acctbal - 4 * 80.0::DOUBLE) / 50), ceil((c_acctbal + 4 * 80.0::DOUBLE) / 50)"
+    return f"""WITH b AS (SELECT c_custkey, c_acctbal AS point, unnest(range(CAST({edges.split(", ")[0]} AS BIGINT), CAST({edges.split(", ")[1]} AS BIGINT))) AS k FROM customer),
+  x AS (SELECT c_custkey, k * 50.0::DOUBLE AS band_low, k * 50.0::DOUBLE + 50 AS band_high, (k * 50 - point) / {scale} AS lo, (k * 50 + 50 - point) / {scale} AS hi FROM b)
+  SELECT c_custkey, band_low, band_high, round(({cdf.format(t="hi")}) - ({cdf.format(t="lo")}), 9) AS p_band FROM x"""
+
+
+def _bands(spark, d, **how):
     rows = table(spark, d, "customer").select("c_custkey", "c_acctbal", F.lit(80.0).alias("sigma"))
-    return C.band_distribution(rows, "c_acctbal", "sigma", 50.0, 4).select("c_custkey", "band", F.round("p_band", 6).alias("p_band"))
+    return C.band_distribution(rows, "c_acctbal", "sigma", 50.0, **how).select("c_custkey", "band_low", "band_high", F.round("p_band", 9).alias("p_band"))
+
+
+@query("band_distribution", _bands_sql(_T4, "(80 / sqrt(2::DOUBLE))"))
+def band_distribution(spark, d):
+    return _bands(spark, d, heavy=True)
+
+
+@query("band_distribution_normal", _bands_sql(_normal_sql("{t}"), "80.0::DOUBLE"))
+def band_distribution_normal(spark, d):
+    return _bands(spark, d)
 
 
 @query("freshness_guard", "SELECT max(CAST(o_orderdate AS DATE)) AS newest, date_diff('day', max(CAST(o_orderdate AS DATE)), DATE '2001-12-31') <= 400 AS fresh, count(DISTINCT o_orderpriority) = 5 AS complete FROM orders")
