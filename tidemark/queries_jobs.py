@@ -14,7 +14,9 @@ from tidemark.operators.features import Series
 from tidemark.plans.fixtures import (
     BT_SQL, MP_SQL, SG_SQL, SN_SQL, TIE, bitemporal, daily_series, monthly_panel, segment_days, segment_panel, snapshots, table,
 )
-from tidemark.queries import query
+from tidemark.plans import scripts
+from tidemark.queries import _origins_sql as origins_sql
+from tidemark.queries import origins_table, query, scratch_path
 
 _KNOWN = ", ".join(f"CASE WHEN vintage <= DATE '1998-01-15' THEN {c} ELSE -{c} END DESC" for c in TIE)
 
@@ -172,3 +174,29 @@ def poll_average_job(spark, d):
     ahead = dense.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(6))))
     forecast = F.col("average") + F.coalesce("drift", F.lit(0.0)) * F.col("h") * (7 - F.col("h")) / 6
     return ahead.select("kind", "day", "h", F.date_add("day", F.col("h")).alias("target"), F.round(forecast, 6).alias("forecast"))
+
+
+_QUARTERS = [f"{y}-{m:02d}-01" for y in range(1995, 2000) for m in (3, 9)]
+_SCRIPT_SQL = """past AS (SELECT o.origin, mp.*, row_number() OVER (PARTITION BY o.origin, series ORDER BY period) AS k FROM mp JOIN origins o ON period <= o.origin),
+  trend AS (SELECT origin, series, regr_slope(value, k) AS slope, regr_intercept(value, k) AS level, max(k) AS k FROM past GROUP BY origin, series),
+  f AS (SELECT t.series, t.origin, CAST(h AS INTEGER) AS horizon, CAST(t.origin + to_months(CAST(h AS INTEGER)) AS DATE) AS target, level + slope * (t.k + h) AS forecast, y.value AS seasonal
+    FROM trend t CROSS JOIN (SELECT unnest(range(1, 4)) AS h) JOIN mp y ON y.series = t.series AND y.period = t.origin + to_months(CAST(h AS INTEGER) - 12))
+  SELECT series, origin, horizon, target, round(forecast, 6) AS forecast, round(seasonal, 6) AS seasonal, 'trend_v1' AS model_version FROM f
+  WHERE forecast IS NOT NULL QUALIFY count(*) OVER (PARTITION BY origin) = 3 * (SELECT count(DISTINCT series) FROM mp)"""
+
+
+def _published(df):
+    return df.select("series", "origin", "horizon", "target", *[F.round(c, 6).alias(c) for c in ("forecast", "seasonal")], "model_version")
+
+
+@query("scripted_forecast", f"WITH {MP_SQL}, origins AS (SELECT max(period) AS origin FROM mp WHERE period <= DATE '1999-08-20'), {_SCRIPT_SQL}")
+def scripted_forecast(spark, d):
+    """A procedure as a SQL script: the origin found at run time, a guard that refuses to publish too few rows, one insert."""
+    return _published(scripts.forecast_once(spark, monthly_panel(spark, d), scratch_path(spark, "script"), "1999-08-20"))
+
+
+@query("scripted_walk_forward", f"WITH {MP_SQL}, {origins_sql(_QUARTERS)}, {_SCRIPT_SQL}")
+def scripted_walk_forward(spark, d):
+    """A loop over origins whose first fail, for want of a year before them, and are trapped."""
+    done, _ = scripts.forecast_each(spark, monthly_panel(spark, d), origins_table(spark, _QUARTERS), scratch_path(spark, "script"))
+    return _published(done)
