@@ -22,7 +22,12 @@ BT_SQL = """bt AS (
 
 def bitemporal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """series, period, vintage, value, and k1..k6, which settle ties."""
-    return table(spark, sf_dir, "lineitem").select(
+    return vintages(table(spark, sf_dir, "lineitem")).drop("l_shipdate")
+
+
+def vintages(lineitem: DataFrame) -> DataFrame:
+    """The same of any table like ``lineitem``, a stream too, with its l_shipdate."""
+    return lineitem.select(
         F.concat("l_returnflag", "l_linestatus").alias("series"),
         F.trunc("l_shipdate", "MM").alias("period"),
         F.date_add(F.last_day("l_shipdate"), (F.col("l_orderkey") % 90).cast("int")).alias("vintage"),
@@ -34,6 +39,7 @@ def bitemporal(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.datediff(F.to_date("l_shipdate"), F.lit("1970-01-01").cast("date")).alias("k5"),
         F.round(F.col("l_extendedprice") * 100).cast("long").alias("k6"),
         F.col("l_linestatus").alias("source"),
+        "l_shipdate",
     )
 
 

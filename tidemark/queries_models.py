@@ -12,10 +12,11 @@ from tidemark.operators import vintage as V
 from tidemark.operators import walkforward as M
 from tidemark.operators.features import Series
 from tidemark.plans import jobs
-from tidemark.plans.fixtures import BT_SQL, MP_SQL, SG_SQL, TIE, bitemporal, monthly_panel, segment_days, segment_panel, table
+from tidemark.plans.fixtures import BT_SQL, MP_SQL, SG_SQL, TIE, bitemporal, monthly_panel, segment_days, segment_panel, table, vintages
 from tidemark.queries import _origins_sql as origins_sql
 from tidemark.queries import origins_table, query, scratch_path
-from tidemark.streaming import streams
+from tidemark.sources.versioned import VersionedTable
+from tidemark.streaming import first_print, streams
 
 _W = "(PARTITION BY series ORDER BY period"
 _B = f"OVER {_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
@@ -610,6 +611,19 @@ def stream_bucket_mean(spark, d):
     return spark.read.parquet(f"{path}/out")
 
 
+@query("stream_first_vintage", f"WITH {BT_SQL} SELECT series, period, arg_min(vintage, row(vintage, {', '.join(TIE)})) AS vintage, arg_min(value, row(vintage, {', '.join(TIE)})) AS value FROM bt GROUP BY series, period")
+def stream_first_vintage(spark, d):
+    """First prints by vintage, whatever the order of arrival, kept in a table that corrections change in place."""
+    path = scratch_path(spark, "stream")
+    schema = spark.read.parquet(f"{d}/lineitem.parquet").schema
+    arrivals = spark.readStream.schema(schema).parquet(f"{d}/lineitem.parquet*")
+    rows = vintages(arrivals).withColumn("arrival", F.col("l_shipdate").cast("timestamp")).drop("source", "l_shipdate")
+    prints = first_print.first_prints(rows, ["series", "period"], ["vintage", *TIE], "arrival", "3650 days", 3650)
+    held = VersionedTable.create(spark, f"{path}/table", prints.drop("corrections").schema, ["series", "period"], 8)
+    first_print.publish_first_prints(prints, held, ["series", "period"], ["vintage", *TIE], f"{path}/checkpoint").awaitTermination()
+    return held.read().select("series", "period", "vintage", "value")
+
+
 @query("stream_first_print")
 def stream_first_print(spark, d):
     path = scratch_path(spark, "stream")

@@ -160,12 +160,16 @@ class VersionedTable:
                 self._fs.delete(self._path(name), True)
         raise Overtaken(f"{self.base} changes too often")
 
-    def upsert(self, staged: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None, run: str | None = None) -> int:
-        """See ``tables.upsert``; the keys must include the table's ``by`` columns."""
+    def merge(self, rows: DataFrame, keys: Sequence[str], change: Callable[[DataFrame, DataFrame], DataFrame], run: str | None = None) -> int:
+        """Commit ``change(current rows of the touched parts, rows)``, which may only look at rows of equal keys together."""
         by, names = self.manifest().by, self.schema().names
         if not set(by) <= set(keys):
             raise ValueError(f"rows of equal keys may lie in several parts: keys must include {by}")
-        return self._change(staged, names, lambda current, rows: tables.upsert(current, rows, keys, order), run)
+        return self._change(rows, names, change, run)
+
+    def upsert(self, staged: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None, run: str | None = None) -> int:
+        """See ``tables.upsert``; the keys must include the table's ``by`` columns."""
+        return self.merge(staged, keys, lambda current, rows: tables.upsert(current, rows, keys, order), run)
 
     def replace_slice(self, rows: DataFrame, columns: Sequence[str], run: str | None = None) -> int:
         """Drop the slices (equal ``columns``) that the rows belong to and add the rows: done twice, it leaves the same table."""
