@@ -293,3 +293,31 @@ def test_families_without_links_are_not_searched_and_send_no_hot_key(spark, monk
     assert got == {i: {1000: 0, 1001: 1}.get(i, i) for i, _ in rows}
     assert searched.value <= 60 and len(keys) == (2 if percent == 90 else 3)
     assert max(n for _, n in keys) <= 5
+
+
+# --- op4: the automaton in arrays
+
+
+def test_compact_automaton_finds_every_window_and_is_small():
+    from tidemark.llm.decontaminate import CompactAutomaton, SuffixAutomaton
+
+    rng = random.Random(1)
+    for _ in range(400):
+        k, window = rng.choice([2, 4, 9]), rng.choice([2, 3, 5])
+        items = [(str(i), [b"%d" % rng.randrange(k) for _ in range(rng.randint(1, 14))]) for i in range(rng.randint(1, 6))]
+        doc = [b"%d" % rng.randrange(k + 1) for _ in range(rng.randint(0, 40))]
+        hit, found = [0] * len(doc), set()
+        for name, seq in items:
+            m = min(window, len(seq))
+            windows = {tuple(seq[i : i + m]) for i in range(len(seq) - m + 1)}
+            for i in range(len(doc) - m + 1):
+                if tuple(doc[i : i + m]) in windows:
+                    found.add(name)
+                    hit[i : i + m] = [1] * m
+        spans, items_found = CompactAutomaton(SuffixAutomaton(window).fill(items)).scan(doc)
+        got = [0] * len(doc)
+        for a, b in spans:
+            got[a:b] = [1] * (b - a)
+        assert got == hit and items_found == found
+    words = [(str(i), [b"w%d" % int(rng.paretovariate(0.7)) for _ in range(100)]) for i in range(300)]
+    assert CompactAutomaton(SuffixAutomaton(10).fill(words)).size() < 100 * 30_000

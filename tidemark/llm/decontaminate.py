@@ -14,6 +14,8 @@ benchmark leaves every document clean. Only the named columns are read, so furth
 from __future__ import annotations
 
 import re
+from array import array
+from bisect import bisect_left
 from functools import reduce
 
 import pyarrow as pa
@@ -28,8 +30,9 @@ _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
-#: Words of items in one automaton, about; a larger benchmark goes through several automata, one after another.
-SHARD_WORDS = 1_000_000
+#: Words of items in one automaton, about; a larger benchmark goes through several automata, one after another. The driver builds each
+#: from dictionaries (about 250 MB for so many words) and sends it as arrays (about 30 MB).
+SHARD_WORDS = 400_000
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -100,37 +103,66 @@ class SuffixAutomaton:
             self.above[s] = s if self.short[s] else self.above[self.link[s]]
         return self
 
+
+class CompactAutomaton:
+    """A filled automaton in arrays of 32-bit numbers, to be sent and searched: edges of a state lie together, sorted by word. Items are
+    kept for the states at which a window first fits alone; from any other state with a window, one of them is reached by links."""
+
+    def __init__(self, whole: SuffixAutomaton):
+        self.window = whole.window
+        self.words: dict[bytes, int] = {}
+        self.first, self.edge, self.to = array("i", [0]), array("i"), array("i")
+        for edges in whole.next:
+            for word, state in sorted((self.words.setdefault(w, len(self.words)), s) for w, s in edges.items()):
+                self.edge.append(word)
+                self.to.append(state)
+            self.first.append(len(self.edge))
+        self.root = array("i", [0] * len(self.words))
+        for k in range(self.first[1]):
+            self.root[self.edge[k]] = self.to[k]
+        self.link, self.length, self.above = array("i", whole.link), array("i", whole.length), array("i", whole.above)
+        self.short = {s: found for s, found in enumerate(whole.short) if found}
+        names: dict[str, int] = {}
+        self.item_first, self.item = array("i", [0]), array("i")
+        for s, items in enumerate(whole.items):
+            if s and whole.length[s] >= self.window > whole.length[whole.link[s]]:
+                self.item.extend(names.setdefault(x, len(names)) for x in items)
+            self.item_first.append(len(self.item))
+        self.names = list(names)
+
+    def size(self) -> int:
+        """Bytes of the arrays."""
+        return sum(len(a) * a.itemsize for a in vars(self).values() if isinstance(a, array))
+
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Disjoint ascending (start, end) runs of hit words, and the items with a window here."""
-        nxt, link, length, above, window = self.next, self.link, self.length, self.above, self.window
-        root, state, run = nxt[0], 0, 0
+        known, first, edge, to = self.words.get, self.first, self.edge, self.to
+        link, length, above, window = self.link, self.length, self.above, self.window
+        state = run = 0
         spans: list[list[int]] = []
         found: set[str] = set()
         for i, w in enumerate(words):
-            if not state:
-                state = root.get(w, 0)
-                if not state:
-                    continue
-                run = 1
+            word = known(w)
+            if word is None:
+                state = run = 0
+                continue
+            while state > 0:
+                high = first[state + 1]
+                k = bisect_left(edge, word, first[state], high)
+                if k < high and edge[k] == word:
+                    state = to[k]
+                    run += 1
+                    break
+                state = link[state]
+                run = length[state]
             else:
-                to = nxt[state].get(w)
-                if to is None:
-                    state = link[state]
-                    while state > 0 and w not in nxt[state]:
-                        state = link[state]
-                    run = length[state]
-                    to = nxt[state].get(w)
-                    if to is None:
-                        state = run = 0
-                        continue
-                state = to
-                run += 1
+                state, run = self.root[word], 1
             start = -1
             if run >= window:
                 p = state
                 while length[link[p]] >= window:
                     p = link[p]
-                found.update(self.items[p])
+                found.update(self.names[x] for x in self.item[self.item_first[p] : self.item_first[p + 1]])
                 start = i - run + 1
             p = above[state]
             while p > 0:
@@ -157,11 +189,11 @@ def _dealt(benchmark: DataFrame, item_id: str, item_text: str, shard_words: int)
     return items.withColumn("shard", F.pmod(F.xxhash64("item", "text"), F.lit(n))), n
 
 
-def _automaton(items: DataFrame, shard: int, window: int) -> SuffixAutomaton | None:
+def _automaton(items: DataFrame, shard: int, window: int) -> CompactAutomaton | None:
     """One shard's automaton, built by the driver: its size is bounded by the shard's words."""
     rows = items.where(F.col("shard") == shard).select("item", "text").collect()
     sequences = [(r.item, seq) for r in rows if (seq := words_of(r.text.encode()))]
-    return SuffixAutomaton(window).fill(sequences) if sequences else None
+    return CompactAutomaton(SuffixAutomaton(window).fill(sequences)) if sequences else None
 
 
 _SPANS, _ITEMS = "array<struct<start:int,end:int>>", "array<string>"
