@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalars import normal_cdf, student_t4_cdf
+from tidemark.operators.selection import grouped_median
 
 
 def error_rows(df: DataFrame, methods: Sequence[str], actual: str, keep: Sequence[str]) -> DataFrame:
@@ -33,6 +34,11 @@ def score_tolerance(df: DataFrame, by: Sequence[str], limits: Mapping[str, float
     return df.groupBy(*by).agg(*[(F.avg(F.when(e <= g + 1e-9, 1.0).otherwise(0.0)) * 100).alias(n) for n, g in limits.items()], F.median(e).alias("medae"))
 
 
+def score_median(df: DataFrame, by: Sequence[str], path: str, error: str = "error") -> DataFrame:
+    """The median absolute error of groups of any size; rounds of it are kept under ``path`` (see ``selection``)."""
+    return grouped_median(df.withColumn("__e", F.abs(error)), by, "__e", path, "medae")
+
+
 def score_exact_rounded(df: DataFrame, by: Sequence[str], prediction: str, actual: str, previous: str, digits: int = 1) -> DataFrame:
     """Share that rounds to the same value, half to even; direction only where the actual moved."""
     p, a, b = (F.bround(c, digits) for c in (prediction, actual, previous))

@@ -257,6 +257,19 @@ def baselines(df: DataFrame, keys: Sequence[str], period: str, y: str, masked: C
     )
 
 
+def seasonal_drift(df: DataFrame, keys: Sequence[str], period: str, y: str, masked: Column | None = None, out: str = "seasonal_drift") -> DataFrame:
+    """``df`` (a month a row, without gaps) with last month's value, carried on by the mean log change into this calendar month over the unmasked rows
+    before; null where last month has no positive value or there is no such change yet."""
+    run = Window.partitionBy(*keys).orderBy(period)
+    month = Window.partitionBy(*keys, F.month(period)).orderBy(period).rowsBetween(Window.unboundedPreceding, -1)
+    log = F.when(F.col(y) > 0, F.ln(F.when(F.col(y) > 0, F.col(y))))
+    rows = df.withColumn("__log", log)
+    last = F.lag("__log").over(run)
+    step = F.col("__log") - last
+    rows = rows.withColumns({"__last": last, "__step": step if masked is None else F.when(~masked, step)})
+    return rows.withColumn(out, F.exp(F.col("__last") + F.avg("__step").over(month))).drop("__log", "__last", "__step")
+
+
 def multi_horizon_naive(df: DataFrame, origins: DataFrame, keys: Sequence[str], period: str, y: str, horizons: int) -> DataFrame:
     """Grid of origins and horizons: the random walk from the origin, and the value a year before the target."""
     grid = df.select(*keys).distinct().join(stated(origins)).withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(horizons))))

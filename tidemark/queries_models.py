@@ -275,6 +275,16 @@ def missing_features_report(spark, d):
     return rows.select("series", "period", F.array_join(missing_names(rows, ["rw", "mean3", "drift"]), ",").alias("missing"))
 
 
+@query("seasonal_drift", f"""WITH {SG_SQL}, l AS (SELECT series, period, a, CASE WHEN a > 0 THEN ln(CASE WHEN a > 0 THEN a END) END AS v FROM sg),
+  s AS (SELECT series, period, lag(v) OVER {_W}) AS last, v - lag(v) OVER {_W}) AS step, period BETWEEN DATE '1998-03-01' AND DATE '1998-08-01' AS masked FROM l)
+  SELECT series, period, round(exp(last + avg(CASE WHEN NOT masked THEN step END) OVER (PARTITION BY series, month(period) ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), 6) AS seasonal_drift FROM s""")
+def seasonal_drift(spark, d):
+    """Half a year is masked: it teaches no seasonal step."""
+    masked = F.col("period").between(F.lit("1998-03-01").cast("date"), F.lit("1998-08-01").cast("date"))
+    rows = M.seasonal_drift(segment_panel(spark, d), ["series"], "period", "a", masked)
+    return rows.select("series", "period", F.round("seasonal_drift", 6).alias("seasonal_drift"))
+
+
 # --- fits
 
 

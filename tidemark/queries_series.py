@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import features as P
 from tidemark.operators import reshape as R
+from tidemark.operators import selection
 from tidemark.plans.fixtures import DS_SQL, MP_SQL, SN_SQL, daily_series, monthly_panel, snapshots, table
-from tidemark.queries import origins_table, query
+from tidemark.queries import origins_table, query, scratch_path
 from tidemark.queries import _origins_sql as origins_sql
 
 # --- joins and reshaping
@@ -259,6 +260,12 @@ def grouped_median(spark, d):
     return table(spark, d, "orders").groupBy("o_orderpriority").agg(F.median("o_totalprice").alias("med"))
 
 
+@query("grouped_median_any_size", "SELECT l_returnflag, l_linestatus, median(l_extendedprice) AS med FROM lineitem GROUP BY ALL")
+def grouped_median_any_size(spark, d):
+    """The same for groups that no task could hold."""
+    return selection.grouped_median(table(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice", scratch_path(spark, "median"), "med")
+
+
 # --- point-in-time features on the dense grid
 
 _S = P.Series(["series"], "period")
