@@ -121,7 +121,7 @@ MAX_STATED = 10_000
 
 def stated(origins: DataFrame) -> DataFrame:
     """A stated list of origins, marked to be sent to every task, once its length has been checked."""
-    origins = origins.select(F.col("origin").cast("date")).distinct()
+    origins = origins.select("origin").distinct()
     if origins.limit(MAX_STATED + 1).count() > MAX_STATED:
         raise ValueError(f"more than {MAX_STATED} origins")
     return F.broadcast(origins)
@@ -176,7 +176,7 @@ def wf_ridge_cv(
     """
     cols = [F.col(x).cast("double") for x in xs]
     rows = df.select(*keys, F.col(period).cast("date").alias("__p"), F.col(y).cast("double").alias("__y"), F.array(*cols).alias("__v"))
-    listed = None if origins is None else sorted(r.origin for r in stated(origins).collect() if r.origin is not None)
+    listed = None if origins is None else sorted(r.origin for r in stated(origins.select(F.col("origin").cast("date"))).collect() if r.origin is not None)
     grid = np.asarray(alphas, float)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
