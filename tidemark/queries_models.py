@@ -389,9 +389,10 @@ def wf_ecm_by_month(spark, d):
 
 @query("wf_ecm_full")
 def wf_ecm_full(spark, d):
-    """All at once: lags of three series, the split of gaps and of the current change, and centring."""
+    """All at once: lags of three series, the split of gaps and of the current change, and centring; a month without orders is a sum of none."""
     spec = E.EcmSpec(other_lags=(("c", (0, 1)),), gap="split", split_x=True, by_month=True)
-    return E.walk_forward_ecm(segment_panel(spark, d), ["series"], "period", "a", "b", spec)
+    rows = segment_panel(spark, d).select("series", "period", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in "abc"])
+    return E.walk_forward_ecm(rows, ["series"], "period", "a", "b", spec)
 
 
 _LONG_SQL = f"""WITH {SG_SQL}, l AS (SELECT series, period, 'a' AS part, coalesce(a, 0.0) AS v FROM sg UNION ALL SELECT series, period, 'b', coalesce(b, 0.0) FROM sg UNION ALL SELECT series, period, 'c', coalesce(c, 0.0) FROM sg),
