@@ -1,8 +1,10 @@
 """First prints in a stream: late earlier vintages, restarts, and state that ends."""
 
 import datetime as dt
+import random
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import types as T
 
 from tidemark.sources.versioned import VersionedTable
@@ -44,3 +46,34 @@ def test_corrections_restart_and_expiry(spark, tmp_path):
     got, _ = feed(5, [row("a", 28, 1, 10.0, 63)])
     assert said == [("a", 10.0, 0)]  # as of a key never seen
     assert got == {"a": 1.0, "b": 7.0, "c": 8.0, "d": 9.0}  # and yet the table keeps the earlier vintage
+
+
+def test_rows_that_cannot_matter_stay_in_their_task(spark, tmp_path, monkeypatch):
+    """Whatever the watermark shuts out, the first print of the rest is kept; few rows a key are, and the state comes after that step."""
+    rng = random.Random(4)
+    some = lambda values: rng.choice([None, *values])
+    rows = [row(some("abc"), some(range(1, 28)), n, float(n), rng.randint(0, 40)) for n in range(30_000)]
+    rows += [(k, dt.date(2019, 1, 1), -1, 0.5, None) for k in "abc"]
+    monkeypatch.setattr(first_print, "ROWS", 2_000)
+    zone = dt.timezone.utc
+    columns = [[r[i] if i < 4 or r[i] is None else r[i].replace(tzinfo=zone) for r in rows] for i in range(5)]
+    kinds = [pa.string(), pa.date32(), pa.int64(), pa.float64(), pa.timestamp("us", "UTC")]
+    table = pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=TABLE.names)
+    out = pa.Table.from_batches(first_print.earliest(["k"], ["vintage", "tie"], "arrival")(iter(table.to_batches(500))), table.schema)
+    assert out.num_rows < 500
+    place = lambda r: (r["vintage"] is None, r["vintage"] or dt.date.min, r["tie"])
+
+    def firsts(found, day):
+        found = [r for r in found if r["arrival"] is None or r["arrival"] > dt.datetime(2020, 1, 1, tzinfo=zone) + dt.timedelta(days=day)]
+        return {k: min((r for r in found if r["k"] == k), key=place, default=None) for k in ("a", "b", "c", None)}
+
+    whole, left = table.to_pylist(), out.to_pylist()
+    for drop in (False, True):  # with and without the rows that have no arrival
+        whole, left = ([r for r in x if not drop or r["arrival"] is not None] for x in (whole, left))
+        for day in range(-1, 41):
+            assert firsts(whole, day) == firsts(left, day)
+    base = f"file://{tmp_path}/{uuid.uuid4().hex}"
+    spark.createDataFrame([], SCHEMA).write.parquet(base)
+    prints = first_print.first_prints(spark.readStream.schema(SCHEMA).parquet(base), ["k"], ["vintage", "tie"], "arrival", "1 day", 30)
+    plan = prints._jdf.queryExecution().analyzed().toString()
+    assert 0 < plan.index("TransformWithState") < plan.index("EventTimeWatermark") < plan.index("MapInArrow")
