@@ -295,6 +295,15 @@ def test_lm_gradients_match_differences():
         assert (loss(up) - loss(down)) / 2e-2 == pytest.approx(g[k][at], rel=0.1, abs=2e-4)
 
 
+def test_lm_exponentials_are_cut_only_where_they_must_be():
+    for top in (-3.0, 60.0, 61.0, 500.0):
+        x = np.array([[-1e9, -1.5, 0.0], [2.0, 3.0, top]], np.float32)
+        want = np.exp(np.minimum(x, np.float32(60)))
+        lm_score._exp(x, 60)
+        assert (x == want).all() and np.isfinite(x).all()
+    lm_score._exp(np.zeros((0, 4), np.float32), 60)
+
+
 def test_lm_learns_from_every_window():
     rounds = inspect.signature(lm_score.score).parameters["rounds"].default
     rng = np.random.default_rng(3)

@@ -291,12 +291,18 @@ def _key_weights(w: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return q, k
 
 
+def _exp(x: np.ndarray, limit: int) -> None:
+    """exp of min(x, limit) in place; to look for the greatest is cheaper than to cut all."""
+    if x.max(initial=0) > limit:
+        np.minimum(x, np.float32(limit), out=x)
+    np.exp(x, out=x)
+
+
 def _attention(e: np.ndarray, q: np.ndarray, k: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Unscaled weights (n, 16, 32) and the vectors they add up to, of which the last but one column is the sum of the weights."""
     s = np.matmul(q[1:], _two(k).transpose(0, 2, 1))
     s += bias
-    np.minimum(s, np.float32(60), out=s)
-    np.exp(s, out=s)
+    _exp(s, 60)
     return s, np.matmul(s, _two(e))
 
 
@@ -305,8 +311,7 @@ _ONES = np.ones(CLASSES, np.float32)
 
 def _exp_sum(x: np.ndarray) -> np.ndarray:
     """exp of the logits in place; returns each row's sum."""
-    np.minimum(x, np.float32(80), out=x)
-    np.exp(x, out=x)
+    _exp(x, 80)
     return np.maximum(x @ _ONES, np.float32(1e-30))
 
 
@@ -334,9 +339,9 @@ class Scorer:
         logits = (mean[:, :DIM] * (1 / np.maximum(mean[:, DIM : DIM + 1], np.float32(1e-30)))) @ self.wv
         logits += self.last.take(last, axis=0)
         own, near = self.classes.take(target), self.bucket.take(last)
-        picked = logits[np.arange(len(own)), own]
-        within = np.maximum(self.pairs[self.row.take(target), near] + self.share.take(target), np.float32(1e-30))
-        out = picked + np.log(within / _exp_sum(logits)) - self.norm[own, near]
+        picked = logits.take(np.arange(0, logits.size, CLASSES) + own)
+        within = np.maximum(self.pairs.take(self.row.take(target) * BUCKETS + near) + self.share.take(target), np.float32(1e-30))
+        out = picked + np.log(within / _exp_sum(logits)) - self.norm.take(own * BUCKETS + near)
         out[target == FILL] = 0
         return out.reshape(-1, STRIDE)
 
@@ -357,7 +362,7 @@ def gradients(tables: dict[str, np.ndarray], w: dict[str, np.ndarray], past: np.
     d = x @ np.concatenate([w["wv"], w["wd"]]).astype(np.float32)
     d += (tables["bigram"] + w["b"].astype(np.float32)).take(tables["bucket"].take(last), axis=0)
     d *= (1 / _exp_sum(d))[:, None]
-    d[np.arange(len(target)), tables["classes"].take(target)] -= 1
+    d.ravel()[np.arange(0, d.size, CLASSES) + tables["classes"].take(target)] -= 1
     d[target == FILL] = 0
     du = (d.T @ x).T
     # of weights p = s / total: ds = p * (dx . e - dx . mean), the second term by the column of ones
