@@ -317,6 +317,26 @@ def test_lm_learns_from_every_window():
     assert sum(b["n"][0].as_py() for b in learned) == sum(-(-len(ids) // lm_score.STRIDE) for ids in docs)
 
 
+def test_lm_runs_are_learned_from_without_windows_between_them():
+    rng = np.random.default_rng(4)
+    docs = [rng.integers(0, 200, n) for n in (1, 16, 17, 700, 32, 300)]
+    pairs = np.zeros((lm_score.IDS, lm_score.BUCKETS))
+    for ids in docs:
+        np.add.at(pairs, (ids[1:], lm_score.bucket(ids[:-1]).astype(int)), 1)
+    past, target = lm_score.blocks(np.concatenate(docs), np.array([len(ids) for ids in docs]))
+    for got, apart in zip((past, target), zip(*(lm_score.blocks(ids) for ids in docs), strict=True), strict=True):
+        assert (got == np.concatenate(apart)).all()
+    tables = lm_score.tables_from_counts(pairs)
+    w = {k: (rng.standard_normal(s) * 0.3).astype(np.float32) for k, s in lm_score.SHAPES.items()}
+    (some_past, some_target), *more = lm_score._mixed_steps(past, target, rng, 0, 1)
+    assert not more and some_past.shape == (-(-(len(past) - 1) // lm_score.RUN), lm_score.RUN + 1, lm_score.STRIDE)
+    g, n = lm_score.gradients(tables, w, some_past, some_target), [(t[:-1] != lm_score.FILL).sum() for t in some_target]
+    assert sum(n) == sum(map(len, docs))
+    runs = [lm_score.gradients(tables, w, p, t) for p, t in zip(some_past, some_target, strict=True)]
+    for k in lm_score.SHAPES:
+        assert np.allclose(g[k], sum(m * r[k] for m, r in zip(n, runs, strict=True)) / sum(n), rtol=1e-3, atol=1e-6)
+
+
 def lm_words(rng):
     """Texts in which a word tells the next one's kind, so that what came before helps."""
     kinds = [[f"{a}{b}" for b in ("river", "stone", "cloud", "grass")] for a in ("red ", "old ", "big ")]

@@ -138,10 +138,10 @@ def _read(vocabulary: bytes):
             docs, block = part.num_rows, uuid.uuid4().int >> 65
             counts, words = words_of(part.column(2))
             listed = words.dictionary_encode()
-            words = listed.dictionary.to_pylist()
+            words = listed.dictionary.to_numpy(zero_copy_only=False)
             keys = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
             order = np.argsort(keys, kind="stable")
-            keys, words = keys[order], [words[i] for i in order]
+            keys, words = keys[order], words[order].tolist()
             place = np.empty(len(order), np.uint32)
             place[order] = np.arange(len(order), dtype=np.uint32)
             at = place[np.asarray(listed.indices)]
@@ -265,30 +265,36 @@ def initial(seed: int = 1) -> dict[str, np.ndarray]:
 #: Distance of each key of a window from each query, and what a query must not see.
 _GAP = STRIDE + np.arange(STRIDE)[:, None] - np.arange(WINDOW)[None, :]
 _MASK = np.where(_GAP < 0, np.float32(-1e9), np.float32(0))
+_DISTANCE, _SEEN = np.abs(_GAP), _GAP >= 0
 
 
-def blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def blocks(ids: np.ndarray, sizes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Past and targets (n + 1, 16) of a document of n blocks. Window i looks at past i and i + 1 and predicts the targets of
-    row i; the last row of targets is FILL, so documents follow one another without a window of two."""
-    n = -(-len(ids) // STRIDE)
-    past, target = np.full((2, STRIDE * (n + 1)), FILL, np.int64)
-    past[STRIDE] = START
-    past[STRIDE + 1 : STRIDE + len(ids)] = ids[:-1]
-    target[: len(ids)] = ids
-    return past.reshape(-1, STRIDE), target.reshape(-1, STRIDE)
-
-
-def _two(x: np.ndarray) -> np.ndarray:
-    """Rows (n, 32, d) of two neighbouring blocks each, as a view of (n + 1, 16, d)."""
-    return np.lib.stride_tricks.as_strided(x, (len(x) - 1, WINDOW, x.shape[2]), x.strides)
-
-
-def _key_weights(w: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Products with the vectors give queries, with a last 1, and keys, whose last column shuts FILL out."""
-    q, k = np.zeros((2, DIM + 2, KEY + 1), np.float32)
-    q[:DIM, :KEY], q[DIM, :KEY], q[DIM, KEY] = w["wq"], w["bq"], 1
-    k[:DIM, :KEY], k[DIM + 1, KEY] = w["wk"], -1e4
-    return q, k
+    row i; the last row of targets is FILL, so documents follow one another without a window of two. ``sizes``: ids of each of
+    several documents, one after another."""
+    sizes = np.array([len(ids)]) if sizes is None else sizes
+    length = STRIDE * (-(-sizes // STRIDE) + 1)
+    start = np.cumsum(length) - length
+    past, target = np.full((2, int(length.sum()) + 1), FILL, np.int64)
+    at = np.arange(len(ids)) + np.repeat(start - (np.cumsum(sizes) - sizes), sizes)
+    target[at] = ids
+    past[at + (STRIDE + 1)] = ids
+    past[start + STRIDE + sizes] = FILL  # nothing follows the last id
+    past[start + STRIDE] = START
+    return past[:-1].reshape(-1, STRIDE), target[:-1].reshape(-1, STRIDE)
+
+
+def _two(x: np.ndarray, first: int, end: int) -> np.ndarray:
+    """Columns first to end of rows (runs, n, 32, d) of two neighbouring blocks each, as a view of a contiguous (runs, n + 1, 16, d)."""
+    return np.ndarray((x.shape[0], x.shape[1] - 1, WINDOW, end - first), x.dtype, x, first * x.itemsize, x.strides)
+
+
+def _key_weights(w: dict[str, np.ndarray]) -> np.ndarray:
+    """Products with the vectors give queries, with a last 1, and beside them keys, whose last column shuts FILL out."""
+    out = np.zeros((DIM + 2, 2 * KEY + 2), np.float32)
+    out[:DIM, :KEY], out[DIM, :KEY], out[DIM, KEY] = w["wq"], w["bq"], 1
+    out[:DIM, KEY + 1 : -1], out[DIM + 1, -1] = w["wk"], -1e4
+    return out
 
 
 def _exp(x: np.ndarray, limit: int) -> None:
@@ -298,12 +304,14 @@ def _exp(x: np.ndarray, limit: int) -> None:
     np.exp(x, out=x)
 
 
-def _attention(e: np.ndarray, q: np.ndarray, k: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Unscaled weights (n, 16, 32) and the vectors they add up to, of which the last but one column is the sum of the weights."""
-    s = np.matmul(q[1:], _two(k).transpose(0, 2, 1))
+def _attention(rows: np.ndarray, qk: np.ndarray, at: int, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unscaled weights (runs, n, 16, 32) and the vectors they add up to, of which the last but one column is the sum of the weights.
+    ``rows`` begins with the vectors; ``qk`` has queries and keys from column ``at`` on."""
+    k = at + KEY + 1
+    s = np.matmul(qk[:, 1:, :, at:k], _two(qk, k, k + KEY + 1).swapaxes(2, 3))
     s += bias
     _exp(s, 60)
-    return s, np.matmul(s, _two(e))
+    return s, np.matmul(s, _two(rows, 0, DIM + 2)).reshape(-1, DIM + 2)
 
 
 _ONES = np.ones(CLASSES, np.float32)
@@ -320,21 +328,18 @@ class Scorer:
 
     def __init__(self, tables: dict[str, np.ndarray], w: dict[str, np.ndarray]):
         e = tables["vectors"]
-        to_q, to_k = _key_weights(w)
         #: Of each id its vector, query and key side by side.
-        self.rows = np.concatenate([e, e @ to_q, e @ to_k], axis=1)
+        self.rows = np.concatenate([e, e @ _key_weights(w)], axis=1)
         self.wv, self.bucket = w["wv"].astype(np.float32), tables["bucket"]
         self.last = (tables["bigram"][self.bucket] + e[:, :DIM] @ w["wd"] + w["b"]).astype(np.float32)
-        self.bias = (_MASK + w["r"][np.abs(_GAP)]).astype(np.float32)
+        self.bias = (_MASK + w["r"][_DISTANCE]).astype(np.float32)
         self.classes, self.row, self.pairs = tables["classes"], tables["row"], tables["pairs"]
         self.share, self.norm = tables["share"], tables["norm"]
 
     def log_probabilities(self, past: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log probability of each target (n, 16) of the n windows of n + 1 blocks; 0 for FILL."""
-        rows = self.rows.take(past, axis=0)
-        e, q, k = rows[..., : DIM + 2], rows[..., DIM + 2 : DIM + KEY + 3], rows[..., DIM + KEY + 3 :]
-        _, mean = _attention(e, q, k, self.bias)
-        mean = mean.reshape(-1, DIM + 2)
+        rows = self.rows.take(past, axis=0)[None]
+        _, mean = _attention(rows, rows, DIM + 2, self.bias)
         last, target = past[1:].ravel(), target[:-1].ravel()
         logits = (mean[:, :DIM] * (1 / np.maximum(mean[:, DIM : DIM + 1], np.float32(1e-30)))) @ self.wv
         logits += self.last.take(last, axis=0)
@@ -346,46 +351,59 @@ class Scorer:
         return out.reshape(-1, STRIDE)
 
 
+def _distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids that occur, in no particular order, and the place of each id among them."""
+    place, every = np.empty(IDS, np.int64), np.arange(len(ids))
+    place[ids] = every
+    first = np.flatnonzero(place.take(ids) == every)
+    found = ids.take(first)
+    place[found] = np.arange(len(found))
+    return found, place.take(ids)
+
+
 def gradients(tables: dict[str, np.ndarray], w: dict[str, np.ndarray], past: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
-    """Mean gradient of the class's log loss over the targets of the windows."""
+    """Mean gradient of the class's log loss over the targets of the windows: of one run of n + 1 blocks, or of several (runs, n + 1, 16)."""
+    past, target = past.reshape(-1, *past.shape[-2:]), target.reshape(-1, *target.shape[-2:])
     e = tables["vectors"].take(past, axis=0)
-    to_q, to_k = _key_weights(w)
-    flat = lambda y: y.reshape(-1, y.shape[-1])
-    q, k = ((flat(e) @ x).reshape(*past.shape, -1) for x in (to_q, to_k))
-    s, mean = _attention(e, q, k, (_MASK + w["r"][np.abs(_GAP)]).astype(np.float32))
-    last, target = past[1:].ravel(), target[:-1].ravel()
-    mean = mean.reshape(-1, DIM + 2)
+    qk = (e.reshape(-1, DIM + 2) @ _key_weights(w)).reshape(*past.shape, -1)
+    s, mean = _attention(e, qk, 0, (_MASK + w["r"][_DISTANCE]).astype(np.float32))
+    last, target = past[:, 1:].ravel(), target[:, :-1].ravel()
+    real = target != FILL
     inverse = 1 / np.maximum(mean[:, DIM : DIM + 1], np.float32(1e-30))
-    x = np.empty((len(target), 2 * DIM), np.float32)
-    np.multiply(mean[:, :DIM], inverse, out=x[:, :DIM])
-    x[:, DIM:] = e[1:, :, :DIM].reshape(-1, DIM)
-    d = x @ np.concatenate([w["wv"], w["wd"]]).astype(np.float32)
-    d += (tables["bigram"] + w["b"].astype(np.float32)).take(tables["bucket"].take(last), axis=0)
-    d *= (1 / _exp_sum(d))[:, None]
-    d.ravel()[np.arange(0, d.size, CLASSES) + tables["classes"].take(target)] -= 1
-    d[target == FILL] = 0
-    du = (d.T @ x).T
+    mean = mean[:, :DIM] * inverse
+    # what depends on the last id alone, once for each id that occurs
+    ids, place = _distinct(last)
+    alone = tables["bigram"].take(tables["bucket"].take(ids), axis=0)
+    alone += tables["vectors"].take(ids, axis=0)[:, :DIM] @ w["wd"].astype(np.float32) + w["b"].astype(np.float32)
+    d = mean @ w["wv"].astype(np.float32)
+    d += alone.take(place, axis=0)
+    d *= (real / _exp_sum(d))[:, None]
+    d.ravel()[np.arange(0, d.size, CLASSES) + tables["classes"].take(target)] -= real
+    # the column of ones beside a vector gives the gradient of the bias
+    e_last = e[:, 1:].reshape(-1, DIM + 2)
+    dl = e_last.T @ d
     # of weights p = s / total: ds = p * (dx . e - dx . mean), the second term by the column of ones
     dm = np.zeros((len(target), DIM + 2), np.float32)
     np.multiply(d @ w["wv"].T.astype(np.float32), inverse, out=dm[:, :DIM])
-    dm[:, DIM] = -np.einsum("ij,ij->i", dm[:, :DIM], x[:, :DIM])
-    s *= np.matmul(dm.reshape(-1, STRIDE, DIM + 2), _two(e).transpose(0, 2, 1))
-    dq, both = np.matmul(s, _two(k)), np.matmul(s.transpose(0, 2, 1), q[1:])
-    dk = np.zeros_like(k)
-    dk[:-1] += both[:, :STRIDE]
-    dk[1:] += both[:, STRIDE:]
-    dq, dk = flat(e[1:]).T @ flat(dq), flat(e).T @ flat(dk)
-    seen = _GAP >= 0
-    scale = np.float32(1 / max(int((target != FILL).sum()), 1))
+    dm[:, DIM] = -np.einsum("ij,ij->i", dm[:, :DIM], mean)
+    s *= np.matmul(dm.reshape(*s.shape[:3], -1), _two(e, 0, DIM + 2).swapaxes(2, 3))
+    # the sum of ds * query's vector x key's vector gives the gradients of both products
+    both = e_last.T @ np.matmul(s, _two(e, 0, DIM)).reshape(-1, DIM)
+    both, ones = both[:DIM], both[DIM]
+    scale = np.float32(1 / max(int(real.sum()), 1))
     g = {
-        "wq": dq[:DIM, :KEY], "bq": dq[DIM, :KEY], "wk": dk[:DIM, :KEY], "wv": du[:DIM], "r": np.bincount(_GAP[seen], s.sum(axis=0)[seen], WINDOW),
-        "wd": du[DIM:], "b": np.ones(len(d), np.float32) @ d,
+        "wq": both @ w["wk"], "bq": ones @ w["wk"], "wk": both.T @ w["wq"] + np.outer(ones, w["bq"]), "wv": mean.T @ d,
+        "r": np.bincount(_GAP[_SEEN], s.sum(axis=(0, 1))[_SEEN], WINDOW), "wd": dl[:DIM], "b": dl[DIM],
     }
     return {name: scale * x for name, x in g.items()}
 
 
-def _ids(cell: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(cell), np.uint16).astype(np.int64)
+def _documents(cells: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Past and targets of documents one after another, and the rows of each."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    ids = [np.frombuffer(unpack(cell), np.uint16) for cell in cells]
+    sizes = np.array([len(x) for x in ids])
+    return *blocks(np.concatenate(ids), sizes), -(-sizes // STRIDE) + 1
 
 
 def _mixed_steps(past: np.ndarray, target: np.ndarray, rng: np.random.Generator, turn: int, rounds: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -399,7 +417,7 @@ def _mixed_steps(past: np.ndarray, target: np.ndarray, rng: np.random.Generator,
         run, end = past[at], target[at]
         run[beyond] = end[beyond] = FILL
         end[:, -1] = FILL  # the last block of a run is the first of another
-        yield run.reshape(-1, STRIDE), end.reshape(-1, STRIDE)
+        yield run, end
 
 
 def _learn(tables, weights, turn: int, rounds: int, rate: float = 0.01):
@@ -411,10 +429,9 @@ def _learn(tables, weights, turn: int, rounds: int, rate: float = 0.01):
         step = seen = 0
         rng = np.random.default_rng(1)  # the same order in every turn
         for batch in batches(rows, 500):
-            found = [blocks(_ids(cell)) for cell in batch.column(0).to_pylist()]
-            past, target = (np.concatenate(x) for x in zip(*found, strict=True))
+            past, target, _ = _documents(batch.column(0).to_pylist())
             for some_past, some_target in _mixed_steps(past, target, rng, turn, rounds):
-                windows = int((some_target[:, 0] != FILL).sum())
+                windows = int((some_target[..., 0] != FILL).sum())
                 if not windows:
                     continue
                 g = gradients(tables.value, _unflatten(w), some_past, some_target)
@@ -445,11 +462,10 @@ def _score(scorer):
     def run(rows):
         s = scorer.value
         for batch in batches(rows, 500):
-            found = [blocks(_ids(c)) for c in batch.column(3).to_pylist()]
-            past, target = np.concatenate([p for p, _ in found]), np.concatenate([t for _, t in found])
-            owner = np.repeat(np.arange(len(found)), [len(p) for p, _ in found])
+            past, target, n = _documents(batch.column(3).to_pylist())
+            owner = np.repeat(np.arange(len(n)), n)
             per = [s.log_probabilities(past[a : a + STEP + 1], target[a : a + STEP + 1]).sum(axis=1, dtype=np.float64) for a in range(0, len(past) - 1, STEP)]
-            totals = np.bincount(owner[:-1], np.concatenate(per), len(found))
+            totals = np.bincount(owner[:-1], np.concatenate(per), len(n))
             columns = [batch.column(i) for i in (0, 1, 2, 4, 5)] + [pa.array(totals / math.log(10))]
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "n", "held", "y", "score"])
 
